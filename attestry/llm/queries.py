@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import decontaminate, packing, simhash
 from .common import table
 
 
@@ -14,8 +14,20 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": _op5,
+    "op6_packing": _op6,
+    "op8_decontamination": _op8,
 }
 
 ORACLES: dict[str, str] = {}
