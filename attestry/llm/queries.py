@@ -5,9 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, packing, simhash
-from .common import table
+from . import decontaminate, langid, packing, quality, simhash
+from .common import crc_mod, table
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) == 2
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), held_out)
+    good = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return quality.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", good.alias("predicted"))
+
+
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) == 0
+    found = langid.identify(docs, docs.filter(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +41,8 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": _op5,
     "op6_packing": _op6,
+    "op2_quality_ranking": _op2,
+    "op7_language_id": _op7,
     "op8_decontamination": _op8,
 }
 
