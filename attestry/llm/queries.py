@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality, simhash
+from . import decontaminate, langid, line_dedup, packing, quality, simhash
 from .common import crc_mod, table
 
 
@@ -38,12 +38,19 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": _op5,
     "op6_packing": _op6,
     "op2_quality_ranking": _op2,
     "op7_language_id": _op7,
     "op8_decontamination": _op8,
+    "op10_line_dedup": _op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_line_dedup": line_dedup.ORACLE,
+}
