@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, packing, quality, simhash
+from . import decontaminate, fingerprint, langid, line_dedup, packing, quality, simhash
 from .common import crc_mod, table
 
 
@@ -38,6 +38,10 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.query(table(spark, sf_dir, "documents"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": _op7,
     "op8_decontamination": _op8,
     "op10_line_dedup": _op10,
+    "op4_winnowing": _op4,
 }
 
 ORACLES: dict[str, str] = {
