@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, langid, line_dedup, packing, quality, simhash
+from . import decontaminate, fingerprint, langid, licences, line_dedup, packing, quality, simhash
 from .common import crc_mod, table
 
 
@@ -42,6 +42,10 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.query(table(spark, sf_dir, "documents"))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.query(table(spark, sf_dir, "documents"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": _op8,
     "op10_line_dedup": _op10,
     "op4_winnowing": _op4,
+    "op9_license_scan": _op9,
 }
 
 ORACLES: dict[str, str] = {
