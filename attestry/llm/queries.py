@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, langid, licences, line_dedup, packing, quality, simhash
+from . import chat, decontaminate, fingerprint, langid, licences, line_dedup, packing, quality, secrets, simhash
 from .common import crc_mod, table
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.query(table(spark, sf_dir, "conversations"))
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.query(table(spark, sf_dir, "documents"))
+
+
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) == 2
     model = quality.fit(docs, table(spark, sf_dir, "labels"), held_out)
@@ -51,14 +59,16 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": _op1,
+    "op2_quality_ranking": _op2,
+    "op3_secret_scan": _op3,
+    "op4_winnowing": _op4,
     "op5_simhash_dedup": _op5,
     "op6_packing": _op6,
-    "op2_quality_ranking": _op2,
     "op7_language_id": _op7,
     "op8_decontamination": _op8,
-    "op10_line_dedup": _op10,
-    "op4_winnowing": _op4,
     "op9_license_scan": _op9,
+    "op10_line_dedup": _op10,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,27 +1,61 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input.
+
+Each stage takes the rows that the one before it kept, and all but the last
+return the columns of documents.  Packing returns one row a piece.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attestry.llm import simhash
-from attestry.llm.common import materialize
+from attestry.llm import decontaminate, line_dedup, packing, quality, simhash
+from attestry.llm.common import crc_mod, materialize
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at least 0.7; a quarter of the labels is held out of the fit."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, quality.fit(docs, labels, crc_mod("doc_id", 4) == 2))
+
+
+def without_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines of later runs of over 50 words; those left without text go."""
+    return line_dedup.dedup(docs)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each near-duplicate component."""
     return simhash.keep_first(docs)
 
 
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which benchmark windows hit no word, or less than a twentieth of them."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 4096 tokens with their sequences and offsets."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
-    ("near duplicates", near_duplicates),
+    ("quality", good_quality),
+    ("line dedup", without_repeated_runs),
+    ("near duplicates", one_of_each_group),
+    ("decontamination", uncontaminated),
+    ("packing", packed),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages applied to the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir))
     return docs
 
 
+#: The classifier's weights and the tokenizer can't be expressed in SQL.
 ORACLE_SQL = None
