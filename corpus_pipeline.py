@@ -7,6 +7,7 @@ return the columns of documents.  Packing returns one row a piece.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from attestry.llm import decontaminate, line_dedup, packing, quality, simhash
 from attestry.llm.common import crc_mod, materialize
@@ -20,7 +21,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of later runs of over 50 words; those left without text go."""
-    return line_dedup.dedup(docs)
+    out = line_dedup.dedup(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
