@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import text_queries
 
-from pyspark.sql import DataFrame, SparkSession
+_PARTS = (text_queries,)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
+ORACLES = {k: sql for part in _PARTS for k, sql in part.ORACLES.items()}
