@@ -81,14 +81,17 @@ def branches(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     known = nodes.select(F.col("msg_id").alias("anc"))
     state = nodes.join(known, nodes["parent_id"] == known["anc"], "left").select("tree_id", "msg_id", "anc", F.col("score").alias("total"), F.lit(1).cast("long").alias("depth"))
     state = materialize(state)
-    jumps = []
-    while not state.filter("anc is not null").isEmpty() and len(jumps) < 40:
-        jumps.append(state.filter("anc is not null").select(F.col("msg_id").alias("from"), F.col("anc").alias("to")))
-        up = state.select(F.col("msg_id").alias("via"), F.col("anc").alias("up"), F.col("total").alias("more"), F.col("depth").alias("further"))
-        state = state.join(up, state["anc"] == up["via"], "left").select("tree_id", "msg_id", F.col("up").alias("anc"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"))
-        state = materialize(state)
+    # messages that have reached their root rest; only the others are joined again
+    done, active, jumps = state.filter("anc is null"), state.filter("anc is not null"), []
+    longest = state.count().bit_length()  # no path is longer than all messages; what still goes on then is on a circle
+    while not active.isEmpty() and len(jumps) <= longest:
+        jumps.append(active.select(F.col("msg_id").alias("from"), F.col("anc").alias("to")))
+        up = done.union(active).select(F.col("msg_id").alias("via"), F.col("anc").alias("up"), F.col("total").alias("more"), F.col("depth").alias("further"))
+        further = active.join(up, active["anc"] == up["via"]).select("tree_id", "msg_id", F.col("up").alias("anc"), (F.col("total") + F.col("more")).alias("total"), (F.col("depth") + F.col("further")).alias("depth"))
+        further = materialize(further)
+        done, active = done.union(further.filter("anc is null")), further.filter("anc is not null")
     parents = nodes.select(F.col("parent_id").alias("msg_id")).filter("msg_id is not null").distinct()
-    leaves = state.filter("anc is null").join(parents, "msg_id", "left_anti")
+    leaves = done.join(parents, "msg_id", "left_anti")
     if per_tree == 1:
         rank = F.struct("total", "depth", "msg_id")
         best = leaves.groupBy("tree_id").agg(F.max(rank).alias("r")).select("tree_id", F.col("r.msg_id").alias("leaf"), F.col("r.depth").alias("depth"))
@@ -98,7 +101,7 @@ def branches(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     paths = materialize(best.select("tree_id", "leaf", (F.col("depth") - 1).alias("place"), F.col("leaf").alias("msg_id")))
     for k, jump in enumerate(jumps):
         on = paths.join(jump, paths["msg_id"] == jump["from"]).select("tree_id", "leaf", (F.col("place") - (1 << k)).alias("place"), F.col("to").alias("msg_id"))
-        paths = materialize(paths.unionByName(on))
+        paths = paths.unionByName(materialize(on))
     return paths
 
 
