@@ -116,8 +116,8 @@ def known_duplicates(slugs: DataFrame, existing: DataFrame) -> DataFrame:
     """slug and existing page of one normal form but another slug."""
     pages = existing.select(F.col("slug").alias("existing"), text.normal_slug("slug").alias("norm"))
     own = slugs.select("slug", text.normal_slug("slug").alias("norm"))
-    listed = pages.join(own, (own["slug"] == pages["existing"])).select(own["slug"].alias("slug")).distinct()
-    return own.join(pages, "norm").join(listed, "slug", "left_anti").select("slug", "existing")
+    listed = existing.select("slug").distinct()
+    return own.join(pages, "norm").select("slug", "existing").join(listed, "slug", "left_anti")
 
 
 def strongest_blocks(votes: DataFrame, key: str, most: int = 5) -> DataFrame:
