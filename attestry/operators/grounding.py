@@ -21,7 +21,7 @@ def ground_claims(claims: DataFrame, blocks: DataFrame) -> DataFrame:
     quote = text.normal_quote(F.coalesce("quote_verbatim", F.lit("")))
     found = (quote != "") & F.contains(text.normal_quote(F.coalesce("block_text", F.lit(""))), quote)
     demoted = F.coalesce((F.col("confidence") == "EXTRACTED") & ~found, F.lit(False))
-    return df.drop("block_text").withColumns({"effective_confidence": F.when(demoted, "AMBIGUOUS").otherwise(F.col("confidence")), "demoted": demoted, "reason": F.when(demoted, REASON).otherwise("")})
+    return df.withColumns({"effective_confidence": F.when(demoted, "AMBIGUOUS").otherwise(F.col("confidence")), "demoted": demoted, "reason": F.when(demoted, REASON).otherwise("")}).drop("block_text")
 
 
 def quotes_in_texts(quotes: DataFrame, docs: DataFrame, words: int = 6) -> DataFrame:

@@ -12,12 +12,13 @@ SLUG = r"^[a-z0-9-]+$"
 
 _FORMULA = "struct<name:string,expression:string,block_id:string,context:string>"
 _CONCEPT = (
-    "struct<slug:string,name:string,definitions:array<struct<chapter:int,chapter_title:string,definition:string,block_id:string>>,"
+    "struct<slug:string,name:string,definitions:array<struct<chapter:string,chapter_title:string,definition:string,block_id:string>>,"
     f"examples:array<string>,warnings:array<string>,formulas:array<{_FORMULA}>,block_ids:array<string>,cross_references:array<string>,"
     "confidence:double,concepts_per_100_lines:double,chapters:array<int>>"
 )
+# chapters may be numbers or their texts
 SCHEMA = (
-    f"source string, chapter int, chapter_title string, extracted_at string, concepts array<{_CONCEPT}>, "
+    f"source string, chapter string, chapter_title string, extracted_at string, concepts array<{_CONCEPT}>, "
     f"entities array<struct<slug:string,name:string,role:string,mentions:array<string>>>, formulas array<{_FORMULA}>, "
     "claims array<struct<text:string,block_id:string,confidence_marker:string,confidence:string,quote_verbatim:string>>, "
     "no_lane_content boolean, _corrupt_record string"
@@ -55,7 +56,7 @@ def schema_issues(extractions: DataFrame) -> DataFrame:
         F.array(
             F.when(x["_corrupt_record"].isNotNull() | x.isNull(), "invalid JSON"),
             F.when(_short(x["source"], 3) | _unlike(x["source"], SLUG), "source malformed"),
-            F.when(F.coalesce(x["chapter"] < 1, F.lit(True)), "chapter missing or below 1"),
+            F.when(F.coalesce(x["chapter"].try_cast("int") < 1, F.lit(True)), "chapter missing or below 1"),
             F.when(_short(x["chapter_title"], 3), "chapter_title too short"),
             F.when(x["extracted_at"].isNull(), "extracted_at missing"),
             F.when((F.coalesce(F.size(x["concepts"]), F.lit(0)) <= 0) & ~F.coalesce(x["no_lane_content"], F.lit(False)), "no concepts and no declared absence"),
@@ -70,8 +71,8 @@ def schema_issues(extractions: DataFrame) -> DataFrame:
         (lambda e: F.coalesce((e["confidence"] < 0) | (e["confidence"] > 1), F.lit(False)), "confidence out of bounds"),
         (lambda e: F.coalesce(e["concepts_per_100_lines"] < 0, F.lit(False)), "density negative"),
     )
-    inner = F.flatten(F.transform(F.coalesce(x["concepts"], F.array().cast(f"array<{_CONCEPT}>")), lambda e: F.coalesce(e["definitions"], F.array().cast("array<struct<chapter:int,chapter_title:string,definition:string,block_id:string>>"))))
-    definitions = _each(inner, "definitions", (lambda e: _short(e["definition"], 10), "definition too short"), (lambda e: e["chapter"].isNull(), "chapter missing"), (lambda e: _unlike(e["block_id"], BLOCK), "block_id malformed"))
+    inner = F.flatten(F.transform(F.coalesce(x["concepts"], F.array().cast(f"array<{_CONCEPT}>")), lambda e: F.coalesce(e["definitions"], F.array().cast("array<struct<chapter:string,chapter_title:string,definition:string,block_id:string>>"))))
+    definitions = _each(inner, "definitions", (lambda e: _short(e["definition"], 10), "definition too short"), (lambda e: e["chapter"].try_cast("int").isNull(), "chapter missing"), (lambda e: _unlike(e["block_id"], BLOCK), "block_id malformed"))
     claims = _each(
         x["claims"],
         "claims",

@@ -64,7 +64,7 @@ def marker_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     views = events.filter("event_type = 'view'").select("user_id", "ts", "event_id")
     clicks = events.filter("event_type = 'click'").select("user_id", F.col("ts").alias("t"), F.col("event_id").alias("click"))
-    return dispatch.align(views, clicks, ["user_id"], ["ts", "event_id"], ["t", "click"], "click").select("event_id", F.col("k").cast("long").alias("k"), "click")
+    return dispatch.align(views, clicks, ["user_id"], ["ts", "event_id"], ["t", "click"], "click").select("event_id", F.col("k").cast("long").alias("k"), F.coalesce("click", F.lit(-1)).alias("click"))
 
 
 def unit_lane_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +123,7 @@ ORACLES = {
     "skip_unchanged": "SELECT DISTINCT source, source <> 'src3' AS skip FROM documents",
     "json_props": "SELECT event_type, count(*) AS events, sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS k, count(*) FILTER (TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) IS NULL) AS invalid_entries FROM events GROUP BY 1",
     "marker_align": """WITH v AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'view'), c AS (SELECT event_id AS click, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'click')
-        SELECT event_id, k, click FROM v LEFT JOIN c USING (user_id, k)""",
+        SELECT event_id, k, coalesce(click, -1) AS click FROM v LEFT JOIN c USING (user_id, k)""",
     "unit_lane_coverage": """WITH e AS (SELECT source AS unit_id, lane FROM (SELECT DISTINCT source FROM documents), (VALUES ('en'), ('de'), ('fr'), ('it')) t(lane)), r AS (SELECT DISTINCT source AS unit_id, lang AS lane FROM documents)
         SELECT unit_id, lane, 'missing' AS issue FROM (FROM e EXCEPT FROM r) UNION ALL SELECT unit_id, lane, 'extra' FROM (FROM r EXCEPT FROM e)""",
     "task_ids": f"""WITH n AS (SELECT unit_id, lane, {_CAMEL('lane')} || {_CAMEL('unit_id')} AS name FROM (SELECT DISTINCT source || '-part' || source AS unit_id FROM documents), (VALUES ('defs'), ('implementation-details-and-more')) t(lane))

@@ -34,7 +34,7 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files, named by their addresses; each page links to the end of its own address and to what it refers to."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.regexp_replace("url", r"^https?://|[?#].*$", "").alias("p"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.rtrim(F.regexp_replace("url", r"^https?://|[?#].*$", ""), F.lit("/")).alias("p"))
     files = pages.select(F.concat("p", F.lit(".md")).alias("file"), F.lit("").alias("text")).distinct()
     own = pages.select("page_id", F.regexp_extract("p", r"([^/]*/[^/]*)$", 1).alias("target"))
     other = _hrefs(spark, sf_dir).select("page_id", F.regexp_replace("href", "^/", "").alias("target"))
@@ -67,7 +67,7 @@ def predicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (link_extract, link_resolve, link_totals, vault_links, vault_totals, vault_repair, predicate_counts)}
 
 _HREFS = """hrefs AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=["'']([^"''#]*)', 1)) AS href FROM pages)"""
-_RESOLVED = f"""{_HREFS}, p AS (SELECT page_id, regexp_replace(url, '^https?://|[?#].*$', '', 'g') AS p FROM pages), paths AS (
+_RESOLVED = f"""{_HREFS}, p AS (SELECT page_id, rtrim(regexp_replace(url, '^https?://|[?#].*$', '', 'g'), '/') AS p FROM pages), paths AS (
   SELECT DISTINCT p AS path, string_split(p, '/')[-1] AS stem FROM p
 ), asked AS (
   SELECT page_id, regexp_extract(p, '([^/]*/[^/]*)$', 1) AS target FROM p UNION SELECT page_id, regexp_replace(href, '^/', '') FROM hrefs
