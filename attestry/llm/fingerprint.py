@@ -92,7 +92,7 @@ def in_blocks(docs: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
         between = F.col("__e").cast("decimal(20,0)") - F.col("__s").cast("decimal(20,0)")
         part = F.floor(fine * (F.col("doc_id").cast("decimal(20,0)") - F.col("__s") - 1).cast("double") / between.cast("double"))
         held = docs.withColumn("__q", F.lit(bounds)).withColumn("__k", F.size(F.filter("__q", lambda b: b < F.col("doc_id"))))
-        held = held.withColumn("__s", F.expr("__q[__k - 1]")).withColumn("__e", F.expr("__q[__k]"))
+        held = held.withColumn("__s", F.expr("get(__q, __k - 1)")).withColumn("__e", F.expr("get(__q, __k)"))
         up = (F.col("__k") - 1) * fine + F.least(part, F.lit(fine - 1))
         block = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) * fine)).otherwise(F.lit((len(bounds) - 1) * fine - 1) - up)
         docs = held

@@ -84,7 +84,7 @@ def test_chat_conversations(spark):
     assert set(got) == {1, 2, None, -1}
     assert (got[1].n_turns, got[1].turns_sha256) == (2, hashlib.sha256(b"user\n\nassistant\nb\n").hexdigest())
     assert (got[None].loss_chars, got[None].loss_sha256) == (1, hashlib.sha256("é".encode()).hexdigest())
-    assert got[2].n_turns == 2 and got[-1].loss_chars == 20
+    assert got[2].n_turns == 2 and got[-1].loss_chars == 21
 
 
 def test_chat_paths_equal_search(spark):
