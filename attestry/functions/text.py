@@ -11,6 +11,8 @@ from . import rules
 
 #: What ends a line: the carriage return pair or any one of these.
 LINE_END = "\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029]"
+RARE_ENDS = "\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
+WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 BLOCK_ID = r"\^([a-z0-9-]+-ch\d+-\d+)"
 
 
@@ -18,15 +20,21 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: the optimizer would write it out wherever it is used, even inside loops."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(col(c), r"^(?U)\s+|(?U)\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def lines(c: Column | str) -> Column:
     """The lines of a text; a last line end opens no further line."""
-    parts = F.split(col(c), LINE_END)
-    return F.when((F.size(parts) > 0) & (F.element_at(parts, -1) == ""), F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    rare = reduce(lambda a, b: a | b, [F.contains(col(c), F.lit(e)) for e in RARE_ENDS])
+    parts = F.when(rare, F.split(col(c), LINE_END)).otherwise(F.split(col(c), "\n"))
+    return let(parts, lambda p: F.when((F.size(p) > 0) & (F.element_at(p, -1) == ""), F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
 
 
 def word_count(c: Column | str) -> Column:
@@ -128,22 +136,29 @@ def placeholder(c: Column | str) -> Column:
 
 
 def category(c: Column | str) -> Column:
-    """The block category: the first rule that holds."""
-    text = col(c)
-    stripped, low, count = strip(text), F.lower(text), word_count(text)
-    # conditions are written once as SQL with named values and bound to columns here
-    named = {"t": text, "l": low, "s": stripped}
-    found: Column | None = None
-
-    def condition(value: str, pattern: str) -> str:
-        terms.append(named[value].rlike(pattern))
-        return f"#{len(terms) - 1}"
-
-    terms: list[Column] = []
-    for rule, name in rules.block_rules("t", "l", "s", "n", condition):
-        c = _bound(rule, terms, count)
-        found = F.when(c, name) if found is None else found.when(c, name)
-    return found.otherwise(rules.TRANSITION)
+    """The block category: the first rule that holds.
+
+    The rules run inside an array of one member: as plain code of a stage they would make a method that
+    is too long for the JIT compiler, and each rule would fold and strip the text again.
+    """
+    prepared = F.transform(F.array(col(c)), lambda t: F.struct(t.alias("t"), F.lower(t).alias("l"), strip(t).alias("s")))
+    counted = F.transform(prepared, lambda r: F.struct(r["t"].alias("t"), r["l"].alias("l"), r["s"].alias("s"), F.when(r["s"] == "", 0).otherwise(F.size(F.split(r["s"], r"\s+"))).alias("n")))
+
+    def first_rule(r: Column) -> Column:
+        # conditions are written once, as SQL on named values, and bound to columns here
+        terms: list[Column] = []
+
+        def condition(value: str, pattern: str) -> str:
+            terms.append(r[value].rlike(pattern))
+            return f"#{len(terms) - 1}"
+
+        found: Column | None = None
+        for rule, name in rules.block_rules("t", "l", "s", "n", condition):
+            c = _bound(rule, terms, r["n"])
+            found = F.when(c, name) if found is None else found.when(c, name)
+        return found.otherwise(rules.TRANSITION)
+
+    return F.get(F.transform(counted, first_rule), F.lit(0))
 
 
 def _bound(rule: str, terms: list[Column], count: Column) -> Column:

@@ -27,18 +27,18 @@ def marked_lines(docs: DataFrame, keys: list[str], extra: str = "") -> DataFrame
     """
     kept = [*keys, *extra.split()]
     df = docs.select(*kept, F.transform(text.lines("text"), text.strip).alias("bare"))
-    df = df.withColumn("f1", F.array_position("bare", "---").cast("int"))
-    rest = F.when(F.col("f1") > 0, F.array_position(F.slice("bare", F.col("f1") + 1, F.size("bare")), "---")).otherwise(0)
-    df = df.withColumn("f2", F.when(rest > 0, F.col("f1") + rest).otherwise(0).cast("int"))
-    off = "(f1 > 0 and i + 1 >= f1 and (f2 = 0 or i + 1 <= f2))"
+    # transform over an array of one member names a value, so that it is computed once
+    off = "(f.one > 0 and i + 1 >= f.one and (f.two = 0 or i + 1 <= f.two))"
     # states: 1 inside a comment, 2 the line that closes it; only texts with a comment pay for the fold
-    step = """case when size(a) + 1 in (f1, f2) then array_append(a, if(element_at(a, -1) = 1, 1, 0))
+    step = """case when size(a) in (f.one, f.two) then array_append(a, if(element_at(a, -1) = 1, 1, 0))
       when element_at(a, -1) = 1 then array_append(a, if(contains(x, '-->'), 2, 1))
       when startswith(x, '<!--') and not contains(x, '-->') then array_append(a, 1) else array_append(a, 0) end"""
-    fold = f"slice(aggregate(bare, array(0), (a, x) -> {step.replace('size(a) + 1', 'size(a)')}), 2, size(bare))"
-    states = f"if(exists(bare, x -> startswith(x, '<!--') and not contains(x, '-->')), {fold}, array_repeat(0, size(bare)))"
-    rows = f"zip_with(transform(bare, (x, i) -> struct(x as t, i as i, {off} as off)), {states}, (r, c) -> struct(r.t as t, r.i as i, r.off or c > 0 as off))"
-    return df.select(*kept, F.expr(rows).alias("rows"))
+    fold = f"slice(aggregate(b, array(0), (a, x) -> {step}), 2, size(b))"
+    states = f"if(exists(b, x -> startswith(x, '<!--') and not contains(x, '-->')), {fold}, array_repeat(0, size(b)))"
+    rows = f"zip_with(transform(b, (x, i) -> struct(x as t, i as i, {off} as off)), {states}, (r, c) -> struct(r.t as t, r.i as i, r.off or c > 0 as off))"
+    second = "coalesce(nullif(array_position(slice(b, one + 1, size(b)), '---'), 0) + one, 0)"
+    fences = f"transform(array(cast(array_position(b, '---') as int)), one -> named_struct('one', one, 'two', cast(if(one > 0, {second}, 0) as int)))"
+    return df.select(*kept, F.expr(f"transform(array(bare), b -> transform({fences}, f -> {rows})[0])[0]").alias("rows"))
 
 
 _COUNTS = "(not r.off and r.t <> '' and not startswith(r.t, '#') and not startswith(r.t, '```') and not startswith(r.t, '<!--'))"
@@ -61,17 +61,19 @@ def annotate(files: DataFrame) -> DataFrame:
     df = marked_lines(files, keys)
     # a slug holds letters, digits, hyphens, dots and underscores only; nothing to escape but the dot
     own = "concat('\\\\^', replace(slug, '.', '[.]'), '-ch(\\\\d{2,})-(\\\\d{4,})(?![\\\\p{L}\\\\p{N}_])')"
-    plain = "not exists(rows, r -> contains(r.t, '^'))"  # no anchors at all: no pattern is needed
-    mark = f"transform(rows, r -> struct(r.t as t, r.i as i, r.off as off, not r.off and startswith(r.t, '|') as pipe, r.t rlike {own} as has, r.t rlike concat('^', {own}, '$') as only))"
-    quick = "transform(rows, r -> struct(r.t as t, r.i as i, r.off as off, not r.off and startswith(r.t, '|') as pipe, false as has, false as only))"
-    df = df.select(*keys, F.expr(f"if({plain}, {quick}, {mark})").alias("rows"))
-    # each line beside the next one, and the number of table lines with an id up to it
-    df = df.select(*keys, "rows", F.expr("zip_with(rows, slice(rows, 2, size(rows)), (r, n) -> struct(r.t as t, r.i as i, r.off as off, r.pipe as pipe, r.has as has, r.only as only, coalesce(startswith(n.t, '|'), false) as piped, coalesce(n.only, false) as closed))").alias("pairs"))
-    start = "coalesce(array_max(filter(sequence(0, r.i), j -> not rows[j].pipe)), -1)"
-    anchored = f"r.closed or (exists(rows, q -> q.has) and exists(slice(rows, {start} + 2, r.i - {start}), q -> q.has))"
+    plain = "not exists(rows0, r -> contains(r.t, '^'))"  # no anchors at all: no pattern is needed
+    mark = f"transform(rows0, r -> struct(r.t as t, r.i as i, r.off as off, not r.off and startswith(r.t, '|') as pipe, r.t rlike {own} as has, r.t rlike concat('^', {own}, '$') as only))"
+    quick = "transform(rows0, r -> struct(r.t as t, r.i as i, r.off as off, not r.off and startswith(r.t, '|') as pipe, false as has, false as only))"
+    # each line beside the next one
+    pairs = "zip_with(m, slice(m, 2, size(m)), (r, n) -> struct(r.t as t, r.i as i, r.off as off, r.pipe as pipe, r.has as has, r.only as only, coalesce(startswith(n.t, '|'), false) as piped, coalesce(n.only, false) as closed))"
+    start = "coalesce(array_max(filter(sequence(0, r.i), j -> not m[j].pipe)), -1)"
+    anchored = f"r.closed or (exists(m, q -> q.has) and exists(slice(m, {start} + 2, r.i - {start}), q -> q.has))"
     grant = f"case when r.only then false when r.pipe then not r.piped and not ({anchored}) else {_COUNTS} and not r.has end"
-    numbers = f"transform(flatten(transform(rows, r -> regexp_extract_all(r.t, {own}, 2))), n -> cast(n as bigint))"
-    df = df.select(*keys, F.expr(f"transform(filter(pairs, r -> {grant}), r -> struct(r.t as t, r.i as i))").alias("new"), F.expr(f"if({plain}, 0L, coalesce(array_max({numbers}), 0L))").alias("highest"))
+    numbers = f"transform(flatten(transform(m, r -> regexp_extract_all(r.t, {own}, 2))), n -> cast(n as bigint))"
+    new = f"transform(filter({pairs}, r -> {grant}), r -> struct(r.t as t, r.i as i))"
+    both = f"named_struct('new', {new}, 'highest', if(exists(m, r -> r.has), coalesce(array_max({numbers}), 0L), 0L))"
+    df = df.select(*keys, F.expr(f"transform(array(rows), rows0 -> transform(array(if({plain}, {quick}, {mark})), m -> {both})[0])[0]").alias("o"))
+    df = df.select(*keys, F.col("o.new").alias("new"), F.col("o.highest").alias("highest"))
     # one row a file: the counter is a running sum over the files of a chapter
     chapter = Window.partitionBy("slug", "chapter")
     before = F.sum(F.size("new")).over(chapter.orderBy("file").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.size("new")
