@@ -54,7 +54,7 @@ def extraction_files(spark: SparkSession, path: str) -> DataFrame:
 def ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger events and, where a line does not parse, its raw text in bad."""
     schema = "generated_at string, phase string, provider string, model string, tokens_in bigint, tokens_out bigint, usd double, page_count_proxy bigint, bad string"
-    return spark.read.schema(schema).option("columnNameOfCorruptRecord", "bad").json(path)
+    return spark.read.text(path).filter("trim(value) <> ''").select(F.from_json("value", schema, {"columnNameOfCorruptRecord": "bad"}).alias("e")).select("e.*")
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
