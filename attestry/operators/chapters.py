@@ -13,7 +13,7 @@ from ..functions import text
 
 # Titles that open no chapter.
 NO_CHAPTERS = ("acknowledgments", "acknowledgements", "about the author", "contents", "index", "notes", "figures", "tables")
-METHODS = ("glm-doc-title", "plain-text-chapter", "spaced-ocr-chapter")
+METHODS = ("doc-title", "plain-text-chapter", "spaced-ocr-chapter")
 
 
 def normal_boundaries(boundaries: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def book(spark, lines):
     ("lines", "method", "titles"),
     [
         (["## Chapter 3: Start", "x", "Chapter 4"], "plain-text-chapter", ["Start", "Chapter 4"]),
-        (["<!-- x:doc_title -->", "", "# One", "<!-- y:doc_title -->", "Two"], "glm-doc-title", ["One", "Two"]),
+        (["<!-- x:doc_title -->", "", "# One", "<!-- y:doc_title -->", "Two"], "doc-title", ["One", "Two"]),
         (["C H A P T E R 1", "ab", "Title", "CHAPTER 2"], "spaced-ocr-chapter", ["Title", "Chapter 2"]),
         (["nothing", "here"], None, []),
     ],
