@@ -24,7 +24,9 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.classify(annotated(spark, sf_dir))
+    # the rules are heavy for their bytes: a fixed number keeps adaptive execution from joining the partitions
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return blocks.classify(annotated(spark, sf_dir).repartition(parts, "block_id"))
 
 
 def line_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
