@@ -56,7 +56,7 @@ def demotion_rates(grounded: DataFrame, keys: list[str], most: float = 0.2) -> D
 def dead_references(refs: DataFrame, known: DataFrame, column: str = "block_id", source: str = "file", most: int = 5) -> DataFrame:
     """Referenced ids that no chapter holds, how often, and the first of the files that cite them."""
     dead = refs.join(known.select(column).distinct(), column, "left_anti")
-    return dead.groupBy(column).agg(F.count("*").alias("n"), F.array_sort(F.slice(F.collect_set(source), 1, most)).alias("sources"))
+    return dead.groupBy(column).agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(source)), 1, most).alias("sources"))
 
 
 def lexical_overlap(pages: DataFrame, cited: DataFrame, least: float = 0.12) -> DataFrame:

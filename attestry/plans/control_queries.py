@@ -27,9 +27,9 @@ def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as recorded gates, order lines as found ones; those with a returned first line failed."""
-    recorded = _table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 1").select(F.col("o_orderkey").alias("key"))
-    found = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.min("l_returnflag").alias("f"), F.min("l_linenumber").alias("n")).filter("key % 7 <> 1")
+    """All orders as recorded gates, all order lines as found ones; those of the least return flag R failed."""
+    recorded = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    found = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.min("l_returnflag").alias("f"))
     return control.drift(recorded, found.select("key", F.when(F.col("f") == "R", "FAIL").otherwise("PASS").alias("status")), ["key"])
 
 
@@ -112,7 +112,7 @@ _CAMEL = lambda c: f"array_to_string([upper(left(w, 1)) || w[2:] FOR w IN regexp
 ORACLES = {
     "ledger_rollup": "SELECT event_type AS phase, count(*) AS events, sum(round(value * 100))::BIGINT AS cents FROM events GROUP BY ROLLUP (event_type)",
     "latest_state": "SELECT user_id, arg_max(event_type, struct_pack(a := ts, b := event_id)) AS event_type, arg_max(value, struct_pack(a := ts, b := event_id)) AS value FROM events GROUP BY user_id",
-    "gate_drift": """WITH r AS (SELECT o_orderkey AS key FROM orders WHERE o_orderkey % 5 <> 1), f AS (SELECT l_orderkey AS key, CASE WHEN min(l_returnflag) = 'R' THEN 'FAIL' ELSE 'PASS' END AS status FROM lineitem WHERE l_orderkey % 7 <> 1 GROUP BY 1)
+    "gate_drift": """WITH r AS (SELECT o_orderkey AS key FROM orders), f AS (SELECT l_orderkey AS key, CASE WHEN min(l_returnflag) = 'R' THEN 'FAIL' ELSE 'PASS' END AS status FROM lineitem GROUP BY 1)
         SELECT * FROM (SELECT coalesce(r.key, f.key) AS key, CASE WHEN f.key IS NULL THEN 'missing gate' WHEN r.key IS NULL THEN 'unrecorded gate' WHEN status <> 'PASS' THEN 'not ready' END AS issue FROM r FULL JOIN f ON r.key = f.key) WHERE issue IS NOT NULL""",
     "next_action": f"""SELECT status, CASE WHEN status = 'LOST' THEN 'drift' WHEN starts_with(status, 'READY_FOR_') THEN lower(status[11:]) WHEN status = 'AWAITING_USER_CONFIRMATION' THEN 'human' WHEN status = 'FAILED' THEN 'blocked' WHEN status = 'IN_PROGRESS' THEN 'rerun' ELSE 'none' END AS next, count(*) AS n
         FROM (SELECT {_READY}[event_id % {len(control.READY) + 1} + 1] AS status FROM events) GROUP BY ALL""",

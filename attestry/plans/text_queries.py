@@ -79,7 +79,7 @@ def boundary_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's headline lines (ten words or fewer) as the starts of its chapters, and their ends."""
     rows = blocks.explode_lines(documents(spark, sf_dir), ["doc_id"])
     sizes = rows.groupBy("doc_id").agg(F.max("line_no").alias("line_count"))
-    starts = rows.filter((text.word_count("line") <= 10) & (text.strip("line") != "")).select(F.col("doc_id").alias("slug"), F.col("line_no").alias("chapter"), F.substring("line", 1, 20).alias("title"), (F.col("line_no") - 1).alias("line_start"), F.lit(None).cast("int").alias("line_end"))
+    starts = rows.filter((text.word_count("line") <= 10) & (text.strip("line") != "")).select(F.col("doc_id").alias("slug"), F.col("line_no").alias("chapter"), F.col("line").alias("title"), (F.col("line_no") - 1).alias("line_start"), F.lit(None).cast("int").alias("line_end"))
     out = chapters.normal_boundaries(starts, sizes.withColumnRenamed("doc_id", "slug"))
     return out.select(F.col("slug").alias("doc_id"), F.col("line_start").cast("long"), F.col("line_end").cast("long"), "title", F.coalesce("issue", F.lit("")).alias("issue"))
 
@@ -89,7 +89,7 @@ def size_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chapter_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = documents(spark, sf_dir).select("doc_id", F.col("doc_id").alias("chapter"), F.substring(F.get(text.lines("text"), F.lit(0)), 1, 80).alias("title"))
+    first = documents(spark, sf_dir).select("doc_id", F.col("doc_id").alias("chapter"), F.get(text.lines("text"), F.lit(0)).alias("title"))
     named = first.withColumn("title", F.regexp_replace("title", "[^ -~]", ""))
     return named.select("doc_id", text.clean_title("title").alias("title"), text.file_stem("title", "chapter").alias("stem"), text.unit_id("chapter", text.file_stem("title", "chapter")).alias("unit_id"), text.is_slug("title").alias("is_slug"))
 
@@ -139,7 +139,7 @@ ORACLES = {
         FROM (SELECT 'documents' AS kind, text FROM documents UNION ALL SELECT 'conversations', text FROM conversations) GROUP BY kind""",
     "section_diversity": f"WITH {_CLASSED} SELECT doc_id, string_agg(DISTINCT category, ',' ORDER BY category) AS categories, count(DISTINCT category) AS n_categories FROM classed GROUP BY doc_id",
     "evidence_share": f"WITH {_CLASSED} SELECT slug, category, blocks, round(blocks / sum(blocks) OVER (PARTITION BY slug), 4) AS share FROM (SELECT source AS slug, category, count(*) AS blocks FROM classed GROUP BY ALL)",
-    "boundary_lead": rf"""WITH {_LINES}, starts AS (SELECT doc_id, n, left(line, 20) AS title FROM bare WHERE t <> '' AND {_COUNT} <= 10), sizes AS (SELECT doc_id, max(n) AS total FROM lines GROUP BY doc_id)
+    "boundary_lead": rf"""WITH {_LINES}, starts AS (SELECT doc_id, n, line AS title FROM bare WHERE t <> '' AND {_COUNT} <= 10), sizes AS (SELECT doc_id, max(n) AS total FROM lines GROUP BY doc_id)
         SELECT doc_id, n - 1 AS line_start, coalesce(lead(n) OVER (PARTITION BY doc_id ORDER BY n) - 1, total) AS line_end, title, '' AS issue FROM starts JOIN sizes USING (doc_id)""",
     "size_split": rf"""WITH RECURSIVE {_LINES}, flags AS (SELECT doc_id, list(t = '' ORDER BY n) AS b, count(*) AS total FROM bare GROUP BY doc_id), cuts AS (
         SELECT doc_id, b, total, 1::BIGINT AS part, 0::BIGINT AS s,
@@ -148,7 +148,7 @@ ORACLES = {
         SELECT doc_id, b, total, part + 1, e,
           CASE WHEN total - e <= 6 THEN total ELSE coalesce(list_max([i FOR i IN range(greatest(e + 1, e + 6 - 3), e + 7) IF b[i]]), e + 6) END FROM cuts WHERE e < total)
         SELECT doc_id, part, s + 1 AS line_start, e AS line_end FROM cuts""",
-    "chapter_names": r"""WITH first AS (SELECT doc_id, regexp_replace(left(string_split(text, chr(10))[1], 80), '[^ -~]', '', 'g') AS line FROM documents), safe AS (
+    "chapter_names": r"""WITH first AS (SELECT doc_id, regexp_replace(string_split(text, chr(10))[1], '[^ -~]', '', 'g') AS line FROM documents), safe AS (
         SELECT doc_id, line, regexp_replace(regexp_replace(lower(trim(regexp_replace(line, '[^\w\s-]', '', 'g'))), '[-\s]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM first), named AS (
         SELECT doc_id, line, 'ch-' || printf('%02d', doc_id) || '-' || left(CASE WHEN s = '' THEN 'untitled' ELSE s END, 60) AS stem FROM safe)
         SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(line, '^#+\s*', ''), '<[^>]+>', '', 'g'), '\*\*(.*?)\*\*', '\1', 'g'), '\s+', ' ', 'g')) AS title, stem,
