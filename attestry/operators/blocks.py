@@ -151,3 +151,19 @@ def balance_findings(metrics: DataFrame, body: str = "evidence_index", thin: int
         )
     )
     return m.select("unit_id", F.explode(codes).alias("code"), "category")
+
+
+def annotation_totals(files: DataFrame) -> DataFrame:
+    """slug, file, added, preserved, block_ids and substantive_lines of each file, and a slug's sums under a null file.
+
+    ``files`` has slug, chapter, file and text; preserved are the ids of the slug that a file held before.
+    """
+    keys = ["slug", "file"]
+    added = annotate(files).groupBy(*keys).agg(F.count("*").alias("added"))
+    own = F.concat(F.lit("\\^"), F.replace("slug", F.lit("."), F.lit("[.]")), F.lit(r"-ch\d{2,}-\d{4,}(?![\p{L}\p{N}_])"))
+    lines = substantive_lines(files, keys).groupBy(*keys).agg(F.count("*").alias("lines"))
+    held = files.select(*keys, F.size(F.array_distinct(F.regexp_extract_all("text", own, F.lit(0)))).cast("long").alias("preserved"))
+    each = held.join(added, keys, "left").join(lines, keys, "left").fillna(0, ["preserved", "added", "lines"])
+    sums = each.groupBy("slug", "file").agg(*(F.sum(c).alias(n) for c, n in (("added", "added"), ("preserved", "preserved"), ("lines", "substantive_lines"))))
+    whole = sums.groupBy("slug").agg(*(F.sum(c).alias(c) for c in ("added", "preserved", "substantive_lines"))).withColumn("file", F.lit(None).cast(files.schema["file"].dataType))
+    return sums.unionByName(whole).withColumn("block_ids", F.col("added") + F.col("preserved"))

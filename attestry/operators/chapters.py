@@ -110,3 +110,38 @@ def size_split(docs: DataFrame, key: str, max_lines: int = 2000, window: int = 1
 def oversized(units: DataFrame, max_lines: int = 2000) -> DataFrame:
     """Units over the limit, and whether they are parts already, which may not be split again."""
     return units.filter(F.col("line_count") > max_lines).withColumn("nested", F.col("unit_id").contains("-part"))
+
+
+def boundary_issues(boundaries: DataFrame, sizes: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """slug, title and issue of given boundaries (slug, title, line_start from 1, line_end or null) that can't be used.
+
+    ``sizes`` has slug and line_count, ``expected`` slug and units: a clash of their number has a null title.
+    """
+    df = boundaries.join(sizes, "slug")
+    start, end, last = F.col("line_start"), F.col("line_end"), F.col("line_count")
+    issue = F.when(F.coalesce(text.strip("title"), F.lit("")) == "", "missing title").when(start.isNull() | (start < 1) | (start > last), "invalid line_start").when((end < start) | (end > last), "invalid line_end")
+    out = df.select("slug", "title", issue.alias("issue")).filter("issue is not null")
+    if expected is None:
+        return out
+    counted = expected.join(boundaries.groupBy("slug").agg(F.count("*").alias("n")), "slug", "left").filter("units <> coalesce(n, 0)")
+    return out.unionByName(counted.select("slug", F.lit(None).cast("string").alias("title"), F.lit("unit count differs").alias("issue")))
+
+
+def manifest_issues(manifest: DataFrame, files: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """slug, file and issue where a manifest (slug, file), the files there are and their units disagree.
+
+    ``files`` has slug and file, ``expected`` slug and units; issues of numbers have a null file.
+    """
+    listed, there = manifest.select("slug", "file"), files.select("slug", "file").distinct()
+    nameless = listed.filter("coalesce(file, '') = ''").select("slug", "file", F.lit("entry without file").alias("issue"))
+    absent = listed.filter("file <> ''").join(there, ["slug", "file"], "left_anti").select("slug", "file", F.lit("file missing").alias("issue"))
+    units = discover_units(there)
+    extra = units.select("slug", "file").join(listed, ["slug", "file"], "left_anti").select("slug", "file", F.lit("unit not listed").alias("issue"))
+    number = lambda df, name: df.groupBy("slug").agg(F.count("*").alias(name))
+    sums = number(listed, "entries").join(number(units, "found"), "slug", "full_outer").fillna(0, ["entries", "found"])
+    wanted = F.lit(None).cast("long")
+    if expected is not None:
+        sums, wanted = sums.join(expected.select("slug", "units"), "slug", "full_outer").fillna(0, ["entries", "found"]), F.col("units")
+    issues = F.array_compact(F.array(F.when(F.col("entries") == 0, "no chapters"), F.when(F.col("found") == 0, "no units"), F.when(F.col("entries") != F.col("found"), "entries and units differ"), F.when(F.col("entries") != wanted, "expected units differ")))
+    counts = sums.select("slug", F.lit(None).cast("string").alias("file"), F.explode(issues).alias("issue"))
+    return nameless.unionByName(absent).unionByName(extra).unionByName(counts)

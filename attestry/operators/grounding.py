@@ -91,3 +91,15 @@ def citation_issues(citations: DataFrame, index: DataFrame, slug: str) -> DataFr
     wrong = citations.filter(~own).select("unit_id", "block_id", F.lit("wrong slug").alias("issue"))
     outside = citations.filter(own).join(index, ["unit_id", "block_id"], "left_anti").select("unit_id", "block_id", F.lit("outside unit source index"))
     return wrong.union(outside).distinct()
+
+
+def anchored_texts(files: DataFrame) -> DataFrame:
+    """block_id, file and text of the first anchor of each line, marks taken off; the last line of the last file counts.
+
+    ``files`` has file and text.
+    """
+    rows = files.select("file", F.posexplode(text.lines("text")).alias("p", "line")).withColumn("block_id", F.regexp_extract("line", text.BLOCK_ID, 1)).filter("block_id <> ''")
+    bare = text.strip(F.regexp_replace("line", r"\s*\^[\w-]+-ch\d{2}-\d+", ""))
+    clean = text.strip(F.regexp_replace(bare, r"^#+\s*", ""))
+    last = rows.groupBy("block_id").agg(F.max(F.struct("file", "p", clean.alias("text"))).alias("r"))
+    return last.select("block_id", "r.file", "r.text")

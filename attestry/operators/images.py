@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,6 +10,11 @@ from ..functions import text
 
 IMAGE = r"!\[[^\]]*\]\(([^)]+)\)"
 MARK = r"(VISION_[A-Z_]+|MISSING_IMAGE)"
+# The labels of image regions, and the fields that may hold their address, first ones first.
+LABELS = ("image", "chart", "seal", "figure")
+SOURCE_FIELDS = ("image_path", "source_url", "file_url", "url", "content")
+#: An address up to what may follow it in prose, Markdown or JSON.
+URL = r"""(?i)(https?://[^\s"'<>)\\]*)"""
 FIELDS = ("status", "description", "content", "confidence", "source", "type")
 
 
@@ -76,3 +81,59 @@ def vision_gate(marks: DataFrame, sections: DataFrame, fields: tuple[str, ...] =
     for f in fields:
         filled &= F.coalesce(F.col("fields")[f] != "", F.lit(False))
     return df.select("id", F.coalesce(filled & F.col("fields").isNotNull(), F.lit(False)).alias("resolved"))
+
+
+def urls_in(c: Column | str) -> Column:
+    """The image addresses in a string, in their order."""
+    found = F.regexp_extract_all(text.col(c), F.lit(URL), 1)
+    return F.filter(F.transform(found, lambda u: F.rtrim(u, F.lit("'\".,;)"))), text.is_image_url)
+
+
+def json_strings(c: Column | str) -> Column:
+    """The quoted string values of a JSON text at any depth, keys left out; empty where it does not parse."""
+    whole = F.to_json(F.try_parse_json(text.col(c)))
+    tokens = F.regexp_extract_all(whole, F.lit(r'("(?:[^"\\]++|\\.)*+":?)'), 1)
+    return F.coalesce(F.filter(tokens, lambda t: ~t.endswith(":")), F.array().cast("array<string>"))
+
+
+def json_urls(c: Column | str) -> Column:
+    """The distinct image addresses in a JSON text's values."""
+    return F.array_distinct(F.flatten(F.transform(json_strings(c), urls_in)))
+
+
+def json_has_images(c: Column | str) -> Column:
+    """Whether any value of a JSON text names an image folder or an image address."""
+    named = lambda v: F.lower(v).contains("imgs/") | F.lower(v).contains("images/")
+    return F.exists(json_strings(c), lambda v: named(v) | (F.size(urls_in(v)) > 0))
+
+
+def region_source() -> Column:
+    """A region's image address: the first that one of its five fields is or holds; null without any."""
+    first = lambda k: F.when(text.is_image_url(k), F.col(k)).otherwise(F.get(urls_in(k), F.lit(0)))
+    return F.coalesce(*map(first, SOURCE_FIELDS))
+
+
+def is_image_region() -> Column:
+    label = lambda k: F.coalesce(F.lower(k).isin(*LABELS), F.lit(False))
+    return label("label") | label("native_label") | region_source().isNotNull()
+
+
+def local_regions(regions: DataFrame, assets: DataFrame, keys: list[str]) -> DataFrame:
+    """``regions`` with local names for image addresses: content, image_path and source_url.
+
+    ``keys`` name one region; ``assets`` has url (unique) and local.  An image region's content
+    that is nothing but its address becomes empty; other contents get each known address replaced.
+    """
+    df = regions.withColumn("is_image", is_image_region()).withColumn("source", region_source())
+    uses = df.select(*keys, F.explode(F.array_distinct(F.concat(urls_in("content"), F.array_compact(F.array("source"))))).alias("url"))
+    known = uses.join(assets.select("url", "local"), "url").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("url", "local"))).alias("names"))
+    df = df.join(known, keys, "left")
+    # longer addresses first, so that none is cut by one that it begins with
+    ordered = F.reverse(F.array_sort(F.transform(F.coalesce(F.map_keys("names"), F.array().cast("array<string>")), lambda u: F.struct(F.length(u).alias("n"), u.alias("u")))))
+    written = F.aggregate(ordered, F.col("content"), lambda done, u: F.replace(done, u["u"], F.element_at("names", u["u"])))
+    alone = F.coalesce(F.col("is_image") & (text.strip("content") == F.col("source")), F.lit(False))
+    out = df.withColumn("content", F.when(alone, "").otherwise(written))
+    led = F.col("is_image") & F.col("source").isNotNull()
+    path = F.coalesce(F.element_at("names", F.col("source")), F.col("image_path"), F.col("source"))
+    out = out.withColumn("image_path", F.when(led, path).otherwise(F.col("image_path")))
+    return out.withColumn("source_url", F.when(led, F.coalesce("source_url", "source")).otherwise(F.col("source_url"))).drop("names", "source")

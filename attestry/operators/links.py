@@ -153,3 +153,16 @@ def index_gaps(entries: DataFrame, pages: DataFrame) -> DataFrame:
 def hrefs(pages: DataFrame) -> DataFrame:
     """page_id and href of each anchor of raw pages (page_id, html)."""
     return pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href=[\"']([^\"'#]*)"), 1)).alias("href"))
+
+
+def repair_totals(files: DataFrame, repaired: DataFrame) -> DataFrame:
+    """One row: files, files_changed, canonical, rewritten and unresolved over what ``repair`` returned for ``files``."""
+    both = files.select("file", F.col("text").alias("before")).join(repaired, "file")
+    sums = (F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("canonical", "rewritten", "unresolved"))
+    return both.agg(F.count("*").alias("files"), F.count_if(F.coalesce("before", F.lit("")) != F.col("text")).alias("files_changed"), *sums)
+
+
+def unresolved_examples(repaired: DataFrame, most: int = 10) -> DataFrame:
+    """block_id and n of the ids that repair could not resolve, the most frequent ones (ties by id)."""
+    ids = repaired.select(F.explode(F.regexp_extract_all("text", F.lit(r"`\^([A-Za-z0-9-]+)` \*\(unresolved source block\)\*"), 1)).alias("block_id"))
+    return ids.groupBy("block_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "block_id").limit(most)

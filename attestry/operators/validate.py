@@ -127,3 +127,34 @@ def markdown_issues(outputs: DataFrame, lanes: DataFrame) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     more = F.array_compact(F.array(F.when(body == "", "empty markdown output"), F.when(text.placeholder(body), "placeholder"), F.when(~body.rlike(text.BLOCK_ID), "no block ids cited")))
     return df.select("unit_id", "lane", F.explode(F.concat(F.coalesce(lost, F.array().cast("array<string>")), extra, more, text.hygiene(body))).alias("issue"))
+
+
+def schema_batch(expected: DataFrame, found: DataFrame, results: DataFrame) -> DataFrame:
+    """One row a slug: expected, total, valid, invalid, unexpected, missing, ungrounded and status.
+
+    ``expected`` and ``found`` have slug and file, ``results`` also valid, extracted and demoted.
+    Files whose names begin with an underscore are reports, not extractions.
+    """
+    e = expected.select("slug", "file").distinct().withColumn("e", F.lit(1))
+    f = found.filter(~F.element_at(F.split("file", "/"), -1).startswith("_")).select("slug", "file").distinct().withColumn("f", F.lit(1))
+    r = results.select("slug", "file", "valid", "extracted", "demoted", F.lit(1).alias("r"))
+    both = e.join(f, ["slug", "file"], "full_outer").join(r, ["slug", "file"], "left")
+    declared = F.col("e").isNotNull()
+    sums = both.groupBy("slug").agg(
+        F.count("e").alias("expected"),
+        F.count_if(declared & F.col("r").isNotNull()).alias("total"),
+        F.count_if(declared & F.coalesce("valid", F.lit(False))).alias("valid"),
+        F.count_if(~declared).alias("unexpected"),
+        F.count_if(F.col("f").isNull()).alias("missing"),
+        F.count_if(declared & (F.col("extracted") > 0) & (F.col("demoted") / F.nullif("extracted", F.lit(0)) > 0.2)).alias("ungrounded"),
+    )
+    good = (F.col("valid") == F.col("expected")) & (F.col("unexpected") == 0) & (F.col("missing") == 0)
+    return sums.withColumn("invalid", F.col("expected") - F.col("valid")).withColumn("status", F.when(good, "PASS").otherwise("FAIL"))
+
+
+def precondition_issues(reports: DataFrame, writer: str) -> DataFrame:
+    """slug and issue where merging may not start; ``reports`` has slug, marker (text), status, valid and total."""
+    own = F.contains("marker", F.lit(f"validated_by: {writer}"))
+    full = (F.col("status") == "PASS") & (F.col("valid") == F.col("total")) & (F.col("total") > 0)
+    issue = F.when(F.col("marker").isNull(), "marker missing").when(~own, "marker of another writer").when(~F.coalesce(full, F.lit(False)), "report is not a non-empty PASS")
+    return reports.select("slug", issue.alias("issue")).filter("issue is not null")

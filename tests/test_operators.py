@@ -287,3 +287,80 @@ def test_sources_and_sinks(spark, tmp_path):
         sinks.write_table(events, str(tmp_path / "t"))
     links_ = links.index_gaps(spark.createDataFrame([("a",)], "stem string"), spark.createDataFrame([("b",)], "stem string"))
     assert {tuple(r) for r in links_.collect()} == {("b", "missing from index"), ("a", "stale entry")}
+
+
+def test_image_addresses_in_layouts(spark):
+    url = "https://x.org/a.png"
+    raw = '{"%s": 1, "a": ["see %s, and \\"%s\\"", {"b": "https://x.org/page"}], "c": "imgs/q"}' % (url + "k.png", url, "HTTPS://x.org/b.JPG")
+    df = spark.createDataFrame([(1, raw), (2, '{"images/": "no"}'), (3, "broken"), (4, None)], "i int, j string").orderBy("i")
+    assert [r[0] for r in df.select(images.json_urls("j")).collect()] == [[url, "HTTPS://x.org/b.JPG"], [], [], []]
+    assert [bool(r[0]) for r in df.select(images.json_has_images("j")).collect()] == [True, False, False, False]
+    kinds = "k int, label string, native_label string, content string, image_path string, source_url string, file_url string, url string"
+    rows = [
+        (1, "text", None, f" {url} ", None, None, None, None),
+        (2, "Figure", None, "caption", "", None, None, "https://x.org/b.png"),
+        (3, "text", "text", f"![]({url}) and ({url})", None, None, None, None),
+        (4, None, None, "plain", None, None, None, None),
+    ]
+    assets = spark.createDataFrame([(url, "imgs/1.png"), (f"{url}x", "no")], "url string, local string")
+    out = {r.k: r for r in images.local_regions(spark.createDataFrame(rows, kinds), assets, ["k"]).collect()}
+    assert (out[1].content, out[1].image_path, out[1].source_url, out[1].is_image) == ("", "imgs/1.png", url, True)
+    assert (out[2].content, out[2].image_path, out[2].source_url) == ("caption", "", "https://x.org/b.png")
+    assert out[3].content == "![](imgs/1.png) and (imgs/1.png)"
+    assert (out[4].content, out[4].image_path, out[4].is_image) == ("plain", None, False)
+
+
+def test_usage_has_fallbacks(spark):
+    df = spark.createDataFrame([("a", '{"usage": {"input_tokens": 3, "completion_tokens": 4}, "model": "m"}'), ("b", '{"result": {"usage": {"prompt_tokens": 1, "output_tokens": 2}}}')], "slug string, json string")
+    assert [tuple(r)[-3:] for r in ocr.result_text(df, "d").orderBy("slug").collect()] == [(3, 4, "m"), (1, 2, "d")]
+
+
+def test_files_beside_a_result(spark):
+    results = spark.createDataFrame([("s", "/r/a/x.json"), ("t", "/q/b/y.json"), ("u", "/none/z.json")], "slug string, path string")
+    there = [("/r/a/s.md", 5), ("/r/a/x.md", 0), ("/r/book.md", 5), ("/r/images/1.png", 1), ("/q/b/y.md", 1), ("/q/b/imgs/1.png", 1), ("/q/imgs/1.png", 1)]
+    out = ocr.beside(results, spark.createDataFrame(there, "path string, length long"))
+    assert sorted(map(tuple, out.select("slug", "markdown", "images").collect())) == [("s", "/r/a/s.md", "/r/images"), ("t", "/q/b/y.md", "/q/b/imgs"), ("u", None, None)]
+
+
+def test_schema_batch_and_its_precondition(spark):
+    expected = spark.createDataFrame([("s", "1.json"), ("s", "2.json"), ("t", "1.json"), ("v", "1.json")], "slug string, file string")
+    found = spark.createDataFrame([("s", "1.json"), ("s", "3.json"), ("s", "_report.json"), ("t", "1.json"), ("v", "1.json")], "slug string, file string")
+    results = spark.createDataFrame([("s", "1.json", True, 0, 0), ("t", "1.json", True, 10, 3), ("v", "1.json", False, 10, 2)], "slug string, file string, valid boolean, extracted long, demoted long")
+    out = {r.slug: r for r in validate.schema_batch(expected, found, results).collect()}
+    row = lambda s: tuple(out[s][c] for c in ("expected", "total", "valid", "invalid", "unexpected", "missing", "ungrounded", "status"))
+    assert row("s") == (2, 1, 1, 1, 1, 1, 0, "FAIL") and row("t") == (1, 1, 1, 0, 0, 0, 1, "PASS") and row("v") == (1, 1, 0, 1, 0, 0, 0, "FAIL")
+    marks = [("a", "validated_by: w", "PASS", 1, 1), ("b", None, "PASS", 1, 1), ("c", "by hand", "PASS", 1, 1), ("d", "validated_by: w", "PASS", 0, 0), ("e", "validated_by: w", None, 1, 1)]
+    df = spark.createDataFrame(marks, "slug string, marker string, status string, valid long, total long")
+    assert sorted(r.slug for r in validate.precondition_issues(df, "w").collect()) == ["b", "c", "d", "e"]
+
+
+def test_given_boundaries_and_manifests(spark):
+    rows = [("s", " ", 1, None), ("s", "b", 0, None), ("s", "c", 5, 4), ("s", "d", 5, 9), ("s", "e", 2, 8), ("s", "f", None, None)]
+    bounds = spark.createDataFrame(rows, "slug string, title string, line_start int, line_end int")
+    sizes = spark.createDataFrame([("s", 8)], "slug string, line_count long")
+    out = chapters.boundary_issues(bounds, sizes, spark.createDataFrame([("s", 5)], "slug string, units long"))
+    assert sorted((r.title or "", r.issue) for r in out.collect()) == [("", "unit count differs"), (" ", "missing title"), ("b", "invalid line_start"), ("c", "invalid line_end"), ("d", "invalid line_end"), ("f", "invalid line_start")]
+    manifest = spark.createDataFrame([("s", "ch-01-a.md"), ("s", "ch-02-b.md"), ("s", None), ("g", "ch-01-a.md")], "slug string, file string")
+    there = spark.createDataFrame([("s", "ch-01-a.md"), ("s", "ch-03-c.md"), ("g", "ch-01-a.md")], "slug string, file string")
+    found = chapters.manifest_issues(manifest, there, spark.createDataFrame([("s", 4), ("g", 1)], "slug string, units long"))
+    assert sorted((r.slug, r.file or "", r.issue) for r in found.collect()) == [
+        ("s", "", "entries and units differ"), ("s", "", "entry without file"), ("s", "", "expected units differ"), ("s", "ch-02-b.md", "file missing"), ("s", "ch-03-c.md", "unit not listed"),
+    ]
+
+
+def test_anchored_texts_keep_the_last(spark):
+    df = spark.createDataFrame([("a.md", "# Head ^s-ch01-0001\nplain\nold ^s-ch01-0002 ^s-ch01-0003"), ("b.md", "new ^s-ch01-0002"), ("c.md", None)], "file string, text string")
+    assert sorted(map(tuple, grounding.anchored_texts(df).collect())) == [("s-ch01-0001", "a.md", "Head"), ("s-ch01-0002", "b.md", "new")]
+
+
+def test_annotation_totals(spark):
+    df = spark.createDataFrame([("s", 1, "a.md", "# H\none\ntwo ^s-ch01-0001\n"), ("s", 1, "b.md", "three"), ("s", 2, "c.md", None)], "slug string, chapter int, file string, text string")
+    out = {r.file: (r.added, r.preserved, r.block_ids, r.substantive_lines) for r in blocks.annotation_totals(df).collect()}
+    assert out == {"a.md": (1, 1, 2, 2), "b.md": (1, 0, 1, 1), "c.md": (0, 0, 0, 0), None: (2, 1, 3, 3)}
+
+
+def test_repair_totals(spark):
+    df = spark.createDataFrame([("p.md", "x [[q#^s-ch01-0001]] y [[q#^s-ch01-0009]]"), ("r.md", "none")], "file string, text string")
+    fixed = links.repair(df, spark.createDataFrame([("s-ch01-0001", "z")], "block_id string, ref string")).cache()
+    assert tuple(links.repair_totals(df, fixed).first()) == (2, 1, 0, 1, 1)
+    assert [tuple(r) for r in links.unresolved_examples(fixed).collect()] == [("s-ch01-0009", 1)]
