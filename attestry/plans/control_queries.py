@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import control, dispatch
+from ..operators import chapters, control, dispatch, validate
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,9 +100,27 @@ def asset_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", text.asset_name("url").alias("asset"), text.allowed_asset("url", ("example.com",)).alias("allowed"))
 
 
+def schema_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as declared extraction files, labels as those there are; good quality is valid, a toxic one lost its only quote."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".json")).alias("file")
+    found = labels.join(docs.select("doc_id", F.col("source").alias("slug")), "doc_id")
+    results = found.select("slug", name, (F.col("quality") == 1).alias("valid"), F.lit(1).alias("extracted"), F.col("toxic").alias("demoted"))
+    return validate.schema_batch(docs.select(F.col("source").alias("slug"), name), found.select("slug", name), results)
+
+
+def manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of each source as manifest entries, labelled ones as the files there are; numbers must agree."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    name = F.concat(F.lit("ch-"), F.col("doc_id").cast("string"), F.lit("-x.md")).alias("file")
+    there = labels.join(docs.select("doc_id", F.col("source").alias("slug")), "doc_id").select("slug", name)
+    found = chapters.manifest_issues(docs.select(F.col("source").alias("slug"), name), there)
+    return found.groupBy("slug", "issue").agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (ledger_rollup, latest_state, gate_drift, next_action, rerun_gates, tree_fingerprint, skip_unchanged, json_props, marker_align, unit_lane_coverage, task_ids, lane_order, task_batches, audit_summary, asset_names)
+    for f in (schema_batch, manifest_check, ledger_rollup, latest_state, gate_drift, next_action, rerun_gates, tree_fingerprint, skip_unchanged, json_props, marker_align, unit_lane_coverage, task_ids, lane_order, task_batches, audit_summary, asset_names)
 }
 
 _TREES = """trees AS (SELECT source, count(*) AS files, sha256(string_agg(doc_id::VARCHAR || chr(0) || sha256(coalesce(text, '')) || chr(10), '' ORDER BY doc_id::VARCHAR)) AS fingerprint FROM documents GROUP BY source)"""
@@ -110,6 +128,11 @@ _READY = "[" + ", ".join(f"'{s}'" for s in (*control.READY, "LOST")) + "]"
 _CAMEL = lambda c: f"array_to_string([upper(left(w, 1)) || w[2:] FOR w IN regexp_split_to_array({c}, '[^A-Za-z0-9]+') IF w <> ''], '')"
 
 ORACLES = {
+    "schema_batch": """WITH d AS (SELECT DISTINCT source AS slug, doc_id FROM documents), b AS (SELECT slug, doc_id, quality, toxic FROM d LEFT JOIN labels USING (doc_id)), n AS (
+          SELECT slug, count(*) AS expected, count(quality) AS total, count(*) FILTER (quality = 1) AS valid, 0::BIGINT AS unexpected, count(*) FILTER (quality IS NULL) AS missing, count(*) FILTER (toxic > 0.2) AS ungrounded FROM b GROUP BY slug)
+        SELECT *, expected - valid AS invalid, CASE WHEN valid = expected AND missing = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM n""",
+    "manifest_check": """WITH d AS (SELECT source AS slug, count(*) AS n, count(DISTINCT l.doc_id) AS m FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1)
+        SELECT slug, 'file missing' AS issue, n - m AS n FROM d WHERE n > m UNION ALL SELECT slug, 'entries and units differ', 1 FROM d WHERE n <> m UNION ALL SELECT slug, 'no units', 1 FROM d WHERE m = 0""",
     "ledger_rollup": "SELECT event_type AS phase, count(*) AS events, sum(round(value * 100))::BIGINT AS cents FROM events GROUP BY ROLLUP (event_type)",
     "latest_state": "SELECT user_id, arg_max(event_type, struct_pack(a := ts, b := event_id)) AS event_type, arg_max(value, struct_pack(a := ts, b := event_id)) AS value FROM events GROUP BY user_id",
     "gate_drift": """WITH r AS (SELECT o_orderkey AS key FROM orders), f AS (SELECT l_orderkey AS key, CASE WHEN min(l_returnflag) = 'R' THEN 'FAIL' ELSE 'PASS' END AS status FROM lineitem GROUP BY 1)

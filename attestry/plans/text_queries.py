@@ -94,7 +94,12 @@ def chapter_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", text.clean_title("title").alias("title"), text.file_stem("title", "chapter").alias("stem"), text.unit_id("chapter", text.file_stem("title", "chapter")).alias("unit_id"), text.is_slug("title").alias("is_slug"))
 
 
-QUERIES = {f.__name__: f for f in (line_explode, substantive_lines, block_annotate, block_classify, category_pivot, block_id_multiset_check, duplicate_blocks, slop_scan, section_diversity, evidence_share, boundary_lead, size_split, chapter_names)}
+def annotation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = blocks.annotation_totals(files(spark, sf_dir))
+    return found.select("slug", F.coalesce(F.col("file").cast("string"), F.lit("")).alias("file"), "added", "preserved", "block_ids", "substantive_lines")
+
+
+QUERIES = {f.__name__: f for f in (annotation_totals, line_explode, substantive_lines, block_annotate, block_classify, category_pivot, block_id_multiset_check, duplicate_blocks, slop_scan, section_diversity, evidence_share, boundary_lead, size_split, chapter_names)}
 
 _LINES = r"""
 raw AS (
@@ -127,6 +132,11 @@ _PIVOT = ", ".join(f"count(*) FILTER (category = '{c}') AS {c.split(' ')[0].lowe
 _SLOP = rules.quoted(rules.PLACEHOLDERS.replace("W", f"[^{rules.WORD}]"))
 
 ORACLES = {
+    "annotation_totals": rf"""WITH {_BLOCKS}, a AS (SELECT doc_id, count(*) AS added FROM blocks GROUP BY 1), l AS (
+          SELECT doc_id, count(*) AS n FROM masked WHERE NOT off AND t <> '' AND NOT starts_with(t, '#') AND NOT starts_with(t, '```') AND NOT starts_with(t, '<!--') GROUP BY 1),
+        f AS (SELECT source, doc_id, coalesce(added, 0) AS added, coalesce(n, 0) AS n FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN l USING (doc_id))
+        SELECT source AS slug, coalesce(doc_id::VARCHAR, '') AS file, sum(added)::BIGINT AS added, 0::BIGINT AS preserved, sum(added)::BIGINT AS block_ids, sum(n)::BIGINT AS substantive_lines FROM f
+        GROUP BY GROUPING SETS ((source, doc_id), (source))""",
     "line_explode": f"WITH {_LINES} SELECT doc_id, n AS line_no, line FROM lines",
     "substantive_lines": rf"""WITH {_BLOCKS} SELECT doc_id, count(*) AS lines, sum(n)::BIGINT AS places FROM masked
         WHERE NOT off AND t <> '' AND NOT starts_with(t, '#') AND NOT starts_with(t, '```') AND NOT starts_with(t, '<!--') GROUP BY doc_id""",
