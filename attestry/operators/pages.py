@@ -114,3 +114,34 @@ def presentation_issues(presentations: DataFrame, required: list[str]) -> DataFr
         F.array_compact(F.array(F.when(F.size(heads) != F.size(F.array_distinct(heads)), "duplicate section"), F.when(F.size(F.regexp_extract_all(t, F.lit(EMBED), 1)) < MIN_EMBEDS, "too few embeds"), F.when(text.quote_lines(words) < MIN_QUOTES, "too few quotes"), F.when(text.placeholder(t), "placeholder"))),
     )
     return presentations.select("unit_id", F.explode(outer).alias("issue")).union(inner)
+
+
+def redraft(drafts: DataFrame, defaults: list[str]) -> DataFrame:
+    """page, title and markdown of drafts (page, text, and any front matter columns), put into the page's form.
+
+    New front matter, then the predicates of the draft (or the default ones), the body from its first
+    non-blank line, and the relations.  The title is that of the draft's front matter, else the page's name.
+    """
+    df = drafts.withColumn("__rows", F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x"), text.strip(x).alias("t"))))
+    fences = F.transform(F.filter("__rows", lambda r: r["t"] == "---"), lambda r: r["i"])
+    df = df.withColumn("__one", F.coalesce(F.get(fences, F.lit(0)), F.size("__rows"))).withColumn("__two", F.coalesce(F.get(fences, F.lit(1)), F.size("__rows")))
+    front = F.filter("__rows", lambda r: (r["i"] > F.col("__one")) & (r["i"] < F.col("__two")))
+    rest = F.filter("__rows", lambda r: (r["i"] < F.col("__one")) | (r["i"] > F.col("__two")))
+    df = df.withColumn("__front", front).withColumn("__rest", rest)
+    given = F.try_element_at(F.filter("__front", lambda r: r["t"].startswith("title:")), F.lit(-1))["t"]
+    given = F.btrim(F.btrim(text.strip(F.regexp_replace(given, "^title:", "")), F.lit('"')), F.lit("'"))
+    df = df.withColumn("title", F.coalesce(F.nullif(given, F.lit("")), F.initcap(F.replace("page", F.lit("-"), F.lit(" ")))))
+    headed = F.transform(F.filter("__rest", lambda r: r["t"].startswith("## Relations")), lambda r: r["i"])
+    df = df.withColumn("__from", F.coalesce(F.get(headed, F.lit(0)), F.size("__rows")))
+    is_predicate = lambda r: r["t"].rlike(r"^- (conforms_to|has_status|in_domain|in_precinct)::")
+    related = lambda r: ~is_predicate(r) & (r["i"] >= F.col("__from")) & (r["t"].startswith("## Relations") | ~r["t"].startswith("#"))
+    shown = lambda keep: F.transform(F.filter("__rest", keep), lambda r: r["x"])
+    body = F.filter("__rest", lambda r: ~is_predicate(r) & ~related(r))
+    start = F.coalesce(F.get(F.transform(F.filter(body, lambda r: r["t"] != ""), lambda r: r["i"]), F.lit(0)), F.size("__rows"))
+    df = df.withColumn("__preds", shown(is_predicate)).withColumn("__relations", shown(related)).withColumn("__start", start)
+    none = F.array().cast("array<string>")
+    df = df.withColumn("__preds", F.when(F.size("__preds") > 0, F.col("__preds")).otherwise(F.array(*map(F.lit, defaults)) if defaults else none))
+    head = F.when(F.size("__preds") > 0, F.array_append("__preds", F.lit("\n"))).otherwise(none)
+    tail = F.when(F.size("__relations") > 0, F.concat(F.array(F.lit("\n")), "__relations")).otherwise(F.array(F.lit("\n## Relations\n\n")))
+    kept = shown(lambda r: ~is_predicate(r) & ~related(r) & (r["i"] >= F.col("__start")))
+    return df.select("page", "title", F.array_join(F.concat(F.array(front_matter(df)), head, kept, tail), "\n").alias("markdown"))

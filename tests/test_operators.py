@@ -364,3 +364,14 @@ def test_repair_totals(spark):
     fixed = links.repair(df, spark.createDataFrame([("s-ch01-0001", "z")], "block_id string, ref string")).cache()
     assert tuple(links.repair_totals(df, fixed).first()) == (2, 1, 0, 1, 1)
     assert [tuple(r) for r in links.unresolved_examples(fixed).collect()] == [("s-ch01-0009", 1)]
+
+
+def test_drafts_take_the_page_form(spark):
+    first = "---\nother: 1\ntitle: 'A \"b\"'\n---\n\n- has_status::[[x]]\n# A\n\nbody\n---\n## Relations\n- r::[[y]]\nnote\n# After\n- more"
+    df = spark.createDataFrame([("one", first), ("two-words", "text"), ("open", "---\ntitle: T\nlost"), ("none", None)], "page string, text string")
+    out = {r.page: r for r in pages.redraft(df, ["- in_domain::[[d]]"]).collect()}
+    front = lambda p: out[p].markdown.split("---\n", 2)[2]
+    assert out["one"].title == 'A "b"' and out["two-words"].title == "Two Words" and out["open"].title == "T" and out["none"].title == "None"
+    assert front("one") == "\n- has_status::[[x]]\n\n\n# A\n\nbody\n---\n# After\n\n\n## Relations\n- r::[[y]]\nnote\n- more"
+    assert front("two-words") == "\n- in_domain::[[d]]\n\n\ntext\n\n## Relations\n\n"
+    assert front("open") == front("none") == "\n- in_domain::[[d]]\n\n\n\n## Relations\n\n"
