@@ -1,12 +1,12 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Texts are case-folded and each run of characters that are no letters becomes
-one space.  All 4-grams of all training rows are counted by language.  Each
-4-gram is hashed to ``BITS`` bits; those with the same hash count as one, under
-the smallest of them, which bounds the model whatever the corpus holds.  Lower
-orders use continuation counts.  The model keeps, by sorted hash, the
-interpolated log-probability of each 4-gram in every language, and the lower
-orders for 4-grams it has not seen.  A text gets the language of the lowest
+one space.  All 4-grams of all training rows are counted by language, each
+under its own 64-bit key.  Lower orders use continuation counts.  The model
+keeps, by sorted key, the interpolated log-probability of each 4-gram in every
+language, and the lower orders for 4-grams it has not seen.  4-grams that
+exceed ``PART_BYTES`` are fitted and scanned in several ranges of keys, whose
+sums are added for each text.  A text gets the language of the lowest
 cross-entropy per character.  The score is the share of the best language when
 all are weighed by their likelihoods, tempered by length.  ``identify`` also
 flags as rejected what lies far above the cross-entropies of the rows that
@@ -30,14 +30,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .common import materialize
 
+#: Bits of the table of places by hash at least; keys that share a hash are searched for.
 BITS = 20
 #: Characters handled at once.
 BLOCK = 1 << 19
-#: Languages whose counts a task holds at once.
-HELD = 8
+#: Different 4-grams that a task counts before it passes them on.
+HELD = 1 << 20
+#: Bytes of the 4-grams' keys and log-probabilities that are held at once.
+PART_BYTES = 1 << 25
 REJECT = 4.0
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -87,61 +91,106 @@ def buckets(g: np.ndarray, bits: int = BITS) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def counts(docs: DataFrame, bits: int = BITS) -> pd.DataFrame:
-    """lang, bucket, gram and times over all rows of ``docs`` (text, lang): at most 2^bits rows a language."""
+def _signed(g: np.ndarray) -> np.ndarray:
+    """The keys as signed longs of the same order; its own inverse but for the type."""
+    return (g ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _unsigned(g: np.ndarray) -> np.ndarray:
+    return g.view(np.uint64) ^ np.uint64(1 << 63)
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """lang, gram (signed key) and times: all 4-grams of all rows of ``docs`` (text, lang)."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        none = np.uint64((1 << 64) - 1)
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            if len(parts) == 1:
+                return parts[0]
+            keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            return keys, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, (times, least) in held.items():
-                found = np.flatnonzero(times)
-                for at in range(0, len(found), 1 << 15):
-                    k = found[at : at + (1 << 15)]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k)), pa.array(k), pa.array((least[k] ^ np.uint64(1 << 63)).view(np.int64)), pa.array(times[k])], ["lang", "bucket", "gram", "times"])
+            for lang, parts in held.items():
+                keys, times = summed(parts)
+                for at in range(0, len(keys), 1 << 15):
+                    k, n = keys[at : at + (1 << 15)], times[at : at + (1 << 15)]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(_signed(k)), pa.array(n)], ["lang", "gram", "times"])
             held.clear()
 
-        def take(lang: str, texts: list[np.ndarray]) -> None:
+        def take(lang: str, texts: list[np.ndarray]) -> int:
             g = np.concatenate(texts)
-            times, least = held[lang]
+            made = 0
             for at in range(0, len(g), BLOCK):
-                part = g[at : at + BLOCK]
-                k = buckets(part, bits)
-                times += np.bincount(k, minlength=1 << bits)
-                lower = part < least[k]
-                if lower.any():
-                    np.minimum.at(least, k[lower], part[lower])
+                k, n = np.unique(g[at : at + BLOCK], return_counts=True)
+                held.setdefault(lang, []).append((k, n))
+                made += len(k)
+            return made
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                held[lang] = [summed(parts)]
+            left = sum(len(k) for ((k, _),) in held.values())
+            if left <= HELD // 2:
+                return left
+            yield from flush()
+            return 0
 
         for b in it:
             by: dict[str, list[np.ndarray]] = {}
+            waiting: dict[str, int] = {}
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                by.setdefault(lang, []).append(grams(folded(text)))
-                if sum(map(len, by[lang][-64:])) > BLOCK or len(by[lang]) >= 2048:
-                    held.setdefault(lang, (np.zeros(1 << bits, np.int64), np.full(1 << bits, none)))
-                    take(lang, by.pop(lang))
+                g = grams(folded(text))
+                by.setdefault(lang, []).append(g)
+                waiting[lang] = waiting.get(lang, 0) + len(g)
+                if waiting[lang] > BLOCK:
+                    size += take(lang, by.pop(lang))
+                    waiting[lang] = 0
+                    if size > HELD:
+                        size = yield from settle()
             for lang, texts in by.items():
-                held.setdefault(lang, (np.zeros(1 << bits, np.int64), np.full(1 << bits, none)))
-                take(lang, texts)
-                if len(held) > HELD:
-                    yield from flush()
+                size += take(lang, texts)
+                if size > HELD:
+                    size = yield from settle()
         yield from flush()
 
-    partial = docs.select("text", "lang").mapInArrow(batches, "lang string, bucket long, gram long, times long")
-    return partial.groupBy("lang", "bucket").agg(F.min("gram").alias("gram"), F.sum("times").alias("times")).toPandas()
+    partial = docs.select("text", "lang").mapInArrow(batches, "lang string, gram long, times long")
+    return partial.groupBy("lang", "gram").agg(F.sum("times").alias("times"))
+
+
+def counts(docs: DataFrame) -> pd.DataFrame:
+    """``counted`` in the driver's memory."""
+    return counted(docs).toPandas()
+
+
+@dataclass(frozen=True)
+class Lower:
+    """The orders under 4, of all languages."""
+
+    languages: list[str]
+    keys: list[np.ndarray]  # sorted 1-, 2- and 3-grams
+    probs: list[np.ndarray]
+    back: list[np.ndarray]  # by context of 1 and 2 characters: the mass left to the lower order
+    floor: float
+    discount: np.ndarray  # of the 4-grams, by language
 
 
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
     bits: int
-    hashes: np.ndarray  # sorted
-    grams: np.ndarray  # of each hash
-    logs: np.ndarray  # of each hash, by language
+    grams: np.ndarray  # sorted
+    logs: np.ndarray  # of each 4-gram, by language
     keys: list[np.ndarray]  # sorted 1-, 2- and 3-grams
     probs: list[np.ndarray]
-    back: list[np.ndarray]  # by context of 1, 2 and 3 characters: the mass left to the lower order
+    contexts: list[np.ndarray]  # sorted contexts of 1, 2 and 3 characters
+    back: list[np.ndarray]  # the mass left to the lower order by each
     floor: float
+    low: int = 0  # least and greatest key that the model answers for
+    high: int = (1 << 64) - 1
 
     def lower(self, g: np.ndarray) -> np.ndarray:
         """Probabilities, by language, of 4-grams that the model has not seen."""
@@ -156,101 +205,194 @@ class Model:
         return p * self._weight(3, g >> np.uint64(16))
 
     def _weight(self, n: int, context: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.keys[n - 1], context), len(self.keys[n - 1]) - 1)
-        return np.where((self.keys[n - 1][at] == context)[:, None], self.back[n - 1][at], 1.0)
+        known = self.contexts[n - 1]
+        at = np.minimum(np.searchsorted(known, context), len(known) - 1)
+        return np.where((known[at] == context)[:, None], self.back[n - 1][at], 1.0)
 
     def dense(self) -> np.ndarray:
-        """The place of each hash in the sorted array, or -1."""
+        """By hash, the place of one 4-gram with it in the sorted array, or -1."""
         out = np.full(1 << self.bits, -1, np.int32)
-        out[self.hashes] = np.arange(len(self.hashes), dtype=np.int32)
+        out[buckets(self.grams, self.bits)] = np.arange(len(self.grams), dtype=np.int32)
         return out
 
-    def entropies(self, g: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        """Mean negative log-probability a character, by language."""
+    def sums(self, g: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        """Sums of the log-probabilities, by language, of the 4-grams from ``low`` to ``high``."""
         total = np.zeros(len(self.languages))
+        if self.low > 0 or self.high < (1 << 64) - 1:
+            g = g[(g >= np.uint64(self.low)) & (g <= np.uint64(self.high))]
         for at in range(0, len(g), BLOCK):
             part = g[at : at + BLOCK]
             k = dense[buckets(part, self.bits)]
             seen = (k >= 0) & (self.grams[k] == part)
+            if not seen.all():
+                # another 4-gram has the hash's place
+                other = np.flatnonzero((k >= 0) & ~seen)
+                k[other] = np.minimum(np.searchsorted(self.grams, part[other]), len(self.grams) - 1)
+                seen[other] = self.grams[k[other]] == part[other]
             if seen.all():
                 total += self.logs[k].sum(axis=0, dtype=np.float64)
             else:
                 total += self.logs[k[seen]].sum(axis=0, dtype=np.float64) + np.log(self.lower(part[~seen])).sum(axis=0)
-        return -total / max(1, len(g))
+        return total
 
 
-def fit(counted: pd.DataFrame, bits: int = BITS) -> Model | None:
-    """The Kneser-Ney models of all languages from their counted 4-grams."""
-    if counted.empty:
-        return None
-    languages = sorted(counted["lang"].unique())
-    least = counted.groupby("bucket")["gram"].min()
-    hashes = least.index.to_numpy()
-    g = least.to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
-    times = np.zeros((len(g), len(languages)))
-    row = np.searchsorted(hashes, counted["bucket"].to_numpy())
-    times[row, np.searchsorted(languages, counted["lang"].to_numpy().astype(str))] = counted["times"].to_numpy()
-    # types[n]: the n-grams; tally[n]: their counts, of which the lower orders count distinct continuations
-    types, tally, up = {4: g}, {4: times}, {}
-    for n in (3, 2, 1):
+def _matrix(keys: np.ndarray, grams: np.ndarray, langs: pd.Series, times: np.ndarray, languages: list[str]) -> np.ndarray:
+    out = np.zeros((len(keys), len(languages)))
+    out[np.searchsorted(keys, grams), np.searchsorted(languages, langs.to_numpy().astype(str))] = times
+    return out
+
+
+def _discount(ones: np.ndarray, twos: np.ndarray) -> np.ndarray:
+    return np.clip(ones / np.maximum(1, ones + 2 * twos), 0.1, 0.9)
+
+
+def _order(types: np.ndarray, tally: np.ndarray, discount: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probabilities of the n-grams, their contexts, and the mass that each context leaves to the lower order."""
+    context, inverse = np.unique(types >> np.uint64(16), return_inverse=True)
+    mass, kinds = np.zeros((len(context), tally.shape[1])), np.zeros((len(context), tally.shape[1]))
+    np.add.at(mass, inverse, tally)
+    np.add.at(kinds, inverse, tally > 0)
+    weight = np.where(mass > 0, discount * kinds / np.maximum(mass, 1), 1.0)
+    return np.maximum(tally - discount, 0) / np.maximum(mass[inverse], 1) + weight[inverse] * below, context, weight
+
+
+def _lower_orders(triples: pd.DataFrame, ones: dict[str, int], twos: dict[str, int]) -> Lower:
+    """From the continuation counts (lang, gram, times) of the 3-grams and how many 4-grams occur once and twice."""
+    languages = sorted(ones)
+    g = triples["gram"].to_numpy().astype(np.uint64)
+    types = {3: np.unique(g)}
+    # tally[n]: distinct continuations of the n-grams
+    tally, up = {3: _matrix(types[3], g, triples["lang"], triples["times"].to_numpy(), languages)}, {}
+    for n in (2, 1):
         types[n], up[n] = np.unique(types[n + 1] & np.uint64((1 << 16 * n) - 1), return_inverse=True)
         tally[n] = np.zeros((len(types[n]), len(languages)))
         np.add.at(tally[n], up[n], tally[n + 1] > 0)
     floor = 1.0 / (len(types[1]) + 1)
     probs, back = {}, {}
     below = np.full((len(types[1]), len(languages)), floor)
-    for n in (1, 2, 3, 4):
-        t = tally[n]
-        ones, twos = (t == 1).sum(axis=0), (t == 2).sum(axis=0)
-        discount = np.clip(ones / np.maximum(1, ones + 2 * twos), 0.1, 0.9)
-        context, inverse = np.unique(types[n] >> np.uint64(16), return_inverse=True)
-        mass, kinds = np.zeros((len(context), len(languages))), np.zeros((len(context), len(languages)))
-        np.add.at(mass, inverse, t)
-        np.add.at(kinds, inverse, t > 0)
-        weight = np.where(mass > 0, discount * kinds / np.maximum(mass, 1), 1.0)
+    for n in (1, 2, 3):
         if n > 1:
             below = probs[n - 1][up[n - 1]]
-            place = np.searchsorted(types[n - 1], context)
-            full = np.ones((len(types[n - 1]), len(languages)))
-            inside = (place < len(types[n - 1])) & (types[n - 1][np.minimum(place, len(types[n - 1]) - 1)] == context)
-            full[place[inside]] = weight[inside]
-            back[n - 1] = full
-        probs[n] = np.maximum(t - discount, 0) / np.maximum(mass[inverse], 1) + weight[inverse] * below
-    return Model(languages, bits, hashes, g, np.log(probs[4]).astype(np.float32), [types[n] for n in (1, 2, 3)], [probs[n] for n in (1, 2, 3)], [back[n] for n in (1, 2, 3)], floor)
+        probs[n], context, weight = _order(types[n], tally[n], _discount((tally[n] == 1).sum(axis=0), (tally[n] == 2).sum(axis=0)), below)
+        if n > 1:
+            place = np.minimum(np.searchsorted(types[n - 1], context), len(types[n - 1]) - 1)
+            inside = types[n - 1][place] == context
+            back[n - 1] = np.ones((len(types[n - 1]), len(languages)))
+            back[n - 1][place[inside]] = weight[inside]
+    own = _discount(np.array([ones[x] for x in languages]), np.array([twos[x] for x in languages]))
+    return Lower(languages, [types[n] for n in (1, 2, 3)], [probs[n] for n in (1, 2, 3)], [back[1], back[2]], floor, own)
 
 
-def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred, score, entropy and length (folded characters) for each row of ``docs``."""
+def _fit_part(part: pd.DataFrame, lower: Lower, bits: int, low: int = 0, high: int = (1 << 64) - 1) -> Model:
+    """The model of the 4-grams from ``low`` to ``high``, which hold all that share a context."""
+    g = _unsigned(part["gram"].to_numpy())
+    types = np.unique(g)
+    times = _matrix(types, g, part["lang"], part["times"].to_numpy(), lower.languages)
+    below = lower.probs[2][np.searchsorted(lower.keys[2], types & np.uint64((1 << 48) - 1))]
+    probs, context, weight = _order(types, times, lower.discount, below)
+    bits = max(bits, (2 * len(types) - 1).bit_length())
+    return Model(lower.languages, bits, types, np.log(probs).astype(np.float32), lower.keys, lower.probs, [*lower.keys[:2], context], [*lower.back, weight], lower.floor, low, high)
+
+
+def fit(counted: pd.DataFrame, bits: int = BITS) -> Model | None:
+    """The Kneser-Ney models of all languages from their counted 4-grams."""
+    if counted.empty:
+        return None
+    suffix = pd.DataFrame({"lang": counted["lang"], "gram": _unsigned(counted["gram"].to_numpy()) & np.uint64((1 << 48) - 1)})
+    triples = suffix.groupby(["lang", "gram"]).size().reset_index(name="times")
+    once = counted.groupby("lang")["times"]
+    lower = _lower_orders(triples, once.agg(lambda t: int((t == 1).sum())).to_dict(), once.agg(lambda t: int((t == 2).sum())).to_dict())
+    return _fit_part(counted, lower, bits)
+
+
+def models(table: DataFrame, bits: int = BITS, part_bytes: int = PART_BYTES) -> Iterator[Model]:
+    """The models of ``counted`` rows, one after the other, for ranges of keys that cover all."""
+    by = table.groupBy("lang").agg(F.count_if(F.col("times") == 1).alias("ones"), F.count_if(F.col("times") == 2).alias("twos")).collect()
+    if not by:
+        return
+    suffix = F.col("gram").bitwiseAND(F.lit((1 << 48) - 1)).alias("gram")
+    triples = table.select("lang", suffix).groupBy("lang", "gram").agg(F.count("*").alias("times")).toPandas()
+    lower = _lower_orders(triples, {r.lang: r.ones for r in by}, {r.lang: r.twos for r in by})
+    rows = max(1, part_bytes // (8 + 4 * len(by)))
+    parts = -(-table.select("gram").distinct().count() // rows)
+    bounds: list[int] = []
+    if parts > 1:
+        least, found = table.agg(F.min("gram"), F.percentile_approx("gram", [k / parts for k in range(1, parts)], 100 * parts)).first()
+        bounds = sorted({x >> 16 << 16 for x in found if x >> 16 > least >> 16})
+    edges = [-(1 << 63), *bounds, 1 << 63]
+    for low, high in zip(edges, edges[1:]):
+        held = table.filter(F.col("gram").between(low, high - 1)).toPandas()
+        yield _fit_part(held, lower, bits, low + (1 << 63), high - 1 + (1 << 63))
+
+
+def _summed(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The columns of ``docs`` but text, with sums (of log-probabilities by language), n (4-grams) and length (folded characters)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kept = [c for c in docs.columns if c != "text"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         dense = m.dense() if m else None
         for b in it:
-            langs, scores, entropies, lengths = [], [], [], []
-            for text in b.column(1).to_pylist():
+            sums, ns, lengths = [], [], []
+            for text in b.column("text").to_pylist():
                 chars = folded(text)
+                g = grams(chars)[1:] if len(chars) > 2 else grams(chars)
+                sums.append(m.sums(g, dense).tolist() if m else [])
+                ns.append(len(g) if m else 0)
+                lengths.append(max(0, len(chars) - 2))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(sums, pa.list_(pa.float64())), pa.array(ns, pa.int64()), pa.array(lengths, pa.int64())], [*kept, "sums", "n", "length"])
+
+    schema = docs.select(*kept).schema.add("sums", ArrayType(DoubleType())).add("n", "long").add("length", "long")
+    return docs.mapInArrow(batches, schema)
+
+
+def _decided(found: DataFrame, languages: list[str]) -> DataFrame:
+    """doc_id, lang_pred, score, entropy and length from doc_id, sums, n and length."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            langs, scores, entropies = [], [], []
+            for sums, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 lang, score, entropy = "und", 0.0, None
-                if m and len(chars) > 1:
-                    g = grams(chars)[1:] if len(chars) > 2 else grams(chars)
-                    h = m.entropies(g, dense)
+                if n:
+                    h = -np.array(sums) / n
                     k = int(np.argmin(h))
-                    lang, entropy = m.languages[k], float(h[k])
-                    score = float(1 / np.exp(np.minimum(0, (h[k] - h) * min(len(g), 200))).sum())
+                    lang, entropy = languages[k], float(h[k])
+                    score = float(1 / np.exp(np.minimum(0, (h[k] - h) * min(n, 200))).sum())
                 langs.append(lang)
                 scores.append(score)
                 entropies.append(entropy)
-                lengths.append(max(0, len(chars) - 2))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(entropies, pa.float64()), pa.array(lengths, pa.int64())], ["doc_id", "lang_pred", "score", "entropy", "length"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(entropies, pa.float64()), b.column(3)], ["doc_id", "lang_pred", "score", "entropy", "length"])
 
-    schema = docs.select("doc_id").schema.add("lang_pred", "string").add("score", "double").add("entropy", "double").add("length", "long")
-    return docs.select("doc_id", "text").mapInArrow(batches, schema)
+    schema = found.select("doc_id").schema.add("lang_pred", "string").add("score", "double").add("entropy", "double").add("length", "long")
+    return found.select("doc_id", "sums", "n", "length").mapInArrow(batches, schema)
 
 
-def identify(docs: DataFrame, training: DataFrame, reject: float = REJECT, bits: int = BITS) -> DataFrame:
+def predicted(docs: DataFrame, table: DataFrame, bits: int = BITS, part_bytes: int = PART_BYTES) -> DataFrame:
+    """doc_id, lang_pred, score, entropy and length (folded characters) for each row of ``docs``."""
+    docs = docs.select("doc_id", "text")
+    found, languages, rows = [], [], None
+    for model in models(table, bits, part_bytes):
+        languages = model.languages
+        if model.low == 0 and model.high == (1 << 64) - 1:
+            return _decided(_summed(docs, model), languages)
+        if rows is None:
+            rows = materialize(docs.withColumn("row", F.monotonically_increasing_id()))
+        found.append(materialize(_summed(rows, model)))
+    if not found:
+        return _decided(_summed(docs, None), languages)
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    sums = [F.sum(F.get("sums", F.lit(i))) for i in range(len(languages))]
+    return _decided(every.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array(*sums).alias("sums"), F.max("n").alias("n"), F.max("length").alias("length")), languages)
+
+
+def identify(docs: DataFrame, training: DataFrame, reject: float = REJECT, bits: int = BITS, part_bytes: int = PART_BYTES) -> DataFrame:
     """``predicted`` and rejected, calibrated on all rows; ``training`` has text and lang."""
-    model = fit(counts(training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()), bits), bits)
-    found = materialize(predicted(docs, model))
+    table = materialize(counted(training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())))
+    found = materialize(predicted(docs, table, bits, part_bytes))
     usual = found.filter("entropy is not null").groupBy("lang_pred").agg(F.avg("entropy").alias("mean"), F.coalesce(F.stddev_samp("entropy"), F.lit(0.0)).alias("spread"))
     # one row a language
     out = found.join(F.broadcast(usual), "lang_pred", "left")

@@ -322,6 +322,29 @@ def test_kneser_ney_sums_to_one(spark):
         assert (np.abs(p - 1) < 0.1).all()  # what is left is for letters never seen
 
 
+def test_language_model_keeps_all_grams(spark):
+    rng = np.random.default_rng(11)
+    texts = ["".join(map(chr, rng.choice([*range(0x61, 0x7B), *range(0x430, 0x450), *range(0x4E00, 0x4F00)], 30_000))) for _ in range(2)]
+    got = langid.counts(spark.createDataFrame([(texts[0], "a"), (texts[1], "b"), (texts[1], "a")], "text string, lang string"))
+    want = {}
+    for lang, t in (("a", texts[0]), ("b", texts[1]), ("a", texts[1])):
+        for g in langid.grams(langid.folded(t)).tolist():
+            want[lang, g] = want.get((lang, g), 0) + 1
+    assert len(got) == len(want)
+    assert {(x, int(g)): n for x, g, n in zip(got.lang, got.gram.to_numpy().view(np.uint64) ^ np.uint64(1 << 63), got.times)} == want
+
+
+def test_language_model_in_parts(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join("".join(rng.choice(list(letters), 4)) for _ in range(40)), lang) for i in range(40) for lang, letters in (("a", "abcdefgh"), ("b", "efghijkl"), ("c", "жзиклмно"))]
+    docs = spark.createDataFrame([*rows, (99, "zzz qq 漢字", None), (99, None, None)], "doc_id long, text string, lang string")
+    key = lambda r: (r.doc_id, r.lang_pred, r.length, r.rejected, round(r.score, 9), None if r.entropy is None else round(r.entropy, 6))
+    parts = list(langid.models(langid.counted(docs.filter("lang is not null")), part_bytes=2000))
+    assert len(parts) > 3 and all(a.high + 1 == b.low for a, b in zip(parts, parts[1:])) and parts[0].low == 0 and parts[-1].high == (1 << 64) - 1
+    whole, split, crowded = (sorted(map(key, langid.identify(docs, docs, **x).collect()), key=str) for x in ({}, {"part_bytes": 20_000}, {"bits": 1}))
+    assert whole == split == crowded
+
+
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.QUERIES["op7_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
