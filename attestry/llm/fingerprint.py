@@ -1,7 +1,9 @@
 """Document fingerprints by winnowing, with DataFrame functions only.
 
-A text's units are its words between single spaces; texts under ``SHORT``
-code points also contribute their characters.  The hash of each k-gram of
+A text's units are its words between white space, those of over ``PIECE`` code
+points cut into all their pieces of that length, one from each place.  (Without
+pieces, ``fingerprints`` takes the words between single spaces and, of texts
+under ``SHORT`` code points, also the characters.)  The hash of each k-gram of
 units (the first ones are filled up in front) is combined with its place, so
 that the least value in a window of w k-grams is the smallest hash, the
 rightmost among ties.  The minima of all windows, with their places, are the
@@ -13,8 +15,8 @@ are dealt by quantiles of doc_id to blocks, sorted within them, and the first
 row of each block is repeated at the end of the block before it.
 
 Results on unusual input: a null text is empty; the fingerprint of an empty
-text is empty, and the likeness of two empty ones is 1, of an empty and
-another one 0; rows with the same doc_id follow each other in the order of
+text, or one of white space, is empty, and the likeness of two empty ones is 1,
+of an empty and another one 0; rows with the same doc_id follow each other in the order of
 their texts; a null doc_id comes last; after the last row follows the first;
 an empty table gives an empty result; further columns are ignored.
 """
@@ -28,6 +30,8 @@ from pyspark.sql.window import Window
 K = 3
 W = 4
 SHORT = 64
+#: Code points of a unit at most.
+PIECE = 8
 #: Rows of a block, about.
 BLOCK_ROWS = 512
 #: Quantiles of doc_id that bound the blocks at most; more blocks are equal parts between them.
@@ -58,14 +62,23 @@ def fingerprints(df: DataFrame, text: str, out: str, k: int = K, w: int = W) ->
     return _winnowed(df, "__units", f"{out}_chars", k, w).drop("__units")
 
 
+def piece_fingerprints(df: DataFrame, text: str, out: str, k: int = K, w: int = W, piece: int = PIECE) -> DataFrame:
+    """Adds ``out``, the fingerprint of the words of column ``text`` and of the pieces of longer ones."""
+    # the characters of a long word are bound once; each piece is a slice of them
+    pieces = f"flatten(transform(array(split(x, '')), c -> transform(sequence(1, size(c) - {piece - 1}), i -> array_join(slice(c, i, {piece}), ''))))"
+    words = f"filter(split({text}, '(?U)\\\\s+'), x -> x <> '')"
+    df = df.withColumn("__words", F.expr(words))
+    cut = F.expr(f"flatten(transform(__words, x -> if(length(x) <= {piece}, array(x), {pieces})))")
+    return _winnowed(df.withColumn("__units", cut), "__units", out, k, w).drop("__words", "__units")
+
+
 def shown(out: str) -> Column:
-    """A fingerprint as text: hash:place of each selected word k-gram in order, then those of the characters."""
-    part = lambda c, mark: F.expr(f"transform({c}, v -> concat('{mark}', lower(lpad(hex(shiftright(v, 31)), 8, '0')), ':', {_PLACES}L - (v & {_PLACES}L)))")
-    return F.array_join(F.concat(part(out, ""), part(f"{out}_chars", "c")), ",")
+    """A fingerprint as text: hash:place of each selected k-gram in order."""
+    return F.array_join(F.expr(f"transform({out}, v -> concat(lower(lpad(hex(shiftright(v, 31)), 8, '0')), ':', {_PLACES}L - (v & {_PLACES}L)))"), ",")
 
 
 def hashes(out: str) -> Column:
-    return F.array_distinct(F.expr(f"concat(transform({out}, v -> shiftright(v, 31)), transform({out}_chars, v -> -1L - shiftright(v, 31)))"))
+    return F.array_distinct(F.expr(f"transform({out}, v -> shiftright(v, 31))"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -108,19 +121,19 @@ def in_blocks(docs: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
 
 
 def compare(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
-    """For each row: doc_id, text, edited, fp and edited_fp (with _chars), own, changed and next: distinct hashes.
+    """For each row: doc_id, text, edited, fp and edited_fp, own, changed and next: distinct hashes.
 
     ``edited`` is the text whose last third is replaced by the beginning of the next row's text.
     """
     rows = in_blocks(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     order = ["ghost", F.desc_nulls_last("doc_id"), "text"]
     rows = rows.repartition("block").sortWithinPartitions("block", *order)
-    rows = fingerprints(rows, "text", "fp", k, w).withColumn("own", hashes("fp"))
+    rows = piece_fingerprints(rows, "text", "fp", k, w).withColumn("own", hashes("fp"))
     along = Window.partitionBy("block").orderBy(*order)
     rows = rows.withColumn("__text", F.lead("text").over(along)).withColumn("next", F.lead("own").over(along)).filter("ghost = 0")
     third = "cast(length(text) div 3 as int)"
     rows = rows.withColumn("edited", F.expr(f"concat(left(text, length(text) - {third}), left(__text, {third}))"))
-    return fingerprints(rows, "edited", "edited_fp", k, w).withColumn("changed", hashes("edited_fp"))
+    return piece_fingerprints(rows, "edited", "edited_fp", k, w).withColumn("changed", hashes("edited_fp"))
 
 
 def query(docs: DataFrame) -> DataFrame:

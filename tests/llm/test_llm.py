@@ -193,6 +193,26 @@ def test_next_document(spark):
         assert got[i] == hashlib.sha256((t[: len(t) - len(t) // 3] + n[: len(t) // 3]).encode()).hexdigest()
 
 
+def test_fingerprints_of_texts_without_spaces(spark):
+    rng = np.random.default_rng(13)
+    draw = {
+        "han": lambda n: "".join(map(chr, rng.integers(0x4E00, 0x5E00, n))),
+        "hex": lambda n: rng.bytes(n // 2 + 1).hex()[:n],
+        "lines": lambda n: "\n".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n // 7 + 1))[:n],
+        "tabs": lambda n: "\t".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n // 7 + 1))[:n],
+    }
+    for kind, make in draw.items():
+        texts = [make(n) for n in (60, 63, 64, 65, 300, 3000, 20_000)]
+        for r in fingerprint.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+            assert r.near_edited > 0.2 and r.near_next < 0.05, (kind, r.n_chars, r.near_edited, r.near_next)
+
+
+def test_long_words_are_cut_into_pieces(spark):
+    texts = ["one two", "one\ttwo\n", "extraordinarily long", "extraord xtraordi traordin raordina aordinar ordinari rdinaril dinarily long"]
+    got = [r.fp for r in fingerprint.piece_fingerprints(spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1), "t", "fp").collect()]
+    assert got[0] == got[1] and got[2] == got[3] and got[0] != got[2]
+
+
 # simhash
 
 
