@@ -1,12 +1,13 @@
-"""License scans with a positional index of rare words, with DataFrame functions only.
+"""License scans with a positional index of words, with DataFrame functions only.
 
 Each template is a sequence of words, of which the stop words only hold
 places, and has a mandatory key phrase.  The index posts each other word of
-each template with its place.  A document's words that are in the index are
-looked up, those of the highest inverse document frequency (over all
-documents) first; their postings are intersected by relative place: words
-that stand as far apart as in the template vote for one start.  A start with
-enough votes names the label if the template's key phrase stands there.
+each template with its place.  All words of a document that are in the index
+are looked up and their postings intersected by relative place: words that
+stand as far apart as in the template vote for one start, whatever their
+inverse document frequency (over all documents), which only weighs the score.
+A start with enough votes names the label if the template's key phrase stands
+there.
 
 The base phrases are found beside this: places where their words stand one
 after the other.
@@ -21,7 +22,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import materialize
 
@@ -52,8 +52,6 @@ TEMPLATES = {
 }
 
 STOP = frozenset("a all and any are as at be by for from in into is it no not of on or that the this to under with you use may".split())
-#: Rare words of a document that are looked up at most for each place, the rarest first.
-LOOKED_UP = 3
 #: Share of a template's posted words that must stand in their places.
 QUORUM = 0.4
 
@@ -127,15 +125,13 @@ def matches(found: DataFrame, quorum: float = QUORUM) -> DataFrame:
     # document frequencies over all documents; words of the index only, so one row for each
     df = hits.select("row", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
     idf = df.select("word", F.log((found.count() + 1) / (F.col("df") + 0.5)).alias("idf"))
-    ranked = index.join(F.broadcast(idf), "word").withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy(F.desc("idf"), "at")))
-    # the rarest words of each template propose starts, all its words vote
-    rare = ranked.filter(F.col("rank") <= LOOKED_UP).select("word", "label", "at")
-    starts = hits.join(F.broadcast(rare), "word").select("row", "label", (F.col("place") - F.col("at")).alias("start")).distinct()
-    votes = hits.join(F.broadcast(ranked.select("word", "label", "at", "posted", "key", "idf")), "word")
+    weighed = index.join(F.broadcast(idf), "word")
+    # every word of a template proposes starts, so that none is lost where its words are common
+    votes = hits.join(F.broadcast(weighed), "word")
     votes = votes.select("row", "label", (F.col("place") - F.col("at")).alias("start"), "posted", "key", "idf")
-    mass = ranked.groupBy("label").agg(F.sum("idf").alias("mass"))
+    mass = weighed.groupBy("label").agg(F.sum("idf").alias("mass"))
     tallied = votes.groupBy("row", "label", "start").agg(F.count("*").alias("n"), F.sum("key").alias("key"), F.first("posted").alias("posted"), F.sum("idf").alias("idf"))
-    tallied = tallied.join(starts, ["row", "label", "start"], "left_semi").join(F.broadcast(keys), "label").join(F.broadcast(mass), "label")
+    tallied = tallied.join(F.broadcast(keys), "label").join(F.broadcast(mass), "label")
     good = tallied.filter((F.col("key") == F.col("keys")) & (F.col("n") >= quorum * F.col("posted")))
     return good.groupBy("row", "label").agg(F.max(F.least(F.lit(1.0), F.col("idf") / F.col("mass"))).alias("score"))
 

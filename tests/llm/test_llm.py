@@ -435,6 +435,12 @@ def test_licences(spark):
     assert got[4].labels == got[5].labels == "" and got[7].first_word is None and got[7].score == 0
 
 
+def test_licences_of_common_words(spark):
+    texts = ["see creative commons here"] * 30 + ["licensed attribution license"] * 9 + ["plain words"] * 20
+    got = [r.labels for r in licences.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).orderBy("doc_id").collect()]
+    assert got == ["cc"] * 30 + [""] * 29
+
+
 # lines
 
 
