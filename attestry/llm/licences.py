@@ -77,9 +77,9 @@ def _words(text: Column) -> Column:
 
 
 def found_words(docs: DataFrame) -> DataFrame:
-    """Per row: row, doc_id, n_words, the base phrases' n_base, first_word, last_word, base_labels, and hits.
+    """Per row: row, doc_id, n_words, the base phrases' n_base, first_word, last_word, base_labels, words and hits.
 
-    ``hits`` holds place and word of the words in the index; one pass over the texts makes it.
+    ``words`` holds the different words in the index, ``hits`` place and word of each where a key phrase may stand; one pass over the texts makes them.
     """
     index = sorted({w for _, w, *_ in _postings()})
     # a text without any of these has no key phrase, whatever else it holds
@@ -98,6 +98,7 @@ def found_words(docs: DataFrame) -> DataFrame:
         wanted |= F.col("w").contains(f" {word} ")
     quoted = ", ".join(f"'{w}'" for w in index)
     hits = F.expr(f"filter(transform(split(w, ' '), (x, i) -> named_struct('place', i - 1, 'word', x)), x -> x.word in ({quoted}))")
+    words = F.expr(f"array_distinct(filter(split(w, ' '), x -> x in ({quoted})))")
     none = F.array().cast("array<struct<place:int,word:string>>")
     return norm.select(
         "row",
@@ -107,6 +108,7 @@ def found_words(docs: DataFrame) -> DataFrame:
         F.when(any_base, spaces(before_first)).cast("long").alias("first_word"),
         F.when(any_base, spaces(before_last)).cast("long").alias("last_word"),
         F.array_compact(F.array(*(F.when(has[label], F.lit(label)) for label in sorted(has)))).alias("base_labels"),
+        words.alias("words"),
         F.when(wanted, hits).otherwise(none).alias("hits"),
     )
 
@@ -122,8 +124,8 @@ def matches(found: DataFrame, quorum: float = QUORUM) -> DataFrame:
     index = spark.createDataFrame(_postings(), "label string, word string, at int, posted int, key int")
     keys = index.groupBy("label").agg(F.sum("key").alias("keys"))
     hits = found.filter("size(hits) > 0").select("row", "hits", F.explode("hits").alias("h")).select("row", "h.word", "h.place")
-    # document frequencies over all documents; words of the index only, so one row for each
-    df = hits.select("row", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
+    # document frequencies over all documents, with hits or without; words of the index only, so one row for each
+    df = found.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     idf = df.select("word", F.log((found.count() + 1) / (F.col("df") + 0.5)).alias("idf"))
     weighed = index.join(F.broadcast(idf), "word")
     # every word of a template proposes starts, so that none is lost where its words are common
@@ -137,13 +139,13 @@ def matches(found: DataFrame, quorum: float = QUORUM) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``found_words`` without hits, with labels (sorted, base ones included) and score for each row of ``docs``.
+    """``found_words`` without words and hits, with labels (sorted, base ones included) and score for each row of ``docs``.
 
     The score is 1 with a base label, else the best template's share of idf found in place.
     """
     found = materialize(found_words(docs))
     named = matches(found).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("score").alias("best"))
-    out = found.drop("hits").join(named, "row", "left").drop("row")
+    out = found.drop("words", "hits").join(named, "row", "left").drop("row")
     labels = F.array_sort(F.array_union("base_labels", F.coalesce("more", F.array().cast("array<string>"))))
     score = F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
     return out.withColumn("labels", labels).withColumn("score", score).drop("more", "best")

@@ -441,6 +441,13 @@ def test_licences_of_common_words(spark):
     assert got == ["cc"] * 30 + [""] * 29
 
 
+def test_licence_frequencies_count_all_documents(spark):
+    texts = ["the Apache License, version 2"] + ["a free copy of version 2 0"] * 40 + ["licensed software"] * 7 + ["nothing"] * 12
+    got = licences.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).filter("doc_id = 0").first()
+    idf = {w: np.log(61 / (n + 0.5)) for w, n in {"licensed": 7, "apache": 1, "license": 1, "version": 41, "2": 41, "0": 40}.items()}
+    assert got.labels == "apache" and abs(got.score - sum(idf[w] for w in ("apache", "license", "version", "2")) / sum(idf.values())) < 1e-9
+
+
 # lines
 
 
