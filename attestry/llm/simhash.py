@@ -12,8 +12,8 @@ budget, or once all its leaves are known to be connected.
 ``components`` links fingerprints by these bits alone.  ``near_copies`` links
 texts by the similarity of their sets of five-word shingles, 0.8 or more: such
 texts often differ in ten bits and more, which no two blocks need to survive.
-There the groups are those that share a band of minimum hashes, the trie
-self-join has a budget of ``NEAR_BUDGET`` bits, and a link also needs an
+There the fingerprint is that of the distinct shingles, the groups are those
+that share a band of minimum hashes, the trie self-join has a budget of ``NEAR_BUDGET`` bits, and a link also needs an
 estimate of ``NEAR`` from ``SIGNATURE`` minimum hashes (its standard deviation
 at 0.8 is 0.035, so that few pairs of 0.8 or more are missed, and few under
 0.7 are linked).
@@ -283,7 +283,7 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def described(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """doc_id, word_hash (of the normalised words), fp and signature for each row of ``docs``."""
+    """doc_id, word_hash (of the normalised words), fp (of the distinct shingles) and signature for each row of ``docs``."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -291,7 +291,7 @@ def described(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
             for text in b.column(1).cast(pa.binary()).to_pylist():
                 words.append(xxhash.xxh64_intdigest(b" ".join((text or b"").translate(_LOWER).split()), 42))
                 h = _shingles(text, shingle)
-                fps.append(_voted(h))
+                fps.append(_voted(np.unique(h)))
                 signatures.append(_signature(h))
             signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (words, fps)]
             yield pa.RecordBatch.from_arrays([b.column(0), *signed, pa.array(signatures, pa.binary())], ["doc_id", "word_hash", "fp", "signature"])

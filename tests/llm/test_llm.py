@@ -277,6 +277,16 @@ def test_near_copies(spark):
     assert got == want
 
 
+def test_near_copies_with_repeats(spark):
+    rng = np.random.default_rng(14)
+    rows = []
+    for k in range(20):
+        text = " ".join(rng.choice([f"w{i}" for i in range(4000)], 500).tolist())
+        rows += [(10 * k + c, text + f" buy{k} one now for less" * times) for c, times in enumerate((3, 60))]
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 10 for i, _ in rows}
+
+
 # packing
 
 
