@@ -13,10 +13,10 @@ budget, or once all its leaves are known to be connected.
 texts by the similarity of their sets of five-word shingles, 0.8 or more: such
 texts often differ in ten bits and more, which no two blocks need to survive.
 There the fingerprint is that of the distinct shingles, the groups are those
-that share a band of minimum hashes, the trie self-join has a budget of ``NEAR_BUDGET`` bits, and a link also needs an
-estimate of ``NEAR`` from ``SIGNATURE`` minimum hashes (its standard deviation
-at 0.8 is 0.035, so that few pairs of 0.8 or more are missed, and few under
-0.7 are linked).
+that share a band of minimum hashes, the trie self-join has a budget of ``NEAR_BUDGET`` bits, and an estimate of ``NEAR``
+from ``SIGNATURE`` minimum hashes (its standard deviation at 0.8 is 0.035) makes
+a pair a candidate.  Texts that candidates connect then meet once more with
+their sets of shingles, whose exact similarity decides.
 
 Results on unusual input: null and blank texts have fingerprint zero and
 link like any other; repeated rows share their fingerprint and component; an
@@ -46,7 +46,12 @@ BLOCKS = (11, 11, 11, 11, 10, 10)
 GROUP_LIMIT = 1 << 17
 NEAR_SHINGLE = 5
 NEAR_BUDGET = 22
-NEAR = 0.74
+#: Least estimate of a candidate.
+NEAR = 0.65
+#: Least similarity of a link: tenths.
+TENTHS = 8
+#: Candidates with more shingles than this are dealt out as pairs of parts.
+HELD = 1 << 21
 SIGNATURE = 128
 #: Bands of the signature and the minimum hashes in each.
 BANDS, ROWS = 14, 4
@@ -121,12 +126,21 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = up
 
 
-def trie_components(fps: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, signatures: np.ndarray | None = None) -> np.ndarray:
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the similarity of two sets, sorted, is 0.8 or more."""
+    if 10 * min(len(a), len(b)) < TENTHS * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 10 * both >= TENTHS * (len(a) + len(b) - both)
+
+
+def trie_components(fps: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, signatures: np.ndarray | None = None, sets: list[np.ndarray] | None = None) -> np.ndarray:
     """For each fingerprint the index of a representative that it is connected to.
 
     ``fps`` (unsigned) is sorted within each group; group i is
     ``bounds[i]:bounds[i + 1]``.  Only members of one group are compared.  With
-    signatures, a link also needs a share of ``NEAR`` equal minimum hashes.
+    signatures, a link also needs a share of ``NEAR`` equal minimum hashes, and
+    with sets their similarity.
     """
     n = len(fps)
     parent = np.arange(n)
@@ -139,6 +153,13 @@ def trie_components(fps: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, s
     def changes() -> None:
         np.cumsum(parent[1:] != parent[:-1], out=turns[1:])
 
+    def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        found = (signatures[x] == signatures[y]).mean(axis=1) >= NEAR
+        if sets is not None:
+            found[found] = [_similar(sets[i], sets[j]) for i, j in zip(x[found], y[found])]
+        return found
+
+    step = 4096 if sets is None else 256
     if n:
         changes()
     while stack:
@@ -150,9 +171,9 @@ def trie_components(fps: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, s
                 left, right = np.arange(*node[:2]), np.arange(*node[2:])
                 for x in left:
                     y = right[parent[right] != parent[x]]
-                    alike = y if signatures is None else y[(signatures[y] == signatures[x]).mean(axis=1) >= NEAR]
-                    if len(alike):
-                        _unite(parent, np.full(len(alike), x), alike)
+                    y = y if signatures is None else y[alike(np.full(len(y), x), y)]
+                    if len(y):
+                        _unite(parent, np.full(len(y), x), y)
                     if (parent[left] == parent[x]).all() and (parent[right] == parent[x]).all():
                         break
             changes()
@@ -162,13 +183,13 @@ def trie_components(fps: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, s
             a, b = alo[leaf], blo[leaf]
             near = np.bitwise_count(fps[a] ^ fps[b]) <= budget
             a, b = a[near], b[near]
-            for at in range(0, len(a), 4096):
-                x, y = a[at : at + 4096], b[at : at + 4096]
+            for at in range(0, len(a), step):
+                x, y = a[at : at + step], b[at : at + step]
                 apart = parent[x] != parent[y]
                 x, y = x[apart], y[apart]
                 if signatures is not None:
-                    alike = (signatures[x] == signatures[y]).mean(axis=1) >= NEAR
-                    x, y = x[alike], y[alike]
+                    near = alike(x, y)
+                    x, y = x[near], y[near]
                 if len(x):
                     _unite(parent, x, y)
             changes()
@@ -283,20 +304,22 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def described(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """doc_id, word_hash (of the normalised words), fp (of the distinct shingles) and signature for each row of ``docs``."""
+    """doc_id, word_hash (of the normalised words), fp (of the distinct shingles), signature, shingles (sorted and distinct) and n of them for each row of ``docs``."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            words, fps, signatures = [], [], []
+            words, fps, signatures, sets = [], [], [], []
             for text in b.column(1).cast(pa.binary()).to_pylist():
                 words.append(xxhash.xxh64_intdigest(b" ".join((text or b"").translate(_LOWER).split()), 42))
-                h = _shingles(text, shingle)
-                fps.append(_voted(np.unique(h)))
+                h = np.unique(_shingles(text, shingle))
+                fps.append(_voted(h))
+                sets.append(h.tobytes())
                 signatures.append(_signature(h))
             signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (words, fps)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *signed, pa.array(signatures, pa.binary())], ["doc_id", "word_hash", "fp", "signature"])
+            more = [pa.array(signatures, pa.binary()), pa.array(sets, pa.binary()), pa.array([len(x) // 8 for x in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *signed, *more], ["doc_id", "word_hash", "fp", "signature", "shingles", "n"])
 
-    schema = docs.select("doc_id").schema.add("word_hash", "long").add("fp", "long").add("signature", "binary")
+    schema = docs.select("doc_id").schema.add("word_hash", "long").add("fp", "long").add("signature", "binary").add("shingles", "binary").add("n", "long")
     return docs.select("doc_id", "text").mapInArrow(batches, schema)
 
 
@@ -338,7 +361,7 @@ def _alike(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_links(texts: DataFrame, limit: int = GROUP_LIMIT >> 2) -> DataFrame:
-    """Edges (u, v) between distinct texts (word_hash, fp, signature) that connect those of similarity 0.8 or more."""
+    """Edges (u, v) between distinct texts (word_hash, fp, signature) that connect the candidates for a similarity of 0.8 or more."""
     band = lambda i: F.struct(F.lit(i).alias("band"), F.xxhash64(F.substring("signature", 2 * ROWS * i + 1, 2 * ROWS)).alias("key"))
     keyed = texts.select("word_hash", F.explode(F.array(*map(band, range(BANDS)))).alias("k")).select("k.band", "k.key", F.col("word_hash").alias("node"))
     shared = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("parts", F.ceil(F.col("n") / limit).cast("int"))
@@ -352,11 +375,66 @@ def near_links(texts: DataFrame, limit: int = GROUP_LIMIT >> 2) -> DataFrame:
     return dealt.select("band", "key", "part", "node", "fp", "signature").mapInArrow(_alike, "u long, v long")
 
 
+def _confirmed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (root, part, node, fp, signature, shingles), sorted by the first two: edges that connect each group's links."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def edges(t: pa.Table) -> pa.RecordBatch:
+        root, part, node, fps = (t.column(i).to_numpy() for i in range(4))
+        fps = fps.view(np.uint64)
+        order = np.lexsort((fps, part, root))
+        root, part, node, fps = root[order], part[order], node[order], fps[order]
+        signatures = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint16).reshape(len(order), SIGNATURE)[order]
+        raw = t.column(5).to_pylist()
+        sets = [np.frombuffer(raw[i], np.uint64) for i in order.tolist()]
+        bounds = np.concatenate([[0], np.flatnonzero((root[1:] != root[:-1]) | (part[1:] != part[:-1])) + 1, [len(root)]])
+        parent = trie_components(fps, bounds, NEAR_BUDGET, signatures, sets)
+        own = parent != np.arange(len(parent))
+        return pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[parent[own]])], ["u", "v"])
+
+    for b in it:
+        held.append(b)
+        size += b.nbytes
+        if size < 1 << 24:
+            continue
+        t = pa.Table.from_batches(held)
+        root, part = t.column(0).to_numpy(), t.column(1).to_numpy()
+        last = np.flatnonzero((root[1:] != root[:-1]) | (part[1:] != part[:-1]))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield edges(t.slice(0, cut))
+        held = t.slice(cut).to_batches()
+        size = sum(x.nbytes for x in held)
+    if sum(b.num_rows for b in held):
+        yield edges(pa.Table.from_batches(held))
+
+
+def exact_links(own: DataFrame, texts: DataFrame, candidates: DataFrame, limit: int = HELD) -> DataFrame:
+    """Edges (u, v) that connect the texts of similarity 0.8 or more among those that ``candidates`` (node, root) connect.
+
+    ``own`` has row, fp, signature and shingles; ``texts`` word_hash, row and n
+    of each distinct text.  Groups of more than ``limit`` shingles are dealt
+    out as pairs of parts.
+    """
+    members = candidates.union(candidates.select("root", "root").distinct())
+    members = materialize(members.join(texts.select(F.col("word_hash").alias("node"), "row", "n"), "node").select("node", "root", "row", "n"))
+    parts = members.groupBy("root").agg(F.ceil(F.sum("n") / limit).cast("int").alias("parts"))
+    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.least(F.col("mine"), j) * F.col("parts") + F.greatest(F.col("mine"), j))
+    dealt = materialize(members.join(parts, "root").withColumn("mine", mine).select("root", "node", "row", pair.alias("pairs")))
+    full = own.select("row", "fp", "signature", "shingles").join(dealt, "row").select("root", F.explode("pairs").alias("part"), "node", "fp", "signature", "shingles")
+    full = full.repartition("root", "part").sortWithinPartitions("root", "part")
+    return full.mapInArrow(_confirmed, "u long, v long")
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, word_hash and component_id for each row of ``docs``: equal and similar texts have one component."""
-    own = materialize(described(docs))
-    first = materialize(own.groupBy("word_hash").agg(F.min("doc_id").alias("low"), F.first("fp").alias("fp"), F.first("signature").alias("signature")))
-    roots = connected(near_links(first.drop("low"))).withColumnRenamed("node", "word_hash")
+    own = materialize(described(docs).withColumn("row", F.monotonically_increasing_id()))
+    same = [F.first(c).alias(c) for c in ("fp", "signature", "n")]
+    first = materialize(own.groupBy("word_hash").agg(F.min("doc_id").alias("low"), F.min("row").alias("row"), *same))
+    candidates = connected(near_links(first.select("word_hash", "fp", "signature")))
+    roots = connected(exact_links(own, first, candidates)).withColumnRenamed("node", "word_hash")
     placed = materialize(first.select("word_hash", "low").join(roots, "word_hash", "left").select("word_hash", "low", F.coalesce("root", "word_hash").alias("root")))
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     named = placed.join(lowest, "root").select("word_hash", "component_id")

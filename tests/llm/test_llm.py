@@ -277,6 +277,21 @@ def test_near_copies(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("limit", [1 << 21, 2000])
+def test_near_copies_are_exact(spark, monkeypatch, limit):
+    # 300 shingles each, of which the last ones differ: 0.802 with 33 of them, 0.796 with 34, 0.76 with 41
+    monkeypatch.setattr(simhash.exact_links, "__defaults__", (limit,))
+    rng = np.random.default_rng(15)
+    rows, want = [], {}
+    for k in range(120):
+        differ = (33, 34, 41)[k % 3]
+        text = rng.choice([f"w{i}" for i in range(100_000)], 304 + differ, replace=False).tolist()
+        rows += [(10 * k, " ".join(text[:304])), (10 * k + 1, " ".join(text[: 304 - differ] + text[304:]))]
+        want |= {10 * k: 10 * k, 10 * k + 1: 10 * k + (differ != 33)}
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_near_copies_with_repeats(spark):
     rng = np.random.default_rng(14)
     rows = []
