@@ -1,20 +1,25 @@
 """Line dedup by winnowing over line hashes, with DataFrame functions only.
 
-A run is a sequence of consecutive non-blank lines with more than
-``min_words`` words.  From each line, the shortest run forwards and the
-shortest run backwards are windows; each window is represented by its minimum
-line hash (the rightmost one among ties), together with the hash of its lines.
-Every repeat of a run shares all windows inside it, and these cover all its
-lines, so the fingerprints guarantee that every repeated run is found.
-Fingerprints are joined with the position of their first occurrence, never
-with each other; a match then extends from the anchor both ways to the ends of
-its window, and overlapping windows make up the whole run.  All lines of later
-occurrences are deleted.
+A window is a shortest sequence of consecutive non-blank lines with more than
+``min_words`` words, forwards or backwards from some line.  Of each window one
+line is selected, that of the smallest hash (the rightmost one among ties): the
+fingerprints are these lines alone, with their places.  Every repeat of a run of
+more than ``min_words`` words holds the same windows and thus the same selected
+lines, so that no repeat is missed.
+
+Selected lines meet by their hash, each with the first of all (never with each
+other), and lines whose hash is selected once are gone here.  A match is extended
+both ways from the selected line, line by line, as long as both sides agree; the
+windows inside it are repeats.  What the first occurrence doesn't cover (the line
+is common, what surrounds it differs) is compared with all others by the digest
+of the lines around the selected one, again with the first of each digest.  As
+both occurrences of a window agree on it, what the first one doesn't cover of one
+it doesn't cover of the other, so that nothing is lost between the two steps.
 
 A line is deleted exactly if it lies in a run of more than ``min_words`` words
 whose lines have occurred before: in a document of smaller ``doc_id`` (ties: of
 smaller text hash), or further up in the same one.  Lines are compared without
-white space at their ends; words are counted by single spaces.
+white space at their ends; words are runs of anything but ASCII white space.
 
 Results on unusual input: null texts are empty and stay null; blank lines are
 never deleted, but a document that loses all other lines becomes empty; rows
@@ -25,44 +30,99 @@ further columns are ignored by ``removals`` and kept by ``dedup``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 MIN_WORDS = 50
+_SPACE = " \t\r\x0b\x0c"
+#: A window is one number: its start times this, and its lines (at most one a word).
+_CODE = 1 << 20
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, mark (hash of the text), hs and ws: hashes and word counts of the non-blank lines."""
-    cleaned = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.expr("filter(transform(split(coalesce(text, ''), '\n'), x -> btrim(x, ' \t\r')), x -> x <> '')").alias("rows"))
-    words = "cast(length(x) - length(replace(x, ' ', '')) + 1 as bigint)"
-    return cleaned.select("doc_id", "mark", F.expr("transform(rows, x -> xxhash64(x))").alias("hs"), F.expr(f"transform(rows, x -> {words})").alias("ws"))
+    # texts with nothing but single spaces between words, as most are, are counted without a pattern
+    wide = " or ".join(f"contains(text, '{x}')" for x in ("  ", *_SPACE[1:]))
+    rows = f"filter(transform(split(coalesce(text, ''), '\n'), x -> btrim(x, '{_SPACE}')), x -> x <> '')"
+    cleaned = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.expr(rows).alias("rows"), F.expr(wide).alias("wide"))
+    count, fast = f"size(split(x, '[{_SPACE}]+'))", "length(x) - length(replace(x, ' ', '')) + 1"
+    words = f"if(wide, transform(rows, x -> cast({count} as bigint)), transform(rows, x -> cast({fast} as bigint)))"
+    return cleaned.select("doc_id", "mark", F.expr("transform(rows, x -> xxhash64(x))").alias("hs"), F.expr(words).alias("ws"))
+
+
+def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, mark, hs, at (the windows in order, start * 2^20 + lines) and anchors (the selected line of each) of each row.
+
+    Starts and ends of the windows in order never go back, and neither do the selected lines.
+    """
+    # a slice of ``most`` lines holds any window; the sum is words * 2^20 + lines
+    most = min_words + 1
+    reach = f"(a, w) -> if(a >= {most * _CODE}, a, a + w * {_CODE} + 1), a -> if(a >= {most * _CODE}, a % {_CODE}, 0L)"
+    forth = f"transform(ws, (w, i) -> i * {_CODE}L + aggregate(slice(ws, i + 1, {most}), 0L, {reach}))"
+    back = f"transform(transform(ws, (w, i) -> aggregate(reverse(slice(ws, greatest(1, i + 2 - {most}), least(i + 1, {most}))), 0L, {reach})), (n, i) -> if(n > 0, (i - n + 1) * {_CODE}L + n, 0L))"
+    found = _lines(docs).select("doc_id", "mark", "hs", F.expr(f"sort_array(array_distinct(filter(concat({forth}, {back}), x -> x % {_CODE} > 0)))").alias("at"))
+    run = f"slice(hs, cast(x div {_CODE} as int) + 1, cast(x % {_CODE} as int))"
+    anchor = f"cast(x div {_CODE} + x % {_CODE} as int) - cast(array_position(reverse({run}), array_min({run})) as int)"
+    return found.withColumn("anchors", F.expr(f"transform(at, x -> {anchor})"))
 
 
 def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each window: doc_id, mark, start, size (in non-blank lines), anchor, least and content."""
-    # a window has at most one line a word, so that a slice of ``most`` lines holds it; the sum is words * 1024 + lines
-    most, unit = min_words + 1, 1 << 20
-    reach = f"(a, w) -> if(a >= {most * unit}, a, a + w * {unit} + 1), a -> cast(if(a >= {most * unit}, a % {unit}, 0) as int)"
-    forth = f"transform(ws, (w, i) -> named_struct('start', i, 'size', aggregate(slice(ws, i + 1, {most}), 0L, {reach})))"
-    back = f"transform(transform(ws, (w, i) -> aggregate(reverse(slice(ws, greatest(1, i + 2 - {most}), least(i + 1, {most}))), 0L, {reach})), (n, i) -> named_struct('start', i - n + 1, 'size', n))"
-    found = _lines(docs).select("doc_id", "mark", "hs", F.explode(F.expr(f"array_distinct(filter(concat({forth}, {back}), x -> x.size > 0))")).alias("at"))
-    found = found.select("doc_id", "mark", "at.start", "at.size", F.expr("slice(hs, at.start + 1, at.size)").alias("run"))
-    found = found.select("doc_id", "mark", "start", "size", "run", F.array_min("run").alias("least"))
-    anchor = F.col("start") + F.col("size") - F.array_position(F.reverse("run"), F.col("least")).cast("int")
-    return found.select("doc_id", "mark", "start", "size", anchor.alias("anchor"), "least", F.xxhash64("size", "run").alias("content"))
+    """A row for each selected line: doc_id, mark, place, least (its hash), wins (the windows that select it), low and around.
+
+    ``around`` holds the hashes of the lines that these windows cover, from line ``low`` on.
+    """
+    found = windows(docs, min_words)
+    edges = F.expr("filter(sequence(0, size(anchors)), i -> i = 0 or i = size(anchors) or anchors[i] <> anchors[i - 1])")
+    found = found.withColumn("edges", edges)
+    found = found.select("doc_id", "mark", "hs", "at", "anchors", F.explode(F.expr("transform(slice(edges, 1, size(edges) - 1), (x, i) -> named_struct('from', x, 'to', edges[i + 1]))")).alias("e"))
+    found = found.select("doc_id", "mark", "hs", F.expr("anchors[e.from]").alias("place"), F.expr("slice(at, e.from + 1, e.to - e.from)").alias("wins"))
+    last = "element_at(wins, -1)"
+    low, high = f"cast(wins[0] div {_CODE} as int)", f"cast({last} div {_CODE} + {last} % {_CODE} as int)"
+    return found.select("doc_id", "mark", "place", F.expr("hs[place]").alias("least"), "wins", F.expr(low).alias("low"), F.expr(f"slice(hs, {low} + 1, {high} - {low})").alias("around"))
+
+
+def _agreeing(most: str, here: str, there: str) -> Column:
+    """How many lines agree from the selected one on, up to ``most``; ``here`` and ``there`` name the i-th line."""
+    return F.expr(f"if({most} < 1, 0, coalesce(array_min(filter(sequence(1, greatest(1, {most})), i -> {here} <> {there})), {most} + 1) - 1)")
+
+
+def extended(later: DataFrame) -> DataFrame:
+    """``later`` with low_end and high_end: the first and the last line that agree with the first occurrence around the selected one.
+
+    ``later`` has place, low, around, and first_at and first_around: where the first occurrence's line stands in its lines.
+    """
+    df = later.withColumn("own_at", F.col("place") - F.col("low"))
+    back = _agreeing("least(own_at, first_at)", "around[own_at - i]", "first_around[first_at - i]")
+    forth = _agreeing("least(size(around) - own_at, size(first_around) - first_at) - 1", "around[own_at + i]", "first_around[first_at + i]")
+    return df.withColumn("low_end", F.col("place") - back).withColumn("high_end", F.col("place") + forth).drop("own_at")
+
+
+def _covered(wins: str) -> Column:
+    """The lines of windows."""
+    return F.array_distinct(F.flatten(F.transform(wins, lambda x: F.sequence(F.floor(x / _CODE).cast("int"), (F.floor(x / _CODE) + x % _CODE - 1).cast("int")))))
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, mark and removed: the sorted places, among a text's non-blank lines, of those in repeated runs."""
     prints = materialize(fingerprints(docs, min_words))
-    here = F.struct("doc_id", "mark", "start")
-    first = prints.groupBy("least", "content").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("not (first <=> last)")
-    later = prints.join(first.drop("last"), ["least", "content"]).filter(here > F.col("first"))
-    # from the anchor both ways to the ends of the window
-    back, forth = F.sequence("start", "anchor"), F.sequence("anchor", F.col("start") + F.col("size") - 1)
-    lines = later.select("doc_id", "mark", F.explode(F.array_union(back, forth)).alias("line"))
+    here = F.struct("doc_id", "mark", "place")
+    first = prints.groupBy("least").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("not (first <=> last)").drop("last")
+    shared = prints.join(first, "least")
+    origin = shared.filter(here == F.col("first")).groupBy("least").agg(F.first(F.struct((F.col("place") - F.col("low")).alias("at"), "around")).alias("o"))
+    origin = origin.select("least", F.col("o.at").alias("first_at"), F.col("o.around").alias("first_around"))
+    later = extended(shared.filter(here > F.col("first")).join(origin, "least"))
+    inside = F.expr(f"filter(wins, x -> x div {_CODE} >= low_end and x div {_CODE} + x % {_CODE} - 1 <= high_end)")
+    later = materialize(later.select("doc_id", "mark", "place", "least", "low", "around", inside.alias("met"), F.array_except("wins", inside).alias("rest")))
+    # common lines in other surroundings: each window by its digest, with the first of them
+    rest = later.filter("size(rest) > 0").select("doc_id", "mark", "place", "least", "low", "around", F.explode("rest").alias("x"))
+    start, size = f"cast(x div {_CODE} as int)", f"cast(x % {_CODE} as int)"
+    rest = rest.select("doc_id", "mark", "place", "x", "least", F.expr(f"place - {start}").alias("before"), F.expr(f"xxhash64({size}, slice(around, {start} - low + 1, {size}))").alias("digest"))
+    key = ["least", "before", "digest"]
+    again = rest.groupBy(*key).agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("not (first <=> last)").drop("last")
+    repeated = rest.join(again, key).filter(here > F.col("first")).select("doc_id", "mark", F.array("x").alias("met"))
+    lines = later.filter("size(met) > 0").select("doc_id", "mark", "met").unionByName(repeated).select("doc_id", "mark", F.explode(_covered("met")).alias("line"))
     return lines.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
@@ -72,7 +132,7 @@ def deduped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     same = docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__mark"])
     out = docs.join(gone, same, "left").drop("__id", "__mark")
     out = out.withColumn("__rows", F.expr("split(text, '\n')"))
-    out = out.withColumn("__full", F.expr("filter(transform(__rows, (x, i) -> if(btrim(x, ' \t\r') <> '', i, -1)), i -> i >= 0)"))
+    out = out.withColumn("__full", F.expr(f"filter(transform(__rows, (x, i) -> if(btrim(x, '{_SPACE}') <> '', i, -1)), i -> i >= 0)"))
     kept = "array_join(transform(array_except(sequence(0, size(__rows) - 1), transform(__removed, j -> __full[j])), i -> __rows[i]), '\n')"
     text = F.expr(f"case when __removed is null then text when size(__removed) = size(__full) then '' else {kept} end")
     return out.withColumn("__n_lines", F.coalesce(F.size("__full"), F.lit(0)).cast("long")).withColumn("text", text).drop("__rows", "__full")
@@ -102,12 +162,11 @@ WITH split AS (
 ), rows AS (
   SELECT doc_id, unnest(raw) AS line, unnest(range(len(raw))) AS p FROM split
 ), full_rows AS (
-  SELECT doc_id, line, p, trim(line, ' ' || chr(9) || chr(13)) AS t FROM rows
+  SELECT doc_id, line, p, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS t FROM rows
 ), lines AS (
   SELECT doc_id, t, p, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS i,
-         sum(length(t) - length(replace(t, ' ', '')) + 1) OVER (PARTITION BY doc_id ORDER BY p) AS upto,
-         length(t) - length(replace(t, ' ', '')) + 1 AS w
-  FROM full_rows WHERE t <> ''
+         sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS upto, w
+  FROM (SELECT *, len(regexp_extract_all(t, '[^ \\t\\r\\x0b\\x0c]+')) AS w FROM full_rows WHERE t <> '')
 ), docs AS (
   SELECT doc_id, list(t ORDER BY i) AS ts, list(upto ORDER BY i) AS us, list(w ORDER BY i) AS ws, count(*) AS n FROM lines GROUP BY doc_id
 ), windows AS (

@@ -478,7 +478,7 @@ def test_licence_frequencies_count_all_documents(spark):
 
 def test_line_dedup_equals_sql(spark, tmp_path):
     rng = np.random.default_rng(10)
-    pool = [" ".join(rng.choice(list("abcdefg"), n)) for n in (3, 5, 8, 13, 20, 30, 52, 60)] + ["", "  "]
+    pool = [" ".join(rng.choice(list("abcdefg"), n)) for n in (3, 5, 8, 13, 20, 30, 52, 60)] + ["", "  ", "\t".join("abc" * 18), "x" + " " * 60 + "y", "\x0b", "a\x0c b \t c"]
     rows = [(i, "\n".join(rng.choice(pool, rng.integers(1, 30)))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     docs.toPandas().to_parquet(tmp_path / "documents.parquet")
@@ -493,3 +493,56 @@ def test_line_dedup_keeps_first(spark):
     long = " ".join(f"w{i}" for i in range(51))
     docs = spark.createDataFrame([(1, f"head\n{long}\ntail"), (2, f"{long} \nother"), (3, f"{long}"), (4, "head\nother")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in line_dedup.dedup(docs).collect()} == {1: f"head\n{long}\ntail", 2: "other", 4: "head\nother"}
+
+
+def test_line_words_are_runs_of_other_than_white_space(spark):
+    tabs, padded = "\t".join(f"w{i}" for i in range(60)), "  ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, tabs), (2, f"{tabs}\nmore"), (3, padded), (4, padded), (5, "\x0b\n" + tabs)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup(docs).collect()} == {1: tabs, 2: "more", 3: padded, 4: padded}
+
+
+def selected_lines(text, min_words):
+    """By hand: the hash of each window's smallest line, its place, and the lines of the windows that select it."""
+    lines = [x.strip(" \t\r\x0b\x0c") for x in text.split("\n")]
+    lines = [x for x in lines if x]
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in lines]
+    hashes = [h - (1 << 64) if h >> 63 else h for h in hashes]
+    windows = set()
+    for i in range(len(lines)):
+        for j in range(i, len(lines)):
+            total = lambda a, b: sum(len(x.split()) for x in lines[a : b + 1])
+            if total(i, j) > min_words and (total(i, j - 1) <= min_words or total(i + 1, j) <= min_words):
+                windows.add((i, j))
+    out = {}
+    for i, j in windows:
+        place = max(range(i, j + 1), key=lambda k: (-hashes[k], k))
+        low, high, n = out.get(place, (i, j, 0))
+        out[place] = (min(low, i), max(high, j), n + 1)
+    return {(p, hashes[p], low, tuple(hashes[low : high + 1]), n) for p, (low, high, n) in out.items()}, len(windows)
+
+
+def test_line_fingerprints_are_window_minima(spark):
+    rng = np.random.default_rng(20)
+    pool = [" ".join(rng.choice(list("abcdefg"), n)) for n in (1, 2, 3, 5, 8, 13, 20)]
+    texts = ["\n".join(rng.choice(pool, rng.integers(0, 40))) for _ in range(40)] + ["", "one line", "\n".join(["same"] * 70)]
+    got = {}
+    for r in line_dedup.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 12).collect():
+        got.setdefault(r.doc_id, set()).add((r.place, r.least, r.low, tuple(r.around), len(r.wins)))
+    want = {i: selected_lines(t, 12) for i, t in enumerate(texts)}
+    assert got == {i: w for i, (w, _) in want.items() if w}
+    assert 1.5 * sum(map(len, got.values())) < sum(n for _, n in want.values())
+
+
+def test_line_matches_extend_both_ways(spark):
+    rows = [(3, 0, [1, 2, 3, 9, 4, 5], 3, [1, 2, 3, 9, 4, 5]), (3, 0, [1, 2, 3, 9, 4, 5], 2, [2, 3, 9, 4, 6]), (3, 1, [7, 3, 9], 0, [9, 4]), (5, 5, [9], 0, [9]), (6, 5, [8, 9], 3, [1, 2, 7, 9])]
+    df = spark.createDataFrame(rows, "place int, low int, around array<long>, first_at int, first_around array<long>")
+    assert [(r.low_end, r.high_end) for r in line_dedup.extended(df.coalesce(1)).collect()] == [(0, 5), (1, 4), (3, 3), (5, 5), (6, 6)]
+
+
+def test_common_lines_in_other_surroundings(spark):
+    # every document selects the line of the smallest hash; what stands around it repeats in pairs only
+    common = min((f"common {i}" for i in range(500)), key=lambda x: (h := xxhash.xxh64_intdigest(x.encode(), 42)) - (1 << 64) * (h >> 63))
+    part = lambda tag, n: "\n".join(f"{tag} " + " ".join(f"{tag}{i}x{k}" for k in range(9)) for i in range(n))
+    rows = [(i, f"{part(f'p{i // 2}', 4)}\n{common}\n{part(f's{i // 2}', 4)}") for i in range(20)] + [(30, f"{part('p3', 4)}\n{common}\n{part('q', 4)}"), (31, f"{part('q', 1)}\n{common}\n{part('s5', 4)}")]
+    got = {r.doc_id: r.removed for r in line_dedup.removals(spark.createDataFrame(rows, "doc_id long, text string"), 30).collect()}
+    assert got == {i: list(range(9)) for i in range(1, 20, 2)} | {30: [0, 1, 2, 3, 4], 31: [1, 2, 3, 4, 5]}
