@@ -1,21 +1,27 @@
-"""License scans with a positional index of words, with DataFrame functions only.
-
-Each template is a sequence of words, of which the stop words only hold
-places, and has a mandatory key phrase.  The index posts each other word of
-each template with its place.  All words of a document that are in the index
-are looked up and their postings intersected by relative place: words that
-stand as far apart as in the template vote for one start, whatever their
-inverse document frequency (over all documents), which only weighs the score.
-A start with enough votes names the label if the template's key phrase stands
-there.
+"""License scans with a positional index of rare words, with DataFrame functions only.
+
+Each template is a sequence of words with a mandatory key phrase; its stop words
+only hold places.  The index posts each other word with its places in each
+template.  A first pass counts, over all documents, in how many each index word
+stands; there are as many counts as index words.  The second pass handles each
+file by itself: its index words are ranked by inverse document frequency, and for
+each template the highest-ranked of them in the key phrase is looked up.  (A file
+with the whole phrase has all its words, so that none is lost by looking up one.)
+Where it stands, less its place in the template, is a possible start.  From each
+start, the postings of the template are intersected with the file's words by
+relative place.  The label is given where enough of them agree and every word of
+the key phrase, stop words included, stands in its place.  The score is the share
+of the template's inverse document frequencies that stand in place, so that 1 is
+a whole template.
 
 The base phrases are found beside this: places where their words stand one
 after the other.
 
 Results on unusual input: null and empty texts have no words and no labels; a
-document without base phrase has null first and last words; repeated rows get
-equal results; an empty table gives an empty result; further columns are
-ignored.
+document without base phrase has null first and last words; among several starts
+of a template the best score counts, and index words of equal frequency rank by
+themselves, the smaller one first; repeated rows get equal results; an empty
+table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,32 +29,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-
 # Base phrases with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Words of well-known licence notices, by label; the key phrase stands in brackets.
+# Beginnings and sentences of well-known licence notices, by label; the key phrase stands in brackets.
 TEMPLATES = {
     "agpl": "gnu [affero general public license]",
     "apache": "licensed under the [apache license] version 2 0",
     "apache-terms": "you may not use this file except in compliance with the [license]",
+    "artistic": "licensed under the [artistic license] 2 0",
+    "boost": "distributed under the [boost software license] version 1 0",
     "bsd": "[redistribution and use in source and binary forms] with or without modification are permitted",
+    "bsd-endorse": "[may be used to endorse or promote products] derived from this software without specific prior written permission",
     "cc": "licensed under a [creative commons] attribution license",
     "cc-by-nc": "licensed under [cc by nc] 4 0",
     "cc-by-nd": "licensed under [cc by nd] 4 0",
     "cc-by-sa": "licensed under [cc by sa] 4 0",
     "cc0": "[cc0 1 0 universal] public domain dedication",
+    "cddl": "subject to the terms of the [common development and distribution license]",
     "epl": "[eclipse public license] version 2 0",
+    "gfdl": "under the terms of the [gnu free documentation license]",
     "gpl": "licensed under the [gnu general public license] version 3",
+    "gpl-notice": "this program is free software [you can redistribute it and or modify it] under the terms of the gnu general public license as published by the free software foundation",
     "isc": "released under the [isc license]",
+    "isc-terms": "[permission to use copy modify and or distribute this software] for any purpose with or without fee is hereby granted",
     "lgpl": "gnu [lesser general public license] version",
     "mit": "released under the [mit license]",
+    "mit-notice": "[the above copyright notice and this permission notice] shall be included in all copies or substantial portions of the software",
     "mit-terms": "[permission is hereby granted free of charge] to any person obtaining a copy",
     "mpl": "subject to the terms of the [mozilla public license]",
+    "ofl": "licensed under the [sil open font license] version 1 1",
     "public-domain": "released into the [public domain]",
     "unlicense": "[free and unencumbered software] released into the public domain",
     "warranty": "provided as is [without warranty of any kind] express or implied",
+    "zlib": "this software is provided [as is without any express or implied warranty] in no event will the authors be held liable",
 }
 
 STOP = frozenset("a all and any are as at be by for from in into is it no not of on or that the this to under with you use may".split())
@@ -56,35 +70,75 @@ STOP = frozenset("a all and any are as at be by for from in into is it no not of
 QUORUM = 0.4
 
 
-def _postings() -> list[tuple[str, str, int, int, int]]:
-    """label, word, place, posted words of the template, and whether the word is in its key phrase."""
+def postings() -> list[tuple[str, str, int, bool, bool]]:
+    """label, word, place, and whether the word is posted (no stop word) and in the key phrase, of each word of each template."""
     rows = []
     for label, text in TEMPLATES.items():
-        words, key, inside = [], [], False
-        for token in text.split():
+        inside = False
+        for at, token in enumerate(text.split()):
             inside = inside or token.startswith("[")
-            words.append(token.strip("[]"))
-            key.append(inside)
+            word = token.strip("[]")
+            rows.append((label, word, at, word not in STOP, inside))
             inside = inside and not token.endswith("]")
-        posted = [(w, i) for i, w in enumerate(words) if w not in STOP]
-        rows += [(label, w, i, len(posted), int(key[i])) for w, i in posted]
     return rows
 
 
+def index_words() -> list[str]:
+    return sorted({w for _, w, _, posted, _ in postings() if posted})
+
+
 def _words(text: Column) -> Column:
-    """The text's words (ASCII lower-cased), with one space before and after each."""
+    """The text's words (lower-cased), with one space before and after each."""
+    # two characters beyond ASCII have ASCII lower-case forms; as any other letters they are kept out of phrases
+    for c in "\u212a\u0130":
+        text = F.replace(text, F.lit(c), F.lit("\u00e5"))
     return F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")), F.lit(" "))
 
 
-def found_words(docs: DataFrame) -> DataFrame:
-    """Per row: row, doc_id, n_words, the base phrases' n_base, first_word, last_word, base_labels, words and hits.
+def frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
+    """The number of documents, and in how many of them each index word stands: a row for each index word at most."""
+    words = ", ".join(f"'{w}'" for w in index_words())
+    norm = docs.select(_words(F.coalesce("text", F.lit(""))).alias("w"))
+    # the empty word counts the documents
+    seen = norm.select(F.explode(F.expr(f"concat(array(''), array_distinct(filter(split(w, ' '), x -> x in ({words}))))")).alias("word"))
+    found = {r.word: r.n for r in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}
+    return found.get("", 0), {w: found.get(w, 0) for w in index_words()}
+
+
+def matches(w: str, n: int, found: dict[str, int]) -> Column:
+    """label and score of each template that stands in the normalised text of column ``w``."""
+    idf = lambda word: f"ln(({n} + 1) / ({found.get(word, 0)} + 0.5D))"
+    array = lambda rows: f"array({', '.join(rows)})"
+    templates = []
+    for label in TEMPLATES:
+        own = [x for x in postings() if x[0] == label]
+        posts = [f"named_struct('word', '{v}', 'at', {at}, 'idf', {idf(v)})" for _, v, at, posted, _ in own if posted]
+        key = [f"named_struct('word', '{v}', 'at', {at})" for _, v, at, _, inside in own if inside]
+        phrase = " ".join(v for _, v, _, _, inside in own if inside)
+        templates.append(f"named_struct('label', '{label}', 'phrase', ' {phrase} ', 'need', {QUORUM}D * {len(posts)}, 'posts', {array(posts)}, 'key', {array(key)})")
+    ranked = [f"'{v}'" for v in sorted(index_words(), key=lambda v: (found.get(v, 0), v))]
+
+    # let(x, v, e): e with x for the value v, computed once
+    let = lambda name, value, body: f"transform(array({value}), {name} -> {body})[0]"
+    score = "aggregate(m, 0D, (a, y) -> a + y.idf) / aggregate(t.posts, 0D, (a, y) -> a + y.idf)"
+    verified = "forall(t.key, y -> coalesce(get(ws, s + y.at) = y.word, false))"
+    from_start = let("m", "filter(t.posts, y -> get(ws, s + y.at) = y.word)", f"if(size(m) >= t.need and {verified}, {score}, 0D)")
+    places = "filter(transform(ws, (x, j) -> if(x = p, j, -1)), j -> j >= 0)"
+    starts = f"flatten(transform(filter(t.key, y -> y.word = p), y -> transform({places}, j -> j - y.at)))"
+    looked_up = let("p", "filter(ranks, x -> exists(t.key, y -> y.word = x))[0]", f"coalesce(array_max(transform({starts}, s -> {from_start})), 0D)")
+    each = f"transform(hits, t -> named_struct('label', t.label, 'score', {looked_up}))"
+    own_ranks = let("mine", f"array_intersect(ws, {array(ranked)})", f"filter({array(ranked)}, x -> array_contains(mine, x))")
+    placed = let("ws", f"split(btrim({w}), ' ')", let("ranks", own_ranks, f"filter({each}, x -> x.score > 0)"))
+    return F.expr(let("hits", f"filter({array(templates)}, t -> contains({w}, t.phrase))", f"if(size(hits) = 0, cast(array() as array<struct<label:string,score:double>>), {placed})"))
+
 
-    ``words`` holds the different words in the index, ``hits`` place and word of each where a key phrase may stand; one pass over the texts makes them.
+def scan(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels (sorted, base ones included) and score for each row of ``docs``.
+
+    The score is 1 with a base label, else that of the best template.
     """
-    index = sorted({w for _, w, *_ in _postings()})
-    # a text without any of these has no key phrase, whatever else it holds
-    needed = sorted({_anchor(label) for label in TEMPLATES})
-    norm = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _words(F.coalesce("text", F.lit(""))).alias("w"))
+    n, found = frequencies(docs)
+    norm = docs.select("doc_id", _words(F.coalesce("text", F.lit(""))).alias("w"))
     phrase = "|".join(BASE)
     has = {label: F.col("w").contains(f" {p} ") for p, label in BASE.items()}
     any_base = F.lit(False)
@@ -93,64 +147,54 @@ def found_words(docs: DataFrame) -> DataFrame:
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     before_first = F.regexp_extract("w", rf"(?s)\A(.*?) (?:{phrase}) ", 1)
     before_last = F.regexp_extract("w", rf"(?s)\A(.*) (?:{phrase}) ", 1)
-    wanted = F.lit(False)
-    for word in needed:
-        wanted |= F.col("w").contains(f" {word} ")
-    quoted = ", ".join(f"'{w}'" for w in index)
-    hits = F.expr(f"filter(transform(split(w, ' '), (x, i) -> named_struct('place', i - 1, 'word', x)), x -> x.word in ({quoted}))")
-    words = F.expr(f"array_distinct(filter(split(w, ' '), x -> x in ({quoted})))")
-    none = F.array().cast("array<struct<place:int,word:string>>")
-    return norm.select(
-        "row",
+    out = norm.select(
         "doc_id",
         F.when(F.col("w") == "  ", 0).otherwise(spaces(F.col("w")) - 1).cast("long").alias("n_words"),
         F.when(any_base, F.regexp_count("w", F.lit(rf" (?:{phrase})(?= )"))).otherwise(0).cast("long").alias("n_base"),
         F.when(any_base, spaces(before_first)).cast("long").alias("first_word"),
         F.when(any_base, spaces(before_last)).cast("long").alias("last_word"),
         F.array_compact(F.array(*(F.when(has[label], F.lit(label)) for label in sorted(has)))).alias("base_labels"),
-        words.alias("words"),
-        F.when(wanted, hits).otherwise(none).alias("hits"),
+        matches("w", n, found).alias("found"),
     )
-
-
-def _anchor(label: str) -> str:
-    """The longest word of the key phrase; a text without it can't hold the phrase."""
-    return max((w for x, w, _, _, key in _postings() if x == label and key), key=lambda w: (len(w), w))
-
-
-def matches(found: DataFrame, quorum: float = QUORUM) -> DataFrame:
-    """row, label and score of each template that stands in a row of ``found_words``."""
-    spark = found.sparkSession
-    index = spark.createDataFrame(_postings(), "label string, word string, at int, posted int, key int")
-    keys = index.groupBy("label").agg(F.sum("key").alias("keys"))
-    hits = found.filter("size(hits) > 0").select("row", "hits", F.explode("hits").alias("h")).select("row", "h.word", "h.place")
-    # document frequencies over all documents, with hits or without; words of the index only, so one row for each
-    df = found.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    idf = df.select("word", F.log((found.count() + 1) / (F.col("df") + 0.5)).alias("idf"))
-    weighed = index.join(F.broadcast(idf), "word")
-    # every word of a template proposes starts, so that none is lost where its words are common
-    votes = hits.join(F.broadcast(weighed), "word")
-    votes = votes.select("row", "label", (F.col("place") - F.col("at")).alias("start"), "posted", "key", "idf")
-    mass = weighed.groupBy("label").agg(F.sum("idf").alias("mass"))
-    tallied = votes.groupBy("row", "label", "start").agg(F.count("*").alias("n"), F.sum("key").alias("key"), F.first("posted").alias("posted"), F.sum("idf").alias("idf"))
-    tallied = tallied.join(F.broadcast(keys), "label").join(F.broadcast(mass), "label")
-    good = tallied.filter((F.col("key") == F.col("keys")) & (F.col("n") >= quorum * F.col("posted")))
-    return good.groupBy("row", "label").agg(F.max(F.least(F.lit(1.0), F.col("idf") / F.col("mass"))).alias("score"))
-
-
-def scan(docs: DataFrame) -> DataFrame:
-    """``found_words`` without words and hits, with labels (sorted, base ones included) and score for each row of ``docs``.
-
-    The score is 1 with a base label, else the best template's share of idf found in place.
-    """
-    found = materialize(found_words(docs))
-    named = matches(found).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("score").alias("best"))
-    out = found.drop("words", "hits").join(named, "row", "left").drop("row")
-    labels = F.array_sort(F.array_union("base_labels", F.coalesce("more", F.array().cast("array<string>"))))
-    score = F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
-    return out.withColumn("labels", labels).withColumn("score", score).drop("more", "best")
+    labels = F.array_sort(F.array_union("base_labels", F.transform("found", lambda m: m["label"])))
+    score = F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("found", lambda m: m["score"])), F.lit(0.0)))
+    return out.withColumn("labels", labels).withColumn("score", score).drop("found")
 
 
 def query(docs: DataFrame) -> DataFrame:
     found = scan(docs)
-    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), F.round("score", 6).alias("score"))
+
+
+_POSTED = ", ".join(f"('{label}', '{w}', {at}, {posted}, {key})" for label, w, at, posted, key in postings())
+
+#: Every template against every start that one of its key words gives, by joins; no ranking.
+ORACLE = f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS place FROM texts
+), base AS (
+  SELECT doc_id, i AS place, CASE WHEN ws[i + 1] = 'cc' AND ws[i + 2] = 'by' THEN 'cc-by' WHEN ws[i + 1] = 'general' AND ws[i + 2] = 'public' AND ws[i + 3] = 'license' THEN 'gpl'
+    WHEN ws[i + 1] = 'all' AND ws[i + 2] = 'rights' AND ws[i + 3] = 'reserved' THEN 'reserved' END AS label
+  FROM (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM texts)
+), based AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base WHERE label IS NOT NULL GROUP BY doc_id
+), posts(label, word, spot, posted, key) AS (VALUES {_POSTED}), rare AS (
+  SELECT w.word, ln(((SELECT count(*) FROM documents) + 1) / (coalesce(f.n, 0) + 0.5)) AS idf FROM (SELECT DISTINCT word FROM posts WHERE posted) w LEFT JOIN (SELECT word, count(DISTINCT doc_id) AS n FROM words GROUP BY word) f USING (word)
+), starts AS (
+  SELECT DISTINCT doc_id, label, place - spot AS start FROM words JOIN posts USING (word) WHERE key
+), stood AS (
+  SELECT s.doc_id, s.label, s.start, sum(CASE WHEN posted THEN 1 ELSE 0 END) AS n, sum(CASE WHEN key THEN 1 ELSE 0 END) AS keys, sum(idf) AS idf
+  FROM starts s JOIN posts p USING (label) JOIN words w ON w.doc_id = s.doc_id AND w.place = s.start + p.spot AND w.word = p.word LEFT JOIN rare r ON r.word = p.word AND p.posted GROUP BY ALL
+), needed AS (
+  SELECT label, {QUORUM} * count(*) FILTER (posted) AS need, count(*) FILTER (key) AS keys, sum(idf) AS idf FROM posts p LEFT JOIN rare r ON r.word = p.word AND p.posted GROUP BY label
+), found AS (
+  SELECT doc_id, label, max(s.idf / t.idf) AS score FROM stood s JOIN needed t USING (label) WHERE s.keys = t.keys AND n >= need GROUP BY ALL
+), named AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM found WHERE score > 0 UNION ALL SELECT doc_id, label FROM base WHERE label IS NOT NULL) GROUP BY doc_id
+), best AS (SELECT doc_id, max(score) AS score FROM found GROUP BY doc_id)
+SELECT t.doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(score, 0) END, 6)::DOUBLE AS score
+FROM texts t LEFT JOIN based USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)
+"""

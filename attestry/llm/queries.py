@@ -72,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op9_license_scan": licences.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
