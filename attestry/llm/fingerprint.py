@@ -1,23 +1,27 @@
 """Document fingerprints by winnowing, with DataFrame functions only.
 
 A text's units are its words between white space, those of over ``PIECE`` code
-points cut into all their pieces of that length, one from each place.  (Without
-pieces, ``fingerprints`` takes the words between single spaces and, of texts
-under ``SHORT`` code points, also the characters.)  The hash of each k-gram of
-units (the first ones are filled up in front) is combined with its place, so
-that the least value in a window of w k-grams is the smallest hash, the
-rightmost among ties.  The minima of all windows, with their places, are the
-fingerprint: two texts that share w + k - 1 consecutive units share one.  The
-likeness of two fingerprints is the Jaccard similarity of their hashes.
-
-Each document also meets the next one in descending doc_id order.  Documents
-are dealt by quantiles of doc_id to blocks, sorted within them, and the first
-row of each block is repeated at the end of the block before it.
+points cut into all their pieces of that length, one from each place.  The hash of
+each k-gram of units (the first ones are filled up in front) is made of its units'
+hashes, each taken once, and combined with its place, so that the least value in
+a window of w k-grams is the smallest hash, the rightmost among ties.  The minima
+of all windows, with their places, are the fingerprint: two texts that share
+w + k - 1 consecutive units share one.  The likeness of two fingerprints is the
+Jaccard similarity of their hashes.
+
+Each document also meets the next one in descending doc_id order.  Documents are
+dealt to blocks between bounds that are themselves ids of documents, so that no
+block is empty and the first row of each is that of its upper bound; this row is
+repeated at the end of the block before.  There are at most ``QUANTILES`` bounds,
+or, beyond ``QUANTILES * BLOCK_ROWS`` rows, as many between each two of them:
+the table of bounds never exceeds ``QUANTILES`` squared numbers.  Nothing but
+the rows' own blocks is shuffled.
 
 Results on unusual input: a null text is empty; the fingerprint of an empty
 text, or one of white space, is empty, and the likeness of two empty ones is 1,
 of an empty and another one 0; rows with the same doc_id follow each other in the order of
-their texts; a null doc_id comes last; after the last row follows the first;
+their texts and share a block (doc_id is a key: a block is sorted by one task, on disk where
+it must); a null doc_id comes last; after the last row follows the first;
 an empty table gives an empty result; further columns are ignored.
 """
 
@@ -29,12 +33,11 @@ from pyspark.sql.window import Window
 
 K = 3
 W = 4
-SHORT = 64
 #: Code points of a unit at most.
 PIECE = 8
 #: Rows of a block, about.
 BLOCK_ROWS = 512
-#: Quantiles of doc_id that bound the blocks at most; more blocks are equal parts between them.
+#: Bounds of doc_id at most, and further ones between each two of them.
 QUANTILES = 1024
 _PLACES = (1 << 31) - 1
 
@@ -53,16 +56,7 @@ def _winnowed(df: DataFrame, units: str, out: str, k: int, w: int) -> DataFrame:
     return df.withColumn(out, F.array_distinct("__v")).drop("__h", "__v")
 
 
-def fingerprints(df: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
-    """Adds ``out``, the fingerprint of the words of column ``text``, and, with _chars, that of the characters of short texts."""
-    none = "cast(array() as array<string>)"
-    df = df.withColumn("__units", F.expr(f"if({text} = '', {none}, split({text}, ' '))"))
-    df = _winnowed(df, "__units", out, k, w)
-    df = df.withColumn("__units", F.expr(f"if({text} <> '' and length({text}) < {SHORT}, split({text}, ''), {none})"))
-    return _winnowed(df, "__units", f"{out}_chars", k, w).drop("__units")
-
-
-def piece_fingerprints(df: DataFrame, text: str, out: str, k: int = K, w: int = W, piece: int = PIECE) -> DataFrame:
+def fingerprints(df: DataFrame, text: str, out: str, k: int = K, w: int = W, piece: int = PIECE) -> DataFrame:
     """Adds ``out``, the fingerprint of the words of column ``text`` and of the pieces of longer ones."""
     # the characters of a long word are bound once; each piece is a slice of them
     pieces = f"flatten(transform(array(split(x, '')), c -> transform(sequence(1, size(c) - {piece - 1}), i -> array_join(slice(c, i, {piece}), ''))))"
@@ -88,36 +82,57 @@ def likeness(a: str, b: str) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def in_blocks(docs: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
+def _below(bounds: Column, most: int) -> Column:
+    """How many of the sorted bounds, at most ``most``, are less than doc_id: by halving."""
+    steps = F.lit([1 << k for k in range(most.bit_length() - 1, -1, -1)] or [1])
+    step = lambda a, s: F.when((a + s <= F.size(bounds)) & (F.get(bounds, a + s - 1) < F.col("doc_id")), a + s).otherwise(a)
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _marks(parts: int) -> list[float]:
+    return [k / parts for k in range(1, parts + 1)]
+
+
+def in_blocks(docs: DataFrame, rows: int = BLOCK_ROWS, quantiles: int = QUANTILES) -> DataFrame:
     """Columns doc_id, text, block and ghost: each row in its block (descending with doc_id, from 0), then the ghosts.
 
     The ghost of a block repeats the first row of the next one, that of the
     last block the first row of all.
     """
-    ids = docs.filter("doc_id is not null")
-    blocks = max(1, docs.count() // rows)
-    coarse = min(QUANTILES, blocks)
-    low, high, q = ids.agg(F.min("doc_id"), F.max("doc_id"), F.percentile_approx("doc_id", [k / coarse for k in range(coarse + 1)], 20 * QUANTILES)).first()
-    fine = -(-blocks // coarse)
-    block = F.lit(0)
-    if q:
-        bounds = sorted({low - 1, *q[1:-1], high})
-        between = F.col("__e").cast("decimal(20,0)") - F.col("__s").cast("decimal(20,0)")
-        part = F.floor(fine * (F.col("doc_id").cast("decimal(20,0)") - F.col("__s") - 1).cast("double") / between.cast("double"))
-        held = docs.withColumn("__q", F.lit(bounds)).withColumn("__k", F.size(F.filter("__q", lambda b: b < F.col("doc_id"))))
-        held = held.withColumn("__s", F.expr("get(__q, __k - 1)")).withColumn("__e", F.expr("get(__q, __k)"))
-        up = (F.col("__k") - 1) * fine + F.least(part, F.lit(fine - 1))
-        block = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) * fine)).otherwise(F.lit((len(bounds) - 1) * fine - 1) - up)
-        docs = held
-    placed = docs.select("doc_id", "text", block.cast("int").alias("block"))
-    # the first row of each block, by its id and then its text; there are as many as blocks
-    top = placed.groupBy("block").agg(F.max("doc_id").alias("top"))
-    first = placed.join(F.broadcast(top), "block").filter(F.col("doc_id").eqNullSafe(F.col("top")))
-    first = first.groupBy("block").agg(F.min("text").alias("text"), F.first("top").alias("doc_id"))
-    every = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = top.select("block", F.coalesce(F.lag("block").over(Window.orderBy("block")), F.max("block").over(every)).alias("to"))
-    ghosts = first.join(F.broadcast(before), "block").select("doc_id", "text", F.col("to").alias("block"), F.lit(1).alias("ghost"))
-    return placed.withColumn("ghost", F.lit(0)).unionByName(ghosts)
+    ids = docs.select("doc_id").filter("doc_id is not null")
+    every, known = docs.agg(F.count("*"), F.count("doc_id")).first()
+    blocks = max(1, known // rows)
+    coarse, fine = min(quantiles, blocks), min(quantiles, -(-blocks // quantiles))
+    near = ids.agg(F.percentile_approx("doc_id", _marks(coarse), 20 * quantiles)).first()[0] or []
+    # approximate quantiles only propose; the bounds are the greatest ids up to each of them, and the greatest of all
+    proposed = F.lit(sorted(set(near))).cast("array<long>")
+    tops = sorted(r.top for r in ids.groupBy(_below(proposed, quantiles).alias("k")).agg(F.max("doc_id").alias("top")).collect())
+    outer = F.lit(tops).cast("array<long>")
+    held = docs.select("doc_id", "text", _below(outer, quantiles + 1).alias("c"))
+    if fine > 1:
+        inner = ids.select("doc_id", _below(outer, quantiles + 1).alias("c"))
+        asked = inner.groupBy("c").agg(F.percentile_approx("doc_id", _marks(fine), 20 * fine).alias("q"))
+        inner = inner.join(F.broadcast(asked), "c").groupBy("c", _below(F.col("q"), fine).alias("k")).agg(F.max("doc_id").alias("top"))
+        found = sorted((r.c, r.tops) for r in inner.groupBy("c").agg(F.array_sort(F.collect_list("top")).alias("tops")).collect())
+        last = sum(len(own) for _, own in found) - 1
+        bounds, upto = [], 0
+        for c, own in found:
+            bounds.append((c, upto, own))
+            upto += len(own)
+        # at most ``quantiles`` + 1 rows of as many numbers
+        held = held.join(F.broadcast(docs.sparkSession.createDataFrame(bounds, "c int, upto long, tops array<long>")), "c", "left")
+        inside = _below(F.col("tops"), fine + 1)
+        up, top = F.col("upto") + inside, F.get("tops", inside)
+    else:
+        last, up, top = len(tops) - 1, F.col("c"), F.get(outer, F.col("c"))
+    block = F.when(F.col("doc_id").isNull(), F.lit(last + 1)).otherwise(F.lit(last) - up)
+    placed = held.select("doc_id", "text", block.cast("long").alias("block"), top.alias("top"))
+    # the first row of each block has its bound's id, and of those the least text
+    first = placed.filter("doc_id is null or doc_id = top").groupBy("block").agg(F.min("text").alias("text"), F.first("doc_id").alias("doc_id"))
+    greatest = last + (every > known)
+    before = F.when(F.col("block") > 0, F.col("block") - 1).otherwise(F.lit(greatest))
+    ghosts = first.select("doc_id", "text", before.cast("long").alias("block"), F.lit(1).alias("ghost"))
+    return placed.select("doc_id", "text", "block", F.lit(0).alias("ghost")).unionByName(ghosts)
 
 
 def compare(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
@@ -128,12 +143,12 @@ def compare(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     rows = in_blocks(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     order = ["ghost", F.desc_nulls_last("doc_id"), "text"]
     rows = rows.repartition("block").sortWithinPartitions("block", *order)
-    rows = piece_fingerprints(rows, "text", "fp", k, w).withColumn("own", hashes("fp"))
+    rows = fingerprints(rows, "text", "fp", k, w).withColumn("own", hashes("fp"))
     along = Window.partitionBy("block").orderBy(*order)
     rows = rows.withColumn("__text", F.lead("text").over(along)).withColumn("next", F.lead("own").over(along)).filter("ghost = 0")
     third = "cast(length(text) div 3 as int)"
     rows = rows.withColumn("edited", F.expr(f"concat(left(text, length(text) - {third}), left(__text, {third}))"))
-    return piece_fingerprints(rows, "edited", "edited_fp", k, w).withColumn("changed", hashes("edited_fp"))
+    return fingerprints(rows, "edited", "edited_fp", k, w).withColumn("changed", hashes("edited_fp"))
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -159,25 +159,41 @@ def test_battery_tells_random_from_ordinary():
 # fingerprints
 
 
-def test_fingerprints_equal_search(spark):
-    texts = ["", "a b c d e f g h i j k l m n o p", "x" * 70 + " y", "short", "a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a a"]
-    df = fingerprint.fingerprints(spark.createDataFrame([(t,) for t in texts], "t string"), "t", "fp")
+def winnowed(text):
+    """By hand: the units of a text, and the window minima of their 3-grams in windows of 4, as hash << 31 | (2^31 - 1 - place)."""
     signed = lambda h: h - (1 << 64) if h >> 63 else h
 
-    def spark_hash(values):  # chained as the engine chains columns: each hash seeds the next
+    def chained(values):  # as the engine chains columns: each hash seeds the next
         seed = 42
         for v in values:
             seed = xxhash.xxh64_intdigest(struct.pack("<q", v), seed)
         return seed
 
-    def select(units):
-        h = [signed(xxhash.xxh64_intdigest(u.encode(), 42)) for u in units]
-        v = [((spark_hash([h[i - 2] if i > 1 else 0, h[i - 1] if i > 0 else 0, x]) & 0xFFFFFFFF) << 31) | ((1 << 31) - 1 - i) for i, x in enumerate(h)]
-        return list(dict.fromkeys(min(v[max(0, i - 3) : i + 1]) for i in range(len(v))))
+    units = [x if len(x) <= 8 else x[k : k + 8] for x in text.split() for k in range(max(1, len(x) - 7))]
+    h = [signed(xxhash.xxh64_intdigest(u.encode(), 42)) for u in units]
+    v = [((chained([h[i - 2] if i > 1 else 0, h[i - 1] if i > 0 else 0, x]) & 0xFFFFFFFF) << 31) | ((1 << 31) - 1 - i) for i, x in enumerate(h)]
+    return list(dict.fromkeys(min(v[max(0, i - 3) : i + 1]) for i in range(len(v))))
+
 
+def test_fingerprints_equal_search(spark):
+    texts = ["", "a b c d e f g h i j k l m n o p", "x" * 70 + " y", "short", "a " * 40, "漢字" * 30 + "\tabc\nde"]
+    df = fingerprint.fingerprints(spark.createDataFrame([(t,) for t in texts], "t string"), "t", "fp")
     for r in df.collect():
-        assert r.fp == (select(r.t.split(" ")) if r.t else [])
-        assert r.fp_chars == (select(list(r.t)) if len(r.t) < 64 else [])
+        assert r.fp == winnowed(r.t)
+
+
+def test_winnowing_query_equals_search(spark):
+    rng = np.random.default_rng(22)
+    texts = {i: " ".join(rng.choice([f"w{k}" for k in range(30)] + ["x" * 11], rng.integers(0, 60))) for i in range(40)}
+    order = sorted(texts, reverse=True)
+    alike = lambda a, b: 1.0 if not a | b else len(a & b) / len(a | b)
+    sets = lambda t: {v >> 31 for v in winnowed(t)}
+    shown = lambda t: ",".join(f"{v >> 31:08x}:{(1 << 31) - 1 - (v & (1 << 31) - 1)}" for v in winnowed(t))
+    for r in fingerprint.query(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect():
+        t, n = texts[r.doc_id], texts[order[(order.index(r.doc_id) + 1) % 40]]
+        edited = t[: len(t) - len(t) // 3] + n[: len(t) // 3]
+        assert (r.fingerprint, r.edited_fingerprint, r.n_chars) == (shown(t), shown(edited), len(t))
+        assert (r.near_edited, r.near_next) == (alike(sets(t), sets(edited)), alike(sets(t), sets(n)))
 
 
 def test_next_document(spark):
@@ -185,14 +201,28 @@ def test_next_document(spark):
     texts = {int(i): "é" * int(rng.integers(0, 30)) + str(i) for i in rng.choice(10**12, 300, replace=False)}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
     got = {r.doc_id: r.edited_sha256 for r in fingerprint.query(docs).collect()}
-    small = fingerprint.in_blocks(docs.select("doc_id", "text"), 16)
-    assert small.filter("ghost = 0").count() == 300 and small.filter("ghost = 1").count() == small.select("block").distinct().count() > 10
     order = sorted(texts, reverse=True)
     for k, i in enumerate(order):
         t, n = texts[i], texts[order[(k + 1) % 300]]
         assert got[i] == hashlib.sha256((t[: len(t) - len(t) // 3] + n[: len(t) // 3]).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("quantiles", [1024, 5])
+def test_blocks_follow_each_other(spark, quantiles):
+    rng = np.random.default_rng(23)
+    ids = [*rng.choice(10**6, 150, replace=False).tolist(), *([77] * 40), *rng.integers(-(1 << 63), (1 << 63) - 1, 60).tolist(), *([None] * 5)]
+    docs = spark.createDataFrame([(i, str(k)) for k, i in enumerate(ids)], "doc_id long, text string").repartition(5)
+    blocks = {}
+    for r in fingerprint.in_blocks(docs, 8, quantiles).collect():
+        blocks.setdefault(r.block, []).append((r.ghost, r.doc_id is None, -(r.doc_id or 0), r.text))
+    order = sorted((i is None, -(i or 0), str(k)) for k, i in enumerate(ids))
+    assert sorted(blocks) == list(range(len(blocks))) and len(blocks) > 12
+    assert [x[1:] for b in sorted(blocks) for x in sorted(blocks[b]) if not x[0]] == order
+    for b in blocks:
+        (ghost,) = [x for x in blocks[b] if x[0]]
+        assert ghost[1:] == min(blocks[(b + 1) % len(blocks)])[1:]
+
+
 def test_fingerprints_of_texts_without_spaces(spark):
     rng = np.random.default_rng(13)
     draw = {
@@ -209,7 +239,7 @@ def test_fingerprints_of_texts_without_spaces(spark):
 
 def test_long_words_are_cut_into_pieces(spark):
     texts = ["one two", "one\ttwo\n", "extraordinarily long", "extraord xtraordi traordin raordina aordinar ordinari rdinaril dinarily long"]
-    got = [r.fp for r in fingerprint.piece_fingerprints(spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1), "t", "fp").collect()]
+    got = [r.fp for r in fingerprint.fingerprints(spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1), "t", "fp").collect()]
     assert got[0] == got[1] and got[2] == got[3] and got[0] != got[2]
 
 
