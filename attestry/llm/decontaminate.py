@@ -7,9 +7,12 @@ longest match that ends there; where it reaches a window's length, the
 window's words are hit.  A window is any ``window`` consecutive words of an
 item, or a whole shorter item.
 
-An automaton is built from at most ``PART`` item words (or one item); more
-items are dealt out to several, which a task builds one after the other for
-each batch of documents, and their hits are merged.
+The items are read one part after the other: at most ``PART`` words, long ones
+counted as several.  (A longer item is cut into parts that share a window's
+words less one, so that every window is whole in one of them.)  A part is all
+that the driver, a broadcast or a task's automaton holds.  Items of one part, as
+a usual set of test items is, take one pass over the documents; of more parts,
+each takes a pass, and the hits are merged by document.
 
 Results on unusual input: null texts and items have no words and match
 nothing; repeated rows and items count alike; items without id count as the
@@ -25,12 +28,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+
+from .common import materialize
 
 WINDOW = 13
 #: A document is contaminated if hit words are at least this share of its words: 1 in so many.
 SHARE = 20
-#: Item words in one automaton.
+#: Item words in one automaton; eight bytes of a word count as one more.
 PART = 400_000
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -150,19 +155,28 @@ class Automaton:
         return spans, items
 
 
-def _parts(items: DataFrame, limit: int) -> list[list[tuple[str, bytes]]]:
-    """The items' distinct ids and texts, in lists of at most ``limit`` words (or one item)."""
+def _parts(items: DataFrame, limit: int, window: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The items' distinct ids and texts, in lists of at most ``limit`` words, one list at a time."""
     rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.coalesce("text", F.lit("")).cast("binary").alias("t")).distinct()
-    parts: list[list[tuple[str, bytes]]] = [[]]
+    part: list[tuple[str, bytes]] = []
     size = 0
     for r in rows.sort("i", "t").toLocalIterator():
-        n = len(words_of(r.t))
-        if size and size + n > limit:
-            parts.append([])
-            size = 0
-        parts[-1].append((r.i, bytes(r.t)))
-        size += n
-    return parts
+        words = words_of(bytes(r.t))
+        start = 0
+        while start < len(words):
+            n, end = 0, start
+            while end < len(words) and (end - start < window or n < limit):
+                n += 1 + len(words[end]) // 8
+                end += 1
+            if size and size + n > limit:
+                yield part
+                part, size = [], 0
+            part.append((r.i, b" ".join(words[start:end])))
+            size += n
+            # the next piece begins with the last words of this one, unless no window is left
+            start = end - window + 1 if end < len(words) else end
+    if part:
+        yield part
 
 
 Hits = tuple[int, list[tuple[int, int]], list[str]]
@@ -177,86 +191,121 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-class Scanner:
-    """Gives each text's number of words, its spans of hit words and the sorted items they come from."""
-
-    def __init__(self, parts: list[list[tuple[str, bytes]]], window: int):
-        self.parts, self.window = parts, window
-        self.only = Automaton(parts[0], window) if len(parts) == 1 else None
+def _annotated_once(docs: DataFrame, part: list[tuple[str, bytes]], window: int) -> DataFrame:
+    """``docs`` with ``_FOUND``: its words, the spans of hit words and the sorted ids of the items they come from."""
+    shared = docs.sparkSession.sparkContext.broadcast(part)
+    at = docs.columns.index("text")
+    schema = StructType([*docs.schema.fields]).add(_N, LongType()).add(_SPANS, ArrayType(ArrayType(LongType()))).add(_ITEMS, ArrayType(StringType()))
 
-    def __call__(self, texts: list[bytes | None]) -> list[Hits]:
-        split = list(map(words_of, texts))
-        spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-        items: list[set[str]] = [set() for _ in texts]
-        for part in self.parts:
-            automaton = self.only or Automaton(part, self.window)
-            for k, words in enumerate(split):
-                hit, found = automaton.scan(words)
-                spans[k] += hit
-                items[k] |= found
-        return [(len(w), _merged(s), sorted(i)) for w, s, i in zip(split, spans, items)]
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = Automaton(shared.value, window)
+        for b in it:
+            n_words, spans, found = [], [], []
+            for t in b.column(at).cast(pa.binary()).to_pylist():
+                words = words_of(t)
+                hit, items = automaton.scan(words)
+                n_words.append(len(words))
+                spans.append([list(x) for x in _merged(hit)])
+                found.append(sorted(items))
+            more = [pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, *_FOUND])
+
+    return docs.mapInArrow(batches, schema)
+
+
+_N, _SPANS, _ITEMS = _FOUND = ("__n_words", "__hit_spans", "__hit_items")
+
+
+def annotated(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = PART) -> DataFrame:
+    """``docs`` with __n_words, __hit_spans (word positions, ends exclusive) and __hit_items (sorted ids)."""
+    parts = _parts(items, limit, window)
+    first, second = next(parts, []), next(parts, None)
+    if second is None:
+        return _annotated_once(docs, first, window)
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+    counted = materialize(_annotated_once(rows, first, window))
+    passes = [counted.select("__row", _SPANS, _ITEMS)]
+    while second is not None:
+        passes.append(materialize(_annotated_once(rows.select("__row", "text"), second, window).filter(F.size(_SPANS) > 0).select("__row", _SPANS, _ITEMS)))
+        second = next(parts, None)
+    every = passes[0].filter(F.size(_SPANS) > 0)
+    for more in passes[1:]:
+        every = every.unionByName(more)
+    both = every.groupBy("__row").agg(F.flatten(F.collect_list(_SPANS)).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(_ITEMS)))).alias("i"))
+    # spans in order, each joined to the last one where they touch
+    joined = """aggregate(slice(array_sort(s), 2, size(s)), array(array_sort(s)[0]), (a, x) -> if(x[0] <= element_at(a, -1)[1],
+      concat(slice(a, 1, size(a) - 1), array(array(element_at(a, -1)[0], greatest(element_at(a, -1)[1], x[1])))), array_append(a, x)))"""
+    both = both.select("__row", F.expr(joined).alias("s"), "i")
+    out = counted.drop(_SPANS, _ITEMS).join(both, "__row", "left")
+    none = lambda c, t: F.coalesce(c, F.array().cast(t))
+    return out.select(*docs.columns, _N, none("s", "array<array<bigint>>").alias(_SPANS), none("i", "array<string>").alias(_ITEMS))
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = PART) -> DataFrame:
     """doc_id, n_words, spans (word positions, ends exclusive) and items (sorted ids) for each row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(_parts(items, limit))
+    found = annotated(docs.select("doc_id", "text"), items, window, limit)
+    return found.select("doc_id", F.col(_N).alias("n_words"), F.col(_SPANS).alias("spans"), F.col(_ITEMS).alias("items"))
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(shared.value, window)
-        for b in it:
-            n_words, spans, found = map(list, zip(*scanner(b.column(1).cast(pa.binary()).to_pylist()))) if b.num_rows else ([], [], [])
-            spans = pa.array([[list(x) for x in s] for s in spans], pa.list_(pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), spans, pa.array(found, pa.list_(pa.string()))], ["doc_id", "n_words", "spans", "items"])
 
-    schema = docs.select("doc_id").schema.add("n_words", "long").add("spans", ArrayType(ArrayType(LongType()))).add("items", ArrayType(StringType()))
-    return docs.select("doc_id", "text").mapInArrow(batches, schema)
+def _n_hit(spans: str):
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
 
 
-def _n_hit():
-    return F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
+def _judged(spans: str, n_words: str, share: int):
+    return (_n_hit(spans) > 0) & (share * _n_hit(spans) >= F.col(n_words))
 
 
-def _judged(share: int):
-    return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE, limit: int = PART) -> DataFrame:
+    """The rows of ``docs`` without those whose hit words reach the coverage limit; the rest is unchanged."""
+    return annotated(docs, items, window, limit).filter(~_judged(_SPANS, _N, share)).drop(*_FOUND)
 
 
-def _cleaner(docs: DataFrame, items: DataFrame, window: int, share: int, cut: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(_parts(items, PART))
-    at = docs.columns.index("text")
+def cut_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE, limit: int = PART) -> DataFrame:
+    """``docs`` with the hit words cut out of each text that reaches the coverage limit."""
+    found = annotated(docs, items, window, limit).withColumn("__cut", _judged(_SPANS, _N, share))
+    at, kept = docs.columns.index("text"), len(docs.columns)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(shared.value, window)
         for b in it:
             texts = b.column(at).cast(pa.binary()).to_pylist()
-            keep = []
-            for k, (n_words, spans, _) in enumerate(scanner(texts)):
-                n = sum(e - s for s, e in spans)
-                bad = n > 0 and share * n >= n_words
-                keep.append(cut or not bad)
-                if bad and cut:
+            for k, (spans, bad) in enumerate(zip(b.column(kept + 1).to_pylist(), b.column(kept + 3).to_pylist())):
+                if bad:
                     raw = texts[k]
                     places = [m.span() for m in _WORD.finditer(raw.translate(_FOLD))]
                     edges = [0, *(x for s, e in spans for x in (places[s][0], places[e - 1][1])), len(raw)]
                     texts[k] = b"".join(raw[i:j] for i, j in zip(edges[::2], edges[1::2]))
-            columns = list(b.columns)
+            columns = list(b.columns)[:kept]
             columns[at] = pa.array(texts, pa.binary()).cast(b.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=b.schema).filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(batches, docs.schema)
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:kept])
 
-
-def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
-    """The rows of ``docs`` without those whose hit words reach the coverage limit; the rest is unchanged."""
-    return _cleaner(docs, items, window, share, False)
-
-
-def cut_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
-    """``docs`` with the hit words cut out of each text that reaches the coverage limit."""
-    return _cleaner(docs, items, window, share, True)
+    return found.mapInArrow(batches, docs.schema)
 
 
 def query(docs: DataFrame, items: DataFrame) -> DataFrame:
-    found = scan(docs, items).withColumn("n_hit", _n_hit())
+    found = scan(docs, items)
     sha = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha.alias("items_sha256"), _judged(SHARE).alias("contaminated"))
-
+    return found.select("doc_id", "n_words", _n_hit("spans").alias("n_hit"), F.size("items").cast("long").alias("n_items"), sha.alias("items_sha256"), _judged("spans", "n_words", SHARE).alias("contaminated"))
+
+
+_SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+#: Every window of every item against every sequence of as many words of every document.
+ORACLE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, {_SQL_WORDS} AS ws FROM documents
+), items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, {_SQL_WORDS} AS ws FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(ws[i + 1 : i + n], ' ') AS win FROM (SELECT item, ws, least({WINDOW}, len(ws)) AS n, unnest(range(len(ws) - least({WINDOW}, len(ws)) + 1)) AS i FROM items WHERE len(ws) > 0)
+), places AS (
+  SELECT row, n, i, array_to_string(ws[i + 1 : i + n], ' ') AS win FROM (SELECT row, ws, n, unnest(range(len(ws) - n + 1)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(ws) >= n)
+), met AS (
+  SELECT row, item, p.n, i FROM places p JOIN windows w ON p.n = w.n AND p.win = w.win
+), hit AS (
+  SELECT row, count(DISTINCT k) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS k FROM met) GROUP BY row
+), named AS (
+  SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM met GROUP BY row
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {SHARE} * n_hit >= len(ws) AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""

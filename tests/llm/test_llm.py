@@ -455,15 +455,31 @@ def test_automaton_equals_search():
         vocab = [b"a", b"b", b"c"][: rng.integers(1, 4)]
         items = [(str(i), b" ".join(rng.choice(vocab, rng.integers(0, 9)))) for i in range(4)]
         text = b" ".join(rng.choice([*vocab, b"z"], 40))
-        for limit in (10**6, 3):
-            parts, size = [[]], 0
-            for i in items:
-                if limit < 10**6 and parts[-1]:
-                    parts.append([])
-                parts[-1].append(i)
-            (n, spans, found), = decontaminate.Scanner(parts, 4)([text])
-            want = brute(text, items, 4)
-            assert (n, {k for s, e in spans for k in range(s, e)}, set(found)) == want, (items, text, size)
+        spans, found = decontaminate.Automaton(items, 4).scan(decontaminate.words_of(text))
+        assert (40, {k for s, e in spans for k in range(s, e)}, set(found)) == brute(text, items, 4), (items, text)
+
+
+def test_decontamination_equals_sql(spark, tmp_path):
+    rng = np.random.default_rng(24)
+    vocab = ["a", "b", "é", "Z9"]
+    items = [(i, " ".join(rng.choice(vocab, n))) for i, n in enumerate((3, 5, 14, 15, 40, 60, 0))] + [(None, "only, here")]
+    texts = [items[k][1] for k in range(7)]
+    rows = [(i, "-".join([*rng.choice(vocab, 30), texts[i % 7][rng.integers(0, 20) :], "x", *rng.choice(vocab, rng.integers(0, 300))]).upper()) for i in range(60)] + [(99, None), (99, "ONLY/here")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    docs.toPandas().to_parquet(tmp_path / "documents.parquet")
+    bench.toPandas().astype({"item_id": "Int64"}).to_parquet(tmp_path / "benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.sql(f"create view {name} as select * from '{tmp_path}/{name}.parquet'")
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    want = sorted(con.sql(decontaminate.ORACLE).project(", ".join(columns)).fetchall())
+    assert sorted(map(tuple, decontaminate.query(docs, bench).select(*columns).collect())) == want and sum(r[5] for r in want) > 10
+    # in parts, of which the longest items take several
+    for r in decontaminate.scan(docs, bench, limit=20).collect():
+        whole = [w for w in want if w[0] == r.doc_id and w[1] == r.n_words]
+        assert (sum(e - s for s, e in r.spans), hashlib.sha256(",".join(r["items"]).encode()).hexdigest()) in {(w[2], w[4]) for w in whole}
+        assert all(a[1] < b[0] for a, b in zip(r.spans, r.spans[1:]))
+    assert len(list(decontaminate._parts(bench, 20, 13))) > 5
 
 
 def test_contamination(spark, items):
