@@ -179,9 +179,6 @@ def _parts(items: DataFrame, limit: int, window: int) -> Iterator[list[tuple[str
         yield part
 
 
-Hits = tuple[int, list[tuple[int, int]], list[str]]
-
-
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for s, e in sorted(spans):

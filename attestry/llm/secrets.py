@@ -4,12 +4,16 @@ Candidates are runs of ``MIN_TOKEN`` or more characters of [A-Za-z0-9+/_=-].
 Each has an inferred encoding (hex, base32 or base64; digits alone are none).
 The battery tests that it is random: chi-squared uniformity over the encoding's
 alphabet, the runs test about the middle symbol, and the lag-one serial
-correlation; the smallest p-value, times three, must not fall below ``ALPHA``.
-Against this stands ordinary text: the candidate's likelihood ratio of uniform
-symbols to the symbols of ordinary words is an e-value that grows with the
-length, and its inverse bounds the p-value.  The Benjamini-Hochberg rule over all
-candidates of all documents, on a histogram of fixed size, keeps the share
-of false ones under ``RATE``.
+correlation; three times the least of their p-values, or 1, is the battery's.
+
+A discovery is a token that isn't ordinary text.  The likelihood ratio of uniform
+symbols to the symbols of ordinary words is an e-value of that: its mean over
+ordinary tokens is 1 at most, and it grows with the token's length, so that short
+tokens can't reach what long ones do.  Times the battery's p-value, or 0 where that
+is under ``ALPHA``, which is never over 1, it stays an e-value: what fails a test
+of randomness loses as much evidence, or all.  The Benjamini-Hochberg rule on these products, over all candidates of
+all documents, on a histogram of fixed size, keeps the share of false ones under
+``RATE``.
 
 Results on unusual input: null texts are empty and have no spans; repeated
 rows count as often as they occur; an empty table gives an empty result;
@@ -34,7 +38,7 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_TOKEN = 16
 ALPHA = 1e-3
 RATE = 0.01
-#: Bins of the p-values' negative decimal logarithms, a tenth each.
+#: Bins of the evidence's decimal logarithms, a tenth each.
 BINS = 400
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -105,10 +109,15 @@ def battery(token: str, kind: str) -> tuple[float, float, float]:
 
 
 def ordinary(token: str, kind: str) -> float:
-    """Negative decimal logarithm of the bound on the p-value of an ordinary token; 0 where it is likelier than a random one."""
+    """The decimal logarithm of the likelihood ratio of a random token to an ordinary one."""
     body = token.rstrip("=")
-    log = sum(-math.log(len(ENCODINGS[kind])) - _ORDINARY[c] for c in body)
-    return max(0.0, log / math.log(10))
+    return sum(-math.log(len(ENCODINGS[kind])) - _ORDINARY[c] for c in body) / math.log(10)
+
+
+def evidence(token: str, kind: str, alpha: float = ALPHA) -> float:
+    """The decimal logarithm of the token's e-value, likelihood ratio times p-value of the battery; 0 where it is under 1 or p under ``alpha``."""
+    p = min(1.0, 3 * min(battery(token, kind)))
+    return max(0.0, ordinary(token, kind) + math.log10(p)) if p >= alpha else 0.0
 
 
 def base_spans(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -134,9 +143,9 @@ def token_places(text: str) -> list[tuple[int, int]]:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, base and tested for each row: spans of the fixed patterns; other tokens with their p-values."""
+    """doc_id, base and tested for each row: spans of the fixed patterns; other tokens with their evidence."""
     span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-    test = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.string()), ("ordinary", pa.float64()), ("random", pa.float64())])
+    test = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.string()), ("evidence", pa.float64())])
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -149,20 +158,19 @@ def candidates(docs: DataFrame) -> DataFrame:
                 rest = []
                 for s, e in tokens:
                     if not any(x < e and s < y for x, _, y in spans) and (kind := encoding(text[s:e])):
-                        p = min(1.0, 3 * min(battery(text[s:e], kind)))
-                        rest.append({"start": s, "end": e, "encoding": kind, "ordinary": ordinary(text[s:e], kind), "random": p})
+                        rest.append({"start": s, "end": e, "encoding": kind, "evidence": evidence(text[s:e], kind)})
                 tested.append(rest)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(base, pa.list_(span)), pa.array(tested, pa.list_(test))], ["doc_id", "base", "tested"])
 
-    schema = "base array<struct<start:bigint,kind:int,end:bigint>>, tested array<struct<start:bigint,end:bigint,encoding:string,ordinary:double,random:double>>"
+    schema = "base array<struct<start:bigint,kind:int,end:bigint>>, tested array<struct<start:bigint,end:bigint,encoding:string,evidence:double>>"
     own = docs.select("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
     return own.mapInArrow(batches, f"doc_id {kind}, {schema}")
 
 
 def discovery_threshold(found: DataFrame, rate: float = RATE) -> float:
-    """The least ``ordinary`` value that Benjamini and Hochberg's rule accepts, over all tested tokens; infinity if none."""
-    bins = found.select(F.explode("tested").alias("t")).groupBy(F.least(F.floor(F.col("t.ordinary") * 10), F.lit(BINS)).cast("int").alias("b")).count().collect()
+    """The least evidence that Benjamini and Hochberg's rule accepts, over all tested tokens; infinity if none."""
+    bins = found.select(F.explode("tested").alias("t")).groupBy(F.least(F.floor(F.col("t.evidence") * 10), F.lit(BINS)).cast("int").alias("b")).count().collect()
     counts = np.zeros(BINS + 1)
     for r in bins:
         counts[r.b] += r["count"]
@@ -172,11 +180,11 @@ def discovery_threshold(found: DataFrame, rate: float = RATE) -> float:
     return passed[0] / 10 if len(passed) else math.inf
 
 
-def scan(docs: DataFrame, rate: float = RATE, alpha: float = ALPHA) -> DataFrame:
+def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, base and spans for each row; spans are the base ones and the tokens found random, by start and kind."""
     found = materialize(candidates(docs))
     least = discovery_threshold(found, rate)
-    hit = F.filter("tested", lambda t: (t["ordinary"] >= F.lit(least)) & (t["random"] >= alpha))
+    hit = F.filter("tested", lambda t: t["evidence"] >= F.lit(least))
     added = F.transform(hit, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
     return found.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 

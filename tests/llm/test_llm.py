@@ -126,6 +126,32 @@ def test_pairs_learn_the_order():
     assert (quality.NEUTRAL.scores(x) >= quality.THRESHOLD).all()
 
 
+def test_pair_loss_is_least_and_threshold_is_a_quantile():
+    rng = np.random.default_rng(26)
+    x = rng.normal(size=(120, 4)) * [1, 2, 0.5, 1]
+    good = x @ [1, -1, 2, 0] + rng.normal(size=120) > -0.5
+    better, worse = quality.preferences(good)
+    assert good[better].all() and not good[worse].any() and set(better.tolist()) == set(np.flatnonzero(good).tolist()) and set(worse.tolist()) == set(np.flatnonzero(~good).tolist())
+    d = x[better] - x[worse]
+    loss = lambda w: sum(np.log1p(np.exp(-sum(a * b for a, b in zip(w, row)))) for row in d) / len(d) + quality.RIDGE / 2 * sum(a * a for a in w)
+    w = quality.weights_of(d)
+    assert all(loss(w) <= loss(w + step) for step in rng.normal(size=(40, 4)) * 0.05)
+    model = quality.fit_pairs(np.pad(x, ((0, 0), (0, quality.WIDTH - 4))), good)
+    scores = model.scores(np.pad(x, ((0, 0), (0, quality.WIDTH - 4))))
+    assert (scores < quality.THRESHOLD).sum() == (~good).sum()
+
+
+def test_quality_fit_uses_one_text_an_id(spark):
+    rows = [(i, " ".join(["good words in a sentence"] * (i % 5 + 1)) if i % 2 else "!!! $$$ ### " * (i % 7 + 1)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] + [(1, None, 0), (3, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hot = docs.unionByName(spark.createDataFrame([(7, f"z {k}") for k in range(300)], "doc_id long, text string"))
+    one, two = (quality.fit(d.repartition(n), labels) for d, n in ((docs, 3), (hot, 7)))
+    assert np.allclose(one.weights, two.weights) and one.threshold == pytest.approx(two.threshold)
+    empty = docs.limit(0)
+    assert quality.fit(empty, labels) is quality.NEUTRAL and quality.fit(docs, labels.limit(0)) is quality.NEUTRAL
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.QUERIES["op2_quality_ranking"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").toPandas()
@@ -149,13 +175,37 @@ def test_battery_tells_random_from_ordinary():
     rng = np.random.default_rng(2)
     alphabet = list(secrets.ENCODINGS["base64"])
     tokens = ["".join(rng.choice(alphabet, 40)) for _ in range(200)]
-    assert np.mean([min(secrets.battery(t, "base64")) > secrets.ALPHA / 3 for t in tokens]) > 0.95
-    assert min(secrets.ordinary(t, "base64") for t in tokens) > 3
-    for word in ("internationalization", "thequickbrownfoxjumps", "aaaaaaaaaaaaaaaaaaaaaaaa"):
-        assert secrets.ordinary(word, "base64") < 3 or min(secrets.battery(word, "base64")) < secrets.ALPHA
+    assert np.mean([min(secrets.battery(t, "base64")) > 1e-3 / 3 for t in tokens]) > 0.95
+    assert np.mean([secrets.evidence(t, "base64") > 3 for t in tokens]) > 0.95
+    for word in ("internationalization", "thequickbrownfoxjumps", "aaaaaaaaaaaaaaaaaaaaaaaa", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "qzqzqzqzqzqzqzqzqzqzqzqzqzqzqz"):
+        assert secrets.evidence(word, "base64") < 3, word
     assert secrets.encoding("12345678901234567890") is None
 
 
+def test_false_discovery_rule_equals_search(spark):
+    rng = np.random.default_rng(25)
+    alphabet, letters = list(secrets.ENCODINGS["base64"]), np.array([c for c in "etaoinshrdlucmfwypvbgkqjxz"])
+    share = np.array([secrets._LETTERS[ord(c) - 97] for c in letters])
+    rows = []
+    for i in range(300):
+        tokens = ["".join(rng.choice(letters, rng.integers(16, 50), p=share / share.sum())) for _ in range(3)] + ["".join(rng.choice(alphabet, rng.integers(16, 50))) for _ in range(int(i % 20 == 0))]
+        rows.append((i, " ".join(rng.permutation(tokens)) + " 0123456789abcdef0123456789abcdef"))
+    # by hand: all tokens by evidence in tenths, and the longest list whose last one is strong enough
+    tested = []
+    for i, t in rows:
+        base = secrets.base_spans(t, secrets.token_places(t))
+        for s, e in secrets.token_places(t):
+            if not any(x < e and s < y for x, _, y in base) and (kind := secrets.encoding(t[s:e])):
+                tested.append((int(min(secrets.BINS, secrets.evidence(t[s:e], kind) * 10 // 1)), i, s, e))
+    tested.sort(reverse=True)
+    most = max((k for k in range(1, len(tested) + 1) if 10 ** (-tested[k - 1][0] / 10) <= secrets.RATE * k / len(tested)), default=0)
+    least = tested[most - 1][0] if most else 10**9
+    want = {(i, s, e) for b, i, s, e in tested if b >= least}
+    got = {(r.doc_id, x.start, x.end) for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect() for x in r.spans if x.kind == 3}
+    assert got == want and 10 <= len(got) <= 18
+    assert all(any(c in rows[i][1][s:e] for c in "0123456789+/ABCDEFGHIJKLMNOPQRSTUVWXYZ") for i, s, e in got)
+
+
 # fingerprints
 
 
