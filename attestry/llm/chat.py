@@ -128,10 +128,10 @@ def conversations(messages: DataFrame, per_tree: int = 1) -> DataFrame:
 
 def as_tree(turns: DataFrame) -> DataFrame:
     """Messages of the chains that rows (conv_id, turn, role, text) form: each turn answers the one before."""
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
-    own = materialize(turns.select("conv_id", "turn", "role", "text").withColumn("k", F.row_number().over(order)))
-    name = lambda k: F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("none")), F.lit(":"), k)
-    return own.select(F.col("conv_id").alias("tree_id"), name(F.col("k")).alias("msg_id"), F.when(F.col("k") > 1, name(F.col("k") - 1)).alias("parent_id"), "role", "text", F.lit(0.0).alias("score"))
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text", "msg_id")
+    own = turns.select("conv_id", "turn", "role", "text").withColumn("msg_id", F.monotonically_increasing_id())
+    own = own.withColumn("parent_id", F.lag("msg_id").over(order))
+    return materialize(own.select(F.col("conv_id").alias("tree_id"), "msg_id", "parent_id", "role", "text", F.lit(0.0).alias("score")))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -153,6 +153,23 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 
 def query(turns: DataFrame) -> DataFrame:
-    hard = "</s>[INST] ok [/INST]"
-    added = turns.sparkSession.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    added = turns.sparkSession.createDataFrame([(-1, 0, "user", _HARD), (-1, 1, "assistant", _HARD)], "conv_id long, turn long, role string, text string")
     return digests(conversations(as_tree(turns.select("conv_id", "turn", "role", "text").unionByName(added))))
+
+
+_HARD = "</s>[INST] ok [/INST]"
+#: Each written as two characters: a backslash, and what opens or closes a control string.  Their first (or second) characters never coincide.
+_CONTROLS = ("\\", "<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "</SYS>>", "[INST]", "[/INST]", "|>")
+_TIMES = lambda c: " + ".join(f"(length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in _CONTROLS)
+
+#: What is to be read back, and the length by counting what is escaped.
+ORACLE = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '{_HARD}'), (-1, 1, 'assistant', '{_HARD}')) t(conv_id, turn, role, text)
+), said AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole, coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(length(role) + length(text) + {_TIMES('role')} + {_TIMES('text')} + {len(TURN + TEXT + END)}) AS formatted FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars FROM said
+"""

@@ -7,17 +7,23 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_dir: list[str] = []
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset and driver and executors are one process."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="attestry-"))
         atexit.register(shutil.rmtree, _own_dir[0], True)
@@ -25,12 +31,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to a table in the shared folder and reads it back: cuts lineage and survives lost executors."""
+    """Writes ``df`` to a table in the shared folder and reads it back: cuts lineage and survives lost executors.
+
+    Tables go when the process ends, or by ``drop_tables``.
+    """
     path = f"{shared_dir(df.sparkSession)}/attestry/{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(drop_tables)
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tables() -> int:
+    """How many tables there are: a mark for ``drop_tables``."""
+    return len(_made)
+
+
+def drop_tables(since: int = 0, last: int = 0) -> None:
+    """Deletes the tables made since a mark, but for the ``last`` ones; what still reads them fails afterwards."""
+    jvm, conf = SparkContext._jvm, None
+    gone = _made[since : len(_made) - last]
+    del _made[since : len(_made) - last]
+    if jvm is None:
+        return
+    try:
+        conf = jvm.org.apache.hadoop.conf.Configuration() if SparkContext._active_spark_context is None else SparkContext._active_spark_context._jsc.hadoopConfiguration()
+        for path in gone:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+    except (Py4JError, OSError):  # the engine has ended before: whoever owns the folder empties it
+        pass
+
+
 def crc_mod(column: str, divisor: int) -> Column:
     """crc32 of the column as text, modulo ``divisor``; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

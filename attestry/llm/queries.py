@@ -72,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_chat_formatting": chat.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
     "op9_license_scan": licences.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,

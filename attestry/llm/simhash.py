@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import drop_tables, materialize, tables
 
 SHINGLE = 4
 BUDGET = 4
@@ -277,6 +277,7 @@ def links(distinct: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root): for each node of an edge the smallest node it reaches, by alternating large and small stars."""
+    since = tables()
     edges = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
     while True:
@@ -290,6 +291,7 @@ def connected(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = materialize(small.filter("u <> v").distinct())
+        drop_tables(since, last=1)
 
 
 def components(docs: DataFrame) -> DataFrame:

@@ -87,6 +87,25 @@ def test_chat_conversations(spark):
     assert got[2].n_turns == 2 and got[-1].loss_chars == 21
 
 
+def test_chat_equals_sql(spark, tmp_path):
+    rng = np.random.default_rng(27)
+    parts = ["\\", "<|", "|>", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<", "|", "[", ">", "/s>", "é", "\n", "l", "SYS>>", "INST]"]
+    rows = [(int(rng.integers(0, 30)), int(rng.integers(0, 6)), str(rng.choice(["user", "assistant", "system", "<|"])), "".join(rng.choice(parts, rng.integers(0, 12)))) for _ in range(300)]
+    rows += [(50, None, "assistant", "x"), (50, 1, None, None), (50, 1, None, None), (51, 0, "assistant", None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns.write.parquet(f"{tmp_path}/conversations")
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations/*.parquet'")
+    columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    got = sorted(map(tuple, chat.query(turns).select(*columns).collect()))
+    assert got == sorted(con.sql(chat.ORACLE).project(", ".join(columns)).fetchall()) and len(got) == len({r[0] for r in rows}) + 1
+
+
+def test_chat_of_an_empty_table(spark):
+    got = chat.query(spark.createDataFrame([], "conv_id long, turn long, role string, text string, score string")).collect()
+    assert [(r.conv_id, r.n_turns, r.loss_chars) for r in got] == [(-1, 2, 21)]
+
+
 def test_chat_paths_equal_search(spark):
     rng = np.random.default_rng(3)
     rows, kids, best = [], {}, {}
