@@ -2,6 +2,13 @@
 
 Each stage takes the rows that the one before it kept, and all but the last
 return the columns of documents.  Packing returns one row a piece.
+
+Results on unusual input, of every stage: null texts count as empty ones; rows
+that repeat a doc_id are judged each by its own text, but the near-duplicate
+stage keeps or drops an id as a whole (a null id is always kept); further
+columns pass through; an empty table stays empty; without labels of both kinds
+no document is rejected; without benchmark items none is contaminated.  Line
+dedup drops documents that lose their whole text, and none that had no text.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import decontaminate, line_dedup, packing, quality, simhash
-from attestry.llm.common import crc_mod, materialize
+from attestry.llm.common import crc_mod, drop_tables, materialize, tables
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +61,10 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    since = tables()
     for _, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir))
+        drop_tables(since, last=1)  # the stage's own tables and its input
     return docs
 
 
