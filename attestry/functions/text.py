@@ -264,3 +264,47 @@ def capped_confidence(c: Column | str) -> Column:
 def is_synthetic_id(value: Column | str, planned: Column | str) -> Column:
     """Whether a run's id is the planned one or made up."""
     return (col(value) == col(planned)) | col(value).rlike(r"(?i)(^|[-_:])(fake|mock|test|synthetic|placeholder)([-_:]|$)")
+
+
+def optional_tokens(v: Column | str) -> Column:
+    """A count of tokens in JSON (variant): null, or a number of 0 or more, cut to a whole one; anything else raises an error."""
+    kind = F.coalesce(F.schema_of_variant(col(v)), F.lit("VOID"))
+    number = F.expr(f"try_variant_get({v}, '$', 'double')") if isinstance(v, str) else F.try_variant_get(v, "$", "double")
+    good = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*|INT|SMALLINT|TINYINT)$") & (number >= 0)
+    return F.when(kind == "VOID", F.lit(None).cast("long")).when(good, F.floor(number).cast("long")).otherwise(F.raise_error(F.lit("a count of tokens must be a number of 0 or more")).cast("long"))
+
+
+def unit_title(c: Column | str, fallback: Column | str) -> Column:
+    """The first title entry in 30 lines, else the first heading in 50, else the fallback."""
+    rows = lines(c)
+    entry = F.get(F.filter(F.slice(rows, 1, 30), lambda x: strip(x).startswith("title:")), F.lit(0))
+    heading = F.get(F.filter(F.slice(rows, 1, 50), lambda x: x.startswith("#")), F.lit(0))
+    bare = F.btrim(F.btrim(strip(F.regexp_replace(entry, r"^[^:]*:", "")), F.lit('"')), F.lit("'"))
+    found = F.when(entry.isNotNull(), bare).otherwise(strip(F.regexp_replace(heading, r"^#+\s*", "")))
+    return F.coalesce(F.nullif(found, F.lit("")), col(fallback))
+
+
+def vault_ref(path: Column | str) -> Column:
+    """How links name a file: its path without the extension, with forward slashes."""
+    return F.regexp_replace(F.replace(col(path), F.lit("\\"), F.lit("/")), r"\.md$", "")
+
+
+def is_under(path: Column | str, folder: Column | str) -> Column:
+    """Whether a path is a folder or lies in it."""
+    return (col(path) == col(folder)) | F.startswith(col(path), F.concat(col(folder), F.lit("/")))
+
+
+def rendered_lines(c: Column | str) -> Column:
+    """How many lines a written text takes: its line feeds, and one more without a last one."""
+    t = F.coalesce(col(c), F.lit(""))
+    return F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + F.when((t == "") | t.endswith("\n"), 0).otherwise(1)
+
+
+def block_citations(c: Column | str) -> Column:
+    """The ids of all blocks that a text cites, in order."""
+    return F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(BLOCK_ID), 1)
+
+
+def block_embeds(c: Column | str) -> Column:
+    """The ids of all blocks that a text embeds, in order."""
+    return F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(r"!\[\[[^\]]+#\^([a-z0-9-]+-ch\d+-\d+)[^\]]*\]\]"), 1)

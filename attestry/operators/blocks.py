@@ -167,3 +167,87 @@ def annotation_totals(files: DataFrame) -> DataFrame:
     sums = each.groupBy("slug", "file").agg(*(F.sum(c).alias(n) for c, n in (("added", "added"), ("preserved", "preserved"), ("lines", "substantive_lines"))))
     whole = sums.groupBy("slug").agg(*(F.sum(c).alias(c) for c in ("added", "preserved", "substantive_lines"))).withColumn("file", F.lit(None).cast(files.schema["file"].dataType))
     return sums.unionByName(whole).withColumn("block_ids", F.col("added") + F.col("preserved"))
+
+
+def annotation_issues(files: DataFrame) -> DataFrame:
+    """slug, file, line_no, block_id and issue of annotated files: ids of another slug or form, of another chapter, and repeated ones.
+
+    ``files`` has slug, chapter (null if the name tells none), file and text; a file with substantive lines and no
+    id, and a slug without any, have a null id.
+    """
+    like = r"\^([A-Za-z0-9][A-Za-z0-9-]*-ch\d+-\d+)(?![\p{L}\p{N}_])"
+    rows = files.select("slug", "chapter", "file", F.posexplode(text.lines("text")).alias("p", "line")).filter(F.contains("line", F.lit("^")))
+    found = rows.select("slug", "chapter", "file", (F.col("p") + 1).alias("line_no"), F.explode(F.regexp_extract_all("line", F.lit(like), 1)).alias("block_id"))
+    rest = F.when(F.startswith("block_id", F.concat("slug", F.lit("-ch"))), F.expr("substring(block_id, length(slug) + 4)")).otherwise("")
+    of = F.regexp_extract(rest, r"^(\d{2})-\d{4,}$", 1)
+    found = found.withColumn("of", of.try_cast("int"))
+    at = ["slug", "file", "line_no", "block_id"]
+    wrong = found.filter("of is null").select(*at, F.lit("another slug or form").alias("issue"))
+    other = found.filter("of <> chapter").select(*at, F.lit("another chapter").alias("issue"))
+    own = found.filter("of is not null")
+    again = own.groupBy("slug", "block_id").agg(F.count("*").alias("n")).filter("n > 1").select("slug", F.lit(None).cast(files.schema["file"].dataType).alias("file"), F.lit(None).cast("int").alias("line_no"), "block_id", F.lit("repeated").alias("issue"))
+    keys = ["slug", "file"]
+    lines = substantive_lines(files, keys).select(*keys).distinct()
+    bare = lines.join(own.select(*keys).distinct(), keys, "left_anti").select(*keys, F.lit(None).cast("int").alias("line_no"), F.lit(None).cast("string").alias("block_id"), F.lit("no block ids").alias("issue"))
+    return wrong.union(other).union(again).union(bare)
+
+
+# The sections that make up a presentation's categories, and the categories that it must have.
+SECTIONS = {
+    "executive_summary": ("Executive Summary",),
+    "author_words": ("Author's Words",),
+    "definition": ("Rich Definitions",),
+    "formulas": ("Author's Formulation",),
+    "examples": ("Specific Example", "Figures and Diagrams", "Implementation Details"),
+    "limitations": ("Author's Warnings", "Limitations and Counter-Arguments"),
+    "empirical_context": ("Historical / Empirical Context", "Calibration Data Sources"),
+    "relations": ("Relations",),
+    "evidence_index": ("Unit evidence corpus",),
+}
+REQUIRED = ("author_words", "definition", "formulas", "examples", "limitations", "relations", "evidence_index")
+
+
+def balance_metrics(sections: DataFrame) -> DataFrame:
+    """unit_id, category, citations, unique, embeds, lines, share_total, share_body and required: what each category cites.
+
+    ``sections`` has unit_id, header and body; every unit has all categories, and the evidence index is no body.
+    """
+    named = F.create_map(*(F.lit(x) for c, hs in SECTIONS.items() for h in hs for x in (h, c)))
+    categories = F.array(*map(F.lit, SECTIONS))
+    held = sections.select("unit_id", F.try_element_at(named, F.col("header")).alias("category"), "body").filter("category is not null")
+    ids, embeds = text.block_citations("body"), text.block_embeds("body")
+    full = F.size(F.filter(text.lines("body"), lambda x: text.strip(x) != ""))
+    some = held.groupBy("unit_id", "category").agg(F.sum(F.size(ids)).alias("citations"), F.size(F.array_distinct(F.flatten(F.collect_list(ids)))).cast("long").alias("unique"), F.sum(F.size(embeds)).alias("embeds"), F.sum(full).alias("lines"))
+    every = sections.select("unit_id").distinct().select("unit_id", F.explode(categories).alias("category"))
+    df = every.join(some, ["unit_id", "category"], "left").fillna(0, ["citations", "unique", "embeds", "lines"])
+    unit = Window.partitionBy("unit_id")
+    body = F.col("category") != "evidence_index"
+    total, inner = F.sum("citations").over(unit), F.sum(F.when(body, F.col("citations")).otherwise(0)).over(unit)
+    share = lambda whole: F.round(F.coalesce(F.try_divide("citations", whole), F.lit(0.0)), 4)
+    return df.withColumn("share_total", share(total)).withColumn("share_body", F.when(body, share(inner)).otherwise(0.0)).withColumn("required", F.col("category").isin(*REQUIRED))
+
+
+def index_issues(index: DataFrame, chapter: DataFrame) -> DataFrame:
+    """unit_id, block_id and issue of source indexes (unit_id, block_id, category) against the chapter's blocks (unit_id, block_id).
+
+    Ids that are missing or extra, by number; unknown categories; and units that no chapter has.
+    """
+    key = F.struct("unit_id", "block_id")
+    diff = multiset_difference(chapter.select(key.alias("k")), index.select(key.alias("k")), "k")
+    said = F.array_compact(F.array(F.when(F.col("missing") > 0, "missing from the index"), F.when(F.col("extra") > 0, "extra in the index")))
+    numbers = diff.select("k.unit_id", "k.block_id", F.explode(said).alias("issue"))
+    category = index.filter(~F.coalesce(F.col("category").isin(*rules.CATEGORIES), F.lit(False))).select("unit_id", "block_id", F.lit("unknown category").alias("issue"))
+    unit = index.select("unit_id").distinct().join(chapter.select("unit_id").distinct(), "unit_id", "left_anti").select("unit_id", F.lit(None).cast("string").alias("block_id"), F.lit("unknown unit").alias("issue"))
+    return numbers.union(category).union(unit)
+
+
+def indexed_blocks(indexes: DataFrame) -> DataFrame:
+    """unit_id, pos, block_id and text of the rows of written source indexes (unit_id, text).
+
+    A row names the id in brackets and quotes its text; an index without such rows gives each id in it, as its own text.
+    """
+    row = r'(?md)^- \[([a-z0-9-]+-ch\d+-\d+)\] \u2014 "(.*?)"'
+    ids, said = F.regexp_extract_all("text", F.lit(row), 1), F.regexp_extract_all("text", F.lit(row), 2)
+    bare = F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{N}_])([a-z0-9-]+-ch\d+-\d+)(?![\p{L}\p{N}_])"), 1)
+    pairs = F.when(F.size(ids) > 0, F.arrays_zip(ids.alias("a"), said.alias("b"))).otherwise(F.arrays_zip(bare.alias("a"), bare.alias("b")))
+    return indexes.select("unit_id", F.posexplode(pairs).alias("pos", "r")).select("unit_id", "pos", F.col("r.a").alias("block_id"), F.col("r.b").alias("text"))

@@ -64,7 +64,10 @@ def chapter_files(boundaries: DataFrame) -> DataFrame:
 
 
 def discover_units(files: DataFrame) -> DataFrame:
-    """slug, file, chapter_num, part_num, unit_id, and whether another file has the same unit; ``files`` has slug and file."""
+    """slug, file, chapter_num, part_num, unit_id, and whether another file has the same unit; ``files`` has slug and file.
+
+    ``in_order`` sorts them.
+    """
     stem = F.regexp_replace(text.basename("file"), r"\.md$", "")
     part = F.regexp_extract(stem, r"(?i)(?:^|[-_])part[-_]?(\d+)(?:[-_]|$)", 1).try_cast("int")
     bare = text.is_bare_part(stem)
@@ -74,6 +77,11 @@ def discover_units(files: DataFrame) -> DataFrame:
     return out.withColumn("ambiguous", F.count("*").over(Window.partitionBy("slug", "unit_id")) > 1)
 
 
+def in_order(units: DataFrame) -> DataFrame:
+    """Units by slug, chapter, part (whole chapters first) and id, as a total order over partitions."""
+    return units.orderBy("slug", "chapter_num", F.coalesce("part_num", F.lit(0)), "unit_id")
+
+
 def split_points(blank: list[bool], max_lines: int, window: int) -> list[int]:
     """Ends of slices of at most ``max_lines`` lines, each after the last blank line of its last ``window`` lines, if any."""
     ends, at, n = [], 0, len(blank)
@@ -85,12 +93,20 @@ def split_points(blank: list[bool], max_lines: int, window: int) -> list[int]:
     return [*ends, n] if n or not ends else ends
 
 
-def size_split(docs: DataFrame, key: str, max_lines: int = 2000, window: int = 100) -> DataFrame:
+#: Lines that the front matter of a part takes.
+METADATA = 12
+
+
+def size_split(docs: DataFrame, key: str, max_lines: int = 2000, window: int = 100, metadata: int = METADATA) -> DataFrame:
     """key, part (from 1), line_start (from 1) and line_end of the parts of each text; parts never overlap.
 
-    Where a part ends depends on where the one before it did, so that each text is cut in one go, in
-    Arrow batches of its blank-line flags.
+    A text of at most ``max_lines`` lines is one part.  Longer ones are cut into parts that leave
+    ``metadata`` lines for their front matter, so that no written part exceeds the limit.  Where a part
+    ends depends on where the one before it did, so that each text is cut in one go, in Arrow batches
+    of its blank-line flags.
     """
+    if max_lines <= metadata + 1:
+        raise ValueError(f"{max_lines} lines leave no room for a body")
     flags = docs.select(key, F.transform(text.lines("text"), lambda x: text.strip(x) == "").alias("blank"))
     span = pa.list_(pa.struct([("part", pa.int64()), ("line_start", pa.int64()), ("line_end", pa.int64())]))
 
@@ -98,7 +114,8 @@ def size_split(docs: DataFrame, key: str, max_lines: int = 2000, window: int = 1
         for b in it:
             out = []
             for blank in b.column(1).to_pylist():
-                ends = split_points(blank or [], max_lines, window)
+                blank = blank or []
+                ends = split_points(blank, max_lines if len(blank) <= max_lines else max_lines - metadata, window)
                 out.append([{"part": k + 1, "line_start": s + 1, "line_end": e} for k, (s, e) in enumerate(zip([0, *ends], ends))])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, span)], [key, "parts"])
 
@@ -107,6 +124,38 @@ def size_split(docs: DataFrame, key: str, max_lines: int = 2000, window: int = 1
     return cut.select(key, F.inline("parts"))
 
 
+def source_ranges(parts: DataFrame) -> DataFrame:
+    """``parts`` (line_start from 1, line_end, source_lines as first-last) with source_lines of the part: lines of the source book.
+
+    Without a range the value stays as it is, or becomes unknown.
+    """
+    first = F.regexp_extract("source_lines", r"(\d+)\s*-\s*\d+", 1).try_cast("long")
+    start = F.col("line_start") - 1
+    own = F.concat_ws("-", first + start, first + F.greatest(F.col("line_end") - 1, start))
+    return parts.withColumn("source_lines", F.when(first.isNotNull(), own).otherwise(F.coalesce("source_lines", F.lit("unknown"))))
+
+
+def part_texts(docs: DataFrame, parts: DataFrame, slug: str) -> DataFrame:
+    """file, part and text of each part of split chapters, with its front matter.
+
+    ``docs`` has file (name.md), chapter, title, source_lines, page_range, ingested and text (the body); ``parts`` file, part, line_start and line_end.
+    """
+    numbered = parts.join(parts.groupBy("file").agg(F.max("part").alias("of")), "file").filter("of > 1")
+    df = source_ranges(numbered.join(docs, "file"))
+    stem = F.regexp_replace("file", r"\.md$", "")
+    name = F.concat(stem, F.lit("_part"), text.two_digits("part"), F.lit(".md"))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    title = F.concat(F.coalesce("title", F.regexp_replace(stem, "[-_]", " ")), F.lit(" (part "), text.two_digits("part"), F.lit(")"))
+    fields = {
+        "source": quoted(F.lit(f"[[{slug}]]")), "chapter": F.col("chapter").cast("string"), "unit_id": quoted(F.concat(F.lit("ch"), text.two_digits("chapter"), F.lit("-part"), text.two_digits("part"))),
+        "title": quoted(title), "source_lines": quoted(F.col("source_lines")), "page_range": quoted(F.coalesce("page_range", F.lit("unknown"))),
+        "ingested": F.col("ingested").cast("string"), "phase_3_2_split_from": quoted(F.col("file")), "phase_3_2_part": quoted(F.concat_ws("/", "part", "of")),
+    }
+    head = F.concat(F.lit("---\n"), *(x for k, v in fields.items() for x in (F.lit(f"{k}: "), v, F.lit("\n"))), F.lit("---\n"))
+    body = F.array_join(F.slice(text.lines("text"), F.col("line_start").cast("int"), (F.col("line_end") - F.col("line_start") + 1).cast("int")), "\n")
+    return df.select(name.alias("file"), "part", F.concat(head, body, F.lit("\n")).alias("text"))
+
+
 def oversized(units: DataFrame, max_lines: int = 2000) -> DataFrame:
     """Units over the limit, and whether they are parts already, which may not be split again."""
     return units.filter(F.col("line_count") > max_lines).withColumn("nested", F.col("unit_id").contains("-part"))

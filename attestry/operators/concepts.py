@@ -88,19 +88,30 @@ def downweight(concepts: DataFrame, ambiguous: DataFrame) -> DataFrame:
     return out.withColumn("score", F.greatest(F.lit(0), F.col("score") - F.col("ambiguous_claim_count")))
 
 
+#: Characters of the pieces by which a form meets longer ones that hold it.
+PIECE = 4
+
+
 def near_duplicates(slugs: DataFrame, least: float = 0.6) -> DataFrame:
     """a, b (a before b) and reason: same normal form, one inside the other, or token overlap of at least ``least``.
 
-    No pair is compared that has nothing in common: equal forms and tokens meet by equality, and a
-    form inside another by its length, among all pieces of that length.
+    No pair is compared that has nothing in common: equal forms and tokens meet by equality; a form meets those
+    that hold it by its rarest piece of ``PIECE`` characters (or the whole of a shorter one), which they hold too.
     """
     s = slugs.select("slug").distinct().withColumn("norm", text.normal_slug("slug")).withColumn("tokens", F.array_distinct(F.split("norm", "-")))
-    left = s.select(F.col("slug").alias("a"), F.col("norm").alias("na"), F.col("tokens").alias("ta"))
-    right = s.select(F.col("slug").alias("b"), F.col("norm").alias("nb"), F.col("tokens").alias("tb"))
+    left = s.select(F.col("slug").alias("a"), F.col("norm").alias("na"))
+    right = s.select(F.col("slug").alias("b"), F.col("norm").alias("nb"))
     same = left.join(right, (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))).select("a", "b", F.lit(0).alias("k"))
-    lengths = [r[0] for r in s.select(F.length("norm")).distinct().limit(256).collect()]  # slugs have 80 characters at most
-    pieces = F.array_distinct(F.flatten(F.transform(F.array(*map(F.lit, sorted(lengths))), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("nb") - n + 1, F.lit(1))), lambda i: F.substring("nb", i, n)))))
-    inside = right.select("b", "nb", F.explode(pieces).alias("na")).filter("na <> nb").join(left, "na").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("k"))
+    forms = s.select("norm").distinct()
+    pieces = lambda n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("norm") - n + 1, F.lit(1))), lambda i: F.substring("norm", i, n)))
+    held = forms.select("norm", F.explode(F.array_distinct(F.flatten(F.array(*map(pieces, range(1, PIECE + 1)))))).alias("piece"))
+    often = held.groupBy("piece").agg(F.count("*").alias("n"))
+    own = forms.filter("norm <> ''").select("norm", F.explode(pieces(F.least(F.lit(PIECE), F.length("norm")))).alias("piece"))
+    rare = own.join(often, "piece").groupBy("norm").agg(F.min(F.struct("n", "piece"))["piece"].alias("piece")).withColumnRenamed("norm", "na")
+    met = held.join(rare, "piece").filter((F.col("norm") != F.col("na")) & F.contains("norm", "na")).select("na", F.col("norm").alias("nb"))
+    # the empty form is inside of all others
+    blank = forms.filter("norm = ''").select(F.col("norm").alias("na"), F.lit(1).alias("x")).join(forms.filter("norm <> ''").select(F.col("norm").alias("nb"), F.lit(1).alias("x")), "x").select("na", "nb")
+    inside = met.union(blank).join(left, "na").join(right, "nb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("k"))
     # of sets that share 60 per cent, the rarest tokens of one always meet the other: the prefix filter
     freq = s.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     ranked = s.select("slug", F.size("tokens").alias("m"), "tokens", F.explode("tokens").alias("t")).join(freq, "t")
@@ -112,6 +123,26 @@ def near_duplicates(slugs: DataFrame, least: float = 0.6) -> DataFrame:
     return same.union(inside).union(alike).groupBy("a", "b").agg(F.min("k").alias("k")).select("a", "b", reasons[F.col("k")].alias("reason"))
 
 
+def attached_claims(concepts: DataFrame, claims: DataFrame) -> DataFrame:
+    """slug and the columns of ``claims`` (file, block_id, ...) for each claim whose block a concept of the same file cites.
+
+    ``concepts`` has file, slug and block_ids.
+    """
+    cited = concepts.select("file", "slug", F.explode(F.array_distinct("block_ids")).alias("block_id")).filter("block_id is not null").distinct()
+    return claims.join(cited, ["file", "block_id"]).select("slug", *claims.columns)
+
+
+def concept_sources(concepts: DataFrame, mentions: DataFrame) -> DataFrame:
+    """slug, file, lane, chapter, chapter_title and block_ids (sorted) of each file in which a concept, or a slug merged into it, occurs.
+
+    ``concepts`` has slug and merged_slugs (null without), ``mentions`` file, lane, slug, chapter, chapter_title and block_ids.
+    """
+    names = concepts.select("slug", F.explode(F.array_distinct(F.concat(F.array("slug"), F.coalesce("merged_slugs", F.array().cast("array<string>"))))).alias("alias"))
+    found = mentions.withColumnRenamed("slug", "alias").join(names, "alias")
+    ids = F.array_sort(F.array_distinct(F.filter(F.coalesce("block_ids", F.array().cast("array<string>")), lambda i: F.coalesce(i != "", F.lit(False)))))
+    return found.select("slug", "file", "lane", "chapter", "chapter_title", ids.alias("block_ids"))
+
+
 def known_duplicates(slugs: DataFrame, existing: DataFrame) -> DataFrame:
     """slug and existing page of one normal form but another slug."""
     pages = existing.select(F.col("slug").alias("existing"), text.normal_slug("slug").alias("norm"))
@@ -127,23 +158,38 @@ def strongest_blocks(votes: DataFrame, key: str, most: int = 5) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
 
 
-def ranked(concepts: DataFrame) -> DataFrame:
-    """slug, score and rank by score and slug, without all rows in one task.
+#: Characters of a slug's beginning by which the slugs of a score are dealt out.
+BEGINNING = 3
+
 
-    Scores are whole numbers from 0 to 17: a row's rank is the number of rows of higher scores plus
-    its place among its own score's slugs.
+def ranked(concepts: DataFrame, beginning: int = BEGINNING) -> DataFrame:
+    """slug, score and rank by score and slug, without all rows, or all of one score, in one task.
+
+    A row's rank is the number of rows of higher scores, plus that of the same score with smaller beginnings,
+    plus its place among those of its own beginning.  Only counts are summed in order: at most 18 scores, and
+    for each of them as many beginnings as slugs can have.
     """
-    counts = concepts.groupBy("score").agg(F.count("*").alias("n"))
-    above = counts.withColumn("above", F.sum("n").over(Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)))
-    place = F.row_number().over(Window.partitionBy("score").orderBy("slug"))
-    return concepts.withColumn("place", place).join(F.broadcast(above.select("score", "above")), "score").select("slug", "score", (F.coalesce("above", F.lit(0)) + F.col("place")).alias("rank"))
+    df = concepts.select("slug", "score", F.left("slug", F.lit(beginning)).alias("part"))
+    counts = df.groupBy("score", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("score").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    within = counts.withColumn("before", F.coalesce(before, F.lit(0)))
+    scores = counts.groupBy("score").agg(F.sum("n").alias("n"))
+    above = scores.withColumn("above", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("score", "part").orderBy("slug"))
+    out = df.withColumn("place", place).join(within.select("score", "part", "before"), ["score", "part"]).join(F.broadcast(above.select("score", "above")), "score")
+    return out.select("slug", "score", (F.col("above") + F.col("before") + F.col("place")).alias("rank"))
+
 
+def selection_issues(selected: DataFrame, candidates: DataFrame, flagged: DataFrame, overridden: DataFrame | None = None) -> DataFrame:
+    """slug and issue: chosen more than once, unknown, unclean, or chosen with a near duplicate, and an empty choice under a null slug.
 
-def selection_issues(selected: DataFrame, candidates: DataFrame, flagged: DataFrame) -> DataFrame:
-    """slug and issue: chosen more than once, unknown, unclean, or chosen with a near duplicate; ``flagged`` has a and b."""
+    ``flagged`` has a and b; ``overridden`` (a, b) names pairs that may be chosen together.
+    """
     again = selected.groupBy("slug").count().filter("count > 1").select("slug", F.lit("selected more than once").alias("issue"))
     unknown = selected.join(candidates, "slug", "left_anti").select("slug", F.lit("not a candidate"))
     unclean = selected.filter(~text.is_clean_slug("slug")).select("slug", F.lit("not a clean slug"))
     own = selected.select("slug").distinct()
-    pairs = flagged.join(own.withColumnRenamed("slug", "a"), "a").join(own.withColumnRenamed("slug", "b"), "b").select(F.col("a"), F.concat(F.lit("near duplicate of "), F.col("b")))
-    return again.union(unknown).union(unclean).union(pairs)
+    pairs = flagged.select("a", "b") if overridden is None else flagged.select("a", "b").join(overridden.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = pairs.join(own.withColumnRenamed("slug", "a"), "a").join(own.withColumnRenamed("slug", "b"), "b").select(F.col("a"), F.concat(F.lit("near duplicate of "), F.col("b")))
+    empty = selected.agg(F.count("*").alias("n")).filter("n = 0").select(F.lit(None).cast("string"), F.lit("nothing selected"))
+    return again.union(unknown).union(unclean).union(pairs).union(empty)

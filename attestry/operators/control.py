@@ -55,9 +55,10 @@ def require_gate(states: DataFrame, gates: DataFrame, phase: str, allowed: tuple
 
 
 def tree_fingerprints(files: DataFrame, key: str, name: str, content: str) -> DataFrame:
-    """key and fingerprint: SHA-256 over each file's name, a zero byte, its SHA-256 and a line feed, by name.
+    """key, files and fingerprint: SHA-256 over each file's name, a zero byte, its SHA-256 and a line feed, by name.
 
-    A tree's files are gathered as names and digests only, never as contents.
+    The digest is defined over a tree's whole list, which one task must hold: names and digests only, never
+    contents, about 100 bytes a file, so that a tree may have tens of millions of files.
     """
     line = F.struct(F.col(name).cast("string").alias("n"), F.sha2(F.coalesce(F.col(content).cast("binary"), F.lit("").cast("binary")), 256).alias("h"))
     tree = files.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("t"), F.count("*").alias("files"))
@@ -88,10 +89,55 @@ def identity_conflicts(known: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.join(known.withColumnRenamed("sha256", "known"), "slug").filter("sha256 <> known").select("slug", "known", "sha256")
 
 
-def prunable(files: DataFrame, gates: DataFrame) -> DataFrame:
-    """slug and bytes that may go: files of slugs whose last gate passed."""
-    safe = gates.filter("phase = 'post' and status = 'PASS'").select("slug")
-    return files.join(safe, "slug", "left_semi").groupBy("slug").agg(F.sum("length").alias("bytes"))
+def prune_gates(books: DataFrame) -> DataFrame:
+    """slug, allowed and reason: whether what a book was read from may go.
+
+    ``books`` has slug, archived (sources kept apart, by number), gate (of the reading, null without), status and
+    texts (extracted books, by number).
+    """
+    kept = F.coalesce(F.col("archived") > 0, F.lit(False))
+    passed, frozen = F.coalesce(F.col("gate") == "PASS", F.lit(False)), F.coalesce(F.col("status") == "LEGACY_FROZEN", F.lit(False))
+    read = F.coalesce(F.col("texts") > 0, F.lit(False))
+    reason = F.when(~kept, "no archived source").when(passed, "gate passed").when(frozen & read, "frozen with extracted text").when(frozen, "frozen without extracted text").otherwise("no passed gate and not frozen")
+    return books.select("slug", (kept & (passed | (frozen & read))).alias("allowed"), reason.alias("reason"))
+
+
+def prunable(files: DataFrame, books: DataFrame) -> DataFrame:
+    """slug, files and bytes that may go; ``files`` has slug, path and length, ``books`` is as in ``prune_gates``."""
+    safe = prune_gates(books).filter("allowed").select("slug")
+    return files.join(safe, "slug", "left_semi").groupBy("slug").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+def restarted(artifacts: DataFrame, slug: str, confirmed: bool = False) -> DataFrame:
+    """``artifacts`` (slug, ...) without those of one slug; refused unless confirmed."""
+    if not confirmed:
+        raise PermissionError("restarting deletes all artifacts of a slug and must be confirmed")
+    return artifacts.filter(~F.col("slug").eqNullSafe(slug))
+
+
+def archived(folders: DataFrame, superseded: DataFrame, root: str, phase: str = "phase-3.2") -> DataFrame:
+    """unit_id, path and moved_to of the team folders of units that were split; ``folders`` has every path under ``root``.
+
+    A name that the archive has already gets the first free number after it.
+    """
+    place = f"{root}/_superseded/{phase}"
+    own = superseded.select("unit_id", F.concat(F.lit(f"{root}/team-"), "unit_id").alias("path")).join(folders.select("path").distinct(), "path")
+    stem = F.concat(F.lit(f"{place}/team-"), "unit_id")
+    taken = folders.filter(F.col("path").startswith(f"{place}/")).select(F.regexp_replace("path", r"\.\d+$", "").alias("stem"), F.coalesce(F.nullif(F.regexp_extract("path", r"\.(\d+)$", 1), F.lit("")).cast("int"), F.lit(0)).alias("k"))
+    used = taken.groupBy("stem").agg(F.collect_set("k").alias("ks"))
+    df = own.withColumn("stem", stem).join(used, "stem", "left")
+    free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size(F.coalesce("ks", F.array().cast("array<int>")))), F.coalesce("ks", F.array().cast("array<int>"))))
+    return df.select("unit_id", "path", F.when(free == 0, F.col("stem")).otherwise(F.concat_ws(".", "stem", free)).alias("moved_to"))
+
+
+def gate_marks(gates: DataFrame) -> DataFrame:
+    """``gates`` (slug, phase, status, writer, valid, total, missing) with validation_passed and blockid_valid: what the marker files say.
+
+    The first needs a non-empty PASS of extractions that are all valid, the second one without missing ids.
+    """
+    passed = F.coalesce((F.col("status") == "PASS") & (F.col("total") > 0), F.lit(False))
+    whole = F.coalesce(F.col("valid") == F.col("total"), F.lit(False))
+    return gates.withColumn("validation_passed", passed & whole & (F.col("phase") == "3.4")).withColumn("blockid_valid", passed & F.coalesce(F.col("missing") == 0, F.lit(False)) & (F.col("phase") == "4"))
 
 
 def audit_summary(checks: DataFrame) -> DataFrame:

@@ -31,6 +31,24 @@ def coverage(expected: DataFrame, recorded: DataFrame, keys: list[str]) -> DataF
     return both.select(*keys, F.when(F.col("e").isNull(), "extra").otherwise("missing").alias("issue"))
 
 
+def record_rows(results: DataFrame) -> DataFrame:
+    """id, ord and the fields of ``ALIASES`` under all their names, one row for each record of dispatch results (ord, json).
+
+    Jobs are a map from id to a job id or a record; tasks, results and runs are lists, later ones over earlier ones.
+    """
+    v = results.select("ord", F.try_parse_json("json").alias("v"))
+    get = lambda c, k: F.try_variant_get(c, f"$.{k}", "string")
+    names = sorted({n for ns in ALIASES.values() for n in ns} | {"planned_task_id", "task"})
+    jobs = v.select("ord", F.explode(F.expr("try_cast(try_variant_get(v, '$.jobs', 'variant') as map<string, variant>)")).alias("id", "r"))
+    plain = F.when(F.schema_of_variant("r") == "STRING", F.try_variant_get("r", "$", "string"))
+    fields = [F.coalesce(plain, get("r", n)).alias(n) if n == "job_id" else get("r", n).alias(n) for n in names]
+    out = jobs.select("id", F.struct("ord", F.lit(0).alias("list"), F.lit(0).alias("pos")).alias("ord"), *fields)
+    for k, name in enumerate(("tasks", "results", "runs"), 1):
+        rows = v.select("ord", F.posexplode(F.try_variant_get("v", f"$.{name}", "array<variant>")).alias("pos", "r")).filter(F.schema_of_variant("r").startswith("OBJECT"))
+        out = out.unionByName(rows.select(get("r", "id").alias("id"), F.struct("ord", F.lit(k).alias("list"), "pos").alias("ord"), *(get("r", n).alias(n) for n in names)))
+    return out
+
+
 def normal_records(records: DataFrame) -> DataFrame:
     """One record an id: aliases read, later rows (ord) over earlier ones, field by field."""
     given = lambda c: F.nullif(text.strip(c), F.lit(""))
@@ -58,9 +76,18 @@ def align(markers: DataFrame, records: DataFrame, keys: list[str], order_left: l
 
 
 def batches(tasks: DataFrame) -> DataFrame:
-    """chapter, batch (first seen first), its sorted units and its number of tasks; ``tasks`` has chapter, unit_id and ord."""
+    """chapter, batch (first seen first), its sorted units and its number of tasks; ``tasks`` has chapter, unit_id and ord.
+
+    Chapters are numbered by counting: of a chapter's first places, the high halves are counted together and
+    only those of one high half are ordered against each other.
+    """
     groups = tasks.groupBy("chapter").agg(F.min("ord").alias("seen"), F.array_sort(F.collect_set("unit_id")).alias("units"), F.count("*").alias("tasks"))
-    return groups.withColumn("batch", F.row_number().over(Window.orderBy("seen"))).drop("seen")
+    high = groups.withColumn("high", F.shiftright(F.col("seen").cast("long"), 20))
+    counts = high.groupBy("high").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("high").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("high").orderBy("seen", "chapter"))
+    out = high.withColumn("place", place).join(counts.select("high", before.alias("before")), "high")
+    return out.select("chapter", "units", "tasks", (F.col("before") + F.col("place")).alias("batch"))
 
 
 def lane_order(rows: DataFrame, lanes: DataFrame) -> DataFrame:
@@ -71,5 +98,17 @@ def lane_order(rows: DataFrame, lanes: DataFrame) -> DataFrame:
 
 def discipline(tasks: DataFrame, records: DataFrame, outputs: DataFrame) -> DataFrame:
     """Expected pairs, recorded ones and those without output, by lane; ``outputs`` has unit_id and lane."""
-    df = tasks.join(records.select(F.col("id").alias("task_id"), F.lit(1).alias("r")), "task_id", "left").join(outputs.select("unit_id", "lane", F.lit(1).alias("o")), ["unit_id", "lane"], "left")
+    done = records.select(F.col("id").alias("task_id"), F.lit(1).alias("r")).distinct()
+    there = outputs.select("unit_id", "lane", F.lit(1).alias("o")).distinct()
+    df = tasks.join(done, "task_id", "left").join(there, ["unit_id", "lane"], "left")
     return df.groupBy("lane").agg(F.count("*").alias("expected"), F.count("r").alias("recorded"), F.count_if(F.col("o").isNull()).alias("missing_outputs"))
+
+
+def run_manifest(tasks: DataFrame, records: DataFrame, verified: DataFrame) -> DataFrame:
+    """One row a planned task: its run and what verification said; ``verified`` has unit_id, lane, valid and issues (their number).
+
+    state is unrecorded, unverified, invalid or valid.
+    """
+    df = tasks.select("unit_id", "lane", "task_id").join(records.withColumnRenamed("id", "task_id"), "task_id", "left").join(verified.select("unit_id", "lane", "valid", "issues"), ["unit_id", "lane"], "left")
+    state = F.when(F.col("job_id").isNull(), "unrecorded").when(F.col("valid").isNull(), "unverified").when(~F.col("valid"), "invalid").otherwise("valid")
+    return df.select("unit_id", "lane", "task_id", *ALIASES, state.alias("state"), F.coalesce("issues", F.lit(0)).alias("issues"))

@@ -24,25 +24,52 @@ def ground_claims(claims: DataFrame, blocks: DataFrame) -> DataFrame:
     return df.withColumns({"effective_confidence": F.when(demoted, "AMBIGUOUS").otherwise(F.col("confidence")), "demoted": demoted, "reason": F.when(demoted, REASON).otherwise("")}).drop("block_text")
 
 
+def texts_by_unit(blocks: DataFrame, slug: str, unit: str) -> DataFrame:
+    """block_id and text of one unit's blocks (slug, unit_id, block_id, text): what its claims may cite."""
+    return blocks.filter((F.col("slug") == slug) & (F.col("unit_id") == unit)).groupBy("block_id").agg(F.min("text").alias("text"))
+
+
+def grounding_totals(grounded: DataFrame) -> DataFrame:
+    """One row: claims, extracted, demoted, inferred, ambiguous (effective) and ungrounded files' share over ``ground_claims`` rows."""
+    state = lambda c, v: F.count_if(F.col(c) == v)
+    out = grounded.agg(F.count("*").alias("claims"), state("confidence", "EXTRACTED").alias("extracted"), F.count_if("demoted").alias("demoted"), state("confidence", "INFERRED").alias("inferred"), state("effective_confidence", "AMBIGUOUS").alias("ambiguous"))
+    return out.withColumn("rate", F.round(F.coalesce(F.try_divide("demoted", "extracted"), F.lit(0.0)), 4))
+
+
 def quotes_in_texts(quotes: DataFrame, docs: DataFrame, words: int = 6) -> DataFrame:
     """item_id and doc_id of each text (doc_id, text) that holds a quote (item_id, text) verbatim, both in normal form.
 
-    A text that holds a quote holds its first ``words`` words one after the other (the first may end,
-    the last may begin a longer word of the text, so only the inner ones are used): texts and quotes
-    meet by the hash of those, then the whole quote is looked for.  Quotes of fewer words meet by
-    looking for each in every text, in blocks.
+    A text that holds a quote holds its inner words one after the other (its first one may end, its last
+    one may begin a longer word of the text): texts and quotes meet by the hash of the first of these, at
+    most ``words`` - 2, and only then, by their ids, with the texts themselves.  A quote of one word, or
+    two, meets by its longest piece of three characters or fewer inside a word, so that no quote is
+    compared with texts that have nothing of it.
     """
-    normal = lambda c: F.split(text.normal_quote(F.coalesce(c, F.lit(""))), " ")
-    q = quotes.select("item_id", text.normal_quote(F.coalesce("text", F.lit(""))).alias("quote"), normal("text").alias("w"))
+    normal = lambda c: text.normal_quote(F.coalesce(c, F.lit("")))
     n = words - 2
-    keyed = q.filter(F.size("w") >= words).select("item_id", "quote", F.xxhash64(F.slice("w", 2, n)).alias("key"))
-    body = docs.select("doc_id", text.normal_quote(F.coalesce("text", F.lit(""))).alias("body"), normal("text").alias("w"))
-    grams = F.expr(f"array_distinct(transform(sequence(1, size(w) - {n} + 1), i -> xxhash64(slice(w, i, {n}))))")
-    places = body.filter(F.size("w") >= n).select("doc_id", "body", F.explode(grams).alias("key"))
-    hit = places.join(keyed, "key").filter(F.contains("body", "quote")).select("item_id", "doc_id").distinct()
-    short = q.filter((F.size("w") < words) & (F.col("quote") != "")).select("item_id", "quote")
-    rest = body.select("doc_id", "body").join(short, F.contains("body", "quote")).select("item_id", "doc_id")
-    return hit if short.isEmpty() else hit.union(rest).distinct()
+    # by kind: k inner words (1 to n), or pieces of characters where a quote has none
+    q = quotes.select("item_id", normal("text").alias("quote")).filter("quote <> ''").distinct().withColumn("w", F.split("quote", " "))
+    inner = F.size("w") - 2
+    k = F.least(F.lit(n), inner)
+    longest = F.array_max(F.transform("w", lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    piece = F.left(longest, F.lit(3))
+    kind = F.when(inner > 0, k).otherwise(-F.length(piece))
+    key = F.when(inner > 0, F.xxhash64(F.expr(f"slice(w, 2, least({n}, size(w) - 2))"))).otherwise(F.xxhash64(F.array(piece)))
+    keyed = q.select("item_id", "quote", kind.alias("kind"), key.alias("key"))
+    asked = sorted(r.kind for r in keyed.select("kind").distinct().collect())  # at most n + 3 kinds
+    if not asked:
+        return docs.join(quotes.select("item_id"), F.lit(False)).select("item_id", "doc_id")
+    body = docs.select("doc_id", F.split(normal("text"), " ").alias("w"))
+    made = []
+    for i in asked:
+        if i > 0:
+            places = F.expr(f"if(size(w) >= {i}, transform(sequence(1, size(w) - {i - 1}), j -> xxhash64(slice(w, j, {i}))), cast(array() as array<bigint>))")
+        else:
+            places = F.expr(f"flatten(transform(w, x -> transform(sequence(1, greatest(1, length(x) - {-i - 1})), j -> xxhash64(array(substring(x, j, {-i}))))))")
+        made.append(F.arrays_zip(F.array_repeat(F.lit(i), F.size(F.array_distinct(places))).alias("kind"), F.array_distinct(places).alias("key")))
+    met = body.select("doc_id", F.explode(F.concat(*made)).alias("p")).select("doc_id", "p.kind", "p.key").join(keyed, ["kind", "key"]).select("doc_id", "item_id", "quote").distinct()
+    whole = docs.select("doc_id", normal("text").alias("body"))
+    return met.join(whole, "doc_id").filter(F.contains("body", "quote")).select("item_id", "doc_id").distinct()
 
 
 def demotion_rates(grounded: DataFrame, keys: list[str], most: float = 0.2) -> DataFrame:
@@ -60,15 +87,17 @@ def dead_references(refs: DataFrame, known: DataFrame, column: str = "block_id",
 
 
 def lexical_overlap(pages: DataFrame, cited: DataFrame, least: float = 0.12) -> DataFrame:
-    """page, overlap and status: shared share of the page's words and those of the blocks it cites.
+    """page, full_overlap, synthesis_overlap and status: words shared with the blocks that a page cites, by all its words and by its own.
 
-    ``pages`` has page and text, ``cited`` has page and text, null where the block is missing.
+    ``pages`` has page and text, ``cited`` has page and text, null where the block is missing.  The page's own
+    words, without what it quotes, decide.
     """
     source = cited.groupBy("page").agg(F.array_distinct(F.flatten(F.collect_list(text.content_words("text")))).alias("ws"), F.max(F.col("text").isNull().cast("int")).alias("missing"))
-    df = pages.select("page", text.content_words("text").alias("wp")).join(source, "page", "left")
-    overlap = text.jaccard("wp", F.coalesce("ws", F.array().cast("array<string>")))
+    own = pages.select("page", text.content_words("text").alias("wp"), text.content_words(synthesis(F.coalesce("text", F.lit("")))).alias("wo"))
+    df = own.join(source, "page", "left").withColumn("ws", F.coalesce("ws", F.array().cast("array<string>")))
+    overlap = text.jaccard("wo", "ws")
     status = F.when(F.coalesce("missing", F.lit(0)) == 1, "MISSING_BLOCK").when(overlap >= least, "PASS").otherwise("LOW_OVERLAP")
-    return df.select("page", F.round(overlap, 4).alias("overlap"), status.alias("status"))
+    return df.select("page", F.round(text.jaccard("wp", "ws"), 4).alias("full_overlap"), F.round(overlap, 4).alias("synthesis_overlap"), status.alias("status"))
 
 
 def synthesis(c: Column | str) -> Column:

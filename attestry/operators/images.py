@@ -50,10 +50,23 @@ def gate(refs: DataFrame, ocr_images: int) -> DataFrame:
 
 
 def coverage(images: DataFrame, pages: DataFrame) -> DataFrame:
-    """image and pages: how many pages (page, text) show it by name; references meet by name, not by search."""
-    used = pages.select("page", F.explode(F.regexp_extract_all("text", F.lit(IMAGE), 1)).alias("raw")).select("page", text.basename(text.file_ref("raw")).alias("name")).distinct()
-    own = images.select("image", text.basename("image").alias("name"))
-    return own.join(used, "name", "left").groupBy("image").agg(F.count("page").alias("pages"))
+    """image, concept_pages, team_pages and whether each kind covers it; ``pages`` has page, kind (concept or team) and text.
+
+    An image counts where its name occurs in an image reference or as a word with its extension: names meet
+    names, texts are not searched for each of them.
+    """
+    named = F.regexp_extract_all("text", F.lit(r"([^\s/\\()\[\]<>\"'`|#?!*,;:]+\.[A-Za-z0-9]{2,5})"), 1)
+    shown = F.transform(F.regexp_extract_all("text", F.lit(IMAGE), 1), lambda r: text.basename(text.file_ref(r)))
+    used = pages.select("page", "kind", F.explode(F.array_distinct(F.concat(F.coalesce(shown, F.array().cast("array<string>")), F.coalesce(named, F.array().cast("array<string>"))))).alias("name"))
+    own = images.select("image", text.basename("image").alias("name")).distinct()
+    both = own.join(used, "name", "left").groupBy("image")
+    out = both.agg(F.count_if(F.col("kind") == "concept").alias("concept_pages"), F.count_if(F.col("kind") == "team").alias("team_pages"))
+    return out.withColumn("concept_covered", F.col("concept_pages") > 0).withColumn("team_covered", F.col("team_pages") > 0)
+
+
+def coverage_totals(covered: DataFrame) -> DataFrame:
+    """One row: images, and how many of them concept pages and team pages cover."""
+    return covered.agg(F.count("*").alias("images"), F.count_if("concept_covered").alias("concept_covered"), F.count_if("team_covered").alias("team_covered"))
 
 
 def markers(lines: DataFrame) -> DataFrame:

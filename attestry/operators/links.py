@@ -131,11 +131,60 @@ def repair(files: DataFrame, refs: DataFrame) -> DataFrame:
     return files.select("file", "text").join(known, "file", "left").select("file", "text", "refs").mapInArrow(batches, "file string, text string, canonical long, rewritten long, unresolved long")
 
 
-def typed_edges(concepts: DataFrame, most: int = 3) -> DataFrame:
-    """slug, predicate, block_id and pos of a page's relations; ``concepts`` has slug, block_ids and formula_ids."""
-    edge = lambda name, ids: concepts.select("slug", F.lit(name).alias("predicate"), F.posexplode(ids).alias("pos", "block_id"))
+def typed_edges(concepts: DataFrame, refs: DataFrame | None = None, most: int = 3) -> DataFrame:
+    """slug, predicate, block_id, pos and target of a page's relations: what it was taken from, defined, formulated and warned by.
+
+    ``concepts`` has slug, source, block_ids, formula_ids and warning_ids (of the last two ``most`` each count);
+    ``refs`` has block_id and ref, and a block without one leads to the source itself.
+    """
+    edge = lambda name, ids: concepts.select("slug", "source", F.lit(name).alias("predicate"), F.posexplode(ids).alias("pos", "block_id"))
     blocks = F.array_distinct("block_ids")
-    return edge("extracted_from", blocks).union(edge("defined_by", F.slice(blocks, 1, 1))).union(edge("formulated_by", F.slice("formula_ids", 1, most))).select("slug", "predicate", "block_id", "pos")
+    every = edge("extracted_from", blocks).union(edge("defined_by", F.slice(blocks, 1, 1)))
+    for name, ids in (("formulated_by", "formula_ids"), ("warned_by", "warning_ids")):
+        every = every.union(edge(name, F.slice(F.coalesce(ids, F.array().cast("array<string>")), 1, most)))
+    every = every.filter("block_id is not null")
+    if refs is None:
+        return every.select("slug", "predicate", "block_id", "pos", F.col("source").alias("target"))
+    return every.join(refs, "block_id", "left").select("slug", "predicate", "block_id", "pos", F.coalesce("ref", "source").alias("target"))
+
+
+def relation_lines(edges: DataFrame) -> DataFrame:
+    """``edges`` with line: the edge as Markdown, the block shown by its short name."""
+    short = F.coalesce(F.nullif(F.regexp_extract("block_id", r"(ch\d+-\d+)$", 1), F.lit("")), "block_id")
+    return edges.withColumn("line", F.concat(F.lit("- "), "predicate", F.lit("::[["), "target", F.lit("#^"), "block_id", F.lit("|^"), short, F.lit("]]")))
+
+
+def inferred_claims(claims: DataFrame, refs: DataFrame) -> DataFrame:
+    """slug and note of each inferred claim (slug, source, ord, text, block_id, confidence) of a concept, in order.
+
+    The note embeds the block that is interpreted; claims without a block have none.
+    """
+    own = claims.filter((F.col("confidence") == "INFERRED") & (F.coalesce("block_id", F.lit("")) != ""))
+    df = own.join(refs, "block_id", "left").withColumn("target", F.coalesce("ref", "source"))
+    note = F.concat(F.lit("\u26a0 **Inferred claim:** "), F.coalesce("text", F.lit("")), F.lit(" (interpretation of ![["), "target", F.lit("#^"), "block_id", F.lit("]])"))
+    return df.select("slug", "ord", note.alias("note"))
+
+
+# What a page of links may say besides a predicate.
+NO_PAGES = ("concept-form-contract",)
+
+
+def incoming_edges(files: DataFrame) -> DataFrame:
+    """target and edges: how many typed edges lead to each note, by its name."""
+    used = files.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?m)^\s*-\s+[a-z_]+::\[\[([^\]|#]+)"), 1)).alias("raw"))
+    return used.groupBy(text.basename(text.strip("raw")).alias("target")).agg(F.count("*").alias("edges"))
+
+
+def ghost_links(files: DataFrame) -> DataFrame:
+    """target and n: notes that links name and no file is; ``files`` has file and text."""
+    named = files.select(F.explode(F.regexp_extract_all("text", F.lit(r"\[\[([^\]|#]+)"), 1)).alias("raw")).select(F.regexp_replace(text.basename(text.strip("raw")), r"\.md$", "").alias("target"))
+    there = vault(files).select(F.col("stem").alias("target")).distinct()
+    return named.filter("target <> ''").join(there, "target", "left_anti").groupBy("target").agg(F.count("*").alias("n"))
+
+
+def foreign_predicates(files: DataFrame, vocabulary: tuple[str, ...]) -> DataFrame:
+    """predicate, edges and files of predicates outside the vocabulary."""
+    return predicate_counts(files).filter(~F.col("predicate").isin(*vocabulary))
 
 
 def predicate_counts(files: DataFrame) -> DataFrame:

@@ -58,6 +58,29 @@ def uncited(blocks: DataFrame, presentations: DataFrame) -> DataFrame:
     return blocks.select("unit_id", "block_id").join(cited, ["unit_id", "block_id"], "left_anti")
 
 
+def with_evidence(parts: DataFrame, blocks: DataFrame, targets: DataFrame, corpus: str = "Relations", shown: int = 2) -> DataFrame:
+    """``parts`` (unit_id, header, body) with the unit's evidence where a body cites none.
+
+    ``blocks`` has unit_id, pos, block_id and text in the order of the unit's index, ``targets`` unit_id and target, the
+    chapter that embeds lead to.  A body without citation gets the first blocks as anchors; the section ``corpus``
+    also lists all blocks that it doesn't cite.
+    """
+    row = F.struct("pos", "block_id", "text")
+    evidence = blocks.groupBy("unit_id").agg(F.array_sort(F.collect_list(row)).alias("__e")).join(targets, "unit_id")
+    df = parts.withColumn("body", text.strip(F.coalesce("body", F.lit("")))).join(evidence, "unit_id", "left")
+    none = F.array().cast("array<struct<pos:int,block_id:string,text:string>>")
+    df = df.withColumn("__e", F.coalesce(F.col("__e").cast("array<struct<pos:int,block_id:string,text:string>>"), none))
+    embed = lambda e: F.concat(F.lit("- ![["), F.col("target"), F.lit("#^"), e["block_id"], F.lit("]]"))
+    anchors = F.concat(F.col("body"), F.lit("\n\nEvidence anchors:\n"), F.array_join(F.transform(F.slice("__e", 1, shown), embed), "\n"))
+    df = df.withColumn("body", F.when((F.size("__e") > 0) & ~F.col("body").rlike(text.BLOCK_ID), anchors).otherwise(F.col("body")))
+    cited = text.block_citations("body")
+    df = df.withColumn("__cited", cited).withColumn("__left", F.filter("__e", lambda e: ~F.array_contains(F.col("__cited"), e["block_id"])))
+    rest = F.array_join(F.transform("__left", lambda e: F.concat(embed(e), F.lit(" \u2014 "), F.coalesce(F.nullif(text.strip(e["text"]), F.lit("")), e["block_id"]))), "\n")
+    whole = F.concat(F.col("body"), F.lit("\n\nUnit evidence corpus:\n"), rest)
+    out = F.when((F.col("header") == corpus) & (F.size("__left") > 0), whole).otherwise(F.col("body"))
+    return df.withColumn("body", out).select(*parts.columns)
+
+
 def evidence_index(concepts: DataFrame, presentations: DataFrame) -> DataFrame:
     """slug, pos, block_id and units: a concept's blocks in their order, with the units that present each."""
     cited = presentations.select("unit_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(text.BLOCK_ID), 1))).alias("block_id"))
@@ -66,6 +89,30 @@ def evidence_index(concepts: DataFrame, presentations: DataFrame) -> DataFrame:
     return rows.join(units, "block_id", "left").select("slug", "pos", "block_id", F.coalesce("units", F.array().cast("array<string>")).alias("units"))
 
 
+def evidence_section(index: DataFrame, refs: DataFrame, source: str) -> DataFrame:
+    """slug and markdown of the evidence index: a numbered row for each block, its units and its embed; ``index`` is as of ``evidence_index``."""
+    label = F.when(F.size("units") > 0, F.array_join("units", ", ")).otherwise("unknown unit")
+    target = F.coalesce("ref", F.lit(source))
+    row = F.concat((F.col("pos") + 1).cast("string"), F.lit(". `^"), "block_id", F.lit("` \u2014 unit(s): "), label, F.lit("\n   - ![["), target, F.lit("#^"), "block_id", F.lit("]]"))
+    rows = index.join(refs, "block_id", "left").groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("pos", row.alias("r")))).alias("x"))
+    return rows.select("slug", F.concat(F.lit("## Evidence index\n\n"), F.array_join(F.transform("x", lambda r: r["r"]), "\n")).alias("markdown"))
+
+
+def dead_citations(texts: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """key and issue of texts (key, text) that cite blocks which no chapter (block_id) has."""
+    cited = texts.select(key, F.explode(F.array_distinct(text.block_citations("text"))).alias("block_id"))
+    return cited.join(known.select("block_id").distinct(), "block_id", "left_anti").select(key, F.concat(F.lit("dead block id: "), "block_id").alias("issue"))
+
+
+def dead_link_issues(texts: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """key and issue of texts (key, text) whose block links lead nowhere in a vault of ``files`` (file, text)."""
+    from . import links
+
+    asked = links.extract_links(texts.select(F.col(key).cast("string").alias("file"), "text"))
+    dead = links.resolve_links(asked, files).filter(F.col("status").isin(*links.DEAD))
+    return dead.select(F.col("file").alias(key), F.concat(F.col("status"), F.lit(": "), F.col("raw")).alias("issue"))
+
+
 def render(concepts: DataFrame, wanted: int = 6) -> DataFrame:
     """slug and markdown of pages; ``concepts`` has slug, name, confidence, block_ids, section_bodies (map) and author_words."""
     found = F.size(F.filter(F.map_values("section_bodies"), lambda b: text.strip(b) != ""))

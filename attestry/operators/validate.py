@@ -10,6 +10,7 @@ from ..functions import text
 BLOCK = r"^[a-z0-9-]+-ch\d+-\d+$"
 SLUG = r"^[a-z0-9-]+$"
 
+_DEFINITIONS = "array<struct<chapter:string,chapter_title:string,definition:string,block_id:string>>"
 _FORMULA = "struct<name:string,expression:string,block_id:string,context:string>"
 _CONCEPT = (
     "struct<slug:string,name:string,definitions:array<struct<chapter:string,chapter_title:string,definition:string,block_id:string>>,"
@@ -71,7 +72,7 @@ def schema_issues(extractions: DataFrame) -> DataFrame:
         (lambda e: F.coalesce((e["confidence"] < 0) | (e["confidence"] > 1), F.lit(False)), "confidence out of bounds"),
         (lambda e: F.coalesce(e["concepts_per_100_lines"] < 0, F.lit(False)), "density negative"),
     )
-    inner = F.flatten(F.transform(F.coalesce(x["concepts"], F.array().cast(f"array<{_CONCEPT}>")), lambda e: F.coalesce(e["definitions"], F.array().cast("array<struct<chapter:string,chapter_title:string,definition:string,block_id:string>>"))))
+    inner = F.flatten(F.transform(F.coalesce(x["concepts"], F.array().cast(f"array<{_CONCEPT}>")), lambda e: F.coalesce(e["definitions"], F.array().cast(_DEFINITIONS))))
     definitions = _each(inner, "definitions", (lambda e: _short(e["definition"], 10), "definition too short"), (lambda e: e["chapter"].try_cast("int").isNull(), "chapter missing"), (lambda e: _unlike(e["block_id"], BLOCK), "block_id malformed"))
     claims = _each(
         x["claims"],
@@ -90,33 +91,87 @@ def schema_issues(extractions: DataFrame) -> DataFrame:
 
 def block_ids(extractions: DataFrame) -> DataFrame:
     """file and block_id of each reference in the typed places."""
-    x = F.col("x")
+    return extractions.select("file", F.explode(_typed_ids(F.col("x"))).alias("block_id")).filter("block_id is not null")
+
+
+def _typed_ids(x: Column) -> Column:
     none = F.array().cast("array<string>")
     ids = lambda c: F.coalesce(F.transform(c, lambda e: e["block_id"]), none)
     concept = F.flatten(F.transform(x["concepts"], lambda e: F.concat(F.coalesce(e["block_ids"], none), ids(e["definitions"]), ids(e["formulas"]))))
-    return extractions.select("file", F.explode(F.concat(F.coalesce(concept, none), ids(x["formulas"]), ids(x["claims"]))).alias("block_id")).filter("block_id is not null")
+    return F.concat(F.coalesce(concept, none), ids(x["formulas"]), ids(x["claims"]))
+
+
+def recursive_block_ids(files: DataFrame) -> DataFrame:
+    """file and block_id: every value of block_id and member of block_ids at any depth of ragged JSON (file, json).
 
+    The JSON is written anew in its plain form, in which a key is what stands between an unescaped quote and
+    a quote and a colon; quotes inside of strings are all escaped, so that no string looks like a key.
+    """
+    plain = F.to_json(F.try_parse_json("json"))
+    string = r'"(?:[^"\\]++|\\.)*+"'
+    one = F.regexp_extract_all(plain, F.lit(rf'"block_id":({string}|[^,\[\]{{}}"]++)'), 1)
+    many = F.regexp_extract_all(plain, F.lit(rf'"block_ids":\[((?:{string}|[^\[\]{{}}"])*+)\]'), 1)
+    # the captured values are JSON themselves
+    values = F.from_json(F.concat(F.lit("["), F.array_join(F.filter(F.concat(one, many), lambda x: x != ""), ","), F.lit("]")), "array<string>")
+    return files.select("file", F.explode(values).alias("block_id")).filter("block_id is not null")
+
+
+#: Least characters of a definition in a batch that is to be published.
+DEFINITION = 30
 
-def recursive_block_ids(files: DataFrame, depth: int = 12) -> DataFrame:
-    """file and block_id: every value of block_id and member of block_ids down to ``depth`` levels of ragged JSON (file, json).
 
-    Each level is one step of the plan, so that no recursion limit applies to the number of rows.
+def scoped_issues(extractions: DataFrame, least: int = DEFINITION) -> DataFrame:
+    """file and issue: block ids that are not of the file's slug, and definitions that are too short to be of this book.
+
+    ``extractions`` has file, slug and x.
     """
-    level = files.select("file", F.try_parse_json("json").alias("v")).filter("v is not null")
-    found = None
-    for _ in range(depth):
-        kind = F.schema_of_variant("v")
-        objects = level.filter(kind.startswith("OBJECT"))
-        one = F.array(F.try_variant_get("v", "$.block_id", "string"))
-        many = F.try_variant_get("v", "$.block_ids", "array<string>")
-        here = objects.select("file", F.explode(F.concat(one, F.coalesce(many, F.array().cast("array<string>")))).alias("block_id")).filter("block_id is not null")
-        found = here if found is None else found.union(here)
-        values = F.map_values(F.coalesce(F.expr("try_cast(v as map<string, variant>)"), F.create_map().cast("map<string,variant>")))
-        members = F.coalesce(F.expr("try_cast(v as array<variant>)"), F.array().cast("array<variant>"))
-        level = level.select("file", F.explode(F.concat(values, members)).alias("v"))
-        kind = F.schema_of_variant("v")
-        level = level.filter(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-    return found
+    x = F.col("x")
+    none = F.array().cast("array<string>")
+    ids = F.array_distinct(F.coalesce(_typed_ids(x), none))
+    own = F.concat(F.lit("^"), F.regexp_replace("slug", r"([.^$*+?()\[{\\|])", r"\\$1"), F.lit(r"-ch\d+-\d+$"))
+    wrong = F.transform(F.filter(ids, lambda i: ~F.rlike(i, own)), lambda i: F.concat(F.lit("block id not of this slug: "), i))
+    concepts = F.coalesce(x["concepts"], F.array().cast(f"array<{_CONCEPT}>"))
+    short = F.flatten(F.transform(concepts, lambda c: F.transform(F.filter(F.coalesce(c["definitions"], F.array().cast(_DEFINITIONS)), lambda d: _short(text.strip(d["definition"]), least)), lambda d: F.concat(F.lit("definition too short: "), F.coalesce(c["slug"], F.lit("?"))))))
+    return extractions.select("file", F.explode(F.concat(wrong, short)).alias("issue"))
+
+
+def lane_schema_issues(outputs: DataFrame, index: DataFrame) -> DataFrame:
+    """unit_id, lane and issue of lane outputs: absent or empty, other source or chapter, schema, citations out of scope, lost quotes.
+
+    ``outputs`` has slug, unit_id, chapter_num, lane and json (null where there is no file); ``index`` has slug,
+    unit_id, block_id and text, the blocks that each unit may cite.
+    """
+    key = ["slug", "unit_id", "lane"]
+    named = outputs.withColumn("file", F.concat_ws("\x1f", *key))
+    x = F.col("x")
+    read = read_extractions(named.filter("json <> ''").select("file", *key, "chapter_num", "json"))
+    broken = x.isNull() | x["_corrupt_record"].isNotNull()
+    head = F.array_compact(
+        F.array(
+            F.when(~broken & ~x["source"].eqNullSafe(F.col("slug")), F.concat(F.lit("source mismatch: "), F.coalesce(x["source"], F.lit("none")))),
+            F.when(~broken & ~x["chapter"].try_cast("int").eqNullSafe(F.col("chapter_num").cast("int")), F.concat(F.lit("chapter mismatch: "), F.coalesce(x["chapter"], F.lit("none")))),
+        )
+    )
+    absent = outputs.select("unit_id", "lane", F.when(F.col("json").isNull(), "missing schema output").when(F.col("json") == "", "empty schema output").alias("issue")).filter("issue is not null")
+    whose = lambda df: df.join(named.select("file", "unit_id", "lane"), "file").select("unit_id", "lane", "issue")
+    cited = recursive_block_ids(named.select("file", "json"))
+    none_cited = read.filter(~broken & ~F.coalesce(x["no_lane_content"], F.lit(False))).join(cited, "file", "left_anti").select("file", F.lit("no block ids cited").alias("issue"))
+    scope = cited.distinct().join(named.select("file", *key), "file")
+    wrong = scope.filter(~F.startswith("block_id", F.concat("slug", F.lit("-")))).select("unit_id", "lane", F.concat(F.lit("wrong slug: "), "block_id").alias("issue"))
+    known = index.select("slug", "unit_id", "block_id").distinct()
+    outside = scope.filter(F.startswith("block_id", F.concat("slug", F.lit("-")))).join(known, ["slug", "unit_id", "block_id"], "left_anti").select("unit_id", "lane", F.concat(F.lit("outside the unit's index: "), "block_id").alias("issue"))
+    out = absent.union(read.select("unit_id", "lane", F.explode(head).alias("issue"))).union(whose(schema_issues(read))).union(whose(scoped_issues(read))).union(whose(none_cited)).union(wrong).union(outside)
+    return out.distinct()
+
+
+def report_issues(reports: DataFrame, tasks: DataFrame) -> DataFrame:
+    """unit_id, lane and issue of dispatch reports (unit_id, lane, job_id, runtime_task_id, runtime): missing and extra pairs, empty fields."""
+    need = ("job_id", "runtime_task_id", "runtime")
+    e, r = tasks.select("unit_id", "lane").distinct(), reports.select("unit_id", "lane").distinct()
+    missing = e.join(r, ["unit_id", "lane"], "left_anti").select("unit_id", "lane", F.lit("missing").alias("issue"))
+    extra = r.join(e, ["unit_id", "lane"], "left_anti").select("unit_id", "lane", F.lit("extra").alias("issue"))
+    empty = F.array_compact(F.array(*(F.when(F.coalesce(text.strip(c), F.lit("")) == "", F.lit(f"no {c}")) for c in need)))
+    return missing.union(extra).union(reports.select("unit_id", "lane", F.explode(empty).alias("issue")))
 
 
 def markdown_issues(outputs: DataFrame, lanes: DataFrame) -> DataFrame:

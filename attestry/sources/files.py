@@ -51,6 +51,22 @@ def extraction_files(spark: SparkSession, path: str) -> DataFrame:
     return df.select("file", F.explode(listed).alias("v")).select("file", F.to_json("v").alias("json"))
 
 
+# Reports beside extractions that an audit leaves out.
+NO_AUDIT = (
+    "specialist-verification.json", "blockid-validation.json", "page-build-report.json", "specialist-dispatch-report.json", "specialist-dispatch-plan.json",
+    "dispatch-result.json", "pipeline-run-manifest.json", "image-to-page-coverage.json", "lexical-overlap-report.json", "schema-validation-report.json",
+)
+
+
+def audited_extractions(files: DataFrame) -> DataFrame:
+    """The files (slug, folder, file) that an audit takes as extractions: those in the folder ``schema``, or, for slugs without it, those beside the reports."""
+    json_ = files.filter(F.col("file").endswith(".json") & ~F.col("file").startswith("_"))
+    inside = json_.filter(F.col("folder") == "schema")
+    having = files.filter(F.col("folder") == "schema").select("slug").distinct()
+    beside = json_.filter((F.col("folder") == "") & ~F.col("file").startswith("master") & ~F.col("file").endswith("-report.json") & ~F.col("file").isin(*NO_AUDIT))
+    return inside.unionByName(beside.join(having, "slug", "left_anti"))
+
+
 def ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger events and, where a line does not parse, its raw text in bad."""
     schema = "generated_at string, phase string, provider string, model string, tokens_in bigint, tokens_out bigint, usd double, page_count_proxy bigint, bad string"
@@ -82,3 +98,20 @@ def front_matter(docs: DataFrame, keys: list[str]) -> DataFrame:
     entry = lambda x: F.struct(F.regexp_extract(x, r"^([A-Za-z_][\w-]*):", 1), F.regexp_replace(text.strip(F.regexp_replace(x, r"^[A-Za-z_][\w-]*:", "")), r"""^["']|["']$""", ""))
     distinct = F.array_distinct(F.transform(rows, entry))
     return docs.select(*keys, F.map_from_entries(distinct).alias("fields"))
+
+
+def agent_front_matter(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and fields of texts between the first two fences, wherever the first key stands; quotes of either kind go, lists stay as written."""
+    inner = F.regexp_extract("text", r"(?s)\A---\s*\n(.*?)\n---", 1)
+    rows = F.filter(F.split(inner, "\n"), lambda x: x.contains(":") & ~x.rlike(r"^[ \t#]"))
+    entry = lambda x: F.struct(text.strip(F.substring_index(x, ":", 1)), F.btrim(F.btrim(text.strip(F.regexp_replace(x, r"^[^:]*:", "")), F.lit('"')), F.lit("'")))
+    last = F.aggregate(F.transform(rows, entry), F.create_map().cast("map<string,string>"), lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["col1"]), F.map_from_arrays(F.array(e["col1"]), F.array(e["col2"]))))
+    return docs.select(*keys, last.alias("fields"))
+
+
+def agent_output(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, front (the text before the body, fences taken off) and body of an agent's answer, which may stand in a code fence of its own."""
+    bare = F.regexp_replace(F.regexp_replace(text.strip(F.coalesce("text", F.lit(""))), r"\A```\w*\n", ""), r"\n```\z", "")
+    head = F.regexp_extract(bare, r"(?s)\A---\n(.*?)\n---(?:\n|\z)", 1)
+    body = F.when(head != "", F.regexp_replace(bare, r"(?s)\A---\n.*?\n---(?:\n|\z)", "")).otherwise(bare)
+    return docs.select(*keys, head.alias("front"), text.strip(body).alias("body"))
