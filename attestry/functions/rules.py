@@ -127,11 +127,3 @@ def block_rules(text: str, low: str, stripped: str, count: str, matches) -> list
 def quoted(value: str) -> str:
     """A SQL string literal for DuckDB; Spark's parser needs ``raw`` ones instead."""
     return "'" + value.replace("'", "''") + "'"
-
-
-def duckdb_matches(value: str, pattern: str) -> str:
-    return f"regexp_matches({value}, {quoted(pattern)})"
-
-
-def case_sql(rules: list[tuple[str, str]]) -> str:
-    return "CASE " + " ".join(f"WHEN {c} THEN {quoted(k)}" for c, k in rules) + f" ELSE {quoted(TRANSITION)} END"

@@ -29,7 +29,15 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return concepts.scored(concepts.fold(merged(spark, sf_dir)))
+    """Parts as concepts, with what their order lines give them: few have all kinds of evidence."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    given = lambda c, t: F.when(c, F.array(F.col(t).cast("string"))).otherwise(F.array().cast("array<string>"))
+    made = lines.select(
+        F.concat(F.lit("part-"), F.col("l_partkey") + 1000, F.when(F.col("l_linenumber") > 3, "s").otherwise("")).alias("slug"), F.lit("n").alias("name"), F.month("l_shipdate").alias("chapter"), (F.lit(1) - F.col("l_discount") * 4).alias("confidence"), (F.col("l_quantity") / 11).alias("density"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("ord"), given(F.col("l_quantity") <= 2, "l_orderkey").alias("definitions"), given(F.col("l_discount") == 0, "l_orderkey").alias("examples"),
+        given(F.col("l_tax") == 0.08, "l_orderkey").alias("formulas"), given(F.col("l_suppkey") % 10 == 0, "l_orderkey").alias("warnings"), given(F.col("l_returnflag") == "R", "l_orderkey").alias("cross_references"),
+    )
+    return concepts.scored(concepts.fold(concepts.merge(made)))
 
 
 def blocks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +68,7 @@ def concept_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return concepts.threshold(scored(spark, sf_dir), 5, 20).select("slug", F.col("score").cast("long"))
+    return concepts.threshold(scored(spark, sf_dir), 12, 20).select("slug", F.col("score").cast("long"))
 
 
 def artifact_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,11 +90,22 @@ def strongest_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ambiguous_downweight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = blocks_of(spark, sf_dir)
-    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic = 1").select("doc_id")
-    bad = own.join(toxic, "doc_id", "left_semi").select("block_id")
-    gathered = own.groupBy("slug", "score").agg(F.collect_list("block_id").alias("block_ids"))
-    return concepts.downweight(gathered, bad).select("slug", F.col("ambiguous_claim_count").cast("long"), F.col("score").cast("long"))
+    """Orders as concepts of their parts; a part that was returned at a high discount is ambiguous."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    id_ = F.col("l_partkey").cast("string")
+    made = lines.groupBy(F.col("l_orderkey").cast("string").alias("slug")).agg(F.collect_list(id_).alias("block_ids")).withColumn("score", F.lit(3))
+    bad = lines.filter("l_returnflag = 'R' and l_discount >= 0.095").select(id_.alias("block_id"))
+    return concepts.downweight(made, bad).select("slug", F.col("ambiguous_claim_count").cast("long"), F.col("score").cast("long"))
+
+
+def concept_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts and their plurals as concepts; parts as mentions under either form, types as files, brands as lanes."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    slug = F.regexp_replace(F.lower("p_name"), "[^a-z0-9]+", "-")
+    made = parts.select(slug.alias("slug")).distinct().select("slug", F.when(F.col("slug") < "m", F.array("slug", F.concat("slug", F.lit("s")))).alias("merged_slugs"))
+    said = parts.select(F.col("p_type").alias("file"), F.col("p_brand").alias("lane"), F.concat(slug, F.when(F.col("p_size") % 2 == 0, "s").otherwise("")).alias("slug"), F.col("p_size").alias("chapter"), F.lit("t").alias("chapter_title"), F.array(F.col("p_partkey").cast("string"), F.lit(""), F.lit("b"), F.col("p_partkey").cast("string")).alias("block_ids"))
+    out = concepts.concept_sources(made, said)
+    return out.select("slug", "file", "lane", "chapter", F.array_join("block_ids", ",").alias("block_ids"))
 
 
 def rank_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +115,7 @@ def rank_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def selection_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = merged(spark, sf_dir).select("slug")
     chosen = m.union(m.filter("slug < 'c'")).union(m.select(F.concat(F.lit("no-"), "slug")))
-    return concepts.selection_issues(chosen, m, m.limit(0).select(F.col("slug").alias("a"), F.col("slug").alias("b")))
+    return concepts.selection_issues(chosen, m, concepts.near_duplicates(chosen))
 
 
 def known_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +123,7 @@ def known_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concepts.known_duplicates(m, m.select(F.concat("slug", F.lit("s")).alias("slug")))
 
 
-QUERIES = {f.__name__: f for f in (slug_normalize, concept_merge, concept_fold, concept_score, score_threshold, artifact_filter, near_duplicates, strongest_blocks, ambiguous_downweight, rank_candidates, selection_check, known_duplicates)}
+QUERIES = {f.__name__: f for f in (slug_normalize, concept_merge, concept_fold, concept_score, score_threshold, artifact_filter, near_duplicates, strongest_blocks, ambiguous_downweight, rank_candidates, selection_check, known_duplicates, concept_sources)}
 
 _NORM = "array_to_string([CASE WHEN length(t) > 3 AND t LIKE '%s' AND t NOT LIKE '%ss' THEN left(t, -1) ELSE t END FOR t IN string_split(lower(slug), '-') IF t <> '' AND t <> 's'], '-')"
 _MENTIONS = """mentions AS (
@@ -113,10 +132,11 @@ _MENTIONS = """mentions AS (
 ), merged AS (
   SELECT slug, arg_max(name, ord) AS name, list_sort(list(DISTINCT chapter)) AS chapters, max(confidence) AS confidence, max(density) AS density, count(*) AS source_count FROM mentions GROUP BY slug
 )"""
-_SCORED = f"""{_MENTIONS}, normed AS (SELECT *, {_NORM} AS norm FROM merged), folded AS (
-  SELECT norm, arg_min(slug, struct_pack(a := length(slug), b := slug)) AS slug, len(list_distinct(flatten(list(chapters)))) AS n, max(confidence) AS confidence, max(density) AS density, sum(source_count) AS sources FROM normed GROUP BY norm
+_SCORED = """m AS (
+  SELECT 'part-' || (l_partkey + 1000) AS norm, l_linenumber > 3 AS plural, month(l_shipdate) AS chapter, 1 - l_discount * 4 AS confidence, l_quantity / 11 AS density, l_quantity <= 2 AS d, l_discount = 0 AS e, l_tax = 0.08 AS f, l_suppkey % 10 = 0 AS w, l_returnflag = 'R' AS c FROM lineitem
 ), scored AS (
-  SELECT slug, ((n >= 2)::BIGINT + (n >= 3)::BIGINT + (density >= 2)::BIGINT + (density >= 4)::BIGINT + (confidence >= 0.8)::BIGINT + (sources >= 2)::BIGINT) AS score FROM folded
+  SELECT norm || CASE WHEN bool_and(plural) THEN 's' ELSE '' END AS slug, 3 * bool_or(d)::INT + 3 * bool_or(e)::INT + 2 * bool_or(f)::INT + 2 * bool_or(w)::INT + bool_or(c)::INT + (count(DISTINCT chapter) >= 2)::INT + (count(DISTINCT chapter) >= 3)::INT
+    + (max(density) >= 2)::INT + (max(density) >= 4)::INT + (max(confidence) >= 0.8)::INT + (count(*) >= 2)::BIGINT AS score FROM m GROUP BY norm
 )"""
 _CLEAN = r"(NOT regexp_matches(slug, '[{}\\$<>]|operatorname|quad|overline|stdtdbtdtd|^\d') AND length(slug) >= 3)"
 
@@ -128,7 +148,7 @@ ORACLES = {
         SELECT arg_min(slug, struct_pack(a := length(slug), b := slug)) AS slug, norm, sum(source_count)::BIGINT AS source_count, len(list_distinct(flatten(list(chapters))))::BIGINT AS n_chapters,
           CASE WHEN count(DISTINCT slug) > 1 THEN string_agg(DISTINCT slug, ',' ORDER BY slug) END AS merged_slugs FROM normed GROUP BY norm""",
     "concept_score": f"WITH {_SCORED} SELECT slug, score FROM scored",
-    "score_threshold": f"WITH {_SCORED} SELECT slug, score FROM scored WHERE score >= 5 ORDER BY score DESC, slug LIMIT 20",
+    "score_threshold": f"WITH {_SCORED} SELECT slug, score FROM scored WHERE score >= 12 ORDER BY score DESC, slug LIMIT 20",
     "artifact_filter": f"""WITH {_MENTIONS}, made AS (SELECT slug FROM merged UNION SELECT 'quad-' || slug FROM merged UNION SELECT '1-' || slug FROM merged UNION SELECT left(slug, 2) FROM merged)
         SELECT slug, {_CLEAN} AS kept FROM made""",
     "near_duplicates": f"""WITH {_MENTIONS}, s AS (SELECT slug, {_NORM} AS n, list_distinct(string_split({_NORM}, '-')) AS t FROM (SELECT slug FROM merged UNION SELECT slug || 's' FROM merged UNION SELECT 'big-' || slug FROM merged))
@@ -137,9 +157,14 @@ ORACLES = {
           OR len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) >= 0.6""",
     "strongest_blocks": """SELECT flag, block_id, votes, rank FROM (SELECT l_returnflag AS flag, l_suppkey::VARCHAR AS block_id, count(*) AS votes, row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, l_suppkey::VARCHAR) AS rank
         FROM lineitem GROUP BY 1, 2) WHERE rank <= 5""",
-    "ambiguous_downweight": """SELECT source AS slug, count(t.doc_id) AS ambiguous_claim_count, greatest(0, 12 - count(t.doc_id)) AS score FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) t ON t.doc_id = d.doc_id GROUP BY source""",
+    "ambiguous_downweight": """WITH b AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_discount >= 0.095), n AS (SELECT l_orderkey, count(DISTINCT b.l_partkey) AS n FROM lineitem l LEFT JOIN b ON b.l_partkey = l.l_partkey GROUP BY 1)
+        SELECT l_orderkey::VARCHAR AS slug, n AS ambiguous_claim_count, greatest(0, 3 - n) AS score FROM n""",
+    "concept_sources": """WITH p AS (SELECT *, regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g') AS slug FROM part)
+        SELECT slug, p_type AS file, p_brand AS lane, p_size AS chapter, p_partkey || ',b' AS block_ids FROM p WHERE p_size % 2 = 1 OR slug < 'm'""",
     "rank_candidates": f"WITH {_SCORED} SELECT slug, score, row_number() OVER (ORDER BY score DESC, slug) AS rank FROM scored",
-    "selection_check": f"""WITH {_MENTIONS} SELECT slug, 'selected more than once' AS issue FROM merged WHERE slug < 'c' UNION ALL SELECT 'no-' || slug, 'not a candidate' FROM merged""",
+    "selection_check": f"""WITH {_MENTIONS}, s AS (SELECT slug, {_NORM} AS n, list_distinct(string_split({_NORM}, '-')) AS t FROM (SELECT slug FROM merged UNION SELECT 'no-' || slug FROM merged))
+        SELECT slug, 'selected more than once' AS issue FROM merged WHERE slug < 'c' UNION ALL SELECT 'no-' || slug, 'not a candidate' FROM merged
+        UNION ALL SELECT a.slug, 'near duplicate of ' || b.slug FROM s a JOIN s b ON a.slug < b.slug WHERE a.n = b.n OR contains(a.n, b.n) OR contains(b.n, a.n) OR len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) >= 0.6""",
     "known_duplicates": f"""WITH {_MENTIONS}, pages AS (SELECT slug || 's' AS slug FROM merged), p AS (SELECT slug AS existing, {_NORM} AS norm FROM pages), o AS (SELECT slug, {_NORM} AS norm FROM merged)
         SELECT slug, existing FROM o JOIN p USING (norm) WHERE slug NOT IN (SELECT slug FROM pages)""",
 }

@@ -85,7 +85,7 @@ def boundary_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def size_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chapters.size_split(documents(spark, sf_dir), "doc_id", 6, 3)
+    return chapters.size_split(documents(spark, sf_dir), "doc_id", 20, 3)
 
 
 def chapter_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,12 +94,42 @@ def chapter_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", text.clean_title("title").alias("title"), text.file_stem("title", "chapter").alias("stem"), text.unit_id("chapter", text.file_stem("title", "chapter")).alias("unit_id"), text.is_slug("title").alias("is_slug"))
 
 
+def _held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files, of which every fifth has an id on its first line already."""
+    named = F.concat(F.lit(" ^"), "slug", F.lit("-ch"), F.lpad(F.col("chapter").cast("string"), 2, "0"), F.lit("-0001\n"))
+    named = F.when(F.col("chapter") < 100, named).otherwise(F.concat(F.lit(" ^"), "slug", F.lit("-ch"), "chapter", F.lit("-0001\n")))
+    first = F.concat(F.substring_index("text", "\n", 1), named, F.expr("substring(text, locate('\n', text) + 1)"))
+    return files(spark, sf_dir).withColumn("text", F.when((F.col("chapter") % 5 == 0) & F.contains("text", F.lit("\n")), first).otherwise(F.col("text")))
+
+
 def annotation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = blocks.annotation_totals(files(spark, sf_dir))
+    found = blocks.annotation_totals(_held(spark, sf_dir))
     return found.select("slug", F.coalesce(F.col("file").cast("string"), F.lit("")).alias("file"), "added", "preserved", "block_ids", "substantive_lines")
 
 
-QUERIES = {f.__name__: f for f in (annotation_totals, line_explode, substantive_lines, block_annotate, block_classify, category_pivot, block_id_multiset_check, duplicate_blocks, slop_scan, section_diversity, evidence_share, boundary_lead, size_split, chapter_names)}
+def annotation_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with ids by number on their first lines: their own, another chapter's, another slug's, a short one, one that repeats, or none."""
+    d = F.col("doc_id")
+    own = F.concat(F.col("source"), F.lit("-ch"), F.lpad((d % 90 + 10).cast("string"), 2, "0"), F.lit("-"))
+    tag = F.element_at(F.array(F.concat(own, d + 10000), F.concat(F.col("source"), F.lit("-ch09-"), d + 10000), F.concat(F.lit("x-"), own, d + 10000), F.concat(own, F.lit("7")), F.concat(own, F.lit("0001")), F.lit("")), (d % 6 + 1).cast("int"))
+    body = F.concat(F.lit("# H\nword "), F.when(tag != "", F.concat(F.lit("^"), tag)).otherwise(""), F.lit("\n"), F.regexp_replace(F.coalesce("text", F.lit("")), r"\^", ""))
+    made = documents(spark, sf_dir).select(F.col("source").alias("slug"), (d % 90 + 10).cast("int").alias("chapter"), d.alias("file"), body.alias("text"))
+    found = blocks.annotation_issues(made)
+    return found.select("slug", F.coalesce("file", F.lit(-1)).alias("file"), F.coalesce(F.col("line_no").cast("long"), F.lit(-1)).alias("line_no"), F.coalesce("block_id", F.lit("")).alias("block_id"), "issue")
+
+
+def evidence_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as presentations: a line's number names the section, its parts are cited, large ones embedded."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    heads = F.array(*(F.lit(h) for hs in blocks.SECTIONS.values() for h in hs))
+    id_ = F.concat(F.lit("d-ch01-"), "l_partkey")
+    body = F.concat(F.lit("^"), id_, F.lit("\n\n"), F.when(F.col("l_quantity") > 25, F.concat(F.lit("![[c#^"), id_, F.lit("]]"))).otherwise(""))
+    header = F.element_at(heads, ((F.col("l_linenumber") + F.col("l_partkey")) % F.size(heads) + 1).cast("int"))
+    m = blocks.balance_metrics(lines.select(F.col("l_orderkey").alias("unit_id"), header.alias("header"), body.alias("body")))
+    return m.select("unit_id", "category", "citations", "unique", "embeds", "lines", "share_total", "share_body", "required")
+
+
+QUERIES = {f.__name__: f for f in (annotation_totals, line_explode, substantive_lines, block_annotate, block_classify, category_pivot, block_id_multiset_check, duplicate_blocks, slop_scan, section_diversity, evidence_share, boundary_lead, size_split, chapter_names, annotation_scan, evidence_balance)}
 
 _LINES = r"""
 raw AS (
@@ -126,17 +156,46 @@ _BLOCKS = rf"""{_LINES}, fenced AS (
   FROM granted WHERE ok
 )"""
 _COUNT = r"len(regexp_split_to_array(t, '\s+'))"
-_CATEGORY = rules.case_sql(rules.block_rules("t", "lower(t)", "t", _COUNT, rules.duckdb_matches))
-_CLASSED = f"{_BLOCKS}, classed AS (SELECT *, {_CATEGORY} AS category FROM blocks)"
+_LIST = lambda words: "[" + ", ".join(rules.quoted(w) for w in words) + "]"
+_SIGNS = lambda value, patterns: "(" + " OR ".join(f"regexp_matches({value}, {rules.quoted(p)})" for p in patterns) + ")"
+_LETTERS = lambda patterns: [p.replace(r"[%\w]", r"[%\p{L}\p{N}_]").replace(r"[\w\-]", r"[\p{L}\p{N}_\-]").replace(r"\w", r"[\p{L}\p{N}_]") for p in patterns]
+# the text between marks: every word of it stands between two, and what joins two words can be told apart
+_MARKED = r"('#' || replace(regexp_replace(lower(t), '[^\p{L}\p{N}_ ]', '#', 'g'), ' ', '# #') || '#')"
+_SAYS = lambda words: f"len([w FOR w IN {_LIST(words)} IF CASE WHEN regexp_full_match(lower(trim(w)), '[a-z0-9]+( [a-z0-9]+)*') THEN contains(marked, '#' || replace(lower(trim(w)), ' ', '# #') || '#') ELSE contains(lower(t), lower(w)) END]) > 0"
+_LATE = lambda words: _SAYS(words.split("|"))
+#: The rules by hand, each by itself; the first that holds counts.
+_CATEGORY = rf"""coalesce([c FOR c IN [
+    CASE WHEN {_SIGNS('t', _LETTERS(rules.FORMULA_SIGNS))} THEN 'Formulas' END, CASE WHEN {_SIGNS('t', _LETTERS(rules.CODE_SIGNS))} THEN 'Examples / Figures' END, CASE WHEN rtrim(t) IN ('```', '{{', '[') THEN 'Examples / Figures' END,
+    CASE WHEN n_words >= 5 AND regexp_matches(t, '^[A-Z][A-Za-z\s\-/]+:\s') THEN 'Definitions' END, CASE WHEN n_words >= 8 AND {_SAYS(rules.DEFINITION_WORDS)} THEN 'Definitions' END,
+    CASE WHEN n_words >= 5 AND {_LATE('is defined as|is known as|also called|refers to')} THEN 'Definitions' END, CASE WHEN n_words >= 5 AND {_SAYS(rules.WARNING_WORDS)} THEN 'Warnings / Caveats' END,
+    CASE WHEN {_SAYS(rules.HISTORY_WORDS)} THEN 'Historical / Empirical References' END, CASE WHEN regexp_matches(t, '(^|[^\p{{L}}\p{{N}}_])(Figure|Table|Algorithm|Listing|Example)\s+[0-9-]') THEN 'Examples / Figures' END,
+    CASE WHEN n_words >= 8 AND ({_SAYS(rules.EXAMPLE_WORDS)} OR regexp_matches(t, '[0-9]\.[0-9]') OR regexp_matches(t, '[0-9]%') OR regexp_matches(t, '\$[0-9]')) THEN 'Examples / Figures' END,
+    CASE WHEN n_words <= 3 OR regexp_matches(t, '^#{{1,6}}\s') OR regexp_matches(t, '^---+\s*$') OR len([w FOR w IN {_LIST(rules.TRANSITION_PHRASES)} IF contains(lower(t), w)]) > 0 THEN 'Transitional / Structural' END,
+    CASE WHEN n_words >= 12 AND {_LATE(rules.LATE_DEFINITIONS)} THEN 'Definitions' END, CASE WHEN n_words >= 12 AND ({_LATE(rules.LATE_EXAMPLES)} OR regexp_matches(lower(t), '(^|[^\p{{L}}\p{{N}}_])(e\.g\.|i\.e\.)[\p{{L}}\p{{N}}_]')) THEN 'Examples / Figures' END,
+    CASE WHEN n_words >= 12 AND {_LATE(rules.LATE_WARNINGS)} THEN 'Warnings / Caveats' END, CASE WHEN n_words >= 12 AND {_LATE(rules.LATE_HISTORY)} THEN 'Historical / Empirical References' END] IF c IS NOT NULL][1], 'Transitional / Structural')"""
+_CLASSED = f"{_BLOCKS}, read AS (SELECT *, {_COUNT} AS n_words, {_MARKED} AS marked FROM blocks), classed AS (SELECT *, {_CATEGORY} AS category FROM read)"
 _PIVOT = ", ".join(f"count(*) FILTER (category = '{c}') AS {c.split(' ')[0].lower()}" for c in rules.CATEGORIES)
 _SLOP = rules.quoted(rules.PLACEHOLDERS.replace("W", f"[^{rules.WORD}]"))
 
 ORACLES = {
-    "annotation_totals": rf"""WITH {_BLOCKS}, a AS (SELECT doc_id, count(*) AS added FROM blocks GROUP BY 1), l AS (
+    "annotation_totals": rf"""WITH held AS (SELECT doc_id, source, source || '-ch' || printf('%02d', doc_id) || '-0001' AS id, doc_id % 5 = 0 AND contains(text, chr(10)) AS has, text FROM documents),
+        edited AS (SELECT doc_id, source, has, CASE WHEN has THEN split_part(text, chr(10), 1) || ' ^' || id || chr(10) || text[instr(text, chr(10)) + 1:] ELSE text END AS text FROM held), {_BLOCKS.replace('FROM documents', 'FROM edited')},
+        a AS (SELECT doc_id, count(*) AS added FROM blocks WHERE NOT regexp_matches(t, '\^' || source || '-ch[0-9]+-0001$') GROUP BY 1), l AS (
           SELECT doc_id, count(*) AS n FROM masked WHERE NOT off AND t <> '' AND NOT starts_with(t, '#') AND NOT starts_with(t, '```') AND NOT starts_with(t, '<!--') GROUP BY 1),
-        f AS (SELECT source, doc_id, coalesce(added, 0) AS added, coalesce(n, 0) AS n FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN l USING (doc_id))
-        SELECT source AS slug, coalesce(doc_id::VARCHAR, '') AS file, sum(added)::BIGINT AS added, 0::BIGINT AS preserved, sum(added)::BIGINT AS block_ids, sum(n)::BIGINT AS substantive_lines FROM f
+        f AS (SELECT source, doc_id, coalesce(added, 0) AS added, has::INT AS kept, coalesce(n, 0) AS n FROM edited LEFT JOIN a USING (doc_id) LEFT JOIN l USING (doc_id))
+        SELECT source AS slug, coalesce(doc_id::VARCHAR, '') AS file, sum(added)::BIGINT AS added, sum(kept)::BIGINT AS preserved, sum(added + kept)::BIGINT AS block_ids, sum(n)::BIGINT AS substantive_lines FROM f
         GROUP BY GROUPING SETS ((source, doc_id), (source))""",
+    "annotation_scan": """WITH d AS (SELECT doc_id AS d, source AS s, doc_id % 6 AS k, source || '-ch' || (doc_id % 90 + 10) || '-' AS own FROM documents)
+        SELECT s AS slug, d AS file, 2::BIGINT AS line_no, CASE k WHEN 2 THEN 'x-' || own || (d + 10000) ELSE own || '7' END AS block_id, 'another slug or form' AS issue FROM d WHERE k IN (2, 3)
+        UNION ALL SELECT s, d, 2, s || '-ch09-' || (d + 10000), 'another chapter' FROM d WHERE k = 1
+        UNION ALL SELECT s, -1, -1, own || '0001', 'repeated' FROM d WHERE k = 4 GROUP BY ALL HAVING count(*) > 1
+        UNION ALL SELECT s, d, -1, '', 'no block ids' FROM d WHERE k IN (2, 3, 5)""",
+    "evidence_balance": """WITH h AS (SELECT l_orderkey AS u, l_partkey AS p, l_quantity > 25 AS e, ['executive_summary', 'author_words', 'definition', 'formulas', 'examples', 'examples', 'examples', 'limitations', 'limitations', 'empirical_context', 'empirical_context', 'relations', 'evidence_index'][(l_linenumber + l_partkey) % 13 + 1] AS c FROM lineitem),
+        g AS (SELECT u, c, count(*) + count(*) FILTER (e) AS citations, count(DISTINCT p) AS uniq, count(*) FILTER (e) AS embeds, count(*) + count(*) FILTER (e) AS full_lines FROM h GROUP BY u, c),
+        a AS (SELECT u, unnest(['executive_summary', 'author_words', 'definition', 'formulas', 'examples', 'limitations', 'empirical_context', 'relations', 'evidence_index']) AS c FROM (SELECT DISTINCT u FROM h)),
+        b AS (SELECT a.u, a.c, coalesce(citations, 0) AS n, coalesce(uniq, 0) AS uniq, coalesce(embeds, 0) AS embeds, coalesce(full_lines, 0) AS full_lines FROM a LEFT JOIN g USING (u, c)),
+        t AS (SELECT *, sum(n) OVER (PARTITION BY u) AS whole, sum(CASE WHEN c = 'evidence_index' THEN 0 ELSE n END) OVER (PARTITION BY u) AS body FROM b)
+        SELECT u AS unit_id, c AS category, n AS citations, uniq AS "unique", embeds, full_lines AS lines, CASE WHEN whole = 0 THEN 0 ELSE round(n / whole, 4) END AS share_total, CASE WHEN c = 'evidence_index' OR body = 0 THEN 0 ELSE round(n / body, 4) END AS share_body, c NOT IN ('executive_summary', 'empirical_context') AS required FROM t""",
     "line_explode": f"WITH {_LINES} SELECT doc_id, n AS line_no, line FROM lines",
     "substantive_lines": rf"""WITH {_BLOCKS} SELECT doc_id, count(*) AS lines, sum(n)::BIGINT AS places FROM masked
         WHERE NOT off AND t <> '' AND NOT starts_with(t, '#') AND NOT starts_with(t, '```') AND NOT starts_with(t, '<!--') GROUP BY doc_id""",
@@ -153,10 +212,10 @@ ORACLES = {
         SELECT doc_id, n - 1 AS line_start, coalesce(lead(n) OVER (PARTITION BY doc_id ORDER BY n) - 1, total) AS line_end, title, '' AS issue FROM starts JOIN sizes USING (doc_id)""",
     "size_split": rf"""WITH RECURSIVE {_LINES}, flags AS (SELECT doc_id, list(t = '' ORDER BY n) AS b, count(*) AS total FROM bare GROUP BY doc_id), cuts AS (
         SELECT doc_id, b, total, 1::BIGINT AS part, 0::BIGINT AS s,
-          CASE WHEN total <= 6 THEN total ELSE coalesce(list_max([i FOR i IN range(greatest(1, 6 - 3), 7) IF b[i]]), 6) END AS e FROM flags
+          CASE WHEN total <= 20 THEN total ELSE coalesce(list_max([i FOR i IN range(8 - 3, 9) IF b[i]]), 8) END AS e FROM flags
         UNION ALL
         SELECT doc_id, b, total, part + 1, e,
-          CASE WHEN total - e <= 6 THEN total ELSE coalesce(list_max([i FOR i IN range(greatest(e + 1, e + 6 - 3), e + 7) IF b[i]]), e + 6) END FROM cuts WHERE e < total)
+          CASE WHEN total - e <= 8 THEN total ELSE coalesce(list_max([i FOR i IN range(greatest(e + 1, e + 8 - 3), e + 9) IF b[i]]), e + 8) END FROM cuts WHERE e < total)
         SELECT doc_id, part, s + 1 AS line_start, e AS line_end FROM cuts""",
     "chapter_names": r"""WITH first AS (SELECT doc_id, regexp_replace(string_split(text, chr(10))[1], '[^ -~]', '', 'g') AS line FROM documents), safe AS (
         SELECT doc_id, line, regexp_replace(regexp_replace(lower(trim(regexp_replace(line, '[^\w\s-]', '', 'g'))), '[-\s]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM first), named AS (

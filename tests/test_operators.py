@@ -190,13 +190,17 @@ def test_quotes_in_texts(spark):
     assert {tuple(r) for r in grounding.quotes_in_texts(quotes, docs).collect()} == {(1, 1), (2, 2)}
 
 
+def vault(spark):
+    return spark.createDataFrame(graph_queries.VAULT, "file string, text string")
+
+
 def test_links(spark):
-    got = {(r.raw): (r.status, r.resolved) for r in graph_queries.vault_links(spark, "").collect()}
+    got = {(r.raw): (r.status, r.resolved) for r in links.resolve_links(links.extract_links(vault(spark)), vault(spark)).collect()}
     assert got["![[raw/papers/demo/ch-01-start#^demo-ch01-0001]]"] == ("ok", "raw/papers/demo/ch-01-start")
     assert got["[[demo/ch-02-end#^demo-ch02-0001]]"] == ("suffix_match", "raw/papers/demo/ch-02-end")
     assert got["[[demo-ch01-0002]]"][0] == "malformed_anchorless_id"
     assert got["![[raw/papers/demo/ch-01-start#^[demo-ch01-0001]]]"][0] == "malformed_bracket_anchor"
-    fixed = {r.file: r for r in graph_queries.vault_repair(spark, "").collect()}["concepts/page.md"]
+    fixed = {r.file: r for r in links.repair(vault(spark), links.owners(vault(spark))).collect()}["concepts/page.md"]
     assert "`^demo-ch01-0009` *(unresolved source block)*" in fixed.text and fixed.unresolved == 1
     assert "[[raw/papers/demo/ch-01-start#^demo-ch01-0002|^ch01-0002]]" in fixed.text
 
@@ -222,33 +226,35 @@ def test_dispatch(spark):
     assert {(r.task_id, r.issue) for r in dispatch.record_issues(tasks, normal).collect()} >= {("t2", "synthetic job_id"), ("t2", "synthetic runtime_task_id"), ("t3", "missing job_id")}
 
 
-def test_tables():
-    assert ocr.pipe_table("<table><tr><td>a</td></tr><tr><td colspan='x'>b</td></tr></table>").startswith("| a")
-    assert ocr.pipe_table("no table") == "" and ocr.pipe_table(None) == ""
-    assert ocr.pipe_table(document_queries.TABLE).splitlines()[2] == "| 1   | 2    | 3   |"
+def layouts(spark):
+    return ocr.render_regions(ocr.layout_regions(document_queries.literal(spark, document_queries.LAYOUTS, "slug")))
 
 
 def test_layouts(spark):
-    got = {r.slug: r.markdown for r in document_queries.ocr_reconstruct(spark, "").collect()}
+    got = {r.slug: r.markdown for r in ocr.rebuild(layouts(spark)).collect()}
     assert got["chunked"].index("Earlier") < got["chunked"].index("Later")
     assert "# A Title" in got["plain"] and got["plain"].index("# A Title") < got["plain"].index("Second") and "```python" in got["flat"]
+    assert "| 1   | 2    | 3   |" in got["plain"]
+    assert {r.slug: r.status for r in ocr.fidelity(layouts(spark)).collect()}["plain"] == "PASS"
 
 
 def test_schema(spark):
     got = {}
-    for r in document_queries.schema_validate(spark, "").collect():
+    for r in validate.schema_issues(validate.read_extractions(document_queries.literal(spark, [*document_queries.EXTRACTIONS, ("broken", "{")], "file"))).collect():
         got.setdefault(r.file, []).append(r.issue)
     assert set(got) == {"no quote", "short", "empty definitions", "nothing", "bad bounds", "broken"}
-    ids = {(r.file, r.block_id) for r in document_queries.recursive_block_ids(spark, "").collect()}
-    assert {b for f, b in ids if f == "ragged"} == {f"x-ch1-{i}" for i in range(1, 5)}
     outputs = spark.createDataFrame([("u", "math", "## Author's Formulation\n## More\n^a-ch1-1")], "unit_id string, lane string, text string")
     lanes = spark.createDataFrame([("math", ["Author's Formulation"])], "lane string, required_sections array<string>")
     assert [r.issue for r in validate.markdown_issues(outputs, lanes).collect()] == ["forbidden section: More"]
 
 
 def test_pages(spark):
-    assert {r.page for r in document_queries.page_gate(spark, "").collect()} == {"bad"}
-    assert [r.state for r in document_queries.image_check(spark, "").orderBy("ref").collect()] == ["remote", "resolved", "missing"]
+    body = "---\n" + "".join(f"{k}: x\n" for k in pages.KEYS) + "---\n## Author's Words\n" + "> a quote that is long enough ^demo-ch01-0001\n" * 2 + "- extracted_from::[[c#^demo-ch01-0001]]\n" + "![[c#^demo-ch01-0001]]\n" * 80
+    drafts = spark.createDataFrame([("good", body), ("bad", "TODO derived_from:: ^other-ch01-0001")], "page string, text string")
+    assert {r.page for r in pages.page_issues(drafts, "demo", ["Author's Words"]).collect()} == {"bad"}
+    shown = spark.createDataFrame([("d/ch-01.md", "![a](imgs/one.png) ![b](two.png \"t\") ![c](http://x/y.png)")], "file string, text string")
+    listing = spark.createDataFrame([("d/imgs/one.png", 5), ("d/two.png", 0)], "path string, length long")
+    assert [r.state for r in images.verify(images.image_refs(shown), listing).orderBy("ref").collect()] == ["remote", "resolved", "missing"]
     cs = spark.createDataFrame([("c", "1.2 Name", None, ["b1", "b2"], {"One": "text", "Two": ""}, "> a quote that is long enough")], "slug string, name string, confidence double, block_ids array<string>, section_bodies map<string,string>, author_words string")
     page = pages.render(cs).first().markdown
     assert 'title: "Name"\n' in page and "confidence: 0.5\n" in page and "quality: 0.21\n" in page
