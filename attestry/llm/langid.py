@@ -4,9 +4,15 @@ Texts are case-folded and each run of characters that are no letters becomes
 one space.  All 4-grams of all training rows are counted by language, each
 under its own 64-bit key.  Lower orders use continuation counts.  The model
 keeps, by sorted key, the interpolated log-probability of each 4-gram in every
-language, and the lower orders for 4-grams it has not seen.  4-grams that
-exceed ``PART_BYTES`` are fitted and scanned in several ranges of keys, whose
-sums are added for each text.  A text gets the language of the lowest
+language, and the lower orders for 4-grams it has not seen.
+
+4-grams that fit ``PART_BYTES`` (then so do the lower orders, of which there are
+fewer) are one model, and the texts are read once.  Beyond, the engine itself
+makes the tables of all orders, by joins, and they are scanned in ranges of keys
+that fit: first the 4-grams, one pass over the texts a range, each of which leaves
+the 3-grams that end what it has not seen, then those, and so on.  Sums are added
+for each text; the driver and a task only ever hold one range.  A text gets the
+language of the lowest
 cross-entropy per character.  The score is the share of the best language when
 all are weighed by their likelihoods, tempered by length.  ``identify`` also
 flags as rejected what lies far above the cross-entropies of the rows that
@@ -40,7 +46,7 @@ BITS = 20
 BLOCK = 1 << 19
 #: Different 4-grams that a task counts before it passes them on.
 HELD = 1 << 20
-#: Bytes of the 4-grams' keys and log-probabilities that are held at once.
+#: Bytes of the keys and log-probabilities of one order that are held at once.
 PART_BYTES = 1 << 25
 REJECT = 4.0
 
@@ -174,7 +180,7 @@ class Lower:
     keys: list[np.ndarray]  # sorted 1-, 2- and 3-grams
     probs: list[np.ndarray]
     back: list[np.ndarray]  # by context of 1 and 2 characters: the mass left to the lower order
-    floor: float
+    floor: np.ndarray  # of characters never seen, by language
     discount: np.ndarray  # of the 4-grams, by language
 
 
@@ -188,13 +194,11 @@ class Model:
     probs: list[np.ndarray]
     contexts: list[np.ndarray]  # sorted contexts of 1, 2 and 3 characters
     back: list[np.ndarray]  # the mass left to the lower order by each
-    floor: float
-    low: int = 0  # least and greatest key that the model answers for
-    high: int = (1 << 64) - 1
+    floor: np.ndarray  # of characters never seen, by language
 
     def lower(self, g: np.ndarray) -> np.ndarray:
         """Probabilities, by language, of 4-grams that the model has not seen."""
-        p = np.full((len(g), len(self.languages)), self.floor)
+        p = np.tile(self.floor, (len(g), 1))
         for n in (1, 2, 3):
             suffix = g & np.uint64((1 << 16 * n) - 1)
             if n > 1:
@@ -216,10 +220,8 @@ class Model:
         return out
 
     def sums(self, g: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        """Sums of the log-probabilities, by language, of the 4-grams from ``low`` to ``high``."""
+        """Sums of the log-probabilities, by language, of the 4-grams."""
         total = np.zeros(len(self.languages))
-        if self.low > 0 or self.high < (1 << 64) - 1:
-            g = g[(g >= np.uint64(self.low)) & (g <= np.uint64(self.high))]
         for at in range(0, len(g), BLOCK):
             part = g[at : at + BLOCK]
             k = dense[buckets(part, self.bits)]
@@ -274,24 +276,25 @@ def _lower_orders(triples: pd.DataFrame, ones: dict[str, int], twos: dict[str, i
         if n > 1:
             below = probs[n - 1][up[n - 1]]
         probs[n], context, weight = _order(types[n], tally[n], _discount((tally[n] == 1).sum(axis=0), (tally[n] == 2).sum(axis=0)), below)
-        if n > 1:
+        if n == 1:
+            unseen = weight[0] * floor
+        else:
             place = np.minimum(np.searchsorted(types[n - 1], context), len(types[n - 1]) - 1)
             inside = types[n - 1][place] == context
             back[n - 1] = np.ones((len(types[n - 1]), len(languages)))
             back[n - 1][place[inside]] = weight[inside]
     own = _discount(np.array([ones[x] for x in languages]), np.array([twos[x] for x in languages]))
-    return Lower(languages, [types[n] for n in (1, 2, 3)], [probs[n] for n in (1, 2, 3)], [back[1], back[2]], floor, own)
+    return Lower(languages, [types[n] for n in (1, 2, 3)], [probs[n] for n in (1, 2, 3)], [back[1], back[2]], unseen, own)
 
 
-def _fit_part(part: pd.DataFrame, lower: Lower, bits: int, low: int = 0, high: int = (1 << 64) - 1) -> Model:
-    """The model of the 4-grams from ``low`` to ``high``, which hold all that share a context."""
-    g = _unsigned(part["gram"].to_numpy())
+def _fit_whole(counted: pd.DataFrame, lower: Lower, bits: int) -> Model:
+    g = _unsigned(counted["gram"].to_numpy())
     types = np.unique(g)
-    times = _matrix(types, g, part["lang"], part["times"].to_numpy(), lower.languages)
+    times = _matrix(types, g, counted["lang"], counted["times"].to_numpy(), lower.languages)
     below = lower.probs[2][np.searchsorted(lower.keys[2], types & np.uint64((1 << 48) - 1))]
     probs, context, weight = _order(types, times, lower.discount, below)
     bits = max(bits, (2 * len(types) - 1).bit_length())
-    return Model(lower.languages, bits, types, np.log(probs).astype(np.float32), lower.keys, lower.probs, [*lower.keys[:2], context], [*lower.back, weight], lower.floor, low, high)
+    return Model(lower.languages, bits, types, np.log(probs).astype(np.float32), lower.keys, lower.probs, [*lower.keys[:2], context], [*lower.back, weight], lower.floor)
 
 
 def fit(counted: pd.DataFrame, bits: int = BITS) -> Model | None:
@@ -302,27 +305,101 @@ def fit(counted: pd.DataFrame, bits: int = BITS) -> Model | None:
     triples = suffix.groupby(["lang", "gram"]).size().reset_index(name="times")
     once = counted.groupby("lang")["times"]
     lower = _lower_orders(triples, once.agg(lambda t: int((t == 1).sum())).to_dict(), once.agg(lambda t: int((t == 2).sum())).to_dict())
-    return _fit_part(counted, lower, bits)
-
-
-def models(table: DataFrame, bits: int = BITS, part_bytes: int = PART_BYTES) -> Iterator[Model]:
-    """The models of ``counted`` rows, one after the other, for ranges of keys that cover all."""
-    by = table.groupBy("lang").agg(F.count_if(F.col("times") == 1).alias("ones"), F.count_if(F.col("times") == 2).alias("twos")).collect()
-    if not by:
-        return
-    suffix = F.col("gram").bitwiseAND(F.lit((1 << 48) - 1)).alias("gram")
-    triples = table.select("lang", suffix).groupBy("lang", "gram").agg(F.count("*").alias("times")).toPandas()
-    lower = _lower_orders(triples, {r.lang: r.ones for r in by}, {r.lang: r.twos for r in by})
-    rows = max(1, part_bytes // (8 + 4 * len(by)))
-    parts = -(-table.select("gram").distinct().count() // rows)
+    return _fit_whole(counted, lower, bits)
+
+
+def _distinct(table: DataFrame) -> int:
+    return table.select("gram").distinct().count()
+
+
+def _whole(table: DataFrame, bits: int) -> Model | None:
+    """The model of all ``counted`` rows, in the driver's memory."""
+    return fit(table.toPandas(), bits)
+
+
+@dataclass(frozen=True)
+class Range:
+    """The n-grams of one order from ``low`` to ``high``, which hold all that share a context."""
+
+    order: int
+    grams: np.ndarray  # sorted
+    logs: np.ndarray  # of each n-gram, by language
+    contexts: np.ndarray  # sorted
+    back: np.ndarray  # logarithms of the mass that each context leaves to the lower order
+    low: int
+    high: int
+    floor: float
+
+    def scan(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of what is known of the n-grams in the range, and the lower order's n-grams for those it has not seen."""
+        g = g[(g >= np.uint64(self.low)) & (g <= np.uint64(self.high))]
+        total = np.zeros(self.logs.shape[1])
+        rest = []
+        for at in range(0, len(g), BLOCK):
+            part = g[at : at + BLOCK]
+            k = np.minimum(np.searchsorted(self.grams, part), max(0, len(self.grams) - 1))
+            seen = self.grams[k] == part if len(self.grams) else np.zeros(len(part), bool)
+            total += self.logs[k[seen]].sum(axis=0, dtype=np.float64)
+            other = part[~seen]
+            context = other >> np.uint64(16)
+            c = np.minimum(np.searchsorted(self.contexts, context), max(0, len(self.contexts) - 1))
+            known = self.contexts[c] == context if len(self.contexts) else np.zeros(len(other), bool)
+            total += self.back[c[known]].sum(axis=0, dtype=np.float64)
+            if self.order > 1:
+                rest.append(other & np.uint64((1 << 16 * (self.order - 1)) - 1))
+            else:
+                total += len(other) * np.log(self.floor)
+        return total, np.concatenate(rest) if rest else np.zeros(0, np.uint64)
+
+
+def _fitted(table: DataFrame, languages: list[str]) -> tuple[dict[int, tuple[DataFrame, DataFrame]], float]:
+    """For each order its tables (gram, p) and (context, w), arrays by language, and the floor; made by the engine."""
+    each = range(len(languages))
+    counts = {4: table.select("lang", "gram", "times")}
+    for n in (3, 2, 1):
+        ends = F.col("gram").bitwiseAND(F.lit((1 << 16 * n) - 1)).alias("gram")
+        counts[n] = materialize(counts[n + 1].select("lang", ends).groupBy("lang", "gram").agg(F.count("*").alias("times")))
+    floor = 1.0 / (counts[1].select("gram").distinct().count() + 1)
+    out: dict[int, tuple[DataFrame, DataFrame]] = {}
+    for n in (1, 2, 3, 4):
+        few = {r.lang: r for r in counts[n].groupBy("lang").agg(F.count_if(F.col("times") == 1).alias("ones"), F.count_if(F.col("times") == 2).alias("twos")).collect()}
+        discount = _discount(np.array([few[x].ones for x in languages]), np.array([few[x].twos for x in languages])).tolist()
+        wide = counts[n].groupBy("gram").agg(*(F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("times"))), F.lit(0)).alias(f"c{i}") for i, x in enumerate(languages)))
+        wide = materialize(wide.withColumn("context", F.shiftright("gram", 16)))
+        context = wide.groupBy("context").agg(*(F.sum(f"c{i}").alias(f"m{i}") for i in each), *(F.count_if(F.col(f"c{i}") > 0).alias(f"k{i}") for i in each))
+        weight = lambda i: F.when(F.col(f"m{i}") > 0, F.lit(discount[i]) * F.col(f"k{i}") / F.col(f"m{i}")).otherwise(1.0)  # noqa: B023, E731
+        context = context.select("context", *(F.greatest(f"m{i}", F.lit(1)).alias(f"m{i}") for i in each), F.array(*map(weight, each)).alias("w"))
+        df = wide.join(context, "context")
+        if n > 1:
+            lower = out[n - 1][0].select(F.col("gram").alias("ends"), F.col("p").alias("below"))
+            df = df.withColumn("ends", F.col("gram").bitwiseAND(F.lit((1 << 16 * (n - 1)) - 1))).join(lower, "ends")
+        else:
+            df = df.withColumn("below", F.array_repeat(F.lit(floor), len(languages)))
+        p = [F.greatest(F.col(f"c{i}") - F.lit(discount[i]), F.lit(0.0)) / F.col(f"m{i}") + F.get("w", F.lit(i)) * F.get("below", F.lit(i)) for i in each]
+        out[n] = materialize(df.select("gram", F.array(*p).alias("p"))), materialize(context.select("context", "w"))
+    return out, floor
+
+
+def ranges(grams: DataFrame, contexts: DataFrame, order: int, n_languages: int, floor: float, part_bytes: int) -> Iterator[Range]:
+    """One order's tables, one range after the other."""
+    rows = max(1, part_bytes // (8 + 8 * n_languages))
+    parts = -(-grams.count() // rows)
     bounds: list[int] = []
     if parts > 1:
-        least, found = table.agg(F.min("gram"), F.percentile_approx("gram", [k / parts for k in range(1, parts)], 100 * parts)).first()
+        least, found = grams.agg(F.min("gram"), F.percentile_approx("gram", [k / parts for k in range(1, parts)], 100 * parts)).first()
         bounds = sorted({x >> 16 << 16 for x in found if x >> 16 > least >> 16})
     edges = [-(1 << 63), *bounds, 1 << 63]
+    unsigned = _unsigned if order == 4 else (lambda g: g.astype(np.uint64))
+    shift = 1 << 63 if order == 4 else 0
     for low, high in zip(edges, edges[1:]):
-        held = table.filter(F.col("gram").between(low, high - 1)).toPandas()
-        yield _fit_part(held, lower, bits, low + (1 << 63), high - 1 + (1 << 63))
+        own = grams.filter(F.col("gram").between(low, high - 1)).sort("gram").toPandas()
+        left = contexts.filter(F.col("context").between(low >> 16, (high - 1) >> 16)).sort("context").toPandas()
+        keys = unsigned(own["gram"].to_numpy().astype(np.int64))
+        # a context of the highest order keeps the sign's place of its key, 48 bits from the end
+        context = left["context"].to_numpy().astype(np.int64)
+        context = (context + (1 << 47)).astype(np.uint64) if order == 4 else context.astype(np.uint64)
+        array = lambda c, n: np.log(np.array(c.tolist(), float).reshape(n, n_languages))
+        yield Range(order, keys, array(own["p"], len(own)), context, array(left["w"], len(left)), max(0, low + shift), min((1 << 64) - 1, high - 1 + shift), floor)
 
 
 def _summed(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -369,24 +446,60 @@ def _decided(found: DataFrame, languages: list[str]) -> DataFrame:
     return found.select("doc_id", "sums", "n", "length").mapInArrow(batches, schema)
 
 
+def _scanned(rows: DataFrame, part: Range, n_languages: int) -> DataFrame:
+    """row, sums, rest, n and length of rows of row and text (order 4) or grams (lower orders)."""
+    shared = rows.sparkSession.sparkContext.broadcast(part)
+    texts = part.order == 4
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in it:
+            sums, rests, ns, lengths = [], [], [], []
+            for x in b.column(1):
+                n = length = 0
+                if texts:
+                    chars = folded(x.as_py())
+                    g = grams(chars)[1:] if len(chars) > 2 else grams(chars)
+                    n, length = len(g), max(0, len(chars) - 2)
+                else:
+                    g = x.values.to_numpy().astype(np.uint64)
+                total, rest = m.scan(g)
+                sums.append(total.tolist())
+                rests.append(rest.astype(np.int64))
+                ns.append(n)
+                lengths.append(length)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums, pa.list_(pa.float64())), pa.array(rests, pa.list_(pa.int64())), pa.array(ns, pa.int64()), pa.array(lengths, pa.int64())], ["row", "sums", "rest", "n", "length"])
+
+    return rows.mapInArrow(batches, "row long, sums array<double>, rest array<long>, n long, length long")
+
+
+def _in_ranges(docs: DataFrame, table: DataFrame, languages: list[str], part_bytes: int) -> DataFrame:
+    """doc_id, sums, n and length for each row of ``docs``: order by order, range by range."""
+    fitted, floor = _fitted(table, languages)
+    rows = materialize(docs.withColumn("row", F.monotonically_increasing_id()))
+    left, passes = rows.select("row", "text"), []
+    for order in (4, 3, 2, 1):
+        found = [materialize(_scanned(left, part, len(languages))) for part in ranges(*fitted[order], order, len(languages), floor, part_bytes)]
+        every = found[0]
+        for more in found[1:]:
+            every = every.unionByName(more)
+        passes.append(every.select("row", "sums", "n", "length"))
+        left = materialize(every.groupBy("row").agg(F.flatten(F.collect_list("rest")).alias("grams")).filter(F.size("grams") > 0))
+    every = passes[0]
+    for more in passes[1:]:
+        every = every.unionByName(more)
+    sums = [F.sum(F.get("sums", F.lit(i))) for i in range(len(languages))]
+    added = every.groupBy("row").agg(F.array(*sums).alias("sums"), F.max("n").alias("n"), F.max("length").alias("length"))
+    return rows.select("row", "doc_id").join(added, "row").select("doc_id", "sums", "n", "length")
+
+
 def predicted(docs: DataFrame, table: DataFrame, bits: int = BITS, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, lang_pred, score, entropy and length (folded characters) for each row of ``docs``."""
     docs = docs.select("doc_id", "text")
-    found, languages, rows = [], [], None
-    for model in models(table, bits, part_bytes):
-        languages = model.languages
-        if model.low == 0 and model.high == (1 << 64) - 1:
-            return _decided(_summed(docs, model), languages)
-        if rows is None:
-            rows = materialize(docs.withColumn("row", F.monotonically_increasing_id()))
-        found.append(materialize(_summed(rows, model)))
-    if not found:
-        return _decided(_summed(docs, None), languages)
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    sums = [F.sum(F.get("sums", F.lit(i))) for i in range(len(languages))]
-    return _decided(every.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array(*sums).alias("sums"), F.max("n").alias("n"), F.max("length").alias("length")), languages)
+    languages = sorted(r.lang for r in table.select("lang").distinct().collect())
+    if _distinct(table) * (8 + 4 * len(languages)) <= part_bytes:
+        return _decided(_summed(docs, _whole(table, bits)), languages)
+    return _decided(_in_ranges(docs, table, languages, part_bytes), languages)
 
 
 def identify(docs: DataFrame, training: DataFrame, reject: float = REJECT, bits: int = BITS, part_bytes: int = PART_BYTES) -> DataFrame:

@@ -466,6 +466,49 @@ def test_kneser_ney_sums_to_one(spark):
         assert (np.abs(p - 1) < 0.1).all()  # what is left is for letters never seen
 
 
+def test_language_model_equals_definition(spark):
+    rng = np.random.default_rng(28)
+    texts = {lang: ["".join(rng.choice(list(letters), 60)) for _ in range(8)] for lang, letters in (("a", "abcd "), ("b", "bcde "))}
+    docs = spark.createDataFrame([(t, lang) for lang, ts in texts.items() for t in ts], "text string, lang string")
+    model = langid.fit(langid.counts(docs))
+
+    # interpolated Kneser-Ney by definition, over strings
+    def tables(ts):
+        four = {}
+        for t in ts:
+            x = "  " + " " + " ".join(t.split()) + " "
+            for k in range(len(x) - 3):
+                four[x[k : k + 4]] = four.get(x[k : k + 4], 0) + 1
+        out = {4: four}
+        for n in (3, 2, 1):
+            out[n] = {}
+            for g in out[n + 1]:
+                out[n][g[1:]] = out[n].get(g[1:], 0) + 1
+        return out
+
+    own = {lang: tables(ts) for lang, ts in texts.items()}
+    floor = 1 / (len({g for t in own.values() for g in t[1]}) + 1)
+
+    def probability(lang, g):
+        n, t = len(g), own[lang]
+        if not n:
+            return floor
+        values = list(t[n].values())
+        one, two = values.count(1), values.count(2)
+        d = min(0.9, max(0.1, one / max(1, one + 2 * two)))
+        mass = sum(c for x, c in t[n].items() if x[:-1] == g[:-1])
+        kinds = sum(1 for x in t[n] if x[:-1] == g[:-1])
+        below = probability(lang, g[1:])
+        return below if not mass else max(t[n].get(g, 0) - d, 0) / mass + d * kinds / mass * below
+
+    asked = ["abcd", "bcde", " abc", "zabc", "azzz", "dcba", "a bc", "eeee"]
+    keys = np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(g)) for g in asked], np.uint64)
+    dense = model.dense()
+    for g, key in zip(asked, keys):
+        got = np.exp(model.sums(np.array([key], np.uint64), dense))
+        assert np.allclose(got, [probability(lang, g) for lang in ("a", "b")], rtol=1e-5), g
+
+
 def test_language_model_keeps_all_grams(spark):
     rng = np.random.default_rng(11)
     texts = ["".join(map(chr, rng.choice([*range(0x61, 0x7B), *range(0x430, 0x450), *range(0x4E00, 0x4F00)], 30_000))) for _ in range(2)]
@@ -483,9 +526,12 @@ def test_language_model_in_parts(spark):
     rows = [(i, " ".join("".join(rng.choice(list(letters), 4)) for _ in range(40)), lang) for i in range(40) for lang, letters in (("a", "abcdefgh"), ("b", "efghijkl"), ("c", "жзиклмно"))]
     docs = spark.createDataFrame([*rows, (99, "zzz qq 漢字", None), (99, None, None)], "doc_id long, text string, lang string")
     key = lambda r: (r.doc_id, r.lang_pred, r.length, r.rejected, round(r.score, 9), None if r.entropy is None else round(r.entropy, 6))
-    parts = list(langid.models(langid.counted(docs.filter("lang is not null")), part_bytes=2000))
-    assert len(parts) > 3 and all(a.high + 1 == b.low for a, b in zip(parts, parts[1:])) and parts[0].low == 0 and parts[-1].high == (1 << 64) - 1
-    whole, split, crowded = (sorted(map(key, langid.identify(docs, docs, **x).collect()), key=str) for x in ({}, {"part_bytes": 20_000}, {"bits": 1}))
+    table = langid.counted(docs.filter("lang is not null and text is not null")).cache()
+    fitted, floor = langid._fitted(table, ["a", "b", "c"])
+    for order in (4, 3):
+        parts = list(langid.ranges(*fitted[order], order, 3, floor, 4000))
+        assert len(parts) > 3 and all(a.high + 1 == b.low and a.grams[-1] < b.grams[0] and (not len(a.contexts) or a.contexts[-1] < b.contexts[0]) for a, b in zip(parts, parts[1:]))
+    whole, split, crowded = (sorted(map(key, langid.identify(docs, docs, **x).collect()), key=str) for x in ({}, {"part_bytes": 6000}, {"bits": 1}))
     assert whole == split == crowded
 
 
