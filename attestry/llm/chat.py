@@ -154,7 +154,8 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 def query(turns: DataFrame) -> DataFrame:
     added = turns.sparkSession.createDataFrame([(-1, 0, "user", _HARD), (-1, 1, "assistant", _HARD)], "conv_id long, turn long, role string, text string")
-    return digests(conversations(as_tree(turns.select("conv_id", "turn", "role", "text").unionByName(added))))
+    # written and read back: no task runs the workers that format beside those that parse
+    return digests(materialize(conversations(as_tree(turns.select("conv_id", "turn", "role", "text").unionByName(added)))))
 
 
 _HARD = "</s>[INST] ok [/INST]"
