@@ -31,7 +31,6 @@ NOT_STRAY = "pdf_chunks"
 MOST_CONFIDENCE = 0.95
 MIN_LINES, MIN_EMBEDS, MIN_QUOTES, QUOTE = 80, 2, 2, 10
 AGENT_MODE = "runtime-neutral-prompt-contracts"
-PAGE_WRITER, SCHEMA_WRITER, BLOCK_WRITER = "library_phase5_pages.py", "library_phase34_verify.py", "blockid_validator.py"
 #: Checks that are decided elsewhere: of programs' texts, and of YAML by a parser, which Spark has none of.
 ELSEWHERE = ("PO-42", "SC-22")
 
@@ -82,8 +81,11 @@ def extraction_checks(extractions: DataFrame) -> DataFrame:
     return _failing(v, F.col("file"), {"EX-11": ~cites & ~absent, "EX-12": unsure}).union(_nothing(extractions, "EX-11"))
 
 
-def report_checks(reports: DataFrame, marks: DataFrame) -> DataFrame:
-    """EX-08, EX-10, SC-15 to SC-20 and PO-45 of reports (name, json) and marker files (name, text)."""
+def report_checks(reports: DataFrame, marks: DataFrame, writers: dict[str, str]) -> DataFrame:
+    """EX-08, EX-10, SC-15 to SC-20 and PO-45 of reports (name, json) and marker files (name, text).
+
+    ``writers`` names the programs that must have written the pages, the schema mark and the block mark (pages, schema, blocks).
+    """
     v = reports.select("name", F.try_parse_json("json").alias("v"))
     one = lambda name, path, t="string": F.max(F.when(F.col("name") == name, F.try_variant_get("v", path, t)))
     there = lambda name: F.coalesce(F.max((F.col("name") == name) & F.col("v").isNotNull()), F.lit(False))
@@ -98,7 +100,7 @@ def report_checks(reports: DataFrame, marks: DataFrame) -> DataFrame:
         "shown_status": one("presentation-report.json", "$.status"), "shown": one("presentation-report.json", "$.checked", "long"),
         "scored": there("master-scored.json"), "has_blocks": there("blockid-validation-report.json"),
     }
-    said = marks.agg(*(F.coalesce(F.max((F.col("name") == n) & F.contains("text", F.lit(f"validated_by: {w}"))), F.lit(False)).alias(n) for n, w in (("_validation_passed", SCHEMA_WRITER), ("_blockid_valid", BLOCK_WRITER))))
+    said = marks.agg(*(F.coalesce(F.max((F.col("name") == n) & F.contains("text", F.lit(f"validated_by: {w}"))), F.lit(False)).alias(n) for n, w in (("_validation_passed", writers["schema"]), ("_blockid_valid", writers["blocks"]))))
     state = v.agg(*(c.alias(k) for k, c in asked.items())).join(F.broadcast(said))  # a row each
     c = F.col
     good = {
@@ -109,7 +111,7 @@ def report_checks(reports: DataFrame, marks: DataFrame) -> DataFrame:
         "SC-17": c("_blockid_valid") & c("blocks_valid") & (c("blocks_cited") > 0),
         "SC-18": c("has_blocks") & (F.coalesce("blocks_missing", F.lit(0)) == 0),
         "SC-19": c("filtered"),
-        "SC-20": (c("writer") == PAGE_WRITER) & (c("pages_status") == "PASS") & (c("gate5") == "PASS") & (c("written") > 0),
+        "SC-20": (c("writer") == writers["pages"]) & (c("pages_status") == "PASS") & (c("gate5") == "PASS") & (c("written") > 0),
         "PO-45": (c("shown_status") == "PASS") & (c("shown") > 0),
     }
     return _failing(state, F.lit("report"), {k: ~F.coalesce(g, F.lit(False)) for k, g in good.items()})

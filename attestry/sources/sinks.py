@@ -71,16 +71,16 @@ def index_with(entries: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 #: A new index, up to its section of concepts.
-EMPTY_INDEX = "# Domain Library Index\n\n> Content catalog. Read first to find relevant pages.\n> Last updated: |\n\n## Extracted Concepts\n"
+EMPTY_INDEX = "# Index\n\n> Last updated: |\n\n## Extracted Concepts\n"
 
 
-def rebuilt_index(index: DataFrame, pages: DataFrame, day: str) -> DataFrame:
+def rebuilt_index(index: DataFrame, pages: DataFrame, day: str, new: str = EMPTY_INDEX) -> DataFrame:
     """markdown: the index (text, one row or none) with its section of concepts replaced by all pages (stem) and its date and count set.
 
-    Other sections stay; without that section it comes last.  The index is one text, so that its entries meet in one row.
+    Other sections stay; without that section it comes last, and without an index ``new`` is one.  The index is one text, so that its entries meet in one row.
     """
     stems = pages.select("stem").distinct().agg(F.array_sort(F.collect_list("stem")).alias("stems"))
-    old = index.agg(F.coalesce(F.first("text"), F.lit(EMPTY_INDEX)).alias("text"))
+    old = index.agg(F.coalesce(F.first("text"), F.lit(new)).alias("text"))
     df = old.join(F.broadcast(stems))
     stamped = F.regexp_replace("text", r"(?m)\A((?:(?!^> Last updated:)[\s\S])*)^> Last updated:.*$", F.concat(F.lit("$1> Last updated: "), F.lit(day), F.lit(" | "), F.size("stems"), F.lit(" concept pages")))
     section = F.concat(F.lit("## Extracted Concepts\n"), F.array_join(F.transform("stems", lambda s: F.concat(F.lit("- [["), s, F.lit("]]"))), "\n"), F.lit("\n"))

@@ -40,21 +40,21 @@ def test_artifacts(spark):
     df = spark.createDataFrame([("s", k, json.dumps(v)) for k, v in cases.items()] + [("s", "broken", "{"), ("s", "null", None)], "slug string, path string, json string")
     assert {r.path for r in ocr.artifact_validity(df).collect() if r.valid} == {"list", "ok", "ok pages", "pages", "flat", "chunks"}
     made = [
-        ("s", "r/s/glmocr_output/s/s.json", True, True, 100 + 70 + 10 + 5),
-        ("s", "r/s/glmocr_output/combined.json", True, False, 180),
-        ("s", "r/s/glmocr_output_old/my-combined.json", True, False, 0),
+        ("s", "r/s/ocr_output/s/s.json", True, True, 100 + 70 + 10 + 5),
+        ("s", "r/s/ocr_output/combined.json", True, False, 180),
+        ("s", "r/s/ocr_output_old/my-combined.json", True, False, 0),
         ("s", "r/s/S.JSON", True, False, 80),
-        ("s", "glmocr_output/x_model.json", True, None, 120),
-        ("s", "glmocr_output/Layout.json", True, True, -10_000),
-        ("s", "glmocr_output/layout.json.bak", True, False, 100),
-        ("s", "r/s/glmocr_output/s.json", False, True, -10_000),
-        ("t", "glmocr_output/middle.json", True, True, -10_000),
+        ("s", "ocr_output/x_model.json", True, None, 120),
+        ("s", "ocr_output/Layout.json", True, True, -10_000),
+        ("s", "ocr_output/layout.json.bak", True, False, 100),
+        ("s", "r/s/ocr_output/s.json", False, True, -10_000),
+        ("t", "ocr_output/middle.json", True, True, -10_000),
         ("u", "b/deep/u.json", True, False, 70),
         ("u", "b/u.json", True, False, 70),
     ]
     df = spark.createDataFrame([r[:4] for r in made], "slug string, path string, valid boolean, has_images boolean")
     assert {r.path: r.score for r in ocr.artifact_scores(df).collect()} == {r[1]: r[4] for r in made}
-    assert rows(ocr.best_artifact(df)) == [("s", "r/s/glmocr_output/s/s.json", 185), ("u", "b/u.json", 70)]
+    assert rows(ocr.best_artifact(df)) == [("s", "r/s/ocr_output/s/s.json", 185), ("u", "b/u.json", 70)]
 
 
 def test_parts_leave_room_for_their_front_matter(spark):
@@ -172,14 +172,15 @@ def test_audit(spark):
     reports = {
         "specialist-dispatch-report.json": {"agent_mode": audit.AGENT_MODE}, "schema-validation-report.json": {"status": "PASS", "valid": 3, "total": 3}, "phase4-scoring-report.json": {"status": "PASS", "candidate_count": 2}, "master-scored.json": {},
         "phase4-confirmation.json": {"status": "PASS", "selected_count": 1}, "gates/phase-4.json": {"status": "PASS"}, "gates/phase-5.json": {"status": "PASS"}, "blockid-validation-report.json": {"valid": True, "referenced_block_ids": 4, "missing_count": 0},
-        "master-top-clean.json": {"_latex_filtered": {}}, "page-build-report.json": {"generated_by": audit.PAGE_WRITER, "status": "PASS", "pages_written": 1}, "presentation-report.json": {"status": "PASS", "checked": 1},
+        "master-top-clean.json": {"_latex_filtered": {}}, "page-build-report.json": {"generated_by": "pager", "status": "PASS", "pages_written": 1}, "presentation-report.json": {"status": "PASS", "checked": 1},
     }
-    marks = spark.createDataFrame([("_validation_passed", f"validated_by: {audit.SCHEMA_WRITER}"), ("_blockid_valid", f"validated_by: {audit.BLOCK_WRITER}")], "name string, text string")
+    writers = {"pages": "pager", "schema": "schemer", "blocks": "blocker"}
+    marks = spark.createDataFrame([("_validation_passed", f"validated_by: schemer"), ("_blockid_valid", f"validated_by: blocker")], "name string, text string")
     table = lambda d: spark.createDataFrame([(k, json.dumps(v)) for k, v in d.items()], "name string, json string")
-    assert audit.report_checks(table(reports), marks).count() == 0
+    assert audit.report_checks(table(reports), marks, writers).count() == 0
     worse = reports | {"schema-validation-report.json": {"status": "PASS", "valid": 2, "total": 3}, "blockid-validation-report.json": {"valid": True, "referenced_block_ids": 4, "missing_count": 1}}
-    assert {r.check_id for r in audit.report_checks(table(worse), marks).collect()} == {"EX-10", "SC-18"}
-    assert {r.check_id for r in audit.report_checks(table({}), marks.limit(0)).collect()} == {"EX-08", "EX-10", "SC-15", "SC-16", "SC-17", "SC-18", "SC-19", "SC-20", "PO-45"}
+    assert {r.check_id for r in audit.report_checks(table(worse), marks, writers).collect()} == {"EX-10", "SC-18"}
+    assert {r.check_id for r in audit.report_checks(table({}), marks.limit(0), writers).collect()} == {"EX-08", "EX-10", "SC-15", "SC-16", "SC-17", "SC-18", "SC-19", "SC-20", "PO-45"}
     log = spark.createDataFrame([("## [2024] split | demo | x",), ("Regex fallback used",)], "line string")
     assert rows(audit.log_checks(log, "demo")) == [("EX-14", "log")]
     every = audit.report(found.union(whole), ("PQ-27",), {"PO-42": True})
