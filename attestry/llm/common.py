@@ -69,5 +69,38 @@ def crc_mod(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def crc_sql(words: str) -> str:
+    """SQL of a recursive WITH clause whose last part, ``crcs``, has word and crc of the query ``words``: the CRC byte by byte, over the table that its polynomial gives."""
+    return f"""bits(i, c, k) AS (
+  SELECT range, range, 0 FROM range(256) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc_table AS (
+  SELECT i, c AS v FROM bits WHERE k = 8
+), crc_steps(word, h, p, c) AS (
+  SELECT word, hex(encode(word)), 0, 4294967295::BIGINT FROM ({words})
+  UNION ALL
+  SELECT word, h, p + 1, xor(c >> 8, v) FROM crc_steps JOIN crc_table
+  ON i = xor(c & 255, 16 * (strpos('0123456789ABCDEF', substr(h, 2 * p + 1, 1)) - 1) + strpos('0123456789ABCDEF', substr(h, 2 * p + 2, 1)) - 1) WHERE 2 * p < length(h)
+), crcs AS (
+  SELECT word, xor(c, 4294967295) AS crc FROM crc_steps WHERE 2 * p = length(h)
+)"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with number, from 1 on, in the given order: by ranges of it, never in one task.
+
+    Rows are numbered inside the ranges that the engine cuts by sampled splitters; the ranges' sizes, a number each,
+    are added up.  The ranges are written first, so that both steps see the same ones.
+    """
+    at = F.col("__at")
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    cut = materialize(cut.select("*", F.shiftright(at, 33).cast("int").alias("__range"), at.bitwiseAND((1 << 33) - 1).alias("__place")).drop("__at"))
+    before, start = {}, 0
+    for r in sorted(cut.groupBy("__range").count().collect()):
+        before[r[0]], start = start, start + r[1]
+    sizes = df.sparkSession.createDataFrame(list(before.items()), "__range int, __before long")
+    # as many rows as there are ranges
+    return cut.join(F.broadcast(sizes), "__range").withColumn("number", F.col("__before") + F.col("__place") + 1).drop("__range", "__place", "__before")

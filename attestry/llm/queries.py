@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprint, langid, licences, line_dedup, packing, quality, secrets, simhash
+from . import chat, decontaminate, exact, fingerprint, langid, licences, line_dedup, packing, quality, resample, secrets, simhash, spelling
 from .common import crc_mod, table
 
 
@@ -58,6 +58,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.query(table(spark, sf_dir, "documents"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.query(table(spark, sf_dir, "documents"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": _op1,
     "op2_quality_ranking": _op2,
@@ -69,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": _op8,
     "op9_license_scan": _op9,
     "op10_line_dedup": _op10,
+    "op11_exact_dedup": _op11,
+    "op12_spelling_variants": _op12,
+    "op13_importance_resampling": _op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -76,4 +91,7 @@ ORACLES: dict[str, str] = {
     "op8_decontamination": decontaminate.ORACLE,
     "op9_license_scan": licences.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op11_exact_dedup": exact.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
+    "op13_importance_resampling": resample.ORACLE,
 }
