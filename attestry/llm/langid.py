@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Texts are case-folded and each run of characters that are no letters becomes
-one space.  All 4-grams of all training rows are counted by language, each
+one space.  Characters are 16-bit units: a letter beyond the basic plane is two.  All 4-grams of all training rows are counted by language, each
 under its own 64-bit key.  Lower orders use continuation counts.  The model
 keeps, by sorted key, the interpolated log-probability of each 4-gram in every
 language, and the lower orders for 4-grams it has not seen.
@@ -14,10 +14,17 @@ the 3-grams that end what it has not seen, then those, and so on.  Sums are adde
 for each text; the driver and a task only ever hold one range.  A text gets the
 language of the lowest
 cross-entropy per character.  The score is the share of the best language when
-all are weighed by their likelihoods, tempered by length.  ``identify`` also
-flags as rejected what lies far above the cross-entropies of the rows that
-were given the same language: over the mean plus ``REJECT`` standard deviations
-of all of them.
+all are weighed by their likelihoods, tempered by length.
+
+Rejection is calibrated on training rows alone: a tenth of them, by a hash of the
+text, is scored by a model of the others, and each language's mean and standard
+deviation of the cross-entropy of its own rows are kept.  A text that lies over the
+mean of the language found for it by more than ``REJECT`` standard deviations is
+``rejected``: it is in no learned language, its score is 0, and lang_pred only says
+which one is least unlike it.  A language without rows in that tenth rejects nothing.
+
+Logarithms are 32-bit numbers in a model that is held whole and 64-bit ones in
+ranges, so that scores of the two ways agree to six digits.
 
 Results on unusual input: a null text, or one without letters, is ``und``
 with score 0; rows without language teach nothing; without training rows all
@@ -48,7 +55,10 @@ BLOCK = 1 << 19
 HELD = 1 << 20
 #: Bytes of the keys and log-probabilities of one order that are held at once.
 PART_BYTES = 1 << 25
+#: Standard deviations over the mean from which on a text is in no learned language.
 REJECT = 4.0
+#: One of so many training texts calibrates the rejection.
+HELD_BACK = 10
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _folding: list[np.ndarray] = []
@@ -67,17 +77,19 @@ def _fold_table() -> np.ndarray:
 
 
 def folded(text: str | None) -> np.ndarray:
-    """16-bit characters of the folded text, with a space at either end; letters beyond the basic plane share the upper half."""
+    """16-bit units of the folded text, with a space at either end; a letter beyond the basic plane is a pair of surrogates, as no other letter is."""
     raw = np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
-    far = np.flatnonzero(raw >= 1 << 16)
-    low = raw
-    if len(far):
-        low = raw.copy()
-        low[far] = [0x8000 | (c * 40503 >> 3 & 0x7FFF) if chr(c).isalpha() else 32 for c in raw[far].tolist()]
-    out = np.full(len(raw) + 2, 32, np.uint64)
-    out[1:-1] = _fold_table()[low]
-    if len(far):
-        out[far + 1] = low[far]
+    beyond = raw >= 1 << 16
+    near = _fold_table()[np.where(beyond, 32, raw)]
+    if beyond.any():
+        near = np.repeat(near, 1 + beyond)
+        first = np.flatnonzero(beyond) + np.arange(beyond.sum())
+        low = np.array([ord(chr(c).lower()) if chr(c).isalpha() else 0 for c in raw[beyond].tolist()], np.uint32)
+        letter, off = low >= 1 << 16, low - (1 << 16)
+        near[first[letter]] = 0xD800 + (off[letter] >> 10)
+        near[first[letter] + 1] = 0xDC00 + (off[letter] & 0x3FF)
+    out = np.full(len(near) + 2, 32, np.uint64)
+    out[1:-1] = near
     keep = out != 32
     keep[0] = True
     keep[1:] |= out[:-1] != 32
@@ -502,12 +514,23 @@ def predicted(docs: DataFrame, table: DataFrame, bits: int = BITS, part_bytes: i
     return _decided(_in_ranges(docs, table, languages, part_bytes), languages)
 
 
+def calibrated(rows: DataFrame, table: DataFrame, bits: int = BITS, part_bytes: int = PART_BYTES) -> DataFrame:
+    """lang, mean and spread of the cross-entropies of ``rows`` (text, lang), which ``table`` was not counted on, by their own language."""
+    found = predicted(rows.select(F.col("lang").alias("doc_id"), "text"), table, bits, part_bytes)
+    usual = found.filter("entropy is not null").groupBy(F.col("doc_id").alias("lang"))
+    return usual.agg(F.avg("entropy").alias("mean"), F.coalesce(F.stddev_samp("entropy"), F.lit(0.0)).alias("spread"))
+
+
 def identify(docs: DataFrame, training: DataFrame, reject: float = REJECT, bits: int = BITS, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``predicted`` and rejected, calibrated on all rows; ``training`` has text and lang."""
-    table = materialize(counted(training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())))
-    found = materialize(predicted(docs, table, bits, part_bytes))
-    usual = found.filter("entropy is not null").groupBy("lang_pred").agg(F.avg("entropy").alias("mean"), F.coalesce(F.stddev_samp("entropy"), F.lit(0.0)).alias("spread"))
+    """``predicted`` and rejected, with score 0 where a row is rejected; ``training`` has text and lang."""
+    learned = training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+    apart = F.pmod(F.xxhash64("text"), F.lit(HELD_BACK)) == 0  # by text, so that copies of a text are on one side
+    most, rest = materialize(counted(learned.filter(~apart))), materialize(counted(learned.filter(apart)))
+    table = materialize(most.unionByName(rest).groupBy("lang", "gram").agg(F.sum("times").alias("times")))
+    usual = materialize(calibrated(learned.filter(apart), most, bits, part_bytes)).withColumnRenamed("lang", "lang_pred")
+    found = predicted(docs, table, bits, part_bytes)
     # one row a language
     out = found.join(F.broadcast(usual), "lang_pred", "left")
     far = F.coalesce(F.col("entropy") > F.col("mean") + reject * F.col("spread"), F.lit(False))
-    return out.select("doc_id", "lang_pred", "score", "entropy", "length", far.alias("rejected"))
+    out = out.withColumn("rejected", far)
+    return out.select("doc_id", "lang_pred", F.when(F.col("rejected"), 0.0).otherwise(F.col("score")).alias("score"), "entropy", "length", "rejected")

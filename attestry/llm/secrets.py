@@ -142,6 +142,18 @@ def token_places(text: str) -> list[tuple[int, int]]:
     return list(zip(starts[long].tolist(), ends[long].tolist()))
 
 
+def uncovered(tokens: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The tokens that overlap none of the spans; both in order of their starts, walked together."""
+    out, at, end = [], 0, -1  # the end of all spans that start before the token's end
+    for s, e in tokens:
+        while at < len(spans) and spans[at][0] < e:
+            end = max(end, spans[at][2])
+            at += 1
+        if end <= s:
+            out.append((s, e))
+    return out
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, base and tested for each row: spans of the fixed patterns; other tokens with their evidence."""
     span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
@@ -156,8 +168,8 @@ def candidates(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text, tokens)
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
                 rest = []
-                for s, e in tokens:
-                    if not any(x < e and s < y for x, _, y in spans) and (kind := encoding(text[s:e])):
+                for s, e in uncovered(tokens, spans):
+                    if kind := encoding(text[s:e]):
                         rest.append({"start": s, "end": e, "encoding": kind, "evidence": evidence(text[s:e], kind)})
                 tested.append(rest)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(base, pa.list_(span)), pa.array(tested, pa.list_(test))], ["doc_id", "base", "tested"])
