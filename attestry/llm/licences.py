@@ -149,7 +149,7 @@ def _words(text: Column) -> Column:
 def frequencies(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> tuple[int, dict[str, int]]:
     """The number of documents, and in how many of them each index word stands: a row for each index word at most."""
     known = index_words(templates)
-    words = ", ".join(f"'{w}'" for w in known)
+    words = ", ".join(f"'{w}'" for w in ["-", *known])  # no text has the word of a sign, which keeps the list from being empty
     norm = docs.select(_words(F.coalesce("text", F.lit(""))).alias("w"))
     # the empty word counts the documents
     seen = norm.select(F.explode(F.expr(f"concat(array(''), array_distinct(filter(split(w, ' '), x -> x in ({words}))))")).alias("word"))

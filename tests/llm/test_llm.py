@@ -1,8 +1,10 @@
 """The training-data operators against brute force, round trips and odd input."""
 
 import hashlib
+import math
 import re
 import struct
+import time
 import zlib
 
 import duckdb
@@ -201,6 +203,63 @@ def test_battery_tells_random_from_ordinary():
     assert secrets.encoding("12345678901234567890") is None
 
 
+def test_battery_equals_independent_tests():
+    """The three p-values against chi-squared's tail by its series, the exact law of runs, and shuffled tokens."""
+    rng = np.random.default_rng(31)
+
+    def tail(x, d):  # upper regularised incomplete gamma function by its series
+        a, y = d / 2, x / 2
+        term = total = 1 / a
+        for k in range(1, 3000):
+            term *= y / (a + k)
+            total += term
+        return 1 - total * math.exp(-y + a * math.log(y) - math.lgamma(a))
+
+    for kind in ("hex", "base32", "base64"):
+        letters = list(secrets.ENCODINGS[kind])
+        for _ in range(25):
+            token = "".join(rng.choice(letters[: rng.integers(len(letters) // 2, len(letters) + 1)], 64))
+            uniform, runs, serial = secrets.battery(token, kind)
+            counts = np.array([token.count(c) for c in letters])
+            expected = len(token) / len(letters)
+            assert abs(uniform - tail(float(((counts - expected) ** 2 / expected).sum()), len(letters) - 1)) < 0.02
+            high = [letters.index(c) >= len(letters) // 2 for c in token]
+            a, b, seen = sum(high), len(high) - sum(high), 1 + sum(x != y for x, y in zip(high, high[1:]))
+            if min(a, b) >= 12:  # where the normal law is near
+                law = {}
+                for r in range(2, len(high) + 1):
+                    k, odd_ = r // 2, r % 2
+                    ways = 2 * math.comb(a - 1, k - 1) * math.comb(b - 1, k - 1) if not odd_ else math.comb(a - 1, k - 1) * math.comb(b - 1, k) + math.comb(a - 1, k) * math.comb(b - 1, k - 1)
+                    law[r] = ways / math.comb(a + b, a)
+                mean = sum(r * q for r, q in law.items())
+                far = abs(seen - mean)
+                exact = sum(q * (1.0 if abs(r - mean) > far + 1e-9 else 0.5) for r, q in law.items() if abs(r - mean) >= far - 1e-9)
+                assert abs(runs - exact) < 0.08
+            # the law of the lagged products over uniform tokens
+            share = lambda y: abs((y[..., 1:] * y[..., :-1]).sum(-1)) / (y * y).sum(-1)
+            own = share(np.array([letters.index(c) for c in token]) - (len(letters) - 1) / 2)
+            law = share(rng.integers(0, len(letters), (4000, 64)) - (len(letters) - 1) / 2)
+            assert abs(serial - (law >= own).mean()) < 0.05
+
+
+def test_secrets_of_a_very_long_list_of_digests(spark):
+    """Two hundred thousand digests in one text: both lists are walked together."""
+    digests = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(200_000)]
+    text = "\n".join(digests) + "\ntoken = abcdefgh12345678"
+    began = time.time()
+    r = secrets.query(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (r.n_hex, r.n_assign) == (200_000, 1) and time.time() - began < 120
+
+
+def test_uncovered_tokens_equal_search():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        cut = np.sort(rng.choice(100, 20, replace=False)).tolist()
+        tokens = list(zip(cut[::2], cut[1::2]))
+        spans = sorted((int(s), int(rng.integers(3)), int(s + rng.integers(1, 30))) for s in rng.integers(0, 90, rng.integers(0, 8)))
+        assert secrets.uncovered(tokens, spans) == [(s, e) for s, e in tokens if not any(x < e and s < y for x, _, y in spans)]
+
+
 def test_false_discovery_rule_equals_search(spark):
     rng = np.random.default_rng(25)
     alphabet, letters = list(secrets.ENCODINGS["base64"]), np.array([c for c in "etaoinshrdlucmfwypvbgkqjxz"])
@@ -535,6 +594,28 @@ def test_language_model_in_parts(spark):
     assert whole == split == crowded
 
 
+def test_letters_beyond_the_basic_plane_have_own_keys():
+    units = lambda t: langid.folded(t).tolist()[1:-1]
+    far = [0x20000, 0x20001, 0x2A6D6, 0x10400, 0x1D4B3, 0xC000, 0xD3C6, 0x4E00]
+    assert len({tuple(units(chr(c))) for c in far}) == len(far)
+    for c in far:
+        assert bytes(np.array(units(chr(c)), "<u2").tobytes()).decode("utf-16-le") == chr(c).lower()
+    mixed = "a\U00020000b \U0001F600 \U00010400c漢"
+    assert bytes(np.array(units(mixed), "<u2").tobytes()).decode("utf-16-le") == "a\U00020000b \U00010428c漢"
+
+
+def test_rejection_is_calibrated_on_training_rows_alone(spark):
+    rng = np.random.default_rng(17)
+    prose = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(60))
+    training = spark.createDataFrame([(prose("abcdef"), "a") for _ in range(150)] + [(prose("uvwxyz"), "u") for _ in range(150)], "text string, lang string")
+    good = [(i, prose("abcdef")) for i in range(20)]
+    junk = [(100 + i, prose("fghijklmnopqrst")) for i in range(200)]  # ten times as much as of what was learned
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(good + junk, "doc_id long, text string"), training).collect()}
+    assert not any(got[i].rejected for i, _ in good) and all(got[i].rejected and got[i].score == 0 and got[i].lang_pred in ("a", "u") for i, _ in junk)
+    alone = {r.doc_id: r for r in langid.identify(spark.createDataFrame(junk, "doc_id long, text string"), training).collect()}
+    assert all(alone[i].rejected for i, _ in junk)
+
+
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.QUERIES["op7_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
@@ -644,6 +725,56 @@ def test_licence_key_phrases_are_verified(spark):
     assert got == ["", "bsd", "", "", "", "agpl,gpl", "cc0,epl", "", "cc", ""]
 
 
+def _scanned(spark, texts, templates):
+    return licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates).orderBy("doc_id").collect()
+
+
+def test_licence_words_may_come_in_or_go_out(spark):
+    texts = [
+        "redistribution and use in source and in binary forms, with or without modification, are permitted", "licensed under the Apache-2.0 license",
+        "licensed here under the Apache License, Version 2.0", "redistribution and use in source " + "x " * 9 + "binary forms with or without modification are permitted",
+    ]
+    got = [r.labels for r in licences.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == ["bsd", "apache-2", "apache", ""]
+
+
+def test_whole_licences_are_found_with_changes(spark):
+    whole = [k for k in licences.TEMPLATES if k.endswith("-text")]
+    rng = np.random.default_rng(4)
+    texts = []
+    for k in whole:
+        words = licences.TEMPLATES[k].translate({91: None, 93: None}).split()
+        inside = {p.at for p in licences.postings() if p.label == k and p.phrase}
+        texts.append("before " * 5 + " ".join(w if i in inside or rng.random() > 0.1 else "changed" for i, w in enumerate(words)) + " after")
+    rows = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert all(k in r.labels for k, r in zip(whole, rows))
+
+
+def test_rarest_word_of_a_file_proposes_the_candidates(spark):
+    templates = {f"t{i}": f"[common rare{i}] more words here" for i in range(40)}
+    texts = ["common rare3 more words here"] + ["common words here and common again"] * 30 + ["rare5 more words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n, found = licences.frequencies(docs, templates)
+    assert licences.looked_up(found, templates)["t3"] == "rare3"
+    few = [tuple(r) for r in licences.candidates(docs, n, found, templates).orderBy("doc_id").collect()]
+    assert few == [(0, "t3", 0), (31, "t5", -1)]  # 61 places of the common word and 40 templates propose nothing
+    reversed_ = {w: n - c for w, c in found.items()}
+    assert licences.candidates(docs, n, reversed_, templates).count() == 40 * 61
+    assert [(r.doc_id, r.labels) for r in _scanned(spark, texts, templates) if r.labels] == [(0, ["t3"])]
+
+
+def test_without_its_postings_a_template_is_lost(spark, monkeypatch):
+    texts = ["licensed under the Apache License, Version 2.0", "released under the MIT license"]
+    assert [r.labels for r in _scanned(spark, texts, licences.TEMPLATES)] == [["apache"], ["mit"]]
+    index = licences.index
+    monkeypatch.setattr(licences, "index", lambda *a: [p for p in index(*a) if p[0] != "apache"])
+    assert [r.labels for r in _scanned(spark, texts, licences.TEMPLATES)] == [[], ["mit"]]
+
+
+def test_licences_of_no_templates(spark, odd):
+    assert [r.labels for r in _scanned(spark, ["cc by", "mit license"], {})] == [["cc-by"], []]
+
+
 def test_licences_equal_sql(spark, tmp_path):
     rng = np.random.default_rng(21)
     templates = [t.translate({91: None, 93: None}).split() for t in licences.TEMPLATES.values()]
