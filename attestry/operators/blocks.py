@@ -50,13 +50,14 @@ def substantive_lines(docs: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, (F.col("r.i") + 1).alias("line_no"), F.col("r.t").alias("line"))
 
 
-def annotate(files: DataFrame) -> DataFrame:
-    """New block ids: slug, file, chapter, line_no (the block's last line), block_id, text.
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt out anew only where its scan has fewer tasks than the cluster has cores: rules are heavy for their bytes."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
-    ``files`` has slug, chapter, file and text.  A run of table lines is one block, anchored after
-    its last line.  Blocks that have an id keep it; the counter of a chapter goes on over its files,
-    in their order, from the highest id that exists.
-    """
+
+def _granted(files: DataFrame) -> DataFrame:
+    """slug, chapter, file, new (t and i of each line that gets an id) and highest (number of an id that exists)."""
     keys = ["slug", "chapter", "file"]
     df = marked_lines(files, keys)
     # a slug holds letters, digits, hyphens, dots and underscores only; nothing to escape but the dot
@@ -73,11 +74,41 @@ def annotate(files: DataFrame) -> DataFrame:
     new = f"transform(filter({pairs}, r -> {grant}), r -> struct(r.t as t, r.i as i))"
     both = f"named_struct('new', {new}, 'highest', if(exists(m, r -> r.has), coalesce(array_max({numbers}), 0L), 0L))"
     df = df.select(*keys, F.expr(f"transform(array(rows), rows0 -> transform(array(if({plain}, {quick}, {mark})), m -> {both})[0])[0]").alias("o"))
-    df = df.select(*keys, F.col("o.new").alias("new"), F.col("o.highest").alias("highest"))
-    # one row a file: the counter is a running sum over the files of a chapter
+    return df.select(*keys, F.col("o.new").alias("new"), F.col("o.highest").alias("highest"))
+
+
+def new_blocks(files: DataFrame) -> DataFrame:
+    """slug, chapter, file, line_no and text of the blocks that ``annotate`` gives ids to: nothing moves."""
+    out = _granted(files).select("slug", "chapter", "file", F.explode("new").alias("r"))
+    return out.select("slug", "chapter", "file", (F.col("r.i") + 1).alias("line_no"), F.col("r.t").alias("text"))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` (slug, chapter, file, new, highest) with start: what the counter of the chapter has reached before the file's new blocks.
+
+    One row a file: the counter is a running sum over the files of a chapter.
+    """
     chapter = Window.partitionBy("slug", "chapter")
     before = F.sum(F.size("new")).over(chapter.orderBy("file").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.size("new")
-    df = df.withColumn("start", F.max("highest").over(chapter) + before)
+    return df.withColumn("start", F.max("highest").over(chapter) + before)
+
+
+def block_categories(files: DataFrame) -> DataFrame:
+    """block_id and category of the new blocks of ``annotate``: judged where the files were read, so that only places and categories move to the counter."""
+    df = _granted(files).withColumn("new", F.transform("new", lambda r: text.category(r["t"])))
+    out = _numbered(df).select("slug", "chapter", "start", F.posexplode("new").alias("k", "category"))
+    return out.select(text.block_id("slug", "chapter", F.col("start") + F.col("k") + 1).alias("block_id"), "category")
+
+
+def annotate(files: DataFrame) -> DataFrame:
+    """New block ids: slug, file, chapter, line_no (the block's last line), block_id, text.
+
+    ``files`` has slug, chapter, file and text.  A run of table lines is one block, anchored after
+    its last line.  Blocks that have an id keep it; the counter of a chapter goes on over its files,
+    in their order, from the highest id that exists.
+    """
+    keys = ["slug", "chapter", "file"]
+    df = _numbered(_granted(files))
     out = df.select(*keys, "start", F.posexplode("new").alias("k", "r"))
     return out.select(*keys, (F.col("r.i") + 1).alias("line_no"), text.block_id("slug", "chapter", F.col("start") + F.col("k") + 1).alias("block_id"), F.col("r.t").alias("text"))
 

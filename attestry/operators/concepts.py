@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.sql.window import Window
 
 from ..functions import text
+from ..sources.scratch import numbered
 
 LISTS = ("definitions", "examples", "warnings", "formulas", "block_ids", "cross_references", "claims")
 
 
+def _joined(df: DataFrame, lists: list[str], order: Column) -> tuple[list[Column], list[Column]]:
+    """All lists of a group in one array of structs, sorted once, and the columns made of it."""
+    empty = lambda c: F.coalesce(c, F.array().cast(df.schema[c].dataType))
+    if not lists:
+        return [], []
+    gathered = F.array_sort(F.collect_list(F.struct(order.alias("o"), *(empty(c).alias(c) for c in lists)))).alias("__lists")
+    return [gathered], [F.flatten(F.expr(f"transform(__lists, r -> r.{c})")).alias(c) for c in lists]
+
+
 def merge(mentions: DataFrame) -> DataFrame:
     """One row for each slug over all its mentions; ``mentions`` has slug, name, chapter, confidence, density, ord and any of ``LISTS``.
 
@@ -18,24 +29,40 @@ def merge(mentions: DataFrame) -> DataFrame:
     confidence counts as 0.5.
     """
     lists = [c for c in LISTS if c in mentions.columns]
-    empty = lambda c: F.coalesce(c, F.array().cast(mentions.schema[c].dataType))
-    joined = [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", empty(c).alias("x")))), lambda r: r["x"])).alias(c) for c in lists]
-    return mentions.filter(F.coalesce("slug", F.lit("")) != "").groupBy("slug").agg(
+    gathered, joined = _joined(mentions, lists, F.col("ord"))
+    out = mentions.filter(F.coalesce("slug", F.lit("")) != "").groupBy("slug").agg(
         F.max_by(F.coalesce("name", "slug"), "ord").alias("name"),
         F.array_sort(F.collect_set("chapter")).alias("chapters"),
         F.max(F.coalesce("confidence", F.lit(0.5))).alias("confidence"),
         F.max(F.coalesce("density", F.lit(0.0))).alias("density"),
         F.count("*").alias("source_count"),
-        *joined,
+        *gathered,
     )
+    return out.select("slug", "name", "chapters", "confidence", "density", "source_count", *joined)
+
+
+def tallied(mentions: DataFrame) -> DataFrame:
+    """What ``score`` needs of the merged and folded concepts, without their lists: slug, norm, chapters, confidence, density, source_count, and the number of entries of each list.
+
+    Mentions are counted by slug and chapter in hash tables before anything moves; names and lists stay where they are.
+    """
+    lists = [c for c in LISTS if c in mentions.columns]
+    entries = [F.sum(F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0))).alias(c) for c in lists]
+    own = mentions.filter(F.coalesce("slug", F.lit("")) != "").groupBy("slug", "chapter")
+    by_chapter = own.agg(F.max(F.coalesce("confidence", F.lit(0.5))).alias("confidence"), F.max(F.coalesce("density", F.lit(0.0))).alias("density"), F.count("*").alias("source_count"), *entries)
+    most = [F.max("confidence").alias("confidence"), F.max("density").alias("density")]
+    sums = [F.sum(c).alias(c) for c in ("source_count", *lists)]
+    normed = by_chapter.withColumn("norm", text.normal_slug("slug")).groupBy("norm", "chapter")
+    first = F.min(F.struct(F.length("slug").alias("n"), "slug")).alias("first")
+    folded = normed.agg(first, *most, *sums).groupBy("norm").agg(F.min("first").alias("first"), F.count("chapter").alias("chapters"), *most, *sums)
+    return folded.select(F.col("first.slug").alias("slug"), "norm", "chapters", "confidence", "density", "source_count", *lists)
 
 
 def fold(merged: DataFrame) -> DataFrame:
     """Slugs of one normal form become one concept, under the shortest of them; merged_slugs names them if there are several."""
     lists = [c for c in LISTS if c in merged.columns]
-    rank = F.struct(F.length("slug"), F.col("slug"))
-    order = F.struct(F.length("slug").alias("n"), F.col("slug").alias("s"))
-    joined = [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col(c).alias("x")))), lambda r: r["x"])).alias(c) for c in lists]
+    rank = F.struct(F.length("slug").alias("n"), F.col("slug").alias("s"))
+    gathered, joined = _joined(merged, lists, rank)
     out = merged.withColumn("norm", text.normal_slug("slug")).groupBy("norm").agg(
         F.min_by("slug", rank).alias("slug"),
         F.min_by("name", rank).alias("name"),
@@ -44,8 +71,9 @@ def fold(merged: DataFrame) -> DataFrame:
         F.max("density").alias("density"),
         F.sum("source_count").alias("source_count"),
         F.array_sort(F.collect_set("slug")).alias("merged_slugs"),
-        *joined,
+        *gathered,
     )
+    out = out.select("norm", "slug", "name", "chapters", "confidence", "density", "source_count", "merged_slugs", *joined)
     for c in ("block_ids", "cross_references"):
         if c in lists:
             out = out.withColumn(c, F.array_sort(F.array_distinct(c)))
@@ -53,11 +81,12 @@ def fold(merged: DataFrame) -> DataFrame:
 
 
 def score(df: DataFrame) -> Column:
-    """0 to 17: what a concept has, how often and how densely it occurs, and how sure it is."""
-    given = lambda c, points: F.when(F.size(c) > 0, points).otherwise(0) if c in df.columns else F.lit(0)
+    """0 to 17: what a concept has, how often and how densely it occurs, and how sure it is; ``df`` has lists, or how many entries they have (``tallied``)."""
+    many = lambda c: F.size(c) if isinstance(df.schema[c].dataType, ArrayType) else F.col(c)
+    given = lambda c, points: F.when(many(c) > 0, points).otherwise(0) if c in df.columns else F.lit(0)
     met = lambda condition: F.when(condition, 1).otherwise(0)
     parts = [given("definitions", 3), given("examples", 3), given("formulas", 2), given("warnings", 2), given("cross_references", 1)]
-    parts += [met(F.size("chapters") >= 2), met(F.size("chapters") >= 3), met(F.col("density") >= 2), met(F.col("density") >= 4), met(F.col("confidence") >= 0.8), met(F.col("source_count") >= 2)]
+    parts += [met(many("chapters") >= 2), met(many("chapters") >= 3), met(F.col("density") >= 2), met(F.col("density") >= 4), met(F.col("confidence") >= 0.8), met(F.col("source_count") >= 2)]
     total = parts[0]
     for p in parts[1:]:
         total = total + p
@@ -104,13 +133,16 @@ def near_duplicates(slugs: DataFrame, least: float = 0.6) -> DataFrame:
     same = left.join(right, (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))).select("a", "b", F.lit(0).alias("k"))
     forms = s.select("norm").distinct()
     pieces = lambda n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("norm") - n + 1, F.lit(1))), lambda i: F.substring("norm", i, n)))
-    held = forms.select("norm", F.explode(F.array_distinct(F.flatten(F.array(*map(pieces, range(1, PIECE + 1)))))).alias("piece"))
+    # forms shorter than a piece are looked for by pieces of their own length: only lengths that occur, three at most
+    short = sorted(r.n for r in forms.filter(F.length("norm").between(1, PIECE - 1)).select(F.length("norm").alias("n")).distinct().collect())
+    held = forms.select("norm", F.explode(F.array_distinct(F.flatten(F.array(*map(pieces, [*short, PIECE]))))).alias("piece"))
     often = held.groupBy("piece").agg(F.count("*").alias("n"))
     own = forms.filter("norm <> ''").select("norm", F.explode(pieces(F.least(F.lit(PIECE), F.length("norm")))).alias("piece"))
     rare = own.join(often, "piece").groupBy("norm").agg(F.min(F.struct("n", "piece"))["piece"].alias("piece")).withColumnRenamed("norm", "na")
     met = held.join(rare, "piece").filter((F.col("norm") != F.col("na")) & F.contains("norm", "na")).select("na", F.col("norm").alias("nb"))
-    # the empty form is inside of all others
-    blank = forms.filter("norm = ''").select(F.col("norm").alias("na"), F.lit(1).alias("x")).join(forms.filter("norm <> ''").select(F.col("norm").alias("nb"), F.lit(1).alias("x")), "x").select("na", "nb")
+    # the empty form, one row at most, is inside of all others
+    blank = F.broadcast(forms.filter("norm = ''").select(F.col("norm").alias("na")).limit(1))
+    blank = forms.filter("norm <> ''").select(F.col("norm").alias("nb")).join(blank, F.lit(True)).select("na", "nb")
     inside = met.union(blank).join(left, "na").join(right, "nb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("k"))
     # of sets that share 60 per cent, the rarest tokens of one always meet the other: the prefix filter
     freq = s.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
@@ -158,26 +190,9 @@ def strongest_blocks(votes: DataFrame, key: str, most: int = 5) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
 
 
-#: Characters of a slug's beginning by which the slugs of a score are dealt out.
-BEGINNING = 3
-
-
-def ranked(concepts: DataFrame, beginning: int = BEGINNING) -> DataFrame:
-    """slug, score and rank by score and slug, without all rows, or all of one score, in one task.
-
-    A row's rank is the number of rows of higher scores, plus that of the same score with smaller beginnings,
-    plus its place among those of its own beginning.  Only counts are summed in order: at most 18 scores, and
-    for each of them as many beginnings as slugs can have.
-    """
-    df = concepts.select("slug", "score", F.left("slug", F.lit(beginning)).alias("part"))
-    counts = df.groupBy("score", "part").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("score").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    within = counts.withColumn("before", F.coalesce(before, F.lit(0)))
-    scores = counts.groupBy("score").agg(F.sum("n").alias("n"))
-    above = scores.withColumn("above", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    place = F.row_number().over(Window.partitionBy("score", "part").orderBy("slug"))
-    out = df.withColumn("place", place).join(within.select("score", "part", "before"), ["score", "part"]).join(F.broadcast(above.select("score", "above")), "score")
-    return out.select("slug", "score", (F.col("above") + F.col("before") + F.col("place")).alias("rank"))
+def ranked(concepts: DataFrame) -> DataFrame:
+    """slug, score and rank by score and slug, numbered over ranges of both, so that neither one score nor one beginning meets in a task."""
+    return numbered(concepts.select("slug", "score"), F.col("score").desc(), F.col("slug"), name="rank")
 
 
 def selection_issues(selected: DataFrame, candidates: DataFrame, flagged: DataFrame, overridden: DataFrame | None = None) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.scratch import materialize
+
+#: Rows of quotes that are sent to every task at most, in place of a shuffle of the texts.
+BROADCAST = 100_000
 
 REASON = "quote_verbatim not found in cited source-index block"
 
@@ -67,9 +71,15 @@ def quotes_in_texts(quotes: DataFrame, docs: DataFrame, words: int = 6) -> DataF
         else:
             places = F.expr(f"flatten(transform(w, x -> transform(sequence(1, greatest(1, length(x) - {-i - 1})), j -> xxhash64(array(substring(x, j, {-i}))))))")
         made.append(F.arrays_zip(F.array_repeat(F.lit(i), F.size(F.array_distinct(places))).alias("kind"), F.array_distinct(places).alias("key")))
-    met = body.select("doc_id", F.explode(F.concat(*made)).alias("p")).select("doc_id", "p.kind", "p.key").join(keyed, ["kind", "key"]).select("doc_id", "item_id", "quote").distinct()
+    # few quotes go to every task and the texts' words stay where they are; many meet by their keys
+    few = keyed.count() <= BROADCAST
+    keys = F.broadcast(keyed) if few else keyed
+    met = body.select("doc_id", F.explode(F.concat(*made)).alias("p")).select("doc_id", "p.kind", "p.key").join(keys, ["kind", "key"]).select("doc_id", "item_id", "quote").distinct()
+    met = materialize(met)
     whole = docs.select("doc_id", normal("text").alias("body"))
-    return met.join(whole, "doc_id").filter(F.contains("body", "quote")).select("item_id", "doc_id").distinct()
+    if met.count() <= BROADCAST:  # pairs of short quotes and ids: the texts don't move
+        met = F.broadcast(met)
+    return whole.join(met, "doc_id").filter(F.contains("body", "quote")).select("item_id", "doc_id").distinct()
 
 
 def demotion_rates(grounded: DataFrame, keys: list[str], most: float = 0.2) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
-from ..operators import concepts, grounding
+from ..operators import blocks, concepts, grounding
 
 
 def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
@@ -30,7 +30,7 @@ def demotion_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quote_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _tables(spark, sf_dir, "documents", "benchmark")
-    return grounding.quotes_in_texts(items, docs)
+    return grounding.quotes_in_texts(items, blocks.spread(docs))
 
 
 def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:

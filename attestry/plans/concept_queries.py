@@ -28,16 +28,26 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concepts.merge(mentions(spark, sf_dir))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as concepts, with what their order lines give them: few have all kinds of evidence."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     given = lambda c, t: F.when(c, F.array(F.col(t).cast("string"))).otherwise(F.array().cast("array<string>"))
-    made = lines.select(
+    return lines.select(
         F.concat(F.lit("part-"), F.col("l_partkey") + 1000, F.when(F.col("l_linenumber") > 3, "s").otherwise("")).alias("slug"), F.lit("n").alias("name"), F.month("l_shipdate").alias("chapter"), (F.lit(1) - F.col("l_discount") * 4).alias("confidence"), (F.col("l_quantity") / 11).alias("density"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("ord"), given(F.col("l_quantity") <= 2, "l_orderkey").alias("definitions"), given(F.col("l_discount") == 0, "l_orderkey").alias("examples"),
         given(F.col("l_tax") == 0.08, "l_orderkey").alias("formulas"), given(F.col("l_suppkey") % 10 == 0, "l_orderkey").alias("warnings"), given(F.col("l_returnflag") == "R", "l_orderkey").alias("cross_references"),
     )
-    return concepts.scored(concepts.fold(concepts.merge(made)))
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concepts.scored(concepts.tallied(evidence(spark, sf_dir)))
+
+
+def merged_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same concepts with their lists, merged and folded, and the score that the lists give."""
+    found = concepts.scored(concepts.fold(concepts.merge(evidence(spark, sf_dir))))
+    count = lambda c: F.size(c).cast("long").alias(c)
+    return found.select("slug", count("definitions"), count("examples"), count("formulas"), count("warnings"), count("cross_references"), F.get("definitions", F.lit(0)).alias("first_definition"), F.col("score").cast("long"))
 
 
 def blocks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +133,7 @@ def known_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concepts.known_duplicates(m, m.select(F.concat("slug", F.lit("s")).alias("slug")))
 
 
-QUERIES = {f.__name__: f for f in (slug_normalize, concept_merge, concept_fold, concept_score, score_threshold, artifact_filter, near_duplicates, strongest_blocks, ambiguous_downweight, rank_candidates, selection_check, known_duplicates, concept_sources)}
+QUERIES = {f.__name__: f for f in (slug_normalize, concept_merge, concept_fold, concept_score, score_threshold, artifact_filter, near_duplicates, strongest_blocks, ambiguous_downweight, rank_candidates, selection_check, known_duplicates, concept_sources, merged_evidence)}
 
 _NORM = "array_to_string([CASE WHEN length(t) > 3 AND t LIKE '%s' AND t NOT LIKE '%ss' THEN left(t, -1) ELSE t END FOR t IN string_split(lower(slug), '-') IF t <> '' AND t <> 's'], '-')"
 _MENTIONS = """mentions AS (
@@ -148,6 +158,10 @@ ORACLES = {
         SELECT arg_min(slug, struct_pack(a := length(slug), b := slug)) AS slug, norm, sum(source_count)::BIGINT AS source_count, len(list_distinct(flatten(list(chapters))))::BIGINT AS n_chapters,
           CASE WHEN count(DISTINCT slug) > 1 THEN string_agg(DISTINCT slug, ',' ORDER BY slug) END AS merged_slugs FROM normed GROUP BY norm""",
     "concept_score": f"WITH {_SCORED} SELECT slug, score FROM scored",
+    "merged_evidence": f"""WITH {_SCORED}, o AS (SELECT 'part-' || (l_partkey + 1000) AS norm, l_linenumber > 3 AS plural, l_orderkey::VARCHAR AS k, struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey) AS ord,
+          l_quantity <= 2 AS d, l_discount = 0 AS e, l_tax = 0.08 AS f, l_suppkey % 10 = 0 AS w, l_returnflag = 'R' AS c FROM lineitem)
+        SELECT norm || CASE WHEN bool_and(plural) THEN 's' ELSE '' END AS slug, count(*) FILTER (d) AS definitions, count(*) FILTER (e) AS examples, count(*) FILTER (f) AS formulas, count(*) FILTER (w) AS warnings, count(DISTINCT k) FILTER (c) AS cross_references,
+          arg_min(k, struct_pack(x := plural, y := ord)) FILTER (d) AS first_definition, any_value(score) AS score FROM o JOIN (SELECT slug AS s, score FROM scored) ON s IN (norm, norm || 's') GROUP BY norm""",
     "score_threshold": f"WITH {_SCORED} SELECT slug, score FROM scored WHERE score >= 12 ORDER BY score DESC, slug LIMIT 20",
     "artifact_filter": f"""WITH {_MENTIONS}, made AS (SELECT slug FROM merged UNION SELECT 'quad-' || slug FROM merged UNION SELECT '1-' || slug FROM merged UNION SELECT left(slug, 2) FROM merged)
         SELECT slug, {_CLEAN} AS kept FROM made""",

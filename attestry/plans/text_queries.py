@@ -24,9 +24,12 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the rules are heavy for their bytes: a fixed number keeps adaptive execution from joining the partitions
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return blocks.classify(annotated(spark, sf_dir).repartition(parts, "block_id"))
+    return blocks.block_categories(blocks.spread(files(spark, sf_dir)))
+
+
+def kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categories of all new blocks, for what needs no ids: each file's lines are judged where they were read."""
+    return blocks.classify(blocks.new_blocks(blocks.spread(files(spark, sf_dir))))
 
 
 def line_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +50,7 @@ def block_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.category_pivot(classified(spark, sf_dir), "slug")
+    return blocks.category_pivot(kinds(spark, sf_dir), "slug")
 
 
 def block_id_multiset_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,11 +71,11 @@ def slop_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.section_diversity(classified(spark, sf_dir).withColumnRenamed("file", "doc_id"), "doc_id")
+    return blocks.section_diversity(kinds(spark, sf_dir).withColumnRenamed("file", "doc_id"), "doc_id")
 
 
 def evidence_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.evidence_share(classified(spark, sf_dir), "slug")
+    return blocks.evidence_share(kinds(spark, sf_dir), "slug")
 
 
 def boundary_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
