@@ -138,6 +138,17 @@ def category_pivot(blocks: DataFrame, key: str) -> DataFrame:
     return blocks.groupBy(key).agg(*counts, F.count("*").alias("total"))
 
 
+def evidence_cube(blocks: DataFrame, source: str, chapter: str) -> DataFrame:
+    """source, chapter, category, level, blocks and files over four groupings at once: by all three, by source and category, by source, and in all.
+
+    ``blocks`` has category and file.  What is summed over is null, and ``level`` tells such nulls from those of the data: a bit for each
+    of the three, the source's first, set where it is summed over.  The rows are read once; files count each once.
+    """
+    sets = [[F.col(source), F.col(chapter), F.col("category")], [F.col(source), F.col("category")], [F.col(source)], []]
+    each = blocks.groupBy(source, chapter, "category", "file").agg(F.count("*").alias("n"))
+    return each.groupingSets(sets, F.col(source), F.col(chapter), F.col("category")).agg(F.grouping_id().cast("long").alias("level"), F.sum("n").alias("blocks"), F.count_distinct("file").alias("files"))
+
+
 def multiset_difference(expected: DataFrame, found: DataFrame, column: str) -> DataFrame:
     """Members that either side has more often: column, missing and extra, by number; an empty result means equality."""
     both = expected.select(column, F.lit(1).alias("d")).unionAll(found.select(column, F.lit(-1).alias("d")))
@@ -195,9 +206,9 @@ def annotation_totals(files: DataFrame) -> DataFrame:
     lines = substantive_lines(files, keys).groupBy(*keys).agg(F.count("*").alias("lines"))
     held = files.select(*keys, F.size(F.array_distinct(F.regexp_extract_all("text", own, F.lit(0)))).cast("long").alias("preserved"))
     each = held.join(added, keys, "left").join(lines, keys, "left").fillna(0, ["preserved", "added", "lines"])
-    sums = each.groupBy("slug", "file").agg(*(F.sum(c).alias(n) for c, n in (("added", "added"), ("preserved", "preserved"), ("lines", "substantive_lines"))))
-    whole = sums.groupBy("slug").agg(*(F.sum(c).alias(c) for c in ("added", "preserved", "substantive_lines"))).withColumn("file", F.lit(None).cast(files.schema["file"].dataType))
-    return sums.unionByName(whole).withColumn("block_ids", F.col("added") + F.col("preserved"))
+    sums = (F.sum(c).alias(n) for c, n in (("added", "added"), ("preserved", "preserved"), ("lines", "substantive_lines")))
+    both = each.groupingSets([[F.col("slug"), F.col("file")], [F.col("slug")]], F.col("slug"), F.col("file")).agg(*sums)
+    return both.withColumn("block_ids", F.col("added") + F.col("preserved"))
 
 
 def annotation_issues(files: DataFrame) -> DataFrame:

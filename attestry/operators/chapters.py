@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text
+from ..sources.scratch import materialize
 
 # Titles that open no chapter.
 NO_CHAPTERS = ("acknowledgments", "acknowledgements", "about the author", "contents", "index", "notes", "figures", "tables")
@@ -194,3 +195,38 @@ def manifest_issues(manifest: DataFrame, files: DataFrame, expected: DataFrame |
     issues = F.array_compact(F.array(F.when(F.col("entries") == 0, "no chapters"), F.when(F.col("found") == 0, "no units"), F.when(F.col("entries") != F.col("found"), "entries and units differ"), F.when(F.col("entries") != wanted, "expected units differ")))
     counts = sums.select("slug", F.lit(None).cast("string").alias("file"), F.explode(issues).alias("issue"))
     return nameless.unionByName(absent).unionByName(extra).unionByName(counts)
+
+
+#: Pages and bytes that one reading takes at most.
+CHUNK_PAGES, CHUNK_BYTES = 100, 45 << 20
+
+
+def chunk_plan(pages: DataFrame, key: str, order: str, size: str, max_pages: int = CHUNK_PAGES, max_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """key, chunk (from 1), first, last (pages from 1, in ``order``), bytes and too_large of the chunks that each book is read in.
+
+    A chunk takes ``max_pages`` pages or what is left; while it is over ``max_bytes``, its last page moves to one before the
+    middle, and a single page stays, however large.  Where a chunk would end is found for every page at once, from sums of
+    sizes.  Which pages begin a chunk is found by jumps of doubled length from the first one: as many rounds of joins as the
+    largest number of chunks has binary digits.  Null sizes are 0, null keys are no books.
+    """
+    own = Window.partitionBy(key).orderBy(order)
+    rows = pages.filter(F.col(key).isNotNull()).select(key, order, F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size"))
+    rows = rows.select(key, F.row_number().over(own).alias("first"), F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), "size")
+    ahead = Window.partitionBy(key).orderBy("first").rowsBetween(0, max_pages - 1)
+    rows = rows.withColumn("sums", F.collect_list("upto").over(ahead))
+    fits = f"sums[d] - upto + size <= {max_bytes}"
+    rounds = max_pages.bit_length() + 1
+    span = F.expr(f"aggregate(sequence(1, {rounds}), size(sums) - 1, (d, k) -> if(d <= 0 or {fits}, d, greatest(0, cast(d div 2 as int) - 1)))")
+    rows = rows.withColumn("d", span.cast("int"))
+    ends = materialize(rows.select(key, "first", (F.col("first") + F.col("d")).alias("last"), F.expr("sums[d] - upto + size").alias("bytes")))
+    jump = ends.select(key, "first", (F.col("last") + 1).alias("next"))
+    begun = ends.filter("first = 1").select(key, "first")
+    left = begun
+    while not left.isEmpty():
+        step = begun.join(jump, [key, "first"]).select(key, F.col("next").alias("first"))
+        found = materialize(step.join(ends.select(key, "first"), [key, "first"], "left_semi").union(begun).distinct())
+        left, begun = found.join(begun, [key, "first"], "left_anti"), found
+        on = jump.select(key, F.col("first").alias("next"), F.col("next").alias("further"))
+        jump = materialize(jump.join(on, [key, "next"]).select(key, "first", F.col("further").alias("next")))
+    chunk = F.row_number().over(Window.partitionBy(key).orderBy("first"))
+    return ends.join(begun, [key, "first"]).select(key, chunk.alias("chunk"), "first", "last", "bytes", (F.col("bytes") > max_bytes).alias("too_large"))
