@@ -54,6 +54,44 @@ def require_gate(states: DataFrame, gates: DataFrame, phase: str, allowed: tuple
     return df.select("slug", issue.alias("issue")).filter("issue is not null")
 
 
+# By phase, the phase whose gate it needs, and the states in which it may start.
+PRECONDITIONS = {
+    "2.1": ("1.5", ("READY_FOR_2.1", "READY_FOR_2", "IN_PROGRESS", "READY_FOR_2.2")),
+    "2.3": ("2.2", ("READY_FOR_2.3", "READY_FOR_2.4", "IN_PROGRESS")),
+    "2.4": ("2.3", ("READY_FOR_2.4", "READY_FOR_3.0", "IN_PROGRESS")),
+    "3.0": ("2.4", ("READY_FOR_3.0", "READY_FOR_3.1", "IN_PROGRESS")),
+    "3.1": ("3.0", ("READY_FOR_3.1", "READY_FOR_3.2", "IN_PROGRESS")),
+    "3.2": ("3.1", ("READY_FOR_3.2", "READY_FOR_3.3", "IN_PROGRESS")),
+    "3.3": ("3.2", ("READY_FOR_3.3", "IN_PROGRESS")),
+    "3.4": ("3.3", ("READY_FOR_3.4", "IN_PROGRESS", "FAILED")),
+    "3.5": ("3.4", ("READY_FOR_3.5", "IN_PROGRESS", "FAILED")),
+    "4": ("3.5", ("READY_FOR_4", "IN_PROGRESS", "AWAITING_USER_CONFIRMATION")),
+    "5": ("4", ("READY_FOR_5", "IN_PROGRESS", "FAILED")),
+}
+# The reports that a phase also wants with status PASS, and a number of theirs that must be over zero.
+REPORTS = {"3.3": ("size", None), "3.4": ("dispatch", None), "3.5": ("verification", None), "4": ("presentation", None), "5": ("confirmation", "selected_count")}
+
+
+def preflight(states: DataFrame, gates: DataFrame, reports: DataFrame) -> DataFrame:
+    """slug, phase and issue, null where the phase may start, of every slug and phase of ``PRECONDITIONS``.
+
+    ``states`` has slug, status and completed_phases, ``gates`` slug, phase and status, ``reports`` slug, kind, status and count.
+    The first thing that is wrong counts: gate missing, gate not PASS, phase not complete, state not ready, report not PASS, report empty.
+    """
+    row = lambda p: F.struct(F.lit(p).alias("phase"), F.lit(PRECONDITIONS[p][0]).alias("needs"), F.array(*map(F.lit, PRECONDITIONS[p][1])).alias("allowed"), F.lit(REPORTS.get(p, (None, None))[0]).cast("string").alias("kind"), F.lit(bool(REPORTS.get(p, (None, None))[1])).alias("counted"))
+    asked = states.select("slug", "status", "completed_phases", F.explode(F.array(*map(row, PRECONDITIONS))).alias("r")).select("slug", "status", "completed_phases", "r.*")
+    gate = gates.groupBy("slug", F.col("phase").alias("needs")).agg(F.max("status").alias("gate"))
+    said = reports.groupBy("slug", "kind").agg(F.max("status").alias("said"), F.max("count").alias("n"))
+    df = asked.join(gate, ["slug", "needs"], "left").join(said, ["slug", "kind"], "left")
+    ready = F.array_contains("allowed", F.coalesce("status", F.lit("")))
+    wanted = F.col("kind").isNotNull()
+    issue = (
+        F.when(F.col("gate").isNull(), "gate missing").when(F.col("gate") != "PASS", "gate not PASS").when(~F.coalesce(F.array_contains("completed_phases", F.col("needs")), F.lit(False)), "phase not complete").when(~ready, "state not ready")
+        .when(wanted & ~F.col("said").eqNullSafe("PASS"), "report not PASS").when(wanted & F.col("counted") & ~F.coalesce(F.col("n") > 0, F.lit(False)), "report empty")
+    )
+    return df.select("slug", "phase", issue.alias("issue"))
+
+
 def tree_fingerprints(files: DataFrame, key: str, name: str, content: str) -> DataFrame:
     """key, files and fingerprint: SHA-256 over each file's name, a zero byte, its SHA-256 and a line feed, by name.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
-from ..operators import blocks, chapters, dispatch, grounding, images, links, pages, validate
+from ..operators import audit, blocks, chapters, control, dispatch, grounding, images, links, pages, validate
 from ..sources import files as sources
 from . import graph_queries, text_queries
 
@@ -266,11 +266,47 @@ def text_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", text.unit_title("text", F.lit("none")).alias("title"), text.rendered_lines("text").cast("long").alias("lines"), F.array_join(text.hygiene("text"), ",").alias("defects"), F.round(quality, 2).alias("quality"), text.capped_confidence((F.col("doc_id") % 12) / 10).alias("confidence"))
 
 
+def preflights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as books: states, gates and reports by their lines; what keeps each phase from starting, by number."""
+    lines = _table(spark, sf_dir, "lineitem")
+    place = lambda c: _pick(c, *control.PHASES)
+    states = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("slug"), _pick(F.col("o_custkey"), *control.READY).alias("status"), F.slice(F.array(*map(F.lit, control.PHASES)), F.lit(1), (F.col("o_custkey") % 15).cast("int")).alias("completed_phases"))
+    gates = lines.select(F.col("l_orderkey").alias("slug"), place(F.col("l_partkey")).alias("phase"), F.when(F.col("l_returnflag") == "R", "FAIL").otherwise("PASS").alias("status"))
+    reports = lines.select(F.col("l_orderkey").alias("slug"), _pick(F.col("l_suppkey"), "size", "dispatch", "verification", "presentation", "confirmation").alias("kind"), F.lit("PASS").alias("status"), (F.col("l_linenumber") - 1).alias("count"))
+    found = control.preflight(states, gates, reports)
+    return found.groupBy("phase", F.coalesce("issue", F.lit("ready")).alias("issue")).agg(F.count("*").alias("books"))
+
+
+def audit_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one book: chapters, paths, extractions, reports, links, index and log, each with defects by number."""
+    docs, d = _table(spark, sf_dir, "documents"), F.col("doc_id")
+    chapter = docs.select(F.concat(F.lit("ch"), d).alias("file"), F.concat(F.regexp_replace(F.coalesce("text", F.lit("")), r"\^", ""), F.when(d % 4 != 0, F.concat(F.lit(" ^book-ch01-"), d)).otherwise("")).alias("text"))
+    folder = F.when(d % 50 == 0, F.concat(F.lit("test-"), d)).when(d % 50 == 1, F.concat(F.lit("archive/test-"), d)).otherwise(F.col("source"))
+    paths = docs.select(F.concat(F.lit("raw/book/"), folder, F.lit("/"), d, F.lit(".md")).alias("path")).union(docs.limit(1).select(F.lit("contract.md")))
+    concept = F.struct(F.when(d % 5 != 0, F.concat(F.lit("b-"), d)).alias("block_id"), F.when(d % 3 != 0, 0.5).alias("confidence"), F.left(F.coalesce("text", F.lit("")), F.lit(40)).alias("name"))
+    extraction = docs.select(d.cast("string").alias("file"), F.when(d % 19 == 0, "{").otherwise(F.to_json(F.struct(F.array(concept).alias("concepts"), (d % 7 == 0).alias("no_lane_content")))).alias("json"))
+    total = docs.agg(F.count("*").alias("n"))
+    report = lambda name, body: total.select(F.lit(name).alias("name"), F.to_json(body).alias("json"))
+    passed = lambda **more: F.struct(F.lit("PASS").alias("status"), *(c.alias(k) for k, c in more.items()))
+    n, none = F.col("n"), F.lit(0)
+    reports = report("schema-validation-report.json", passed(valid=n, total=n)).union(report("phase4-scoring-report.json", passed(candidate_count=n))).union(report("master-scored.json", passed()))
+    reports = reports.union(report("phase4-confirmation.json", passed(selected_count=none))).union(report("gates/phase-4.json", passed())).union(report("presentation-report.json", passed(checked=n)))
+    reports = reports.union(report("blockid-validation-report.json", F.struct(F.lit(True).alias("valid"), n.alias("referenced_block_ids"), F.lit(1).alias("missing_count"))))
+    marks = spark.createDataFrame([("_validation_passed", "validated_by: schemer"), ("_blockid_valid", "validated_by: other")], "name string, text string")
+    vault = graph_queries.vault(spark, sf_dir)
+    page = vault.filter("file like 'concepts/%'").select(F.col("file").alias("page"), "text")
+    index = docs.filter(d % 2 == 0).agg(F.array_join(F.collect_list(F.concat(F.lit("[[p"), d, F.lit("]]"))), " ").alias("text"))
+    log = docs.select(F.concat(F.when(d % 2 == 0, "## [").otherwise("- ["), F.lit("2024] book | "), F.regexp_replace(F.coalesce("text", F.lit("")), r"(?i)fallback|split|chapter", "")).alias("line"))
+    found = audit.chapter_checks(chapter, "book").union(audit.listing_checks(paths, "raw/book", "contract.md")).union(audit.extraction_checks(extraction)).union(audit.report_checks(reports, marks, {"pages": "pager", "schema": "schemer", "blocks": "blocker"}))
+    found = found.union(audit.vault_checks(page, vault, index, docs.select(F.lit("x").alias("stem")).limit(0))).union(audit.log_checks(log, "book"))
+    return audit.report(found, ("CH-01",), {"PO-42": True}).select("check_id", "category", "manual", "passed", F.col("failures").cast("long").alias("failures"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         chapter_detect, boundary_check, unit_discover, oversized_units, balance_findings, extracted_blocks, image_sources, image_gate, image_coverage, vision_marks, index_validity, lane_markdown,
-        presentation_gate, dispatch_reports, record_check, lane_discipline, index_gaps, repair_totals, citation_scope, human_claims, merge_preconditions, front_matters, hidden_indexes, text_marks,
+        presentation_gate, dispatch_reports, record_check, lane_discipline, index_gaps, repair_totals, citation_scope, human_claims, merge_preconditions, front_matters, hidden_indexes, text_marks, preflights, audit_book,
     )
 }
 
@@ -354,4 +390,18 @@ ORACLES = {
           t AS (SELECT doc_id, max(n) AS c, max(CASE WHEN doc_id % 3 = 0 AND n = 1 THEN regexp_replace(line, '^title: ''|''$', '', 'g') WHEN doc_id % 3 = 1 AND n = 2 THEN trim(regexp_replace(line, '^#+\s*', '')) END) AS title, bool_or(n = 4) AS four, bool_or(n = 5) AS five, bool_or(n = 6) AS six FROM m GROUP BY doc_id)
         SELECT doc_id, coalesce(nullif(title, ''), 'none') AS title, c AS lines, array_to_string([x FOR x IN [CASE WHEN four AND doc_id % 5 = 0 THEN 'bracketed block id' END, CASE WHEN six AND doc_id % 4 = 0 THEN 'predicate without anchor' END, CASE WHEN five AND doc_id % 7 = 0 THEN 'related_to for relates_to' END] IF x IS NOT NULL], ',') AS defects,
           round_even(0.5 * (doc_id % 7) / 6 + 0.3 * least(1.0, (doc_id % 3) / 2) + 0.2 * least(1.0, (doc_id % 5) / 4), 2)::DOUBLE AS quality, least(0.95, coalesce(nullif(doc_id % 12 / 10, 0), 0.5))::DOUBLE AS confidence FROM t""",
+    "preflights": f"""WITH s AS (SELECT o_orderkey AS slug, {list(control.READY)}[o_custkey % {len(control.READY)} + 1] AS status, {list(control.PHASES)}[1:o_custkey % 15] AS done FROM orders),
+          g AS (SELECT l_orderkey AS slug, {list(control.PHASES)}[l_partkey % 15 + 1] AS needs, max(CASE WHEN l_returnflag = 'R' THEN 'FAIL' ELSE 'PASS' END) AS gate FROM lineitem GROUP BY ALL),
+          r AS (SELECT l_orderkey AS slug, ['size', 'dispatch', 'verification', 'presentation', 'confirmation'][l_suppkey % 5 + 1] AS kind, max(l_linenumber - 1) AS n FROM lineitem GROUP BY ALL),
+          p(phase, needs, allowed, kind, counted) AS (VALUES {", ".join(f"('{p}', '{needs}', {list(allowed)}, {repr(k) if (k := control.REPORTS.get(p, (None, None))[0]) else 'NULL'}, {bool(control.REPORTS.get(p, (None, None))[1])})" for p, (needs, allowed) in control.PRECONDITIONS.items())}),
+          i AS (SELECT phase, CASE WHEN gate IS NULL THEN 'gate missing' WHEN gate <> 'PASS' THEN 'gate not PASS' WHEN NOT list_contains(done, needs) THEN 'phase not complete' WHEN NOT list_contains(allowed, status) THEN 'state not ready'
+            WHEN kind IS NOT NULL AND r.n IS NULL THEN 'report not PASS' WHEN counted AND r.n <= 0 THEN 'report empty' ELSE 'ready' END AS issue FROM s CROSS JOIN p LEFT JOIN g USING (slug, needs) LEFT JOIN r USING (slug, kind))
+        SELECT phase, issue, count(*) AS books FROM i GROUP BY ALL""",
+    "audit_book": f"""WITH {graph_queries._VAULT}, n AS (SELECT count(*) AS n FROM documents), failing(check_id, failures) AS (
+          SELECT 'CH-01', 1 UNION ALL SELECT 'CH-02', count(*) FROM documents WHERE doc_id % 4 = 0 UNION ALL SELECT 'CH-03', 1 UNION ALL SELECT 'CH-04', count(DISTINCT doc_id) FROM documents WHERE doc_id % 50 = 0
+          UNION ALL SELECT 'EX-11', count(*) FROM documents WHERE doc_id % 19 <> 0 AND doc_id % 5 = 0 AND doc_id % 7 <> 0 UNION ALL SELECT 'EX-12', count(*) FROM documents WHERE doc_id % 19 <> 0 AND doc_id % 3 = 0
+          UNION ALL SELECT unnest(['EX-08', 'SC-16', 'SC-17', 'SC-18', 'SC-19', 'SC-20']), 1 UNION ALL SELECT 'WI-47', count(DISTINCT file || raw) FROM found WHERE status NOT IN ('ok', 'suffix_match')
+          UNION ALL SELECT 'WI-48', 0 UNION ALL SELECT 'WI-49', count(*) FROM documents WHERE doc_id % 2 = 1),
+          every(check_id, category, manual) AS (VALUES {", ".join(f"('{k}', '{c}', {k in audit.MANUAL})" for c, ks in audit.CHECKS.items() for k in ks)})
+        SELECT check_id, category, manual, coalesce(failures, 0) = 0 AND check_id <> 'SC-22' AS passed, coalesce(failures, 0)::BIGINT AS failures FROM every LEFT JOIN failing USING (check_id)""",
 }

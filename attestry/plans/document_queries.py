@@ -103,7 +103,7 @@ def artifact_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"), "doc_id", "left")
     slug = F.concat(F.lit("s"), F.floor(F.col("doc_id") / 20))
     name = F.element_at(F.array(F.lit("combined.json"), F.concat(slug, F.lit(".json")), F.lit("Layout.JSON"), F.lit("a_model.json"), F.lit("my-combined.json")), (F.col("doc_id") % 5 + 1).cast("int"))
-    folder = F.element_at(F.array(F.lit("ocr_output"), F.lit("ocr_output/x"), slug, F.lit("old/ocr_outputs")), (F.col("doc_id") % 4 + 1).cast("int"))
+    folder = F.element_at(F.array(F.lit("glmocr_output"), F.lit("glmocr_output/x"), slug, F.lit("old/ocr_outputs")), (F.col("doc_id") % 4 + 1).cast("int"))
     body = F.when(F.coalesce(F.col("quality"), F.lit(1)) == 1, F.to_json(F.struct(F.lit(True).alias("ok"), F.concat(F.lit("x"), "text").alias("text")))).otherwise(F.lit('{"ok": false}'))
     made = docs.select(slug.alias("slug"), F.concat_ws("/", F.col("doc_id").cast("string"), folder, name).alias("path"), body.alias("json"), (F.col("doc_id") % 3 == 0).alias("has_images"))
     valid = ocr.artifact_validity(made).join(made.select("path", "has_images"), "path")
@@ -218,7 +218,7 @@ ORACLES = {
         SELECT *, round(accounted / greatest(1, total - skipped), 6) AS fidelity, CASE WHEN accounted / greatest(1, total - skipped) >= 0.95 THEN 'PASS' ELSE 'FAIL' END AS status FROM n""",
     "artifact_choice": """WITH c AS (SELECT d.doc_id AS i, 's' || d.doc_id // 20 AS slug, coalesce(quality, 1) = 1 AS valid FROM documents d LEFT JOIN labels USING (doc_id)),
         f AS (SELECT *, [100, 100, 0, 0][i % 4 + 1] + CASE WHEN i % 4 = 2 THEN 10 ELSE 0 END + [80, 70, 0, 20, 0][i % 5 + 1] + CASE WHEN i % 3 = 0 THEN 5 ELSE 0 END AS score,
-          i || '/' || ['ocr_output', 'ocr_output/x', slug, 'old/ocr_outputs'][i % 4 + 1] || '/' || ['combined.json', slug || '.json', 'Layout.JSON', 'a_model.json', 'my-combined.json'][i % 5 + 1] AS path FROM c WHERE valid AND i % 5 <> 2)
+          i || '/' || ['glmocr_output', 'glmocr_output/x', slug, 'old/ocr_outputs'][i % 4 + 1] || '/' || ['combined.json', slug || '.json', 'Layout.JSON', 'a_model.json', 'my-combined.json'][i % 5 + 1] AS path FROM c WHERE valid AND i % 5 <> 2)
         SELECT slug, path, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY score DESC, len(string_split(path, '/')), path) AS k FROM f) WHERE k = 1""",
     "schema_validate": rf"""WITH {_MADE} SELECT file, unnest([x FOR x IN CASE WHEN NOT sound THEN ['invalid JSON'] ELSE [
           CASE WHEN d % 7 = 0 THEN 'source malformed' END, CASE WHEN d % 5 < 1 THEN 'chapter missing or below 1' END, CASE WHEN d % 6 < 3 THEN 'chapter_title too short' END, CASE WHEN d % 11 = 0 THEN 'extracted_at missing' END,
