@@ -57,14 +57,20 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Starts and ends of the windows in order never go back, and neither do the selected lines.
     """
-    # a slice of ``most`` lines holds any window; the sum is words * 2^20 + lines
-    most = min_words + 1
-    reach = f"(a, w) -> if(a >= {most * _CODE}, a, a + w * {_CODE} + 1), a -> if(a >= {most * _CODE}, a % {_CODE}, 0L)"
-    forth = f"transform(ws, (w, i) -> i * {_CODE}L + aggregate(slice(ws, i + 1, {most}), 0L, {reach}))"
-    back = f"transform(transform(ws, (w, i) -> aggregate(reverse(slice(ws, greatest(1, i + 2 - {most}), least(i + 1, {most}))), 0L, {reach})), (n, i) -> if(n > 0, (i - n + 1) * {_CODE}L + n, 0L))"
-    found = _lines(docs).select("doc_id", "mark", "hs", F.expr(f"sort_array(array_distinct(filter(concat({forth}, {back}), x -> x % {_CODE} > 0)))").alias("at"))
+    # sums of 1, 2, 4, ... lines from each line on; of these the most lines that have at most ``min_words`` words are put together
+    steps = [1 << k for k in range(min_words.bit_length())]
+    levels = "transform(array(s), s1 -> array(named_struct('n', 1, 'sums', s1)))[0]"
+    for k in steps[1:]:
+        half = "element_at(v, -1).sums"
+        levels = f"transform(array({levels}), v -> array_append(v, named_struct('n', {k}, 'sums', zip_with({half}, slice({half}, {k // 2 + 1}, size({half})), (a, b) -> a + b))))[0]"
+    step = f"if(a.t + get(l.sums, i + a.n) <= {min_words}, named_struct('n', a.n + l.n, 't', a.t + get(l.sums, i + a.n)), a)"
+    lengths = lambda ws: f"transform(array(reverse({levels.replace('array(s)', f'array({ws})')})), v -> transform({ws}, (w, i) -> aggregate(v, named_struct('n', 0, 't', 0L), (a, l) -> {step}, a -> a.n) + 1))[0]"
+    forth = f"filter(transform({lengths('ws')}, (n, i) -> if(i + n <= size(ws), i * {_CODE}L + n, 0L)), x -> x > 0)"
+    back = f"filter(transform({lengths('reverse(ws)')}, (n, i) -> if(i + n <= size(ws), (size(ws) - i - n) * {_CODE}L + n, 0L)), x -> x > 0)"
+    found = _lines(docs).select("doc_id", "mark", "hs", F.expr(f"sort_array(array_distinct(concat({forth}, {back})))").alias("at"))
     run = f"slice(hs, cast(x div {_CODE} as int) + 1, cast(x % {_CODE} as int))"
-    anchor = f"cast(x div {_CODE} + x % {_CODE} as int) - cast(array_position(reverse({run}), array_min({run})) as int)"
+    last = f"cast(x div {_CODE} + x % {_CODE} as int)"
+    anchor = f"transform(array({run}), r -> {last} - cast(array_position(reverse(r), array_min(r)) as int))[0]"
     return found.withColumn("anchors", F.expr(f"transform(at, x -> {anchor})"))
 
 
