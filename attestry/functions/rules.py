@@ -50,6 +50,7 @@ CODE_SIGNS = (
     r"^\{['\"]\w+['\"]:", r"^[\w\-]+,\s*[\w\-]+,",
 )
 LATE_DEFINITIONS = "is a|are a|refers to|used to|involves|consists of|contains|provides|describes|represents|denotes|signifies"
+FIGURES = ("Figure", "Table", "Algorithm", "Listing", "Example")
 LATE_EXAMPLES = "such as|for example|namely|specifically|in particular|consider the|suppose|assume that"
 LATE_EXAMPLE_ABBREVIATIONS = r"e\.g\.|i\.e\."
 LATE_WARNINGS = "should|must|need to|important|note|beware|careful|avoid|ensure|verify|check that"
@@ -98,27 +99,36 @@ def keywords(words: tuple[str, ...]) -> str:
     return "|".join([bounded("|".join(plain)), *escaped])
 
 
+def first_words(words: tuple[str, ...]) -> tuple[list[str], list[str]]:
+    """What a text must have for a search of ``keywords(words)`` to find anything: one of the first list as a word, or one of the second as a part."""
+    plain = [w.strip().lower() for w in words if w.strip().lower().replace(" ", "").isalnum() and w.isascii()]
+    return sorted({w.split(" ")[0] for w in plain}), [w.lower() for w in words if w.strip().lower() not in plain]
+
+
 def block_rules(text: str, low: str, stripped: str, count: str, matches) -> list[tuple[str, str]]:
-    """The ordered (condition, category) rules as SQL; ``matches(value, pattern)`` writes a search."""
-    any_of = lambda value, patterns: matches(value, "|".join(f"({portable(p)})" for p in patterns))
-    phrases = "|".join(TRANSITION_PHRASES)
-    late = lambda words: matches(low, bounded(words))
+    """The ordered (condition, category) rules as SQL; ``matches(value, pattern)`` writes a search, and with a third argument (``first_words``) one that may look for that first."""
+    signs = lambda value, patterns, *needed: matches(value, "|".join(f"({portable(p)})" for p in patterns), *needed)
+    # one mark of the beginning before all of them: the search then ends where the text begins
+    begins = lambda value, patterns: matches(value, f"^({'|'.join(f'({portable(p.removeprefix(chr(94)))})' for p in patterns)})")
+    holds = lambda value, pattern, *parts: matches(value, pattern, ([], list(parts)))
+    late = lambda words: matches(low, bounded(words), first_words(tuple(words.split("|"))))
+    listed = lambda words: matches(low, keywords(words), first_words(words))
     return [
-        (any_of(text, FORMULA_SIGNS), FORMULAS),
-        (any_of(stripped, CODE_SIGNS), EXAMPLES),
+        (signs(text, FORMULA_SIGNS, ([], ["\\", "$"])), FORMULAS),
+        (begins(stripped, CODE_SIGNS), EXAMPLES),
         (matches(stripped, r"^(```|\{|\[)\s*$"), EXAMPLES),
         (f"{count} >= 5 AND {matches(stripped, r'^[A-Z][A-Za-z\s\-/]+:\s')}", DEFINITIONS),
-        (f"{count} >= 8 AND {matches(low, keywords(DEFINITION_WORDS))}", DEFINITIONS),
+        (f"{count} >= 8 AND {listed(DEFINITION_WORDS)}", DEFINITIONS),
         (f"{count} >= 5 AND {late('is defined as|is known as|also called|refers to')}", DEFINITIONS),
-        (f"{count} >= 5 AND {matches(low, keywords(WARNING_WORDS))}", WARNINGS),
-        (matches(low, keywords(HISTORY_WORDS)), HISTORY),
-        (matches(text, rf"(^|[^{WORD}])(Figure|Table|Algorithm|Listing|Example)\s+[\d\-]+"), EXAMPLES),
-        (f"{count} >= 8 AND ({matches(low, keywords(EXAMPLE_WORDS))} OR {matches(text, r'\d+\.\d+|\d+%|\$\d+')})", EXAMPLES),
+        (f"{count} >= 5 AND {listed(WARNING_WORDS)}", WARNINGS),
+        (listed(HISTORY_WORDS), HISTORY),
+        (holds(text, rf"(^|[^{WORD}])({'|'.join(FIGURES)})\s+[\d\-]+", *FIGURES), EXAMPLES),
+        (f"{count} >= 8 AND ({listed(EXAMPLE_WORDS)} OR {matches(text, r'\d+\.\d+|\d+%|\$\d+')})", EXAMPLES),
         (f"{count} <= 3", TRANSITION),
-        (matches(stripped, r"^#{1,6}\s+|^---+\s*$"), TRANSITION),
-        (matches(low, phrases), TRANSITION),
+        (matches(stripped, r"^(#{1,6}\s+|---+\s*$)"), TRANSITION),
+        (holds(low, "|".join(TRANSITION_PHRASES), *TRANSITION_PHRASES), TRANSITION),
         (f"{count} >= 12 AND {late(LATE_DEFINITIONS)}", DEFINITIONS),
-        (f"{count} >= 12 AND ({late(LATE_EXAMPLES)} OR {matches(low, rf'(^|[^{WORD}])({LATE_EXAMPLE_ABBREVIATIONS})[{WORD}]')})", EXAMPLES),
+        (f"{count} >= 12 AND ({late(LATE_EXAMPLES)} OR {holds(low, rf'(^|[^{WORD}])({LATE_EXAMPLE_ABBREVIATIONS})[{WORD}]', 'e.g.', 'i.e.')})", EXAMPLES),
         (f"{count} >= 12 AND {late(LATE_WARNINGS)}", WARNINGS),
         (f"{count} >= 12 AND {late(LATE_HISTORY)}", HISTORY),
     ]

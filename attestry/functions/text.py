@@ -142,14 +142,19 @@ def category(c: Column | str) -> Column:
     is too long for the JIT compiler, and each rule would fold and strip the text again.
     """
     prepared = F.transform(F.array(col(c)), lambda t: F.struct(t.alias("t"), F.lower(t).alias("l"), strip(t).alias("s")))
-    counted = F.transform(prepared, lambda r: F.struct(r["t"].alias("t"), r["l"].alias("l"), r["s"].alias("s"), F.when(r["s"] == "", 0).otherwise(F.size(F.split(r["s"], r"\s+"))).alias("n")))
+    counted = F.transform(prepared, lambda r: F.struct(r["t"].alias("t"), r["l"].alias("l"), r["s"].alias("s"), F.split(r["l"], f"[^{rules.WORD}]+").alias("w"), F.when(r["s"] == "", 0).otherwise(F.size(F.split(r["s"], r"\s+"))).alias("n")))
 
     def first_rule(r: Column) -> Column:
         # conditions are written once, as SQL on named values, and bound to columns here
         terms: list[Column] = []
 
-        def condition(value: str, pattern: str) -> str:
-            terms.append(r[value].rlike(pattern))
+        def condition(value: str, pattern: str, needed: tuple[list[str], list[str]] | None = None) -> str:
+            # most texts have none of a list's first words: they need no search
+            term = r[value].rlike(pattern)
+            if needed:
+                some = [F.arrays_overlap(r["w"], F.array(*map(F.lit, needed[0])))] if needed[0] else []
+                term = reduce(lambda a, b: a | b, [*some, *(r[value].contains(x) for x in needed[1])]) & term
+            terms.append(term)
             return f"#{len(terms) - 1}"
 
         found: Column | None = None
