@@ -261,7 +261,7 @@ def text_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lines(spark, sf_dir)
     line = F.when((F.col("n") == 1) & (F.col("doc_id") % 3 == 0), F.concat(F.lit("title: '"), F.regexp_replace("line", "['\"]", ""), F.lit("'"))).when((F.col("n") == 2) & (F.col("doc_id") % 3 == 1), F.concat(F.lit("# "), "line"))
     line = line.when((F.col("n") == 4) & (F.col("doc_id") % 5 == 0), "see ^[a-b-ch01-0001]").when((F.col("n") == 5) & (F.col("doc_id") % 7 == 0), "- related_to::[[x#^y]]").when((F.col("n") == 6) & (F.col("doc_id") % 4 == 0), "- warned_by::[[x]]")
-    made = _joined(rows, line.otherwise(F.regexp_replace(F.regexp_replace("line", r"^(#|title:)", ""), r"[\^\[]", "")), "doc_id")
+    made = _joined(rows, line.otherwise(F.regexp_replace(F.regexp_replace("line", r"^(#+|title:)", ""), r"[\^\[]", "")), "doc_id")
     quality = text.page_quality(F.col("doc_id") % 7, F.col("doc_id") % 3 * 2, F.col("doc_id") % 5 * 2, 6)
     return made.select("doc_id", text.unit_title("text", F.lit("none")).alias("title"), text.rendered_lines("text").cast("long").alias("lines"), F.array_join(text.hygiene("text"), ",").alias("defects"), F.round(quality, 2).alias("quality"), text.capped_confidence((F.col("doc_id") % 12) / 10).alias("confidence"))
 
@@ -386,7 +386,7 @@ ORACLES = {
         SELECT doc_id, count(*) + 1 AS entries, max(v) FILTER (n = 1) AS first, max(v) FILTER (n = 2) AS second, 'all' AS scope, chr(10) || 'body of ' || doc_id || ' --- and more' AS rest FROM k GROUP BY doc_id""",
     "hidden_indexes": """SELECT doc_id, source AS hidden, source AS after_noise, length('{"doc_id":' || doc_id || ',"xs":["' || source || '"]}') AS chars FROM documents""",
     "text_marks": rf"""WITH {_L}, m AS (SELECT doc_id, n, CASE WHEN n = 1 AND doc_id % 3 = 0 THEN 'title: ''' || regexp_replace(line, '[''"]', '', 'g') || '''' WHEN n = 2 AND doc_id % 3 = 1 THEN '# ' || line WHEN n = 4 AND doc_id % 5 = 0 THEN 'x' WHEN n = 5 AND doc_id % 7 = 0 THEN 'y' WHEN n = 6 AND doc_id % 4 = 0 THEN 'z'
-            ELSE regexp_replace(regexp_replace(line, '^(#|title:)', ''), '[\^\[]', '', 'g') END AS line FROM l),
+            ELSE regexp_replace(regexp_replace(line, '^(#+|title:)', ''), '[\^\[]', '', 'g') END AS line FROM l),
           t AS (SELECT doc_id, max(n) AS c, max(CASE WHEN doc_id % 3 = 0 AND n = 1 THEN regexp_replace(line, '^title: ''|''$', '', 'g') WHEN doc_id % 3 = 1 AND n = 2 THEN trim(regexp_replace(line, '^#+\s*', '')) END) AS title, bool_or(n = 4) AS four, bool_or(n = 5) AS five, bool_or(n = 6) AS six FROM m GROUP BY doc_id)
         SELECT doc_id, coalesce(nullif(title, ''), 'none') AS title, c AS lines, array_to_string([x FOR x IN [CASE WHEN four AND doc_id % 5 = 0 THEN 'bracketed block id' END, CASE WHEN six AND doc_id % 4 = 0 THEN 'predicate without anchor' END, CASE WHEN five AND doc_id % 7 = 0 THEN 'related_to for relates_to' END] IF x IS NOT NULL], ',') AS defects,
           round_even(0.5 * (doc_id % 7) / 6 + 0.3 * least(1.0, (doc_id % 3) / 2) + 0.2 * least(1.0, (doc_id % 5) / 4), 2)::DOUBLE AS quality, least(0.95, coalesce(nullif(doc_id % 12 / 10, 0), 0.5))::DOUBLE AS confidence FROM t""",
