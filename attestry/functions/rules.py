@@ -50,13 +50,17 @@ CODE_SIGNS = (
     r"^\{['\"]\w+['\"]:", r"^[\w\-]+,\s*[\w\-]+,",
 )
 LATE_DEFINITIONS = "is a|are a|refers to|used to|involves|consists of|contains|provides|describes|represents|denotes|signifies"
-FIGURES = ("Figure", "Table", "Algorithm", "Listing", "Example")
 LATE_EXAMPLES = "such as|for example|namely|specifically|in particular|consider the|suppose|assume that"
 LATE_EXAMPLE_ABBREVIATIONS = r"e\.g\.|i\.e\."
 LATE_WARNINGS = "should|must|need to|important|note|beware|careful|avoid|ensure|verify|check that"
 LATE_HISTORY = "data|dataset|sample|observation|empirical|measurement|performance|result|finding"
 PLACEHOLDERS = r"(^|W)(todo|fixme|placeholder|lorem ipsum)($|W)|\[(insert|todo|placeholder)[^\]]*\]|as an ai language model|i cannot access"
 
+SHORT_DEFINITIONS = "is defined as|is known as|also called|refers to"
+FIGURES = ("Figure", "Table", "Algorithm", "Listing", "Example")
+FIGURE_NUMBER = r"\s+[\d\-]+"
+FENCE, LABEL, HEADING, NUMBERS = r"^(```|\{|\[)\s*$", r"^[A-Z][A-Za-z\s\-/]+:\s", r"^(#{1,6}\s+|---+\s*$)", r"\d+\.\d+|\d+%|\$\d+"
+
 STOP_WORDS = (
     "the", "and", "for", "that", "with", "this", "from", "are", "was", "were", "has", "have", "had", "but", "not", "into", "its", "their",
     "they", "them", "his", "her", "she", "you", "your", "our", "can", "will", "would", "could", "should", "about", "than", "then", "when",
@@ -116,16 +120,16 @@ def block_rules(text: str, low: str, stripped: str, count: str, matches) -> list
     return [
         (signs(text, FORMULA_SIGNS, ([], ["\\", "$"])), FORMULAS),
         (begins(stripped, CODE_SIGNS), EXAMPLES),
-        (matches(stripped, r"^(```|\{|\[)\s*$"), EXAMPLES),
-        (f"{count} >= 5 AND {matches(stripped, r'^[A-Z][A-Za-z\s\-/]+:\s')}", DEFINITIONS),
+        (matches(stripped, FENCE), EXAMPLES),
+        (f"{count} >= 5 AND {matches(stripped, LABEL)}", DEFINITIONS),
         (f"{count} >= 8 AND {listed(DEFINITION_WORDS)}", DEFINITIONS),
-        (f"{count} >= 5 AND {late('is defined as|is known as|also called|refers to')}", DEFINITIONS),
+        (f"{count} >= 5 AND {late(SHORT_DEFINITIONS)}", DEFINITIONS),
         (f"{count} >= 5 AND {listed(WARNING_WORDS)}", WARNINGS),
         (listed(HISTORY_WORDS), HISTORY),
-        (holds(text, rf"(^|[^{WORD}])({'|'.join(FIGURES)})\s+[\d\-]+", *FIGURES), EXAMPLES),
-        (f"{count} >= 8 AND ({listed(EXAMPLE_WORDS)} OR {matches(text, r'\d+\.\d+|\d+%|\$\d+')})", EXAMPLES),
+        (holds(text, rf"(^|[^{WORD}])({'|'.join(FIGURES)}){FIGURE_NUMBER}", *FIGURES), EXAMPLES),
+        (f"{count} >= 8 AND ({listed(EXAMPLE_WORDS)} OR {matches(text, NUMBERS)})", EXAMPLES),
         (f"{count} <= 3", TRANSITION),
-        (matches(stripped, r"^(#{1,6}\s+|---+\s*$)"), TRANSITION),
+        (matches(stripped, HEADING), TRANSITION),
         (holds(low, "|".join(TRANSITION_PHRASES), *TRANSITION_PHRASES), TRANSITION),
         (f"{count} >= 12 AND {late(LATE_DEFINITIONS)}", DEFINITIONS),
         (f"{count} >= 12 AND ({late(LATE_EXAMPLES)} OR {holds(low, rf'(^|[^{WORD}])({LATE_EXAMPLE_ABBREVIATIONS})[{WORD}]', 'e.g.', 'i.e.')})", EXAMPLES),

@@ -13,7 +13,10 @@ from . import rules
 LINE_END = "\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029]"
 RARE_ENDS = "\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+# The form of a block's id behind its mark; the predicates of relations.
 BLOCK_ID = r"\^([a-z0-9-]+-ch\d+-\d+)"
+PREDICATES = "extracted_from|informed_by|validated_by|invalidated_by|warned_by|defined_by|formulated_by|illustrated_by|calibrated_by"
+# End of fixed values.
 
 
 def col(c: Column | str) -> Column:
@@ -246,11 +249,10 @@ def sections(c: Column | str) -> Column:
 
 def hygiene(c: Column | str) -> Column:
     """The evidence defects of a text: bracketed ids, extra brackets, predicates without anchor, a wrong predicate."""
-    named = "extracted_from|informed_by|validated_by|invalidated_by|warned_by|defined_by|formulated_by|illustrated_by|calibrated_by"
     checks = {
         "bracketed block id": r"\^\[[a-z0-9-]+-ch\d+-\d+\]",
         "extra bracket": r"!\[\[[^\]\n]+#\^[^\]\n]+\]\]\]",
-        "predicate without anchor": rf"(?md)^-\s+(?:{named})::\[\[[^\]#]+\]\]",
+        "predicate without anchor": rf"(?md)^-\s+(?:{PREDICATES})::\[\[[^\]#]+\]\]",
         "related_to for relates_to": r"(?md)^-\s+related_to::",
     }
     return F.array_compact(F.array(*(F.when(col(c).rlike(p), F.lit(k)) for k, p in checks.items())))

@@ -30,6 +30,10 @@ STRAY = ("test", "chunk", "chapters-auto", "split-pdfs")
 NOT_STRAY = "pdf_chunks"
 MOST_CONFIDENCE = 0.95
 MIN_LINES, MIN_EMBEDS, MIN_QUOTES, QUOTE = 80, 2, 2, 10
+WORDS_SECTION, EXAMPLE_SECTION = r"(?mi)^##\s*Author's\s*Words", r"(?msi)^##\s*Specific\s*Example.*?(?=^##|\z)"
+DISPATCH, SCHEMA, SCORING, CONFIRMATION = "specialist-dispatch-report.json", "schema-validation-report.json", "phase4-scoring-report.json", "phase4-confirmation.json"
+GATE_4, GATE_5, BLOCK_IDS, BUILT, SHOWN, SCORED = "gates/phase-4.json", "gates/phase-5.json", "blockid-validation-report.json", "page-build-report.json", "presentation-report.json", "master-scored.json"
+FILTERED = ("master-top-clean.json", "master-top56-clean.json")
 AGENT_MODE = "runtime-neutral-prompt-contracts"
 #: Checks that are decided elsewhere: of programs' texts, and of YAML by a parser, which Spark has none of.
 ELSEWHERE = ("PO-42", "SC-22")
@@ -90,15 +94,15 @@ def report_checks(reports: DataFrame, marks: DataFrame, writers: dict[str, str])
     one = lambda name, path, t="string": F.max(F.when(F.col("name") == name, F.try_variant_get("v", path, t)))
     there = lambda name: F.coalesce(F.max((F.col("name") == name) & F.col("v").isNotNull()), F.lit(False))
     asked = {
-        "mode": one("specialist-dispatch-report.json", "$.agent_mode"),
-        "schema_status": one("schema-validation-report.json", "$.status"), "schema_valid": one("schema-validation-report.json", "$.valid", "long"), "schema_total": one("schema-validation-report.json", "$.total", "long"),
-        "scoring_status": one("phase4-scoring-report.json", "$.status"), "candidates": one("phase4-scoring-report.json", "$.candidate_count", "long"),
-        "confirmed": one("phase4-confirmation.json", "$.status"), "selected": one("phase4-confirmation.json", "$.selected_count", "long"), "gate4": one("gates/phase-4.json", "$.status"), "gate5": one("gates/phase-5.json", "$.status"),
-        "blocks_valid": one("blockid-validation-report.json", "$.valid", "boolean"), "blocks_cited": one("blockid-validation-report.json", "$.referenced_block_ids", "long"), "blocks_missing": one("blockid-validation-report.json", "$.missing_count", "long"),
-        "filtered": F.max(F.when(F.col("name").isin("master-top-clean.json", "master-top56-clean.json"), F.try_variant_get("v", "$._latex_filtered", "variant").isNotNull())),
-        "writer": one("page-build-report.json", "$.generated_by"), "pages_status": one("page-build-report.json", "$.status"), "written": one("page-build-report.json", "$.pages_written", "long"),
-        "shown_status": one("presentation-report.json", "$.status"), "shown": one("presentation-report.json", "$.checked", "long"),
-        "scored": there("master-scored.json"), "has_blocks": there("blockid-validation-report.json"),
+        "mode": one(DISPATCH, "$.agent_mode"),
+        "schema_status": one(SCHEMA, "$.status"), "schema_valid": one(SCHEMA, "$.valid", "long"), "schema_total": one(SCHEMA, "$.total", "long"),
+        "scoring_status": one(SCORING, "$.status"), "candidates": one(SCORING, "$.candidate_count", "long"),
+        "confirmed": one(CONFIRMATION, "$.status"), "selected": one(CONFIRMATION, "$.selected_count", "long"), "gate4": one(GATE_4, "$.status"), "gate5": one(GATE_5, "$.status"),
+        "blocks_valid": one(BLOCK_IDS, "$.valid", "boolean"), "blocks_cited": one(BLOCK_IDS, "$.referenced_block_ids", "long"), "blocks_missing": one(BLOCK_IDS, "$.missing_count", "long"),
+        "filtered": F.max(F.when(F.col("name").isin(*FILTERED), F.try_variant_get("v", "$._latex_filtered", "variant").isNotNull())),
+        "writer": one(BUILT, "$.generated_by"), "pages_status": one(BUILT, "$.status"), "written": one(BUILT, "$.pages_written", "long"),
+        "shown_status": one(SHOWN, "$.status"), "shown": one(SHOWN, "$.checked", "long"),
+        "scored": there(SCORED), "has_blocks": there(BLOCK_IDS),
     }
     said = marks.agg(*(F.coalesce(F.max((F.col("name") == n) & F.contains("text", F.lit(f"validated_by: {w}"))), F.lit(False)).alias(n) for n, w in (("_validation_passed", writers["schema"]), ("_blockid_valid", writers["blocks"]))))
     state = v.agg(*(c.alias(k) for k, c in asked.items())).join(F.broadcast(said))  # a row each
@@ -124,7 +128,7 @@ def page_checks(pages: DataFrame, slug: str) -> DataFrame:
     front = F.when(t.startswith("---") & (F.size(F.split(t, "---", 3)) == 3), F.split(t, "---", 3)[1])
     keys = F.transform(F.filter(F.split(front, "\n"), lambda x: x.contains(":")), lambda x: text.strip(F.substring_index(x, ":", 1)))
     wanted = page_operators.KEYS
-    example = F.regexp_extract(t, r"(?msi)^##\s*Specific\s*Example.*?(?=^##|\z)", 0)
+    example = F.regexp_extract(t, EXAMPLE_SECTION, 0)
     rows = text.lines(t)
     embeds = F.size(F.regexp_extract_all(t, F.lit(r"(!\[\[[^\]]+#\^[^\]]+\]\])"), 1))
     quotes = F.size(F.filter(F.transform(rows, text.strip), lambda x: x.startswith(">") & (F.length(x) > QUOTE)))
@@ -133,7 +137,7 @@ def page_checks(pages: DataFrame, slug: str) -> DataFrame:
     checks = {
         "SC-21": front.isNull() | (F.slice(keys, 1, len(wanted)) != F.array(*map(F.lit, wanted))),
         "PQ-23": embeds < MIN_EMBEDS,
-        "PQ-24": ~t.rlike(r"(?mi)^##\s*Author's\s*Words"),
+        "PQ-24": ~t.rlike(WORDS_SECTION),
         "PQ-28": ~example.rlike(own),
         "PQ-36": F.size(rows) < MIN_LINES,
         "PQ-37": ~t.contains("extracted_from::") | (t.contains("derived_from::") & t.contains(slug)),
