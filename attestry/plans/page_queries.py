@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
-from ..operators import blocks, control, images, links, pages
+from ..operators import blocks, control, images, links, pages, reports
 from ..sources import files as sources
 from ..sources import scratch, sinks
-from . import text_queries
+from . import claim_queries, text_queries
 from .check_queries import _L, _joined, _lines, _pick, _table
 
 
@@ -29,6 +29,21 @@ def ledger_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.unionByName(back.filter("bad is not null").agg(F.count("*").alias("events")).select(F.lit("broken").alias("phase"), "events", F.lit(0).cast("long").alias("tokens_in"), F.lit(0).cast("long").alias("tokens_out")))
 
 
+def overlap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overlaps of all pages as the lines of a report."""
+    rows = claim_queries.lexical_overlap(spark, sf_dir).select(F.col("page").cast("string").alias("page"), "status", (F.col("page") % 4).alias("cited"), "synthesis_overlap", "full_overlap")
+    return reports.overlap(rows, "all")
+
+
+def image_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a language as images, their labelled ones as pages of concepts and teams, as the lines of a report."""
+    docs = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id", "left")
+    some = lambda c: F.array_sort(F.collect_list(F.when(c, F.concat(F.lit("p"), F.lpad(F.col("doc_id").cast("string"), 9, "0")))))
+    rows = docs.groupBy(F.concat("source", F.lit(".png")).alias("image")).agg(F.count("*").alias("refs"), some((F.col("quality") == 0) & (F.col("doc_id") % 5 == 0)).alias("concept_pages"), some((F.col("quality") == 1) & (F.col("doc_id") % 3 == 0)).alias("team_pages"))
+    refs = docs.agg(F.count("*").alias("chapter_files"), F.count("quality").alias("local_refs"), F.lit(None).cast("long").alias("resolved"), F.lit(0).alias("missing"), F.lit("PASS").alias("status"))
+    return reports.image_coverage(rows, refs, "all")
+
+
 def gate_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines appended as gates, by return flag in two goes; the last one of each order and phase counts."""
     lines = _table(spark, sf_dir, "lineitem")
@@ -147,11 +162,21 @@ def json_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", F.array_join(images.json_urls("json"), ",").alias("urls"), F.coalesce(images.json_has_images("json"), F.lit(False)).alias("has_images"))
 
 
-QUERIES = {f.__name__: f for f in (ledger_round_trip, gate_log, gate_marking, finished_books, source_index_text, page_render, evidence_lists, filled_sections, inferred_notes, foreign_predicates, region_images, json_images)}
+QUERIES = {f.__name__: f for f in (overlap_report, image_report, ledger_round_trip, gate_log, gate_marking, finished_books, source_index_text, page_render, evidence_lists, filled_sections, inferred_notes, foreign_predicates, region_images, json_images)}
 
 _PHASES = list(control.PHASES)
 
+_FIXED = lambda part, *lines: " UNION ALL ".join(f"SELECT {part} AS part, '{k:09d}' AS at, {rules.quoted(x)} AS line" for k, x in enumerate(lines))
+
 ORACLES = {
+    "overlap_report": f"""WITH o AS ({claim_queries.ORACLES["lexical_overlap"]}), c AS (SELECT count(*) AS n, count(*) FILTER (status <> 'PASS') AS bad FROM o)
+        {_FIXED(1, "# Lexical Overlap Report — `all`", "", "Threshold: synthesis overlap ≥ `0.12`")} UNION ALL SELECT 2, '000000000', 'Pages checked: ' || n FROM c UNION ALL SELECT 2, '000000001', 'Flagged pages: ' || bad FROM c
+        UNION ALL {_FIXED(3, "", *reports.OVERLAP_TABLE)} UNION ALL SELECT 4, page::VARCHAR, '| ' || status || ' | `' || page || '` | ' || page % 4 || ' | ' || printf('%.4f', synthesis_overlap) || ' | ' || printf('%.4f', full_overlap) || ' |' FROM o""",
+    "image_report": f"""WITH d AS (SELECT *, 'p' || printf('%09d', doc_id) AS p FROM documents LEFT JOIN labels USING (doc_id)), r AS (SELECT source || '.png' AS image, count(*) AS refs, coalesce(list(p ORDER BY p) FILTER (quality = 0 AND doc_id % 5 = 0), []) AS cs, coalesce(list(p ORDER BY p) FILTER (quality = 1 AND doc_id % 3 = 0), []) AS ts FROM d GROUP BY source)
+        {_FIXED(1, "# Image-to-Page Coverage — `all`", "", "## Source image-ref verification", "")} UNION ALL SELECT 2, printf('%09d', k), line FROM (SELECT unnest([0, 1, 2, 3, 4]) AS k, unnest(['- Chapter files: `' || count(*) || '`', '- Local refs: `' || count(quality) || '`', '- Resolved: `unknown`', '- Missing: `0`', '- Status: `PASS`']) AS line FROM d)
+        UNION ALL {_FIXED(3, "", "## Coverage table", "")} UNION ALL SELECT 4, printf('%09d', k), line FROM (SELECT unnest([0, 1, 2]) AS k, unnest(['Images in chapter markdown: `' || count(*) || '`', 'Images referenced by concept pages: `' || count(*) FILTER (len(cs) > 0) || '`', 'Images referenced by team extraction pages: `' || count(*) FILTER (len(ts) > 0) || '`']) AS line FROM r)
+        UNION ALL {_FIXED(5, "", *reports.IMAGE_TABLE)} UNION ALL SELECT 6, image, '| `' || image || '` | ' || refs || ' | ' || CASE WHEN len(cs) = 0 THEN '—' ELSE array_to_string(['`' || x || '`' FOR x IN cs], ', ') END || ' | '
+          || CASE WHEN len(ts) = 0 THEN '—' ELSE array_to_string(['`' || x || '`' FOR x IN ts[1:4]], ', ') || CASE WHEN len(ts) > 4 THEN ', … +' || (len(ts) - 4) ELSE '' END END || ' |' FROM r""",
     "ledger_round_trip": """SELECT event_type AS phase, count(*) AS events, coalesce(sum(CASE WHEN event_id % 3 <> 0 THEN event_id END), 0)::BIGINT AS tokens_in, sum(round(value * 100))::BIGINT AS tokens_out FROM events GROUP BY 1
         UNION ALL SELECT 'broken', count(*), 0, 0 FROM events WHERE event_id % 10 = 0""",
     "gate_log": f"""WITH g AS (SELECT l_orderkey AS slug, {_PHASES}[l_partkey % {len(_PHASES)} + 1] AS phase, ['PASS', 'FAIL'][l_suppkey % 2 + 1] AS status, l_shipdate AS t FROM lineitem)
