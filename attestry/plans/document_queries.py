@@ -142,10 +142,12 @@ def typed_block_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recursive_block_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The extractions, each inside as many lists and objects as its number says."""
+    """The extractions, each inside as many lists and objects as its number says, beside notes whose own ids, under the same keys, no schema knows; a text that looks like a key is none."""
     files = _extractions(spark, sf_dir)
+    own = F.concat(F.lit("note-ch02-"), "file")
+    note = F.to_json(F.struct(F.lit('an "block_id":"x" in words').alias("said"), F.struct(F.array(own, F.concat(own, F.lit("1"))).alias("block_ids"), F.when(F.length("file") % 2 == 0, F.concat(own, F.lit("2"))).alias("block_id")).alias("more")))
     n = F.col("file").cast("int") % 30
-    deep = F.concat(F.repeat(F.lit('[{"a": '), n), "json", F.repeat(F.lit("}, 1]"), n))
+    deep = F.concat(F.repeat(F.lit('[{"a": '), n), F.lit('[{"b": '), "json", F.lit("}, "), note, F.lit("]"), F.repeat(F.lit("}, 1]"), n))
     return validate.recursive_block_ids(files.select("file", deep.alias("json"))).distinct()
 
 
@@ -230,7 +232,8 @@ ORACLES = {
         SELECT file, 'block id not of this slug: ' || b AS issue FROM (SELECT file, d, unnest(bs) AS b FROM ids) WHERE b = 'No-ch1' OR file LIKE '%0'
         UNION ALL SELECT file, 'definition too short: ' || CASE WHEN d % 17 = 0 THEN 'C ' ELSE 'c-' END || d FROM ex WHERE sound AND has AND length({_TRIM('left(text, (d % 20)::INT)')}) < 15""",
     "typed_block_ids": f"WITH {_MADE} SELECT DISTINCT file, unnest(CASE WHEN has THEN [block, block || '0', CASE WHEN d % 13 = 0 THEN 'No-ch1' ELSE block END] ELSE [block] END) AS block_id FROM ex WHERE sound",
-    "recursive_block_ids": f"WITH {_MADE} SELECT DISTINCT file, unnest(CASE WHEN has THEN [block, block || '0', CASE WHEN d % 13 = 0 THEN 'No-ch1' ELSE block END] ELSE [block] END) AS block_id FROM ex WHERE sound",
+    "recursive_block_ids": f"""WITH {_MADE} SELECT DISTINCT file, unnest(list_concat(CASE WHEN has THEN [block, block || '0', CASE WHEN d % 13 = 0 THEN 'No-ch1' ELSE block END] ELSE [block] END,
+        list_concat(['note-ch02-' || file, 'note-ch02-' || file || '1'], CASE WHEN length(file) % 2 = 0 THEN ['note-ch02-' || file || '2'] ELSE [] END))) AS block_id FROM ex WHERE sound""",
     "section_split": rf"""WITH {_LINES}, s AS (SELECT *, p // 3 + 1 AS pos FROM lines), b AS (SELECT doc_id, pos, 'H' || ((pos - 1) * 3 % 4) AS header, {_TRIM("coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (p % 3 <> 0), '')")} AS body FROM s GROUP BY doc_id, pos)
         SELECT doc_id, header, min(pos) AS pos, arg_min(body, pos) AS body FROM b GROUP BY doc_id, header""",
     "page_gate": rf"""WITH t AS (SELECT doc_id AS d, coalesce(text, '') AS text, CASE WHEN a[-1] = '' THEN a[:-2] ELSE a END AS l FROM (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
