@@ -52,6 +52,8 @@ SLIP = 199
 HELD = 20_000
 #: Words that a task counts before it passes them on.
 COUNTED = 1 << 18
+#: Words from which the bounds between ranges are taken at most, about.
+SAMPLED = 100_000
 #: Characters of a bound between two ranges.
 BOUND = 256
 
@@ -178,11 +180,12 @@ class Automaton:
 
 
 def _bounds(table: DataFrame, held: int) -> tuple[list[str], list[str]]:
-    """Where the words in order, and the reversed words in order, are cut into ranges of about ``held``: a number of words that falls with ``held``."""
-    ranges = -(-table.count() // held)
+    """Where the words in order, and the reversed words in order, are cut into ranges of about ``held``."""
+    n = table.count()
+    ranges = -(-n // held)
     if ranges < 2:
         return [], []
-    share = max(1, held // 64)  # some 64 words of each range are looked at
+    share = max(1, held // 64, n // SAMPLED)  # some 64 words of each range are looked at, and about SAMPLED in all at most
     found = [r.word for r in table.filter(F.pmod(F.xxhash64("word"), F.lit(share)) == 0).select(F.substring("word", 1, BOUND).alias("word")).collect()]
     ends = [r.word for r in table.filter(F.pmod(F.xxhash64("word"), F.lit(share)) == 0).select(F.substring(F.reverse("word"), 1, BOUND).alias("word")).collect()]
     cut = lambda xs: sorted({xs[len(xs) * k // ranges] for k in range(1, ranges)}) if xs else []
