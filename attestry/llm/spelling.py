@@ -11,8 +11,8 @@ stand in an array by it.  A near word whose first half is the same is found forw
 backwards it is skipped, so that no pair counts twice.
 
 The words in order, and the reversed words in order, are cut into ranges of about
-``HELD`` words, at bounds taken from a fixed share of the words, the same in every run.  Each range
-is one automaton in one task.  A word is looked up where the words lie that
+``HELD`` words, at bounds taken from a share of them by hash, the same in every run and some
+``SAMPLED`` words at most.  Each range is one automaton in one task.  A word is looked up where the words lie that
 begin with its half: in one range, or in several if the half is that common.  Where
 more words look up than a range holds, they are dealt over tasks, each with the automaton.
 
