@@ -2,9 +2,9 @@
 
 Cells come from k-means on a bounded sample (``SAMPLE`` vectors, the smallest by a hash of their ids); every
 vector is then put into the cell of its nearest centre.  A query meets the vectors of the cells it probes: ``probes``
-nearest ones, or, without that number, all that can hold a neighbour: cells are first probed ``FIRST``, the least
+nearest ones, or as many as reach a wanted ``recall`` on a sample of the queries, or, without either, all that can hold a neighbour: cells are first probed ``FIRST``, the least
 similarity found there bounds the distance, and by the triangle inequality any cell whose edge lies farther has none.
-The second way is exact.
+The last way is exact.
 
 Likeness is the cosine, rounded to six digits; equally like ones are in order of their ids.  Cells are dealt into blocks
 of at most ``BLOCK`` vectors and ``BLOCK`` queries, so that a cell with a third of all vectors is many tasks; each block
@@ -35,6 +35,8 @@ CELLS = 1024
 ROUNDS = 6
 #: Cells that are probed first for the bound of exact search.
 FIRST = 2
+#: Queries on which the number of probes is measured at most.
+CALIBRATING = 200
 BLOCK = 1 << 14
 DIGITS = 6
 
@@ -162,8 +164,27 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k)
 
 
-def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int | None = None, cells: int | None = None, block: int = BLOCK) -> DataFrame:
-    """id, neighbour, similarity and rank: the ``k`` vectors most like each query, of ``probes`` cells, or exactly; both tables have id and vector."""
+def probes_for(asked: DataFrame, held: DataFrame, c: np.ndarray, k: int, recall: float, block: int = BLOCK) -> int:
+    """The fewest nearest cells that hold a share of ``recall`` of the true neighbours of a sample of queries.
+
+    The sample's neighbours are looked for in all cells: ``CALIBRATING`` queries at most, whatever their number.
+    """
+    some = materialize(asked.orderBy(F.xxhash64("id"), "id").limit(CALIBRATING))
+    found = _best(_met(probed(some, c, len(c)), held, k, block), k)
+    cells = held.select(F.col("id").alias("neighbour"), "cell").dropDuplicates(["neighbour"])
+    rows = found.join(cells, "neighbour").join(some.select("id", "vector"), "id").select("vector", "cell").collect()
+    if not rows:
+        return 1
+    order = np.argsort(-(_unit([r.vector for r in rows]) @ c.T), axis=1, kind="stable")
+    rank = np.sort(np.argmax(order == np.array([r.cell for r in rows])[:, None], axis=1))
+    return int(rank[min(len(rank) - 1, math.ceil(recall * len(rank)))]) + 1
+
+
+def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int | None = None, recall: float | None = None, cells: int | None = None, block: int = BLOCK) -> DataFrame:
+    """id, neighbour, similarity and rank: the ``k`` vectors most like each query; both tables have id and vector.
+
+    Of ``probes`` cells, or of as many as reach ``recall`` on a sample of the queries; without either, exactly.
+    """
     held = materialize(usable(vectors))
     c = centres(held, cells)
     asked = usable(queries).dropDuplicates(["id"])
@@ -171,6 +192,8 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, probes: int
         none = held.select("id", F.col("id").alias("neighbour"), F.lit(0.0).alias("similarity"), F.lit(0).cast("long").alias("rank"))
         return none.limit(0)
     held, asked = materialize(celled(held, c)), materialize(asked.filter(F.size("vector") == c.shape[1]))
+    if recall is not None:
+        probes = probes_for(asked, held, c, k, recall, block)
     first = min(probes or FIRST, len(c))
     found = materialize(_best(_met(probed(asked, c, first), held, k, block), k))
     if probes:
