@@ -8,7 +8,7 @@ from pyspark.sql.types import ArrayType
 from pyspark.sql.window import Window
 
 from ..functions import text
-from ..sources.scratch import numbered
+from ..sources.scratch import materialize, numbered
 
 LISTS = ("definitions", "examples", "warnings", "formulas", "block_ids", "cross_references", "claims")
 
@@ -126,8 +126,9 @@ def near_duplicates(slugs: DataFrame, least: float = 0.6) -> DataFrame:
 
     No pair is compared that has nothing in common: equal forms and tokens meet by equality; a form meets those
     that hold it by its rarest piece of ``PIECE`` characters (or the whole of a shorter one), which they hold too.
+    The slugs are written first: a dozen places read them, and each would make them anew from their source.
     """
-    s = slugs.select("slug").distinct().withColumn("norm", text.normal_slug("slug")).withColumn("tokens", F.array_distinct(F.split("norm", "-")))
+    s = materialize(slugs.select("slug").distinct().withColumn("norm", text.normal_slug("slug")).withColumn("tokens", F.array_distinct(F.split("norm", "-"))))
     left = s.select(F.col("slug").alias("a"), F.col("norm").alias("na"))
     right = s.select(F.col("slug").alias("b"), F.col("norm").alias("nb"))
     same = left.join(right, (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))).select("a", "b", F.lit(0).alias("k"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import concepts
+from ..sources.scratch import materialize
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +15,8 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_quantity", "l_shipdate")
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
     slug = F.regexp_replace(F.lower("p_name"), "[^a-z0-9]+", "-")
-    return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
+    # parts grow with the lines: never a broadcast, however small their file is
+    return lines.join(parts.hint("shuffle_hash"), lines["l_partkey"] == parts["p_partkey"]).select(
         slug.alias("slug"),
         F.col("p_name").alias("name"),
         F.month("l_shipdate").alias("chapter"),
@@ -28,6 +30,11 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concepts.merge(mentions(spark, sf_dir))
 
 
+def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged concepts' slugs, written once for queries that read them in several places."""
+    return materialize(merged(spark, sf_dir).select("slug"))
+
+
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as concepts, with what their order lines give them: few have all kinds of evidence."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -83,14 +90,14 @@ def score_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def artifact_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean and unclean slugs of parts, some with remains of markup put before."""
-    m = merged(spark, sf_dir).select("slug")
+    m = slugs(spark, sf_dir)
     made = m.union(m.select(F.concat(F.lit("quad-"), "slug"))).union(m.select(F.concat(F.lit("1-"), "slug"))).union(m.select(F.left("slug", F.lit(2))))
     good, bad = concepts.clean(made.distinct())
     return good.select("slug", F.lit(True).alias("kept")).union(bad.select("slug", F.lit(False)))
 
 
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = merged(spark, sf_dir).select("slug")
+    m = slugs(spark, sf_dir)
     return concepts.near_duplicates(m.union(m.select(F.concat("slug", F.lit("s")))).union(m.select(F.concat(F.lit("big-"), "slug"))))
 
 
@@ -129,7 +136,7 @@ def selection_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = merged(spark, sf_dir).select("slug")
+    m = slugs(spark, sf_dir)
     return concepts.known_duplicates(m, m.select(F.concat("slug", F.lit("s")).alias("slug")))
 
 

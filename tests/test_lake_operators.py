@@ -270,3 +270,22 @@ def test_near_duplicates_of_short_and_empty_forms(spark):
     got = {(r.a, r.b): r.reason for r in found.collect()}
     assert got["ab", "cab"] == got["ab", "xaby"] == got["a", "ab"] == "one slug contains the other" and got["other", "others"].startswith("identical")
     assert ("ab", "s") in got and ("s", "xaby") in got and ("a", "other") not in got
+
+
+def test_near_duplicates_read_their_source_once(spark, tmp_path):
+    path = str(tmp_path / "slugs")
+    spark.createDataFrame([("moon-bases",), ("moon-base",), ("sun",)], "slug string").write.parquet(path)
+    found = concepts.near_duplicates(spark.read.parquet(path))
+    assert not any(path in f for f in found.inputFiles())
+    assert [tuple(r) for r in found.collect()] == [("moon-base", "moon-bases", "identical after plural/possessive normalization")]
+
+
+@pytest.mark.parametrize("name", ["near_duplicates", "known_duplicates", "artifact_filter"])
+def test_slugs_of_order_lines_are_made_once(spark, tmp_path, name):
+    from attestry.plans import concept_queries
+
+    lines = [(1, 1, 7, 0.1, 5.0, "1995-02-03"), (1, 2, 8, 0.0, 6.0, "1995-03-03")]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_discount double, l_quantity double, l_shipdate string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(7, "red ring"), (8, "old plate")], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    found = concept_queries.QUERIES[name](spark, str(tmp_path))
+    assert found.count() and not any("lineitem" in f or "part.parquet" in f for f in found.inputFiles())
