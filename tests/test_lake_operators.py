@@ -280,7 +280,7 @@ def test_near_duplicates_read_their_source_once(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [("moon-base", "moon-bases", "identical after plural/possessive normalization")]
 
 
-@pytest.mark.parametrize("name", ["near_duplicates", "known_duplicates", "artifact_filter"])
+@pytest.mark.parametrize("name", ["near_duplicates", "known_duplicates", "artifact_filter", "selection_check"])
 def test_slugs_of_order_lines_are_made_once(spark, tmp_path, name):
     from attestry.plans import concept_queries
 
