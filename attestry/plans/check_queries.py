@@ -261,7 +261,9 @@ def text_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lines(spark, sf_dir)
     line = F.when((F.col("n") == 1) & (F.col("doc_id") % 3 == 0), F.concat(F.lit("title: '"), F.regexp_replace("line", "['\"]", ""), F.lit("'"))).when((F.col("n") == 2) & (F.col("doc_id") % 3 == 1), F.concat(F.lit("# "), "line"))
     line = line.when((F.col("n") == 4) & (F.col("doc_id") % 5 == 0), "see ^[a-b-ch01-0001]").when((F.col("n") == 5) & (F.col("doc_id") % 7 == 0), "- related_to::[[x#^y]]").when((F.col("n") == 6) & (F.col("doc_id") % 4 == 0), "- warned_by::[[x]]")
-    made = _joined(rows, line.otherwise(F.regexp_replace(F.regexp_replace("line", r"^(#+|title:)", ""), r"[\^\[]", "")), "doc_id")
+    # what other lines have of such marks goes, whatever stands before it; each line, a blank last one too, ends in a line feed
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("line", r"[\^\[]", ""), "related_to::", ""), r"^(?:#+|\s*title:)+", "")
+    made = _joined(rows, line.otherwise(bare), "doc_id").withColumn("text", F.concat("text", F.lit("\n")))
     quality = text.page_quality(F.col("doc_id") % 7, F.col("doc_id") % 3 * 2, F.col("doc_id") % 5 * 2, 6)
     return made.select("doc_id", text.unit_title("text", F.lit("none")).alias("title"), text.rendered_lines("text").cast("long").alias("lines"), F.array_join(text.hygiene("text"), ",").alias("defects"), F.round(quality, 2).alias("quality"), text.capped_confidence((F.col("doc_id") % 12) / 10).alias("confidence"))
 
