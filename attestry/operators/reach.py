@@ -2,7 +2,8 @@
 
 All of it goes by rounds of joins.  A round joins only its frontier with the edges, and what it finds, less what is known,
 is the next one.  Each round's state is a written table, so that plans stay short and a lost executor repeats one round.
-A page with very many links is a key of the join like any other: adaptive execution splits it.
+A page with very many links is a key of the join like any other: adaptive execution splits it.  In the search from roots, a
+frontier of at most ``FEW`` nodes is sent to the edges, which then stay where they are; a larger one meets them by their key.
 
 Null ends of edges lead nowhere and come from nowhere; repeated edges count once; loops of a page to itself are
 cycles of one; roots that no edge names are reached all the same; empty tables give empty results.
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 from ..sources.scratch import materialize
 
 
+#: Nodes of a frontier that is sent to all tasks at most.
+FEW = 100_000
+
+
 def clean_edges(edges: DataFrame) -> DataFrame:
     """src and dst, each pair once."""
     return edges.select("src", "dst").filter("src is not null and dst is not null").distinct()
@@ -28,12 +33,21 @@ def reachable(edges: DataFrame, roots: DataFrame, most: int | None = None) -> Da
 
     ``edges`` has src and dst.  There are as many rounds as the greatest distance, and one more that finds nothing.
     """
-    links = materialize(clean_edges(edges))
+    return _searched(_written(edges), roots, most)
+
+
+def _written(edges: DataFrame) -> DataFrame:
+    """src and dst without nulls, as a table; repeated edges stay, as each round counts its nodes once anyway."""
+    return materialize(edges.select("src", "dst").filter("src is not null and dst is not null"))
+
+
+def _searched(links: DataFrame, roots: DataFrame, most: int | None = None) -> DataFrame:
     frontier = materialize(roots.select("node").filter("node is not null").distinct().withColumn("distance", F.lit(0).cast("long")))
     levels = [frontier]
     while most is None or len(levels) <= most:
         known = reduce(DataFrame.union, levels)
-        step = frontier.join(links, frontier["node"] == links["src"]).select(F.col("dst").alias("node")).distinct()
+        few = frontier.limit(FEW + 1).count() <= FEW
+        step = links.join(F.broadcast(frontier) if few else frontier, links["src"] == frontier["node"], "left_semi").select(F.col("dst").alias("node")).distinct()
         frontier = materialize(step.join(known.select("node"), "node", "left_anti").withColumn("distance", F.lit(len(levels)).cast("long")))
         if frontier.isEmpty():
             break
@@ -45,8 +59,9 @@ def reachable(edges: DataFrame, roots: DataFrame, most: int | None = None) -> Da
 
 def orphans(pages: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """node and linked: pages (node) that no root reaches, and whether any link leads to them at all."""
-    found = reachable(edges, roots).select("node")
-    named = clean_edges(edges).filter("src <> dst").select(F.col("dst").alias("node")).distinct().withColumn("linked", F.lit(True))
+    links = _written(edges)
+    found = _searched(links, roots).select("node")
+    named = links.filter("src <> dst").select(F.col("dst").alias("node")).distinct().withColumn("linked", F.lit(True))
     left = pages.select("node").filter("node is not null").distinct().join(found, "node", "left_anti")
     return left.join(named, "node", "left").select("node", F.coalesce("linked", F.lit(False)).alias("linked"))
 

@@ -195,3 +195,20 @@ def test_numbers_of_one_common_beginning(spark):
     df = spark.range(3000).select(F.concat(F.lit("part-"), F.col("id") * 7 % 3001).alias("slug"))
     got = [r.slug for r in scratch.numbered(df, F.col("slug")).orderBy("number").collect()]
     assert got == sorted(got) and len(got) == 3000
+
+
+@pytest.mark.parametrize("few", [0, 1, 100])
+def test_small_and_large_frontiers_reach_the_same(spark, monkeypatch, few):
+    monkeypatch.setattr(reach, "FEW", few)
+    edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("d", "a"), (None, "e"), ("d", None), ("d", "f")], "src string, dst string")
+    roots = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "node string")
+    assert {tuple(r) for r in reach.reachable(edges, roots).collect()} == {("a", 0), ("z", 0), ("b", 1), ("c", 1), ("d", 2), ("f", 3)}
+
+
+def test_orphans_read_their_edges_once(spark, tmp_path):
+    path = str(tmp_path / "edges")
+    spark.createDataFrame([("a", "b"), ("c", "d"), ("e", "e"), (None, "e")], "src string, dst string").write.parquet(path)
+    pages = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("e",)], "node string")
+    found = reach.orphans(pages, spark.read.parquet(path), pages.filter("node = 'a'"))
+    assert not any(path in f for f in found.inputFiles())
+    assert {tuple(r) for r in found.collect()} == {("c", False), ("d", True), ("e", False)}
