@@ -79,10 +79,16 @@ def preflight(states: DataFrame, gates: DataFrame, reports: DataFrame) -> DataFr
     The first thing that is wrong counts: gate missing, gate not PASS, phase not complete, state not ready, report not PASS, report empty.
     """
     row = lambda p: F.struct(F.lit(p).alias("phase"), F.lit(PRECONDITIONS[p][0]).alias("needs"), F.array(*map(F.lit, PRECONDITIONS[p][1])).alias("allowed"), F.lit(REPORTS.get(p, (None, None))[0]).cast("string").alias("kind"), F.lit(bool(REPORTS.get(p, (None, None))[1])).alias("counted"))
-    asked = states.select("slug", "status", "completed_phases", F.explode(F.array(*map(row, PRECONDITIONS))).alias("r")).select("slug", "status", "completed_phases", "r.*")
-    gate = gates.groupBy("slug", F.col("phase").alias("needs")).agg(F.max("status").alias("gate"))
-    said = reports.groupBy("slug", "kind").agg(F.max("status").alias("said"), F.max("count").alias("n"))
-    df = asked.join(gate, ["slug", "needs"], "left").join(said, ["slug", "kind"], "left")
+    # a column for each phase and kind that counts, so that a slug's gates and reports are one row each, and its phases are told apart behind the joins
+    needs, kinds = sorted({n for n, _ in PRECONDITIONS.values()}), sorted({k for k, _ in REPORTS.values()})
+    gate = gates.filter(F.col("phase").isin(*needs)).groupBy("slug").agg(*(F.max(F.when(F.col("phase") == n, F.col("status"))).alias(f"gate{i}") for i, n in enumerate(needs)))
+    of = lambda k, c: F.max(F.when(F.col("kind") == k, F.col(c)))
+    said = reports.filter(F.col("kind").isin(*kinds)).groupBy("slug").agg(*(of(k, c).alias(f"{c}{i}") for i, k in enumerate(kinds) for c in ("status", "count")))
+    said = said.select("slug", *(F.col(f"status{i}").alias(f"said{i}") for i in range(len(kinds))), *(F.col(f"count{i}").alias(f"n{i}") for i in range(len(kinds))))
+    joined = states.select("slug", "status", "completed_phases").join(gate, "slug", "left").join(said, "slug", "left")
+    held = lambda names, name: F.create_map(*(x for i, v in enumerate(names) for x in (F.lit(v), F.col(f"{name}{i}"))))
+    maps = joined.select("slug", "status", "completed_phases", held(needs, "gate").alias("gates"), held(kinds, "said").alias("saids"), held(kinds, "n").alias("ns"), F.explode(F.array(*map(row, PRECONDITIONS))).alias("r"))
+    df = maps.select("slug", "status", "completed_phases", "r.*", F.try_element_at("gates", F.col("r.needs")).alias("gate"), F.try_element_at("saids", F.col("r.kind")).alias("said"), F.try_element_at("ns", F.col("r.kind")).alias("n"))
     ready = F.array_contains("allowed", F.coalesce("status", F.lit("")))
     wanted = F.col("kind").isNotNull()
     issue = (

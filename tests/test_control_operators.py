@@ -188,3 +188,13 @@ def test_audit(spark):
     assert len(got) == 44 and not got["WI-48"].passed and got["WI-48"].examples == ["good"] and got["CH-02"].passed and got["PO-42"].passed and not got["SC-22"].passed
     sums = {r.category: (r.passed, r.failed, r.manual) for r in control.audit_summary(every).collect()}
     assert sums["Wiki Integrity"] == (1, 4, 0) and sums["Phase 1-2"] == (3, 1, 1)
+
+
+def test_preflight_tells_phases_apart_behind_its_joins(spark):
+    states = spark.createDataFrame([("a", "READY_FOR_5", ["4"]), ("b", "READY_FOR_5", ["4"]), ("b", "FAILED", None)], "slug string, status string, completed_phases array<string>")
+    gates = spark.createDataFrame([("a", "4", "PASS"), ("a", None, "FAIL"), ("a", "other", "FAIL"), ("b", "4", "PASS"), (None, "4", "FAIL")], "slug string, phase string, status string")
+    reports = spark.createDataFrame([("a", "confirmation", "PASS", 2), ("a", "other", "FAIL", 0), ("b", "confirmation", "PASS", None)], "slug string, kind string, status string, count int")
+    found = control.preflight(states, gates, reports)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
+    assert sorted((r.slug, r.issue or "") for r in found.filter("phase = '5'").collect()) == [("a", ""), ("b", "phase not complete"), ("b", "report empty")]
