@@ -159,7 +159,7 @@ def near_duplicates(slugs: DataFrame, least: float = 0.6) -> DataFrame:
 def attached_claims(concepts: DataFrame, claims: DataFrame) -> DataFrame:
     """slug and the columns of ``claims`` (file, block_id, ...) for each claim whose block a concept of the same file cites.
 
-    ``concepts`` has file, slug and block_ids.
+    ``concepts`` has file, slug and block_ids, in any number of rows a concept.
     """
     cited = concepts.select("file", "slug", F.explode(F.array_distinct("block_ids")).alias("block_id")).filter("block_id is not null").distinct()
     return claims.join(cited, ["file", "block_id"]).select("slug", *claims.columns)

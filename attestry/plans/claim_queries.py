@@ -56,7 +56,8 @@ def attached_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as claims on their parts, and parts of a brand and size as concepts of every order's file."""
     (lines,) = _tables(spark, sf_dir, "lineitem")
     made = lines.select(F.col("l_orderkey").alias("file"), F.col("l_partkey").cast("string").alias("block_id"), "l_linenumber")
-    cited = lines.groupBy(F.col("l_orderkey").alias("file"), F.concat(F.lit("s"), F.col("l_suppkey") % 7).alias("slug")).agg(F.collect_list(F.col("l_partkey").cast("string")).alias("block_ids"))
+    # a concept may come in any number of rows: its blocks need not be gathered first
+    cited = lines.select(F.col("l_orderkey").alias("file"), F.concat(F.lit("s"), F.col("l_suppkey") % 7).alias("slug"), F.array(F.col("l_partkey").cast("string")).alias("block_ids"))
     return concepts.attached_claims(cited, made).select("slug", "file", "block_id", "l_linenumber")
 
 

@@ -291,3 +291,12 @@ def test_sections_of_presentations(spark):
     assert rows(pages.uncited(own, spark.createDataFrame([("u", body)], "unit_id string, text string"))) == [("u", "d-ch01-0002")]
     found = spark.createDataFrame([("s", "u", 1, "b1", "Formulas", "x  y"), ("s", "u", 2, "b2", "Definitions", "z" * 200)], "slug string, unit_id string, line_no int, block_id string, category string, text string")
     assert pages.source_index(found).first().markdown == f"## Definitions\n- `^b2` {'z' * 160}\n\n## Formulas\n- `^b1` x y"
+
+
+def test_claims_of_order_lines_gather_no_lists(spark, tmp_path):
+    from attestry.plans import claim_queries
+
+    spark.createDataFrame([(1, 7, 3, 1), (1, 7, 10, 2), (1, 8, 4, 3), (2, 7, 3, 1)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = claim_queries.attached_claims(spark, str(tmp_path))
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found, "slug", "file", "block_id", "l_linenumber") == [("s3", 1, "7", 1), ("s3", 1, "7", 2), ("s3", 2, "7", 1), ("s4", 1, "8", 3)]
