@@ -9,7 +9,8 @@ The last way is exact.
 Likeness is the cosine, rounded to six digits; equally like ones are in order of their ids.  Cells are dealt into blocks
 of at most ``BLOCK`` vectors and ``BLOCK`` queries, so that a cell with a third of all vectors is many tasks; each block
 gives its best ``k`` of a query, which are merged.  The driver holds the centres: at most ``CELLS`` of them, whatever the
-number of vectors.
+number of vectors.  A task's Python holds one block's vectors and at most ``HELD`` likenesses of them; a query's cells
+leave it as a list, which the engine takes apart, so that no batch holds a vector once for each cell.
 
 Null, empty and zero vectors, and those of another length than most have, neither have neighbours nor are any.  A vector is
 no neighbour of its own id.  Of queries that repeat an id one counts; of equally like vectors that repeat an id each may be found.
@@ -18,11 +19,11 @@ no neighbour of its own id.  Of queries that repeat an id one counts; of equally
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,6 +39,8 @@ FIRST = 2
 #: Queries on which the number of probes is measured at most.
 CALIBRATING = 200
 BLOCK = 1 << 14
+#: Likenesses that a task holds at once at most.
+HELD = 1 << 20
 DIGITS = 6
 
 
@@ -72,15 +75,28 @@ def centres(vectors: DataFrame, cells: int | None = None, sample: int = SAMPLE,
     return c
 
 
+def _units(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of unit length from a column of lists of one length, at least one row."""
+    flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+    x = flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _pieces(it: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of as many rows as have ``HELD`` likenesses to ``width`` centres."""
+    step = max(1, HELD // width)
+    for b in it:
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
 def celled(vectors: DataFrame, c: np.ndarray) -> DataFrame:
     """id, vector, cell and far (the distance from the cell's centre) of ``usable`` vectors."""
     shared = vectors.sparkSession.sparkContext.broadcast(c)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            if not b.num_rows:
-                continue
-            like = _unit(b.column(1).to_pylist()) @ shared.value.T
+        for b in _pieces(it, len(shared.value)):
+            like = _units(b.column(1)) @ shared.value.T
             own = like.argmax(axis=1)
             far = np.sqrt(np.maximum(0, 2 - 2 * like[np.arange(len(own)), own]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own.astype(np.int32)), pa.array(far)], ["id", "vector", "cell", "far"])
@@ -89,40 +105,67 @@ def celled(vectors: DataFrame, c: np.ndarray) -> DataFrame:
     return vectors.mapInArrow(batches, f"id {kind}, vector array<double>, cell int, far double")
 
 
+def _in_cells(queries: DataFrame, width: int, mark: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """id, vector and cell: each query once for each of its cells; ``mark`` tells them for a piece, a row a query and a column a cell."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _pieces(it, width):
+            may = mark(b)
+            ends = np.concatenate([[0], np.cumsum(may.sum(axis=1))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, np.nonzero(may)[1].astype(np.int32))], ["id", "vector", "cells"])
+
+    kind = queries.schema["id"].dataType.simpleString()
+    return queries.mapInArrow(batches, f"id {kind}, vector array<double>, cells array<int>").select("id", "vector", F.explode("cells").alias("cell"))
+
+
+def _nearest(like: np.ndarray, n: int) -> np.ndarray:
+    """The places of the ``n`` nearest centres of each row; of equally near ones the first."""
+    return np.argsort(-like, axis=1, kind="stable")[:, :n]
+
+
 def probed(queries: DataFrame, c: np.ndarray, probes: int) -> DataFrame:
     """id, vector and cell: each query once for each of its ``probes`` nearest cells."""
     shared = queries.sparkSession.sparkContext.broadcast(c)
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            if not b.num_rows:
-                continue
-            nearest = np.argsort(-(_unit(b.column(1).to_pylist()) @ shared.value.T), axis=1, kind="stable")[:, :probes]
-            row = np.repeat(np.arange(len(nearest)), nearest.shape[1])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(nearest.ravel().astype(np.int32))], ["id", "vector", "cell"])
+    def mark(b: pa.RecordBatch) -> np.ndarray:
+        like = _units(b.column(1)) @ shared.value.T
+        may = np.zeros(like.shape, bool)
+        np.put_along_axis(may, _nearest(like, probes), True, axis=1)
+        return may
 
-    kind = queries.schema["id"].dataType.simpleString()
-    return queries.mapInArrow(batches, f"id {kind}, vector array<double>, cell int")
+    return _in_cells(queries, len(c), mark)
 
 
 def left_to_probe(queries: DataFrame, c: np.ndarray, radius: np.ndarray, first: int) -> DataFrame:
     """id, vector and cell: beyond the ``first`` nearest cells, those that a neighbour may be in; ``queries`` has id, vector and least (similarity)."""
     shared = queries.sparkSession.sparkContext.broadcast((c, radius))
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(b: pa.RecordBatch) -> np.ndarray:
         centre, edge = shared.value
-        for b in it:
-            if not b.num_rows:
-                continue
-            like = _unit(b.column(1).to_pylist()) @ centre.T
-            reach = np.sqrt(np.maximum(0, 2 - 2 * (b.column(2).to_numpy(zero_copy_only=False) - 2 * 10.0**-DIGITS)))
-            may = np.sqrt(np.maximum(0, 2 - 2 * like)) - edge[None, :] <= reach[:, None] + 1e-6
-            np.put_along_axis(may, np.argsort(-like, axis=1, kind="stable")[:, :first], False, axis=1)
-            row, cell = np.nonzero(may)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(cell.astype(np.int32))], ["id", "vector", "cell"])
-
-    kind = queries.schema["id"].dataType.simpleString()
-    return queries.select("id", "vector", "least").mapInArrow(batches, f"id {kind}, vector array<double>, cell int")
+        like = _units(b.column(1)) @ centre.T
+        reach = np.sqrt(np.maximum(0, 2 - 2 * (b.column(2).to_numpy(zero_copy_only=False) - 2 * 10.0**-DIGITS)))
+        may = np.sqrt(np.maximum(0, 2 - 2 * like)) - edge[None, :] <= reach[:, None] + 1e-6
+        np.put_along_axis(may, _nearest(like, first), False, axis=1)
+        return may
+
+    return _in_cells(queries.select("id", "vector", "least"), len(c), mark)
+
+
+def _most_like(ids: np.ndarray, q: np.ndarray, others: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``ids``, places in ``others`` and similarities of the best ``k`` of each query; ``others`` are in order, as of equally like ones the first counts."""
+    rows, found, likes = [], [], []
+    step = max(1, HELD // len(others))
+    for at in range(0, len(ids), step):
+        unlike = np.round(q[at : at + step] @ x.T, DIGITS)
+        np.negative(unlike, out=unlike)
+        unlike[ids[at : at + step, None] == others[None, :]] = 9
+        top = np.argsort(unlike, axis=1, kind="stable")[:, :k].copy()  # a view would keep the whole order
+        row, like = np.repeat(np.arange(at, at + len(top)), top.shape[1]), -np.take_along_axis(unlike, top, axis=1).ravel()
+        own = like > -9
+        rows.append(row[own])
+        found.append(top.ravel()[own])
+        likes.append(like[own])
+    return np.concatenate(rows), np.concatenate(found), np.concatenate(likes)
 
 
 def _met(asked: DataFrame, held: DataFrame, k: int, block: int) -> DataFrame:
@@ -135,27 +178,21 @@ def _met(asked: DataFrame, held: DataFrame, k: int, block: int) -> DataFrame:
     rows = held.join(sizes, "cell").select("cell", deal(F.col("blocks")).alias("block"), every("slices").alias("slice"), F.lit(False).alias("asks"), "id", "vector")
     seek = asked.join(sizes, "cell").select("cell", every("blocks").alias("block"), deal(F.col("slices")).alias("slice"), F.lit(True).alias("asks"), "id", "vector")
 
-    def best(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["asks"].to_numpy(bool)
-        if asks.all() or not asks.any():
-            return pd.DataFrame({"id": [], "neighbour": [], "similarity": []})
-        ids, others = group["id"].to_numpy()[asks], group["id"].to_numpy()[~asks]
-        order = np.argsort(others, kind="stable")
-        others = others[order]
-        q, x = _unit(group["vector"][asks].tolist()), _unit(group["vector"][~asks].tolist())[order]
-        out = []
-        for at in range(0, len(ids), 256):
-            like = np.round(q[at : at + 256] @ x.T, DIGITS)
-            like[ids[at : at + 256, None] == others[None, :]] = -9
-            # stable: of equally like ones the smaller id first
-            top = np.argsort(-like, axis=1, kind="stable")[:, :k]
-            found = np.take_along_axis(like, top, axis=1)
-            out.append(pd.DataFrame({"id": np.repeat(ids[at : at + 256], top.shape[1]), "neighbour": others[top.ravel()], "similarity": found.ravel()}))
-        both = pd.concat(out)
-        return both[both["similarity"] > -9]
+    def best(group: pa.Table) -> pa.Table:
+        kind = group.schema.field("id").type
+        seek, kept = group.filter(group["asks"]), group.filter(pc.invert(group["asks"]))
+        if not seek.num_rows or not kept.num_rows:
+            row = found = like = np.zeros(0, int)
+            ids = others = seek["id"].to_numpy()
+        else:
+            ids, others = seek["id"].to_numpy(), kept["id"].to_numpy()
+            order = np.argsort(others, kind="stable")
+            others = others[order]
+            row, found, like = _most_like(ids, _units(seek["vector"]), others, _units(kept["vector"])[order], k)
+        return pa.table({"id": pa.array(ids[row], kind), "neighbour": pa.array(others[found], kind), "similarity": pa.array(like, pa.float64())})
 
     kind = held.schema["id"].dataType.simpleString()
-    return rows.unionByName(seek).groupBy("cell", "block", "slice").applyInPandas(best, f"id {kind}, neighbour {kind}, similarity double")
+    return rows.unionByName(seek).groupBy("cell", "block", "slice").applyInArrow(best, f"id {kind}, neighbour {kind}, similarity double")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:

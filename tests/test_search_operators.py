@@ -2,8 +2,10 @@
 
 import random
 import threading
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,52 @@ def test_neighbours_of_odd_vectors(spark):
     assert vectors.neighbours(df.limit(0), df.limit(0)).count() == 0
 
 
+class _Captured:
+    """A table that keeps what is to run on its batches."""
+
+    def __init__(self, df):
+        self.sparkSession, self.schema = df.sparkSession, df.schema
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def select(self, *columns):
+        return self
+
+
+def test_cells_of_queries_take_little_memory(spark):
+    """A batch holds a query's vector once, whatever the number of its cells; the likenesses to all centres are made piece by piece."""
+    pick = np.random.default_rng(5)
+    x, c = pick.normal(size=(3000, 16)), pick.normal(size=(500, 16))
+    c /= np.linalg.norm(c, axis=1, keepdims=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(x.tolist()), pa.array([0.5] * 3000)], ["id", "vector", "least"])
+    df = spark.createDataFrame([(1, [0.0], 0.5)], "id long, vector array<double>, least double")
+    for made in (vectors.probed(_Captured(df), c, 200), vectors.left_to_probe(_Captured(df), c, np.full(500, 2.0), 2)):
+        tracemalloc.start()
+        largest, total = 0, 0
+        for out in made.run(iter([batch])):
+            largest, total = max(largest, out.nbytes), total + out.num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert total == 3000 and largest < 8e6 and peak < 64e6
+
+
+def test_likenesses_of_a_block_are_made_piece_by_piece():
+    pick = np.random.default_rng(6)
+    q, x = pick.normal(size=(700, 8)), pick.normal(size=(5000, 8))
+    ids, others = np.arange(700), np.arange(5000)
+    tracemalloc.start()
+    row, found, like = vectors._most_like(ids, q, others, x, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48e6  # all at once are 28 MB and their order as much
+    want = np.round(q @ x.T, 6)
+    want[ids, ids] = -9
+    order = np.argsort(-want, axis=1, kind="stable")[:, :3]
+    assert np.array_equal(row, np.repeat(ids, 3)) and np.array_equal(found, order.ravel()) and np.allclose(like, np.take_along_axis(want, order, axis=1).ravel())
+
+
 def _distances(edges, roots):
     far, step = {r: 0 for r in roots}, set(roots)
     while step:
