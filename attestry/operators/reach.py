@@ -2,7 +2,8 @@
 
 All of it goes by rounds of joins.  A round joins only its frontier with the edges, and what it finds, less what is known,
 is the next one.  Each round's state is a written table, so that plans stay short and a lost executor repeats one round.
-A page with very many links is a key of the join like any other: adaptive execution splits it.  In the search from roots, a
+A page with very many links is a key of the join like any other: adaptive execution splits it.  The search from roots first
+leaves out, once, the edges of nodes that are no roots and that nothing leads to, as no round can come there.  A
 frontier of at most ``FEW`` nodes is sent to the edges, which then stay where they are; a larger one meets them by their key.
 
 Null ends of edges lead nowhere and come from nowhere; repeated edges count once; loops of a page to itself are
@@ -33,7 +34,8 @@ def reachable(edges: DataFrame, roots: DataFrame, most: int | None = None) -> Da
 
     ``edges`` has src and dst.  There are as many rounds as the greatest distance, and one more that finds nothing.
     """
-    return _searched(_written(edges), roots, most)
+    links = _written(edges)
+    return _searched(_walkable(links, _targets(links), roots), roots, most)
 
 
 def _written(edges: DataFrame) -> DataFrame:
@@ -41,15 +43,26 @@ def _written(edges: DataFrame) -> DataFrame:
     return materialize(edges.select("src", "dst").filter("src is not null and dst is not null"))
 
 
+def _targets(links: DataFrame) -> DataFrame:
+    """node and linked: what links lead to, and whether any comes from another node."""
+    return materialize(links.groupBy(F.col("dst").alias("node")).agg(F.max(F.col("src") != F.col("dst")).alias("linked")))
+
+
+def _walkable(links: DataFrame, targets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links that a search can come to: those of roots and of nodes that links lead to."""
+    heads = targets.select("node").union(roots.select("node"))
+    return materialize(links.join(heads, links["src"] == heads["node"], "left_semi").select("src", "dst"))
+
+
 def _searched(links: DataFrame, roots: DataFrame, most: int | None = None) -> DataFrame:
     frontier = materialize(roots.select("node").filter("node is not null").distinct().withColumn("distance", F.lit(0).cast("long")))
-    levels = [frontier]
+    levels, size = [frontier], frontier.count()
     while most is None or len(levels) <= most:
         known = reduce(DataFrame.union, levels)
-        few = frontier.limit(FEW + 1).count() <= FEW
-        step = links.join(F.broadcast(frontier) if few else frontier, links["src"] == frontier["node"], "left_semi").select(F.col("dst").alias("node")).distinct()
+        step = links.join(F.broadcast(frontier) if size <= FEW else frontier, links["src"] == frontier["node"], "left_semi").select(F.col("dst").alias("node")).distinct()
         frontier = materialize(step.join(known.select("node"), "node", "left_anti").withColumn("distance", F.lit(len(levels)).cast("long")))
-        if frontier.isEmpty():
+        size = frontier.count()
+        if not size:
             break
         levels.append(frontier)
         if len(levels) % 8 == 0:  # one table instead of many
@@ -60,10 +73,10 @@ def _searched(links: DataFrame, roots: DataFrame, most: int | None = None) -> Da
 def orphans(pages: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """node and linked: pages (node) that no root reaches, and whether any link leads to them at all."""
     links = _written(edges)
-    found = _searched(links, roots).select("node")
-    named = links.filter("src <> dst").select(F.col("dst").alias("node")).distinct().withColumn("linked", F.lit(True))
+    targets = _targets(links)
+    found = _searched(_walkable(links, targets, roots), roots).select("node")
     left = pages.select("node").filter("node is not null").distinct().join(found, "node", "left_anti")
-    return left.join(named, "node", "left").select("node", F.coalesce("linked", F.lit(False)).alias("linked"))
+    return left.join(targets, "node", "left").select("node", F.coalesce("linked", F.lit(False)).alias("linked"))
 
 
 def trimmed(edges: DataFrame) -> DataFrame:

@@ -152,6 +152,18 @@ def test_distances_orphans_and_limits(spark):
     assert reach.reachable(df.limit(0), roots).count() == 2
 
 
+def test_search_leaves_out_edges_it_can_not_come_to(spark, monkeypatch):
+    """Pages that nothing leads to and that are no roots: their links are not read round by round, and count for what they lead to."""
+    edges = spark.createDataFrame([("r", "a"), ("a", "b"), (None, "b"), *((f"lone{i}", "b") for i in range(50)), ("lone1", "c"), ("o", "o"), ("c", "a")], "src string, dst string")
+    pages, walked, searched = edges.select(F.col("src").alias("node")), [], reach._searched
+    monkeypatch.setattr(reach, "_searched", lambda links, *rest: walked.append(links) or searched(links, *rest))
+    roots = spark.createDataFrame([("r",), (None,)], "node string")
+    found = {(r.node, r.linked) for r in reach.orphans(pages, edges, roots).collect()}
+    assert found == {*((f"lone{i}", False) for i in range(50)), ("o", False), ("c", True)}
+    assert {(r.node, r.distance) for r in reach.reachable(edges, roots).collect()} == {("r", 0), ("a", 1), ("b", 2)}
+    assert [sorted(tuple(r) for r in links.collect()) for links in walked] == [[("a", "b"), ("c", "a"), ("o", "o"), ("r", "a")]] * 2
+
+
 def test_long_chain_is_walked_to_its_end(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(20)], "src long, dst long")
     got = {r.node: r.distance for r in reach.reachable(df, spark.createDataFrame([(0,)], "node long")).collect()}
