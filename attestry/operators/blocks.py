@@ -249,19 +249,32 @@ SECTIONS = {
 REQUIRED = ("author_words", "definition", "formulas", "examples", "limitations", "relations", "evidence_index")
 
 
+#: Sections that a task balances at most, but for those of one unit: its memory stays the same, however many there are.
+DEALT = 1 << 17
+
+
 def balance_metrics(sections: DataFrame) -> DataFrame:
     """unit_id, category, citations, unique, embeds, lines, share_total, share_body and required: what each category cites.
 
     ``sections`` has unit_id, header and body; every unit has all categories, and the evidence index is no body.
+    Sections are dealt out once by their unit, as numbers and ids, in as many parts as ``DEALT`` asks for; all else, what
+    reads the result by unit included, is done where they then are.
     """
     named = F.create_map(*(F.lit(x) for c, hs in SECTIONS.items() for h in hs for x in (h, c)))
     categories = F.array(*map(F.lit, SECTIONS))
-    held = sections.select("unit_id", F.try_element_at(named, F.col("header")).alias("category"), "body").filter("category is not null")
     ids, embeds = text.block_citations("body"), text.block_embeds("body")
     full = F.size(F.filter(text.lines("body"), lambda x: text.strip(x) != ""))
-    some = held.groupBy("unit_id", "category").agg(F.sum(F.size(ids)).alias("citations"), F.size(F.array_distinct(F.flatten(F.collect_list(ids)))).cast("long").alias("unique"), F.sum(F.size(embeds)).alias("embeds"), F.sum(full).alias("lines"))
-    every = sections.select("unit_id").distinct().select("unit_id", F.explode(categories).alias("category"))
-    df = every.join(some, ["unit_id", "category"], "left").fillna(0, ["citations", "unique", "embeds", "lines"])
+    # sections of no category still name their unit; they count under a null one
+    held = sections.select("unit_id", F.try_element_at(named, F.col("header")).alias("category"), ids.alias("ids"), F.size(ids).alias("n"), F.size(embeds).alias("embeds"), full.alias("lines"))
+    parts = max(sections.sparkSession.sparkContext.defaultParallelism, -(-sections.count() // DEALT))
+    some = held.repartition(parts, "unit_id").groupBy("unit_id", "category").agg(F.sum("n").alias("citations"), F.size(F.array_distinct(F.flatten(F.collect_list("ids")))).cast("long").alias("unique"), F.sum("embeds").alias("embeds"), F.sum("lines").alias("lines"))
+    counts = ["citations", "unique", "embeds", "lines"]
+    # at most a row a category
+    units = some.groupBy("unit_id").agg(F.collect_list(F.struct("category", *counts)).alias("held"))
+    each = units.select("unit_id", "held", F.explode(categories).alias("category"))
+    own = F.filter("held", lambda x: x["category"] == F.col("category"))
+    # sections of no unit cite nothing
+    df = each.withColumn("own", F.when(F.col("unit_id").isNotNull(), F.get(own, F.lit(0)))).select("unit_id", "category", *(F.coalesce(F.col(f"own.{c}"), F.lit(0)).alias(c) for c in counts))
     unit = Window.partitionBy("unit_id")
     body = F.col("category") != "evidence_index"
     total, inner = F.sum("citations").over(unit), F.sum(F.when(body, F.col("citations")).otherwise(0)).over(unit)
