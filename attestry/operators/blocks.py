@@ -6,7 +6,9 @@ the files of a chapter moves text between tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -100,6 +102,17 @@ def block_categories(files: DataFrame) -> DataFrame:
     return out.select(text.block_id("slug", "chapter", F.col("start") + F.col("k") + 1).alias("block_id"), "category")
 
 
+def shown_blocks(files: DataFrame, shown: Callable[[Column], Column]) -> DataFrame:
+    """slug, chapter, file, line_no, block_id, category and text of the new blocks of ``annotate``; the text is what ``shown`` makes of it.
+
+    Categories and shown texts are made where the files were read, so that whole texts don't move to the counter.
+    """
+    keys = ["slug", "chapter", "file"]
+    df = _granted(files).withColumn("new", F.transform("new", lambda r: F.struct(r["i"].alias("i"), text.category(r["t"]).alias("category"), shown(r["t"]).alias("text"))))
+    out = _numbered(df).select(*keys, "start", F.posexplode("new").alias("k", "r"))
+    return out.select(*keys, (F.col("r.i") + 1).alias("line_no"), text.block_id("slug", "chapter", F.col("start") + F.col("k") + 1).alias("block_id"), "r.category", "r.text")
+
+
 def annotate(files: DataFrame) -> DataFrame:
     """New block ids: slug, file, chapter, line_no (the block's last line), block_id, text.
 

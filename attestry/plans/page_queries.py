@@ -74,8 +74,9 @@ def finished_books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' blocks written as indexes by category: the digest of each text."""
-    found = blocks.classify(blocks.annotate(text_queries.files(spark, sf_dir))).select("slug", F.col("chapter").alias("unit_id"), "line_no", "block_id", F.regexp_replace("text", "[^ -~]", "").alias("text"), "category")
-    out = pages.source_index(found, 60)
+    start = lambda t: F.substring(F.regexp_replace(F.regexp_replace(t, "[^ -~]", ""), r"\s+", " "), 1, 60)
+    found = blocks.shown_blocks(blocks.spread(text_queries.files(spark, sf_dir)), start)
+    out = pages.source_index(found.select("slug", F.col("chapter").alias("unit_id"), "line_no", "block_id", "text", "category"), 60)
     return out.select(F.col("unit_id").alias("doc_id"), F.length("markdown").cast("long").alias("chars"), F.sha2(F.col("markdown").cast("binary"), 256).alias("digest"))
 
 

@@ -72,6 +72,19 @@ def test_balance_keeps_its_parts_as_more_sections_come(spark, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
+def test_blocks_are_judged_and_cut_before_they_move(spark):
+    """A source index shows a block's start: its whole text stays where the file was read, and ids, places and categories are those of ``annotate``."""
+    texts = ["# H\n\nword " * 3 + "x" * 500, "A fee is defined as the price of a service.\n\n| a | b |\n| c | d |\n\nplain", "one ^s-ch01-0007\n\ntwo   spaces", None, ""]
+    files = spark.createDataFrame([("s", i // 2 + 1, f"f{i}", t) for i, t in enumerate(texts)], "slug string, chapter int, file string, text string")
+    at = ["slug", "chapter", "file", "line_no", "block_id", "category"]
+    own = blocks.shown_blocks(files, lambda t: F.substring(t, 1, 60))
+    want = blocks.classify(blocks.annotate(files)).withColumn("text", F.substring("text", 1, 60))
+    assert rows(own, *at, "text") == rows(want, *at, "text") and own.count() == want.count() > 4
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    moved, stays = plan.split("Window", 1)
+    assert "substring" not in moved and "substring" in stays
+
+
 def test_index_issues_and_written_indexes(spark):
     index = spark.createDataFrame([("u", "b1", "Definitions"), ("u", "b1", "Definitions"), ("u", "b2", "Odd"), ("w", "b9", "Formulas")], "unit_id string, block_id string, category string")
     chapter = spark.createDataFrame([("u", "b1"), ("u", "b2"), ("u", "b3")], "unit_id string, block_id string")
